@@ -107,7 +107,7 @@ def _single_quoted(c: Column) -> Column:
     return F.regexp_replace(c, '"', "'")
 
 
-def encode_v1(tel: DataFrame) -> DataFrame:
+def encode_v1(tel: DataFrame, key_cols=("event_id",)) -> DataFrame:
     """Telemetry -> v1 robot message; nested members as single-quoted text."""
     xyz = lambda p: [F.col(f"{p}_{a}").alias(a) for a in "xyz"]
     angles = F.struct(
@@ -127,7 +127,7 @@ def encode_v1(tel: DataFrame) -> DataFrame:
         F.col("environment_humidity").alias("proximity"),
         _single_quoted(F.to_json(angles)).alias("joint_angles"),
     )
-    return tel.select("event_id", F.to_json(msg).cast("binary").alias("value"))
+    return tel.select(*key_cols, F.to_json(msg).cast("binary").alias("value"))
 
 
 def parse_v1(df: DataFrame, keep=("event_id",)) -> DataFrame:
@@ -145,7 +145,7 @@ def parse_v1(df: DataFrame, keep=("event_id",)) -> DataFrame:
 
 
 # --- flat sensor messages (P2, P12) ----------------------------------------------------------
-def encode_flat(tel: DataFrame) -> DataFrame:
+def encode_flat(tel: DataFrame, key_cols=("event_id",)) -> DataFrame:
     s = lambda c: F.col(c).cast("string")
     msg = F.struct(
         _json(F.col("log_type").alias("log_type"),
@@ -155,7 +155,7 @@ def encode_flat(tel: DataFrame) -> DataFrame:
         s("environment_temperature").alias("temperature"), F.col("sensor_name").alias("sensor"),
         s("k").alias("pressure"), s("velocity").alias("velocity_x"), s("current").alias("velocity_y"),
         F.date_format("ts", MICROS_FMT).alias("timestamp"))
-    return tel.select("event_id", F.to_json(msg).cast("binary").alias("value"))
+    return tel.select(*key_cols, F.to_json(msg).cast("binary").alias("value"))
 
 
 def parse_flat(df: DataFrame, keep=("event_id",)) -> DataFrame:
