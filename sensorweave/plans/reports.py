@@ -2,9 +2,10 @@
 
 Each query reads the telemetry proxy (built from ``events``) and the graph
 tables it converges to.  The seed topology (Thing -> RobotArm -> Log,
-Thing -> Environment, joints) is a fixed table of at most 26 rows, so joining
-it in is a broadcast of a proven-small side; all data-sized joins are left to
-AQE (broadcast only when measured small, else shuffle; skew split).
+Thing -> Environment, joints) is a fixed table of at most 26 rows: its pattern
+matches are attached with ``bind_fixed`` (a size-checked literal array, no join);
+all data-sized joins are left to AQE (broadcast only when measured small, else
+shuffle; skewed partitions split).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.telemetry import air_quality_category, air_quality_level, trunc_ntz
 from ..operators import windows as W
+from ..operators.patterns import bind_fixed
 from .graph_build import TelemetryGraph, seed_edges
 from .proxy import telemetry, with_telemetry
 from .registry import register
@@ -139,7 +141,7 @@ def match_one_hop(spark, sf_dir):
     """(log:Log)-[r:HAS_RECORD]->(ln:LogNotification): one row per edge."""
     tg = _graph(spark, sf_dir)
     log_nodes = spark.createDataFrame([("Log",)], "log string")
-    return (_ln_edges(spark, tg).join(F.broadcast(log_nodes), "log")
+    return (bind_fixed(_ln_edges(spark, tg), log_nodes, ["log"])
             .select("log", "ln_name", "ln_timestamp", "ln_message", "edge_timestamp"))
 
 
@@ -156,11 +158,10 @@ WHERE ln.name = 'error' AND es.hasAirQuality = 'Unhealthy'""", LN_SQL, HR_SQL, E
 def anomaly_env_error(spark, sf_dir):
     """All matches (the report showed the first one); the error filter runs before the join."""
     tg = _graph(spark, sf_dir)
-    topo = F.broadcast(topology_logs(spark).join(topology_envs(spark), "thing"))
+    topo = topology_logs(spark).join(topology_envs(spark), "thing")
     ln = _ln_edges(spark, tg).filter(F.col("ln_name") == "error")
     es = _es_edges(spark, tg).filter(F.col("hasAirQuality") == "Unhealthy")
-    j = (ln.join(es, ln.ln_timestamp == es.es_timestamp)
-         .join(topo, ["log", "env"]))
+    j = bind_fixed(ln.join(es, ln.ln_timestamp == es.es_timestamp), topo, ["log", "env"])
     return j.select("thing", "robot", "log", "ln_name", "ln_timestamp", "ln_message", "env",
                     "es_timestamp", F.col("hasAirQuality").alias("es_air_quality"),
                     F.col("hasHumidity").alias("es_humidity"),
@@ -180,12 +181,12 @@ JOIN hs ON hs.sensor_timestamp = s.timestamp
 WHERE ln.name = 'error'""", LN_SQL, HR_SQL, SENSOR_SQL, HS_SQL))
 def anomaly_joint_error(spark, sf_dir):
     tg = _graph(spark, sf_dir)
-    topo = F.broadcast(topology_joints(spark).join(topology_logs(spark), ["thing", "robot"]))
+    topo = topology_joints(spark).join(topology_logs(spark), ["thing", "robot"])
     ln = _ln_edges(spark, tg).filter(F.col("ln_name") == "error")
     s = tg.sensor
     hs = tg.has_sensor.select(F.col("joint_name").alias("joint"), "sensor_timestamp")
     sens = hs.join(s, hs.sensor_timestamp == s.timestamp)
-    j = ln.join(sens, ln.ln_timestamp == sens.timestamp).join(topo, ["joint", "log"])
+    j = bind_fixed(ln.join(sens, ln.ln_timestamp == sens.timestamp), topo, ["joint", "log"])
     return j.select(
         F.col("ln_timestamp").alias("logTimestamp"), F.col("ln_message").alias("logMessage"),
         F.col("joint").alias("jointName"), _r("hasAcceleration", "acceleration"),
@@ -242,7 +243,7 @@ SELECT CASE WHEN hasAirQuality = 'Good' THEN 'Good' WHEN hasAirQuality = 'Modera
 FROM es JOIN hrd ON hrd.es_timestamp = es.hasTimestamp GROUP BY 1""", ES_SQL, HRD_SQL))
 def env_avg_by_quality(spark, sf_dir):
     tg = _graph(spark, sf_dir)
-    es = _es_edges(spark, tg).join(F.broadcast(topology_envs(spark)), "env")
+    es = bind_fixed(_es_edges(spark, tg), topology_envs(spark), ["env"])
     g = es.groupBy(air_quality_category("hasAirQuality").alias("category")).agg(
         F.avg(F.col("hasHumidity").try_cast("double")).alias("avgHumidity"),
         F.avg(F.col("hasTemperature").try_cast("double")).alias("avgTemperature"))
@@ -292,12 +293,12 @@ GROUP BY 1""", SENSOR_SQL, HS_SQL)
 
 def joint_position(spark, sf_dir, joint: str) -> DataFrame:
     tg = _graph(spark, sf_dir)
-    topo = F.broadcast(topology_joints(spark).filter(F.col("joint") == joint))
+    topo = topology_joints(spark).filter(F.col("joint") == joint)
     hs = (tg.has_sensor.filter(F.col("joint_name") == joint)
           .select(F.col("joint_name").alias("joint"), "sensor_timestamp",
                   F.col("timestamp").alias("edge_timestamp")))
     s = tg.sensor
-    j = hs.join(topo, "joint").join(s, hs.sensor_timestamp == s.timestamp)
+    j = bind_fixed(hs, topo, ["joint"]).join(s, hs.sensor_timestamp == s.timestamp)
     t = F.coalesce(F.col("edge_timestamp"), F.col("timestamp"))
     seed_ts = F.lit(fixed.SEED_TIMESTAMP).cast("timestamp_ntz")
     g = (j.filter(t != seed_ts).groupBy(t.alias("ts"))
