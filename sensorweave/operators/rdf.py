@@ -93,17 +93,15 @@ def list_positions(rest: DataFrame) -> DataFrame:
     0-based position.  Pointer jumping; each round joins only unfinished rows whose
     pointers are pairwise distinct, so no join key is hot."""
     r = rest.filter(F.col("next") != RDF_NIL).select("node", "next")
-    pred_ = (r.select(F.col("next").alias("node"), F.col("node").alias("anc"))
-             .groupBy("node").agg(F.min("anc").alias("anc")))
-    nodes = r.select("node").union(r.select(F.col("next").alias("node"))).distinct()
-    roots = nodes.join(pred_.select("node"), "node", "left_anti")
-    with_pred = nodes.join(pred_, "node", "left")
-    init = (with_pred.join(roots.select(F.col("node").alias("anc"), F.lit(True).alias("_anc_root")),
-                           "anc", "left")
-            .select("node",
-                    F.coalesce("anc", "node").alias("anc"),
-                    F.when(F.col("anc").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("dist"),
-                    (F.col("anc").isNull() | F.col("_anc_root").isNotNull()).alias("done")))
+    # one aggregation gives every node with its predecessor (null for a list head)
+    ends = (r.select(F.col("node").alias("n"), F.lit(None).cast("string").alias("p"))
+            .unionByName(r.select(F.col("next").alias("n"), F.col("node").alias("p"))))
+    preds = ends.groupBy("n").agg(F.min("p").alias("p"))
+    # heads point to themselves at distance 0 and are done; everybody else points
+    # to its predecessor at distance 1 and finds out in the first round
+    init = preds.select(F.col("n").alias("node"), F.coalesce("p", "n").alias("anc"),
+                        F.when(F.col("p").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("dist"),
+                        F.col("p").isNull().alias("done"))
     state = _checkpoint(init)
     for _ in range(MAX_ROUNDS):
         todo = state.filter(~F.col("done"))

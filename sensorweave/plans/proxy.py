@@ -84,7 +84,8 @@ def telemetry_from_events(ev: DataFrame) -> DataFrame:
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"],
+                    parallel=True)
     return telemetry_from_events(ev)
 
 

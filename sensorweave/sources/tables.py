@@ -12,10 +12,26 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Read one table; selecting columns here lets the scan prune the rest."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+               parallel: bool = False) -> DataFrame:
+    """Read one table; selecting columns here lets the scan prune the rest.
+
+    ``parallel=True`` applies ``ensure_parallelism`` (for tables that feed
+    CPU-heavy narrow work such as JSON encoding and parsing)."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return ensure_parallelism(df) if parallel else df
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Parallelism floor: a scan with fewer splits than the cluster has task slots
+    (one small file, one row group) is spread round-robin over the slots.  At
+    scale the scan already has far more splits than slots and this is a no-op;
+    the check is planning-only (no job)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
 
 
 def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
