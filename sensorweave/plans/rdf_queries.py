@@ -13,17 +13,18 @@ values) plus a hierarchy and restriction lists derived from the data:
                                   xsd:minInclusive l_discount, even n xsd:maxInclusive
                                   l_extendedprice (numbers as text)
 
-Line items are numbered by row_number over (l_linenumber, l_partkey, l_suppkey,
+Line items are numbered by their rank over (l_linenumber, l_partkey, l_suppkey,
 l_quantity, l_extendedprice, l_shipdate) within the order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators import rdf as RD
+from ..operators.ranking import rank_within_group
 from ..session import scratch_path
 from ..sources.tables import read_table
 from .registry import register
@@ -89,10 +90,11 @@ def table_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
         _t(iri("Customer", "o_custkey"), RD.SUBCLASS, r), _t(r, RD.RDF_TYPE, RD.OWL_RESTRICTION),
         _t(r, RD.ON_PROPERTY, prop), _t(r, RD.ALL_VALUES_FROM, d),
         _t(d, RD.RDF_TYPE, fixed.XSD + "float"), _t(d, RD.WITH_RESTRICTIONS, head)), strict)))
-    w = Window.partitionBy("l_orderkey").orderBy(*LI_ORDER)
-    num = li.select("l_orderkey", "l_discount", "l_extendedprice",
-                    F.row_number().over(w).alias("n"), F.count("*").over(
-                        w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("cnt"))
+    # position of each line item in its order; an order holding most line items
+    # is still spread over many tasks (see operators.ranking)
+    num = (rank_within_group(li, ["l_orderkey"], LI_ORDER)
+           .select("l_orderkey", "l_discount", "l_extendedprice",
+                   F.col("rank").alias("n"), F.col("group_size").alias("cnt")))
     node = lambda k, n: F.concat(F.lit(f"_:{k}"), F.col("l_orderkey").cast("string"), F.lit("_"),
                                  n.cast("string"))
     lst, item = node("l", F.col("n")), node("i", F.col("n"))

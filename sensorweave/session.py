@@ -16,6 +16,11 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # streaming aggregation state lives in RocksDB (off-heap, spills to local disk,
+    # checkpointed incrementally) instead of executor heap maps
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -45,6 +50,10 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Settings every plan of this library assumes (safe to call repeatedly)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    k = "spark.sql.streaming.stateStore.providerClass"
+    cur = spark.conf.get(k, None)
+    if not cur or cur.endswith("HDFSBackedStateStoreProvider"):  # the built-in default
+        spark.conf.set(k, DEFAULT_CONF[k])
     ensure_checkpoint_dir(spark)
 
 

@@ -103,3 +103,16 @@ def test_paths_match_brute_force_with_cycles(spark):
     df = spark.createDataFrame(rows, "edge_id string, src string, dst string, type string")
     got = sorted((r["hops"], r["path"]) for r in PT.paths_up_to(df, 3).collect())
     assert got == sorted(expected)
+
+
+def test_rank_within_group_with_a_hot_group(spark):
+    from pyspark.sql import Window
+    from sensorweave.operators.ranking import rank_within_group
+    rnd = random.Random(5)
+    rows = [(0 if rnd.random() < 0.4 else rnd.randint(1, 50), rnd.random(), i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "g int, o double, i int")
+    got = rank_within_group(df, ["g"], ["o", "i"], partitions=16)
+    w = Window.partitionBy("g").orderBy("o", "i")
+    ref = df.select("i", F.row_number().over(w).alias("rn"), F.count("*").over(Window.partitionBy("g")).alias("n"))
+    bad = got.join(ref, "i").filter((F.col("rank") != F.col("rn")) | (F.col("group_size") != F.col("n")))
+    assert got.count() == 5000 and bad.count() == 0
