@@ -3,9 +3,9 @@
 is read back as the result.
 
 Message files are written in three time-ordered appends (days 1-10, 11-20,
-21-31); within an append every hour of data sits in one file, so micro-batch
-boundaries (``maxFilesPerTrigger``) never split an hour - the graph's
-event-timestamp key - across batches.
+21-31) of ``FILES_PER_APPEND`` round-robin files each, and a micro-batch takes
+exactly that many files (oldest first), so every batch is one whole append and
+an hour - the graph's event-timestamp key - never spans two batches.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.telemetry import trunc_ntz
 from ..operators import parse as P
 from ..session import scratch_path
 from ..sinks.tables import append_nodes
@@ -36,9 +35,7 @@ def _segment(df: DataFrame, lo: int, hi: int, ts: str = "ts") -> DataFrame:
 def write_topic(spark, sf_dir, path, segments=SEGMENTS, encoder=P.encode_v2) -> None:
     tel = telemetry(spark, sf_dir)
     for lo, hi in segments:
-        part = _segment(tel, lo, hi).withColumn("_hour", trunc_ntz("hour", "ts"))
-        msgs = encoder(part, key_cols=("event_id", "_hour"))
-        publish(msgs, path, files=FILES_PER_APPEND, cluster_by="_hour")
+        publish(encoder(_segment(tel, lo, hi)), path, files=FILES_PER_APPEND)
 
 
 def _messages(spark, path):
