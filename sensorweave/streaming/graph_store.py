@@ -14,6 +14,7 @@ Parquet row-group statistics turn into skipped I/O as the table grows.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,21 +101,25 @@ class GraphStore:
             try:
                 rng = dedup.agg(F.min(GB.TS).alias("lo"), F.max(GB.TS).alias("hi")).first()
                 lo, hi = rng["lo"], rng["hi"]
+                writes = []
                 # write 1 starts with MATCH (log:Log): without the seeded anchor it writes nothing
                 if not self.has_log_anchor().isEmpty():
-                    self.merge("log_notification",
-                               G.first_per_key(GB.log_notification_rows(dedup), ["name", "timestamp"],
-                                               order, ["hasMessage"]), batch_id, lo, hi)
-                    self.merge("has_record", GB.merge_has_record(dedup), batch_id, lo, hi)
-                # write 2: sensor + joint link
-                self.merge("sensor", G.first_per_key(GB.sensor_rows(dedup), ["timestamp"], order,
-                                                     list(GB.SENSOR_PROPS)), batch_id, lo, hi)
-                self.merge("has_sensor", GB.merge_joint_has_sensor(dedup), batch_id, lo, hi)
-                # write 3: environment reading (Environment itself is MERGEd, i.e. seeded)
-                self.merge("environment_sensor",
-                           G.first_per_key(GB.environment_rows(dedup), ["hasTimestamp"], order,
-                                           list(GB.ENV_PROPS)), batch_id, lo, hi)
-                self.merge("has_reading", GB.merge_has_reading(dedup), batch_id, lo, hi)
+                    writes += [
+                        ("log_notification", G.first_per_key(GB.log_notification_rows(dedup),
+                                                             ["name", "timestamp"], order, ["hasMessage"])),
+                        ("has_record", GB.merge_has_record(dedup))]
+                # write 2: sensor + joint link; write 3: environment reading
+                writes += [
+                    ("sensor", G.first_per_key(GB.sensor_rows(dedup), ["timestamp"], order,
+                                               list(GB.SENSOR_PROPS))),
+                    ("has_sensor", GB.merge_joint_has_sensor(dedup)),
+                    ("environment_sensor", G.first_per_key(GB.environment_rows(dedup), ["hasTimestamp"],
+                                                           order, list(GB.ENV_PROPS))),
+                    ("has_reading", GB.merge_has_reading(dedup))]
+                # the merges touch different tables: submit them as concurrent jobs
+                with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+                    for f in [pool.submit(self.merge, name, cand, batch_id, lo, hi) for name, cand in writes]:
+                        f.result()
             finally:
                 dedup.unpersist()
         finally:
