@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
-from ..functions.telemetry import trunc_ntz
 from ..operators import parse as P
 from ..operators import windows as W
 from ..operators import graph as G
@@ -86,6 +85,18 @@ def run_ingest(spark: SparkSession, messages: DataFrame, staging: str, store: Gr
     parsed = parsed_stream(messages)
     q1 = start_staging_sink(parsed, staging, f"{checkpoint_root}/staging", trigger)
     q2 = start_graph_sink(parsed, store, f"{checkpoint_root}/graph", trigger)
+    if trigger and not (trigger.get("availableNow") or trigger.get("once")):
+        # continuous run: wait for the first query to end (or fail), then stop the other
+        try:
+            spark.streams.awaitAnyTermination()
+        finally:
+            for q in (q1, q2):
+                if q.isActive:
+                    q.stop()
+        for q in (q1, q2):
+            if q.exception() is not None:
+                raise q.exception()
+        return
     for q in (q1, q2):
         q.awaitTermination()
 
@@ -146,7 +157,3 @@ def await_all(queries: list[StreamingQuery]) -> None:
 
 def ntz(c: str):
     return F.col(c).cast("timestamp_ntz").alias(c)
-
-
-def hour_ntz(c: str):
-    return trunc_ntz("hour", c)
