@@ -31,6 +31,9 @@ TABLES = {
     "has_sensor": (["joint_name", "sensor_timestamp"], "sensor_timestamp"),
     "environment_sensor": (["hasTimestamp"], "hasTimestamp"),
     "has_reading": (["env_name", "es_timestamp", "timestamp"], "es_timestamp"),
+    # nodes MERGEd by name only (created when neither the seed nor an earlier batch has them)
+    "joint": (["name"], None),
+    "environment": (["name"], None),
 }
 
 
@@ -70,10 +73,18 @@ class GraphStore:
             return None
         keys, ts = TABLES[name]
         cur = cur.filter(F.col("batch_id") < batch_id)
-        if lo is not None:
+        if lo is not None and ts is not None:
             cur = cur.filter(F.col(ts).between(lo, hi))
         return cur.select(*keys)
 
+    def _unseeded(self, label: str, names: DataFrame) -> DataFrame:
+        """Names of ``label`` nodes the seed does not already hold (MERGE matches seeded nodes)."""
+        seed = self.read("seed_nodes")
+        if seed is None:
+            return names
+        seeded = seed.filter(F.col("label") == label).select("name")
+        return names.join(seeded, "name", "left_anti")
+
     def merge(self, name: str, candidates: DataFrame, batch_id: int, lo=None, hi=None) -> None:
         """Write the candidates whose key is new into partition ``batch_id``."""
         keys, _ = TABLES[name]
@@ -115,7 +126,11 @@ class GraphStore:
                     ("has_sensor", GB.merge_joint_has_sensor(dedup)),
                     ("environment_sensor", G.first_per_key(GB.environment_rows(dedup), ["hasTimestamp"],
                                                            order, list(GB.ENV_PROPS))),
-                    ("has_reading", GB.merge_has_reading(dedup))]
+                    ("has_reading", GB.merge_has_reading(dedup)),
+                    ("joint", self._unseeded("Joint", dedup.select(F.col("joint_name").alias("name"))
+                                             .filter(F.col("name").isNotNull()).distinct())),
+                    ("environment", self._unseeded("Environment", dedup.limit(1).select(
+                        F.lit("Environment").alias("name"))))]
                 # the merges touch different tables: submit them as concurrent jobs
                 with ThreadPoolExecutor(max_workers=len(writes)) as pool:
                     for f in [pool.submit(self.merge, name, cand, batch_id, lo, hi) for name, cand in writes]:

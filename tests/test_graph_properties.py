@@ -68,3 +68,17 @@ def test_log_write_needs_the_seeded_anchor(spark):
     store.upsert_batch(tel, 0)
     assert store.read("log_notification") is None
     assert store.read("sensor").count() > 0
+
+
+def test_unseeded_store_creates_joint_and_environment_nodes(spark):
+    tel = telemetry(spark, SMALL).withColumn("timestamp", F.col("ts").cast("timestamp"))
+    tel = tel.withColumn("obs_ts", F.date_trunc("hour", "timestamp"))
+    store = GraphStore(spark, scratch_path(spark, "test-unseeded"))
+    store.upsert_batch(tel, 0)
+    store.upsert_batch(tel, 1)
+    assert sorted(r["name"] for r in store.read("joint").collect()) == [f"joint_{i}" for i in range(1, 7)]
+    assert [r["name"] for r in store.read("environment").collect()] == ["Environment"]
+    seeded = GraphStore(spark, scratch_path(spark, "test-seeded"))
+    seeded.seed()
+    seeded.upsert_batch(tel, 0)
+    assert seeded.read("joint") is None or seeded.read("joint").count() == 0
