@@ -15,6 +15,8 @@ from ..operators import parse as P
 from ..session import scratch_path
 from ..sources.files import read_csv_strings
 from ..sinks.tables import write_table
+from ..sinks.topic import publish
+from ..streaming.jobs import message_batch
 from .proxy import telemetry, with_telemetry
 from .registry import register
 
@@ -98,7 +100,11 @@ SELECT event_id, log_type AS detail_log_type, round(position_x, 6) AS position_x
   sensor_name AS sensor, round(k, 6) AS pressure, round(velocity, 6) AS velocity_x,
   round(current, 6) AS velocity_y, ts AS timestamp FROM telemetry"""))
 def parse_flat_sensor(spark, sf_dir):
-    p = P.parse_flat(P.encode_flat(telemetry(spark, sf_dir)))
+    """Messages published to a topic folder (K8), read back in one batch from the
+    earliest offset (S2), parsed and cast (P2, P12)."""
+    topic = scratch_path(spark, "flat-topic")
+    publish(P.encode_flat(telemetry(spark, sf_dir)), topic)
+    p = P.parse_flat(message_batch(spark, "parquet", topic))
     return p.select("event_id",
                     F.get_json_object("more_details", "$.log_type").alias("detail_log_type"),
                     *[_r(c) for c in S.FLAT_SENSOR_DOUBLES], "sensor",

@@ -38,6 +38,19 @@ def message_stream(spark: SparkSession, fmt: str = "parquet", path: str | None =
     return r.load(path) if path else r.load()
 
 
+def message_batch(spark: SparkSession, fmt: str = "parquet", path: str | None = None,
+                  options: dict | None = None, schema: T.StructType | None = MESSAGE_FILE_SCHEMA) -> DataFrame:
+    """Bounded read of everything a topic holds.  For Kafka pass ``fmt="kafka"``
+    (``startingOffsets`` defaults to earliest here); a message folder otherwise."""
+    opts = dict(options or {})
+    if fmt == "kafka":
+        opts.setdefault("startingOffsets", "earliest")
+    r = spark.read.format(fmt).options(**opts)
+    if fmt != "kafka" and schema is not None:
+        r = r.schema(schema)
+    return r.load(path) if path else r.load()
+
+
 def staging_stream(spark: SparkSession, path: str, schema: T.StructType = S.STAGING,
                    max_files: int | None = None) -> DataFrame:
     """S3: streaming Parquet scan of the staging folder with a declared schema."""
