@@ -96,9 +96,12 @@ def run_ingest(spark: SparkSession, messages: DataFrame, staging: str, store: Gr
     """Two queries on one parsed stream; returns when both are done (availableNow)
     or raises as soon as either fails."""
     parsed = parsed_stream(messages)
+    continuous = bool(trigger) and not (trigger.get("availableNow") or trigger.get("once"))
+    if continuous:
+        spark.streams.resetTerminated()  # forget queries that ended before this run
     q1 = start_staging_sink(parsed, staging, f"{checkpoint_root}/staging", trigger)
     q2 = start_graph_sink(parsed, store, f"{checkpoint_root}/graph", trigger)
-    if trigger and not (trigger.get("availableNow") or trigger.get("once")):
+    if continuous:
         # continuous run: wait for the first query to end (or fail), then stop the other
         try:
             spark.streams.awaitAnyTermination()
