@@ -58,6 +58,12 @@ class GraphStore:
         nodes.coalesce(1).write.mode("overwrite").parquet(self.path("seed_nodes"))
         edges.coalesce(1).write.mode("overwrite").parquet(self.path("seed_edges"))
 
+    def anchored(self) -> bool:
+        """Whether the Log anchor exists (remembered once found: seeds are never removed)."""
+        if not getattr(self, "_anchored", False):
+            self._anchored = not self.has_log_anchor().isEmpty()
+        return self._anchored
+
     def has_log_anchor(self) -> DataFrame:
         """The Log node the notification write MATCHes first (empty if not seeded)."""
         seed = self.read("seed_nodes")
@@ -104,17 +110,18 @@ class GraphStore:
         t0 = time.time()
         staged = staged.persist()
         try:
-            n = staged.count()
-            bad = G.rejects(staged, [GB.TS])
-            (bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .partitionBy("batch_id").parquet(self.path("rejects")))
+            # one pass: batch size (before dedup), null keys, key range for pruning
+            st = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(GB.TS).isNull()).alias("bad"),
+                            F.min(GB.TS).alias("lo"), F.max(GB.TS).alias("hi")).first()
+            n, lo, hi = st["n"], st["lo"], st["hi"]
+            if st["bad"]:
+                (G.rejects(staged, [GB.TS]).withColumn("batch_id", F.lit(batch_id)).write
+                 .mode("overwrite").partitionBy("batch_id").parquet(self.path("rejects")))
             dedup = G.first_per_key(staged, [GB.TS], order).persist()
             try:
-                rng = dedup.agg(F.min(GB.TS).alias("lo"), F.max(GB.TS).alias("hi")).first()
-                lo, hi = rng["lo"], rng["hi"]
                 writes = []
                 # write 1 starts with MATCH (log:Log): without the seeded anchor it writes nothing
-                if not self.has_log_anchor().isEmpty():
+                if self.anchored():
                     writes += [
                         ("log_notification", G.first_per_key(GB.log_notification_rows(dedup),
                                                              ["name", "timestamp"], order, ["hasMessage"])),
