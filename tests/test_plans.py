@@ -38,7 +38,7 @@ def test_ingest_parses_each_message_once(spark):
         df.explain()
     txt = buf.getvalue()
     # the outer message schema is parsed by exactly one from_json (not once per field)
-    assert txt.count("from_json(StructField(timestamp,StringType") == 1
+    assert txt.count("from_json(StructField(timestamp,StringType,true), StructField(sensor_name") == 1
     assert "PythonUDF" not in txt and "BatchEvalPython" not in txt
 
 
