@@ -63,12 +63,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster's setting is always used when present.  Only when it is unset
     (local tests) a private folder is created and registered.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the context
+        sc = None
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="sensorweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 

@@ -28,10 +28,12 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     (one small file, one row group) is spread round-robin over the slots.  At
     scale the scan already has far more splits than slots and this is a no-op;
     the check is planning-only (no job)."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
