@@ -31,6 +31,24 @@ def _graph(spark: SparkSession, sf_dir: str) -> TelemetryGraph:
     return TelemetryGraph(spark, telemetry(spark, sf_dir))
 
 
+# key -> fn(spark, graph): the graph reports, runnable over any object exposing the
+# node / edge tables (``TelemetryGraph`` built from telemetry, or a ``GraphStore``'s
+# stored tables via ``StoredGraph``)
+REPORTS = {}
+
+
+def report(key: str, sql: str | None = None, headline: bool = False):
+    def deco(fn):
+        REPORTS[key] = fn
+
+        def query(spark, sf_dir):
+            return fn(spark, _graph(spark, sf_dir))
+        query.__name__, query.__doc__ = fn.__name__, fn.__doc__
+        register(key, sql=sql, headline=headline)(query)
+        return fn
+    return deco
+
+
 def _rel(spark, etype, src_label, dst_label, a, b) -> DataFrame:
     e = seed_edges(spark)
     return (e.filter((F.col("type") == etype) & (F.col("src_label") == src_label)
@@ -133,20 +151,19 @@ def _es_edges(spark, tg: TelemetryGraph) -> DataFrame:
 
 
 # --- J1: one-hop pattern ----------------------------------------------------------
-@register("match_one_hop", sql=with_telemetry("""
+@report("match_one_hop", sql=with_telemetry("""
 SELECT hr.log_name AS log, hr.ln_name, hr.ln_timestamp, ln.hasMessage AS ln_message,
        hr.timestamp AS edge_timestamp
 FROM hr JOIN ln ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp""", LN_SQL, HR_SQL))
-def match_one_hop(spark, sf_dir):
+def match_one_hop(spark, tg):
     """(log:Log)-[r:HAS_RECORD]->(ln:LogNotification): one row per edge."""
-    tg = _graph(spark, sf_dir)
     log_nodes = spark.createDataFrame([("Log",)], "log string")
     return (bind_fixed(_ln_edges(spark, tg), log_nodes, ["log"])
             .select("log", "ln_name", "ln_timestamp", "ln_message", "edge_timestamp"))
 
 
 # --- D4 / J3 / J4: error notification coinciding with unhealthy air ----------------
-@register("anomaly_env_error", headline=True, sql=with_telemetry("""
+@report("anomaly_env_error", headline=True, sql=with_telemetry("""
 SELECT 'Thing' AS thing, 'RobotArm' AS robot, 'Log' AS log, ln.name AS ln_name,
        ln.timestamp AS ln_timestamp, ln.hasMessage AS ln_message, 'Environment' AS env,
        es.hasTimestamp AS es_timestamp, es.hasAirQuality AS es_air_quality,
@@ -155,9 +172,8 @@ FROM ln JOIN hr ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp
 JOIN es ON es.hasTimestamp = ln.timestamp
 JOIN hrd ON hrd.es_timestamp = es.hasTimestamp
 WHERE ln.name = 'error' AND es.hasAirQuality = 'Unhealthy'""", LN_SQL, HR_SQL, ES_SQL, HRD_SQL))
-def anomaly_env_error(spark, sf_dir):
+def anomaly_env_error(spark, tg):
     """All matches (the report showed the first one); the error filter runs before the join."""
-    tg = _graph(spark, sf_dir)
     topo = topology_logs(spark).join(topology_envs(spark), "thing")
     ln = _ln_edges(spark, tg).filter(F.col("ln_name") == "error")
     es = _es_edges(spark, tg).filter(F.col("hasAirQuality") == "Unhealthy")
@@ -169,7 +185,7 @@ def anomaly_env_error(spark, sf_dir):
 
 
 # --- J5: error notification x joint sensor at the same instant --------------------
-@register("anomaly_joint_error", sql=with_telemetry("""
+@report("anomaly_joint_error", sql=with_telemetry("""
 SELECT ln.timestamp AS logTimestamp, ln.hasMessage AS logMessage, hs.joint_name AS jointName,
        round(s.hasAcceleration, 6) AS acceleration, round(s.hasCurrent, 6) AS current,
        round(s.hasForceX, 6) AS forceX, round(s.hasForceY, 6) AS forceY,
@@ -179,8 +195,7 @@ FROM ln JOIN hr ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp
 JOIN sensor s ON s.timestamp = ln.timestamp
 JOIN hs ON hs.sensor_timestamp = s.timestamp
 WHERE ln.name = 'error'""", LN_SQL, HR_SQL, SENSOR_SQL, HS_SQL))
-def anomaly_joint_error(spark, sf_dir):
-    tg = _graph(spark, sf_dir)
+def anomaly_joint_error(spark, tg):
     topo = topology_joints(spark).join(topology_logs(spark), ["thing", "robot"])
     ln = _ln_edges(spark, tg).filter(F.col("ln_name") == "error")
     s = tg.sensor
@@ -196,12 +211,11 @@ def anomaly_joint_error(spark, sf_dir):
 
 
 # --- A3: errors per hour -----------------------------------------------------------
-@register("errors_per_hour", headline=True, sql=with_telemetry("""
+@report("errors_per_hour", headline=True, sql=with_telemetry("""
 SELECT date_trunc('hour', ln.timestamp) AS hour, count(*) AS errorCount
 FROM hr JOIN ln ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp
 WHERE ln.name = 'error' GROUP BY 1""", LN_SQL, HR_SQL))
-def errors_per_hour(spark, sf_dir):
-    tg = _graph(spark, sf_dir)
+def errors_per_hour(spark, tg):
     ln = _ln_edges(spark, tg).filter(F.col("ln_name") == "error")
     return (ln.groupBy(trunc_ntz("hour", "ln_timestamp").alias("hour"))
             .agg(F.count("*").alias("errorCount"))
@@ -209,14 +223,13 @@ def errors_per_hour(spark, sf_dir):
 
 
 # --- A4 / U3: distinct notifications per minute -------------------------------------
-@register("notifications_per_minute", sql=with_telemetry("""
+@report("notifications_per_minute", sql=with_telemetry("""
 SELECT date_trunc('minute', ln.timestamp) AS minute,
        count(DISTINCT (ln.name, ln.timestamp)) AS totalErrorCount
 FROM hr JOIN ln ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp GROUP BY 1""",
                                                    LN_SQL, HR_SQL))
-def notifications_per_minute(spark, sf_dir):
+def notifications_per_minute(spark, tg):
     """Counts every notification (the report's name says errors, its query has no filter)."""
-    tg = _graph(spark, sf_dir)
     ln = _ln_edges(spark, tg)
     return (ln.groupBy(trunc_ntz("minute", "ln_timestamp").alias("minute"))
             .agg(F.count_distinct("ln_name", "ln_timestamp").alias("totalErrorCount"))
@@ -224,25 +237,23 @@ def notifications_per_minute(spark, sf_dir):
 
 
 # --- A5: count per log type -----------------------------------------------------------
-@register("logs_by_type", headline=True, sql=with_telemetry("""
+@report("logs_by_type", headline=True, sql=with_telemetry("""
 SELECT ln.name AS logType, count(*) AS count
 FROM hr JOIN ln ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp GROUP BY 1""",
                                                             LN_SQL, HR_SQL))
-def logs_by_type(spark, sf_dir):
-    tg = _graph(spark, sf_dir)
+def logs_by_type(spark, tg):
     return (_ln_edges(spark, tg).groupBy(F.col("ln_name").alias("logType"))
             .agg(F.count("*").alias("count")).orderBy(F.desc("count"), "logType"))
 
 
 # --- A6 / A13 / X3 / X5: averages per air-quality category -------------------------------
-@register("env_avg_by_quality", headline=True, sql=with_telemetry("""
+@report("env_avg_by_quality", headline=True, sql=with_telemetry("""
 SELECT CASE WHEN hasAirQuality = 'Good' THEN 'Good' WHEN hasAirQuality = 'Moderate' THEN 'Moderate'
             WHEN hasAirQuality = 'Unhealthy' THEN 'Unhealthy' ELSE 'Other' END AS category,
        round(avg(TRY_CAST(hasHumidity AS DOUBLE)), 6) AS avgHumidity,
        round(avg(TRY_CAST(hasTemperature AS DOUBLE)), 6) AS avgTemperature
 FROM es JOIN hrd ON hrd.es_timestamp = es.hasTimestamp GROUP BY 1""", ES_SQL, HRD_SQL))
-def env_avg_by_quality(spark, sf_dir):
-    tg = _graph(spark, sf_dir)
+def env_avg_by_quality(spark, tg):
     es = bind_fixed(_es_edges(spark, tg), topology_envs(spark), ["env"])
     g = es.groupBy(air_quality_category("hasAirQuality").alias("category")).agg(
         F.avg(F.col("hasHumidity").try_cast("double")).alias("avgHumidity"),
@@ -251,7 +262,7 @@ def env_avg_by_quality(spark, sf_dir):
 
 
 # --- F4 / J6 / A7: readings at notification instants, counted per category ----------------
-@register("env_quality_during_notifications", sql=with_telemetry("""
+@report("env_quality_during_notifications", sql=with_telemetry("""
 SELECT CASE WHEN hasAirQuality = 'Good' THEN 'Good' WHEN hasAirQuality = 'Moderate' THEN 'Moderate'
             WHEN hasAirQuality = 'Unhealthy' THEN 'Unhealthy' ELSE 'Other' END AS category,
        count(*) AS errorCount
@@ -259,9 +270,8 @@ FROM es JOIN hrd ON hrd.es_timestamp = es.hasTimestamp
 WHERE es.hasTimestamp IN (SELECT ln.timestamp FROM hr JOIN ln
                           ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp)
 GROUP BY 1""", LN_SQL, HR_SQL, ES_SQL, HRD_SQL))
-def env_quality_during_notifications(spark, sf_dir):
+def env_quality_during_notifications(spark, tg):
     """``IN collect(...)`` as a semi-join: nothing is collected into one list."""
-    tg = _graph(spark, sf_dir)
     times = _ln_edges(spark, tg).select(F.col("ln_timestamp").alias("es_timestamp"))
     es = _es_edges(spark, tg).join(times, "es_timestamp", "left_semi")
     return (es.groupBy(air_quality_category("hasAirQuality").alias("category"))
@@ -269,12 +279,11 @@ def env_quality_during_notifications(spark, sf_dir):
 
 
 # --- A10: the error-notification instants (the collected list, as rows) --------------------
-@register("collect_error_times", sql=with_telemetry("""
+@report("collect_error_times", sql=with_telemetry("""
 SELECT ln.timestamp AS errorTimestamp
 FROM hr JOIN ln ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp
 WHERE ln.name = 'error'""", LN_SQL, HR_SQL))
-def collect_error_times(spark, sf_dir):
-    tg = _graph(spark, sf_dir)
+def collect_error_times(spark, tg):
     return (_ln_edges(spark, tg).filter(F.col("ln_name") == "error")
             .select(F.col("ln_timestamp").alias("errorTimestamp")).orderBy("errorTimestamp"))
 
@@ -291,8 +300,7 @@ WHERE hs.joint_name = '{joint}'
 GROUP BY 1""", SENSOR_SQL, HS_SQL)
 
 
-def joint_position(spark, sf_dir, joint: str) -> DataFrame:
-    tg = _graph(spark, sf_dir)
+def joint_position(spark, tg, joint: str) -> DataFrame:
     topo = topology_joints(spark).filter(F.col("joint") == joint)
     hs = (tg.has_sensor.filter(F.col("joint_name") == joint)
           .select(F.col("joint_name").alias("joint"), "sensor_timestamp",
@@ -308,36 +316,34 @@ def joint_position(spark, sf_dir, joint: str) -> DataFrame:
                     _r("positionZ")).orderBy(F.col("timestamp").asc_nulls_last())
 
 
-@register("report_joint_position", headline=True, sql=_joint_position_sql("joint_1"))
-def report_joint_position(spark, sf_dir):
-    return joint_position(spark, sf_dir, "joint_1")
+@report("report_joint_position", headline=True, sql=_joint_position_sql("joint_1"))
+def report_joint_position(spark, tg):
+    return joint_position(spark, tg, "joint_1")
 
 
-@register("report_joint2_position", sql=_joint_position_sql("joint_2"))
-def report_joint2_position(spark, sf_dir):
-    return joint_position(spark, sf_dir, "joint_2")
+@report("report_joint2_position", sql=_joint_position_sql("joint_2"))
+def report_joint2_position(spark, tg):
+    return joint_position(spark, tg, "joint_2")
 
 
 # --- O3 / O5: first 1000 readings by time (the top-N is the report's feature) -------------
-@register("humidity_series", sql=with_telemetry("""
+@report("humidity_series", sql=with_telemetry("""
 SELECT es.hasTimestamp AS timestamp, es.hasHumidity AS Humidity
 FROM es JOIN hrd ON hrd.es_timestamp = es.hasTimestamp
 ORDER BY timestamp LIMIT 1000""", ES_SQL, HRD_SQL))
-def humidity_series(spark, sf_dir):
-    tg = _graph(spark, sf_dir)
+def humidity_series(spark, tg):
     return (_es_edges(spark, tg)
             .select(F.col("es_timestamp").alias("timestamp"), F.col("hasHumidity").alias("Humidity"))
             .orderBy(F.col("timestamp").asc_nulls_last()).limit(1000))
 
 
-@register("air_quality_series", sql=with_telemetry("""
+@report("air_quality_series", sql=with_telemetry("""
 SELECT es.hasTimestamp AS timestamp,
        CASE es.hasAirQuality WHEN 'Good' THEN 1 WHEN 'Moderate' THEN 2 WHEN 'Unhealthy' THEN 3
             ELSE 0 END AS AirQualityLevel
 FROM es JOIN hrd ON hrd.es_timestamp = es.hasTimestamp
 ORDER BY timestamp LIMIT 1000""", ES_SQL, HRD_SQL))
-def air_quality_series(spark, sf_dir):
-    tg = _graph(spark, sf_dir)
+def air_quality_series(spark, tg):
     return (_es_edges(spark, tg)
             .select(F.col("es_timestamp").alias("timestamp"),
                     air_quality_level("hasAirQuality").alias("AirQualityLevel"))
@@ -345,23 +351,22 @@ def air_quality_series(spark, sf_dir):
 
 
 # --- A9: whole-label counts --------------------------------------------------------------
-@register("count_notifications", sql=with_telemetry("SELECT count(*) AS count FROM ln", LN_SQL))
-def count_notifications(spark, sf_dir):
-    return _graph(spark, sf_dir).log_notification.agg(F.count("*").alias("count"))
+@report("count_notifications", sql=with_telemetry("SELECT count(*) AS count FROM ln", LN_SQL))
+def count_notifications(spark, tg):
+    return tg.log_notification.agg(F.count("*").alias("count"))
 
 
-@register("count_environment", sql=with_telemetry("SELECT count(*) AS count FROM es", ES_SQL))
-def count_environment(spark, sf_dir):
-    return _graph(spark, sf_dir).environment_sensor.agg(F.count("*").alias("count"))
+@report("count_environment", sql=with_telemetry("SELECT count(*) AS count FROM es", ES_SQL))
+def count_environment(spark, tg):
+    return tg.environment_sensor.agg(F.count("*").alias("count"))
 
 
-@register("count_sensors", sql=with_telemetry("SELECT count(*) AS count FROM sensor", SENSOR_SQL))
-def count_sensors(spark, sf_dir):
-    return _graph(spark, sf_dir).sensor.agg(F.count("*").alias("count"))
+@report("count_sensors", sql=with_telemetry("SELECT count(*) AS count FROM sensor", SENSOR_SQL))
+def count_sensors(spark, tg):
+    return tg.sensor.agg(F.count("*").alias("count"))
 
 
-@register("count_error_logs", sql=with_telemetry(
+@report("count_error_logs", sql=with_telemetry(
     "SELECT count(*) AS count FROM ln WHERE name = 'error'", LN_SQL))
-def count_error_logs(spark, sf_dir):
-    ln = _graph(spark, sf_dir).log_notification
-    return ln.filter(F.col("name") == "error").agg(F.count("*").alias("count"))
+def count_error_logs(spark, tg):
+    return tg.log_notification.filter(F.col("name") == "error").agg(F.count("*").alias("count"))

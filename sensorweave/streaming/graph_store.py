@@ -180,3 +180,27 @@ class GraphStore:
         for p in parts[1:]:
             out = out.unionByName(p)
         return out
+
+
+class StoredGraph:
+    """The tables of a ``GraphStore`` with the shape ``TelemetryGraph`` exposes, so the
+    graph reports (``plans.reports.REPORTS``) run over the accumulated graph the ingest
+    job maintains.  Timestamps are read back as NTZ like the batch view's."""
+
+    def __init__(self, store: GraphStore):
+        self.store = store
+
+    def _table(self, name: str) -> DataFrame:
+        df = self.store.read(name)
+        if df is None:
+            raise ValueError(f"graph table {name} has not been written yet")
+        return df.select([F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                          if f.dataType.typeName() == "timestamp" else F.col(f.name)
+                          for f in df.schema.fields if f.name != "batch_id"])
+
+    log_notification = property(lambda self: self._table("log_notification"))
+    has_record = property(lambda self: self._table("has_record"))
+    sensor = property(lambda self: self._table("sensor"))
+    has_sensor = property(lambda self: self._table("has_sensor"))
+    environment_sensor = property(lambda self: self._table("environment_sensor"))
+    has_reading = property(lambda self: self._table("has_reading"))
