@@ -93,9 +93,13 @@ def joint_nodes(spark: SparkSession) -> DataFrame:
 
 
 # --- stream-driven node and edge tables (M3 - M8) ------------------------------
-def log_notification_rows(tel: DataFrame) -> DataFrame:
+def _order_cols(order) -> list[str]:
+    return [order] if isinstance(order, str) else list(order)
+
+
+def log_notification_rows(tel: DataFrame, order=ORDER) -> DataFrame:
     return tel.select(F.col("log_type").alias("name"), F.col(TS).alias("timestamp"),
-                      F.col("log_message").alias("hasMessage"), ORDER)
+                      F.col("log_message").alias("hasMessage"), *_order_cols(order))
 
 
 def merge_log_notification(tel: DataFrame, target: DataFrame | None = None) -> DataFrame:
@@ -119,11 +123,12 @@ def merge_has_record(tel: DataFrame, target: DataFrame | None = None) -> DataFra
     return target.unionByName(new.join(target.select(*keys), keys, "left_anti"))
 
 
-def sensor_rows(tel: DataFrame, key_cols=(TS,)) -> DataFrame:
+def sensor_rows(tel: DataFrame, key_cols=(TS,), order=ORDER) -> DataFrame:
     cols = [F.col(TS).alias("timestamp")]
     if "sensor_name" in key_cols:
         cols.insert(0, F.col("sensor_name").alias("name"))
-    return tel.select(*cols, *[F.col(src).alias(p) for p, src in SENSOR_PROPS.items()], ORDER)
+    return tel.select(*cols, *[F.col(src).alias(p) for p, src in SENSOR_PROPS.items()],
+                      *_order_cols(order))
 
 
 def merge_sensor(tel: DataFrame, target: DataFrame | None = None) -> DataFrame:
@@ -159,9 +164,9 @@ def merge_joints(spark: SparkSession, tel: DataFrame) -> DataFrame:
     return seed.unionByName(new)
 
 
-def environment_rows(tel: DataFrame) -> DataFrame:
+def environment_rows(tel: DataFrame, order=ORDER) -> DataFrame:
     return tel.select(F.col(TS).alias("hasTimestamp"),
-                      *[F.col(src).alias(p) for p, src in ENV_PROPS.items()], ORDER)
+                      *[F.col(src).alias(p) for p, src in ENV_PROPS.items()], *_order_cols(order))
 
 
 def merge_environment_reading(tel: DataFrame, target: DataFrame | None = None) -> DataFrame:

@@ -100,7 +100,7 @@ class GraphStore:
          .partitionBy("batch_id").parquet(self.path(name)))
 
     # --- K3: the composed per-batch upsert of the ingest job ------------------------------------
-    def upsert_batch(self, staged: DataFrame, batch_id: int, order: str = "event_id") -> dict:
+    def upsert_batch(self, staged: DataFrame, batch_id: int, order: str | list[str] = "event_id") -> dict:
         """Dedup on timestamp, then the three graph writes of the ingest job.
 
         ``staged`` are flattened telemetry rows with ``obs_ts`` (the event
@@ -123,15 +123,15 @@ class GraphStore:
                 # write 1 starts with MATCH (log:Log): without the seeded anchor it writes nothing
                 if self.anchored():
                     writes += [
-                        ("log_notification", G.first_per_key(GB.log_notification_rows(dedup),
+                        ("log_notification", G.first_per_key(GB.log_notification_rows(dedup, order),
                                                              ["name", "timestamp"], order, ["hasMessage"])),
                         ("has_record", GB.merge_has_record(dedup))]
                 # write 2: sensor + joint link; write 3: environment reading
                 writes += [
-                    ("sensor", G.first_per_key(GB.sensor_rows(dedup), ["timestamp"], order,
+                    ("sensor", G.first_per_key(GB.sensor_rows(dedup, order=order), ["timestamp"], order,
                                                list(GB.SENSOR_PROPS))),
                     ("has_sensor", GB.merge_joint_has_sensor(dedup)),
-                    ("environment_sensor", G.first_per_key(GB.environment_rows(dedup), ["hasTimestamp"],
+                    ("environment_sensor", G.first_per_key(GB.environment_rows(dedup, order), ["hasTimestamp"],
                                                            order, list(GB.ENV_PROPS))),
                     ("has_reading", GB.merge_has_reading(dedup)),
                     ("joint", self._unseeded("Joint", dedup.select(F.col("joint_name").alias("name"))

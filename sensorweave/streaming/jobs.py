@@ -70,9 +70,19 @@ def parsed_stream(messages: DataFrame, keep=("event_id",)) -> DataFrame:
     return P.ingest_v2(messages, keep=keep)
 
 
+def dedup_within_watermark(parsed: DataFrame, keys: list[str], delay: str = "10 minutes") -> DataFrame:
+    """T5 option: drop re-sent copies of a record (same ``keys``) that arrive within
+    ``delay`` of the newest event time; copies older than the watermark are dropped
+    as late.  State is bounded by the watermark, not by the stream's history."""
+    return parsed.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(keys)
+
+
 def start_staging_sink(parsed: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-                       partition_cols: list[str] | None = None) -> StreamingQuery:
-    """K1 / K2: append-only Parquet sink with its own checkpoint."""
+                       partition_cols: list[str] | None = None,
+                       dedup_keys: list[str] | None = None) -> StreamingQuery:
+    """K1 / K2: append-only Parquet sink with its own checkpoint (optionally replay-safe)."""
+    if dedup_keys:
+        parsed = dedup_within_watermark(parsed, dedup_keys)
     w = (parsed.writeStream.format("parquet").outputMode("append")
          .option("path", out).option("checkpointLocation", checkpoint))
     if partition_cols:
@@ -81,7 +91,7 @@ def start_staging_sink(parsed: DataFrame, out: str, checkpoint: str, trigger: di
 
 
 def start_graph_sink(parsed: DataFrame, store: GraphStore, checkpoint: str,
-                     trigger: dict | None = None, order: str = "event_id") -> StreamingQuery:
+                     trigger: dict | None = None, order: str | list[str] = "event_id") -> StreamingQuery:
     """K3 / K9: foreachBatch -> dedup + three insert-if-absent writes + metrics row."""
     def process(batch: DataFrame, batch_id: int) -> None:
         staged = batch.withColumn("obs_ts", F.date_trunc("hour", "timestamp"))
@@ -91,16 +101,21 @@ def start_graph_sink(parsed: DataFrame, store: GraphStore, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
+KAFKA_KEEP = ("partition", "offset")  # a Kafka record's position: the tie-break order
+
+
 def run_ingest(spark: SparkSession, messages: DataFrame, staging: str, store: GraphStore,
-               checkpoint_root: str, trigger: dict | None = None) -> None:
+               checkpoint_root: str, trigger: dict | None = None, keep=("event_id",),
+               order: str | list[str] = "event_id") -> None:
     """Two queries on one parsed stream; returns when both are done (availableNow)
-    or raises as soon as either fails."""
-    parsed = parsed_stream(messages)
+    or raises as soon as either fails.  For Kafka input pass ``keep=KAFKA_KEEP,
+    order=list(KAFKA_KEEP)`` so the first record of a key is the lowest offset."""
+    parsed = parsed_stream(messages, keep=keep)
     continuous = bool(trigger) and not (trigger.get("availableNow") or trigger.get("once"))
     if continuous:
         spark.streams.resetTerminated()  # forget queries that ended before this run
     q1 = start_staging_sink(parsed, staging, f"{checkpoint_root}/staging", trigger)
-    q2 = start_graph_sink(parsed, store, f"{checkpoint_root}/graph", trigger)
+    q2 = start_graph_sink(parsed, store, f"{checkpoint_root}/graph", trigger, order=order)
     if continuous:
         # continuous run: wait for the first query to end (or fail), then stop the other
         try:
