@@ -110,7 +110,9 @@ def run_ingest(spark: SparkSession, messages: DataFrame, staging: str, store: Gr
     """Two queries on one parsed stream; returns when both are done (availableNow)
     or raises as soon as either fails.  For Kafka input pass ``keep=KAFKA_KEEP,
     order=list(KAFKA_KEEP)`` so the first record of a key is the lowest offset."""
-    parsed = parsed_stream(messages, keep=keep)
+    # Per-batch row counts in every query's progress, without an extra job
+    parsed = parsed_stream(messages, keep=keep).observe(
+        "ingest", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("timestamp").isNull()).alias("no_timestamp"))
     continuous = bool(trigger) and not (trigger.get("availableNow") or trigger.get("once"))
     if continuous:
         spark.streams.resetTerminated()  # forget queries that ended before this run
