@@ -209,7 +209,7 @@ def unwind_create(spark, sf_dir):
 
     Output grows 15x with the input and needs no shuffle (a narrow flat-map).
     """
-    tel = telemetry(spark, sf_dir)
+    tel = telemetry(spark, sf_dir, parallel=True)
     structs = [F.struct(F.lit(lbl).alias("label"), F.expr(name).alias("name"),
                         (F.round(num, 6) if num else F.lit(None).cast("double")).alias("num_value"),
                         (F.expr(txt) if txt else F.lit(None).cast("string")).alias("text_value"))

@@ -28,7 +28,7 @@ def _r(c, alias=None):
 
 
 def _messages(spark, sf_dir):
-    return P.encode_v2(telemetry(spark, sf_dir))
+    return P.encode_v2(telemetry(spark, sf_dir, parallel=True))
 
 
 # --- P1 / V1 ------------------------------------------------------------------------------
@@ -49,7 +49,7 @@ PARSED_DOUBLES = ["position_x", "position_y", "position_z", "force_x", "force_y"
 SELECT event_id, sensor_name, joint_name,
   {", ".join(f"round({c}, 6) AS {c}" for c in PARSED_DOUBLES)},
   environment_air_quality, environment_humidity, log_type, log_message FROM telemetry"""))
-def parse_telemetry(spark, sf_dir):
+def parse_telemetry(spark, sf_dir, parallel=True):
     p = P.parse_v2(P.decode(_messages(spark, sf_dir)))
     return p.select(
         "event_id", "sensor_name", "joint_name",
@@ -69,7 +69,7 @@ SELECT event_id, sensor_name, joint_name,
   {", ".join(f"round({c}, 6) AS {c}" for c in PARSED_DOUBLES)},
   environment_air_quality, environment_humidity, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS log_timestamp,
   log_type, log_message FROM telemetry"""))
-def flatten_telemetry(spark, sf_dir):
+def flatten_telemetry(spark, sf_dir, parallel=True):
     f = P.flatten(P.parse_v2(P.decode(_messages(spark, sf_dir))))
     return f.select("event_id", "sensor_name", "joint_name", *[_r(c) for c in PARSED_DOUBLES],
                     "environment_air_quality", "environment_humidity", "log_timestamp",
@@ -85,7 +85,7 @@ STAGING_TEXT = [f.name for f in S.STAGING.fields if f.dataType.typeName() == "st
 SELECT event_id, ts AS timestamp, date_trunc('second', ts) AS log_timestamp,
   {", ".join(f"round({c}, 6) AS {c}" for c in STAGING_DOUBLES)},
   {", ".join(STAGING_TEXT)} FROM telemetry"""))
-def cast_telemetry(spark, sf_dir):
+def cast_telemetry(spark, sf_dir, parallel=True):
     st = P.ingest_v2(_messages(spark, sf_dir))
     return st.select("event_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
                      F.col("log_timestamp").cast("timestamp_ntz").alias("log_timestamp"),
@@ -103,7 +103,7 @@ def parse_flat_sensor(spark, sf_dir):
     """Messages published to a topic folder (K8), read back in one batch from the
     earliest offset (S2), parsed and cast (P2, P12)."""
     topic = scratch_path(spark, "flat-topic")
-    publish(P.encode_flat(telemetry(spark, sf_dir)), topic)
+    publish(P.encode_flat(telemetry(spark, sf_dir, parallel=True)), topic)
     p = P.parse_flat(message_batch(spark, "parquet", topic))
     return p.select("event_id",
                     F.get_json_object("more_details", "$.log_type").alias("detail_log_type"),
@@ -118,7 +118,7 @@ SELECT event_id, ts AS timestamp, round(joint_angle, 6) AS joint_1, round(torque
   round(velocity, 6) AS joint_6, round(position_z, 6) AS position_z, round(torque_y, 6) AS torque_y,
   CASE WHEN log_type = 'error' THEN 'open' ELSE 'closed' END AS gripper_status FROM telemetry"""))
 def parse_robot_v1(spark, sf_dir):
-    p = P.parse_v1(P.encode_v1(telemetry(spark, sf_dir)))
+    p = P.parse_v1(P.encode_v1(telemetry(spark, sf_dir, parallel=True)))
     return p.select("event_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
                     *[_r(f"joint_angles.joint_{i}", f"joint_{i}") for i in range(1, 7)],
                     _r("position.z", "position_z"), _r("force_torque.torque.y", "torque_y"),
@@ -132,7 +132,7 @@ FROM telemetry"""))
 def csv_to_json_messages(spark, sf_dir):
     """Rows written as CSV (nested members as JSON text), read back all-text with a
     header, published as JSON messages, and parsed again."""
-    tel = telemetry(spark, sf_dir)
+    tel = telemetry(spark, sf_dir, parallel=True)
     wire = P.encode_v2(tel).select("event_id", F.col("value").cast("string").alias("j"))
     rows = wire.select(F.col("event_id").cast("string").alias("event_id"),
                        F.from_json("j", S.MESSAGE_V2).alias("m")).select("event_id", "m.*")
@@ -164,7 +164,7 @@ def project_sensor_temperature(spark, sf_dir):
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS plain,
        strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso FROM telemetry"""))
 def format_timestamps(spark, sf_dir):
-    tel = telemetry(spark, sf_dir)
+    tel = telemetry(spark, sf_dir, parallel=True)
     return tel.select("event_id", format_plain("ts").alias("plain"), format_iso_z("ts").alias("iso"))
 
 
@@ -175,5 +175,5 @@ SELECT event_id, log_type,
                 WHEN 'error' THEN 'Error log message' END AS message FROM telemetry"""))
 def log_message_lookup(spark, sf_dir):
     m = F.create_map(*[x for k, v in LOG_MESSAGES.items() for x in (F.lit(k), F.lit(v))])
-    tel = telemetry(spark, sf_dir)
+    tel = telemetry(spark, sf_dir, parallel=True)
     return tel.select("event_id", "log_type", F.try_element_at(m, F.col("log_type")).alias("message"))

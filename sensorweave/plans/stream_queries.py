@@ -33,7 +33,7 @@ def _segment(df: DataFrame, lo: int, hi: int, ts: str = "ts") -> DataFrame:
 
 
 def write_topic(spark, sf_dir, path, segments=SEGMENTS, encoder=P.encode_v2) -> None:
-    tel = telemetry(spark, sf_dir)
+    tel = telemetry(spark, sf_dir, parallel=True)
     for lo, hi in segments:
         publish(encoder(_segment(tel, lo, hi)), path, files=FILES_PER_APPEND)
 
@@ -44,7 +44,7 @@ def _messages(spark, path):
 
 def write_staging(spark, sf_dir, path, segments=SEGMENTS) -> None:
     """Staging rows (the ingest job's output) written as time-ordered appends."""
-    st = P.ingest_v2(P.encode_v2(telemetry(spark, sf_dir)))
+    st = P.ingest_v2(P.encode_v2(telemetry(spark, sf_dir, parallel=True)))
     for lo, hi in segments:
         _segment(st, lo, hi, "timestamp").repartition(FILES_PER_APPEND).write.mode("append").parquet(path)
 
