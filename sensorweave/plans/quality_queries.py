@@ -45,10 +45,21 @@ def effective_limits(constraints: DataFrame | None) -> dict[str, tuple[float, fl
     return limits
 
 
+_KB_LIMITS: dict[str, dict[str, tuple[float, float]]] = {}
+
+
 def kb_limits(spark: SparkSession) -> dict[str, tuple[float, float]]:
     """The reference's flow: strict extraction over the ontology (finds no rows on
-    this KB), falling back to the defaults."""
-    return effective_limits(RD.fold_constraints(RD.restriction_ranges(kb_triples(spark), strict=True)))
+    this KB), falling back to the defaults.  The ontology is fixed, so the result is
+    computed once per application."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no driver context (Spark Connect)
+        app = spark.conf.get("spark.app.id", "")
+    if app not in _KB_LIMITS:
+        _KB_LIMITS[app] = effective_limits(
+            RD.fold_constraints(RD.restriction_ranges(kb_triples(spark), strict=True)))
+    return dict(_KB_LIMITS[app])
 
 
 def _numeric(col: str):
