@@ -46,10 +46,15 @@ class GraphStore:
         return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame | None:
+        """The table, or None when nothing has been written to it yet.  Any other
+        failure (unreadable files, schema conflicts) is raised, never swallowed."""
         try:
             return self.spark.read.parquet(self.path(name))
-        except AnalysisException:
-            return None
+        except AnalysisException as e:
+            cond = (e.getCondition() if hasattr(e, "getCondition") else e.getErrorClass()) or ""
+            if cond in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
 
     # --- seed (M1): fixed topology, idempotent ---------------------------------------
     def seed(self, full: bool = False) -> None:
