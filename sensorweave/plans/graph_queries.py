@@ -189,32 +189,54 @@ _UNWIND = [  # (label, name expression, numeric value column or None, text value
     ("InfoLog", "'InfoLog'", None, "CASE WHEN log_type = 'info' THEN log_message END"),
     ("ErrorLog", "'ErrorLog'", None, "CASE WHEN log_type = 'error' THEN log_message END"),
 ]
+# fixed values: the relationships created between one event's nodes (type, from, to)
+_UNWIND_EDGES = [
+    ("HAS_JOINT", "RobotArm", "Joint"),
+    ("HAS_SENSOR", "Joint", "Sensor"),
+    ("HAS_A", "Thing", "RobotArm"),
+    ("HAS_A", "Thing", "Environment"),
+    ("HAS_READING", "Environment", "EnvironmentSensor"),
+    ("HAS_AIRQUALITY", "EnvironmentSensor", "AirQualitySensor"),
+    ("HAS_HUMIDITY", "EnvironmentSensor", "HumiditySensor"),
+    ("HAS_TEMPERATURE", "EnvironmentSensor", "TemperatureSensor"),
+    ("HAS_LOGS", "RobotArm", "Log"),
+    ("HAS_RECORD", "Log", "WarnLog"),
+    ("HAS_RECORD", "Log", "InfoLog"),
+    ("HAS_RECORD", "Log", "ErrorLog"),
+    ("HAS_LOCATION", "Environment", "Location"),
+    ("POWERED_BY", "Location", "PowerSupply"),
+]
 
 
 def _unwind_sql() -> str:
-    items = ", ".join(
-        "{{'label': '{}', 'name': {}, 'num_value': {}, 'text_value': {}}}".format(
+    items = [
+        "{{'kind': 'node', 'label': '{}', 'name': {}, 'num_value': {}, 'text_value': {}}}".format(
             lbl, name, f"round({num}, 6)" if num else "CAST(NULL AS DOUBLE)",
             txt if txt else "CAST(NULL AS VARCHAR)")
-        for lbl, name, num, txt in _UNWIND)
+        for lbl, name, num, txt in _UNWIND]
+    items += [
+        "{{'kind': 'edge', 'label': '{}', 'name': '{}->{}', 'num_value': CAST(NULL AS DOUBLE), "
+        "'text_value': CAST(NULL AS VARCHAR)}}".format(t, a, b) for t, a, b in _UNWIND_EDGES]
     return with_telemetry(f"""
-SELECT event_id, n.label AS label, n.name AS name, n.num_value AS num_value,
+SELECT event_id, n.kind AS kind, n.label AS label, n.name AS name, n.num_value AS num_value,
        n.text_value AS text_value
-FROM (SELECT event_id, unnest([{items}]) AS n FROM telemetry) x""")
+FROM (SELECT event_id, unnest([{", ".join(items)}]) AS n FROM telemetry) x""")
 
 
 @register("unwind_create", sql=_unwind_sql())
 def unwind_create(spark, sf_dir):
-    """Each event creates 15 nodes (no dedup): an ``inline`` of per-row structs.
-
-    Output grows 15x with the input and needs no shuffle (a narrow flat-map).
-    """
+    """Each event creates 15 nodes and the 14 relationships between them (no dedup):
+    an ``inline`` of per-row structs - a narrow flat-map, no shuffle; the output
+    grows 29x with the input."""
     tel = telemetry(spark, sf_dir, parallel=True)
-    structs = [F.struct(F.lit(lbl).alias("label"), F.expr(name).alias("name"),
-                        (F.round(num, 6) if num else F.lit(None).cast("double")).alias("num_value"),
-                        (F.expr(txt) if txt else F.lit(None).cast("string")).alias("text_value"))
-               for lbl, name, num, txt in _UNWIND]
-    return tel.select("event_id", F.inline(F.array(*structs)))
+    nodes = [F.struct(F.lit("node").alias("kind"), F.lit(lbl).alias("label"), F.expr(name).alias("name"),
+                      (F.round(num, 6) if num else F.lit(None).cast("double")).alias("num_value"),
+                      (F.expr(txt) if txt else F.lit(None).cast("string")).alias("text_value"))
+             for lbl, name, num, txt in _UNWIND]
+    edges = [F.struct(F.lit("edge").alias("kind"), F.lit(t).alias("label"), F.lit(f"{a}->{b}").alias("name"),
+                      F.lit(None).cast("double").alias("num_value"), F.lit(None).cast("string").alias("text_value"))
+             for t, a, b in _UNWIND_EDGES]
+    return tel.select("event_id", F.inline(F.array(*nodes, *edges)))
 
 
 # --- K6: append rows as labelled nodes, no dedup -----------------------------------------
