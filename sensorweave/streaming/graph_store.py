@@ -1,14 +1,16 @@
 """Graph tables on shared storage, maintained by idempotent micro-batch merges.
 
-Each node / edge table is a Parquet folder partitioned by ``batch_id``.  A batch
-writes only its own partition with dynamic partition overwrite, and its
+Each node / edge table is a Parquet folder partitioned by ``event_date`` (for
+timestamp-keyed tables) and ``batch_id``.  A batch writes only its own
+partitions with dynamic partition overwrite, and its
 insert-if-absent check looks only at partitions of *earlier* batches - so a
 batch that is re-run after a failure (or replayed) rewrites exactly the same
 rows, and replayed events add nothing (first write wins across batches).
 
 The anti-join against the existing table reads only the key columns and only
-the key range of the batch (``timestamp`` between the batch's min and max), which
-Parquet row-group statistics turn into skipped I/O as the table grows.
+the key range of the batch: the event dates between the batch's min and max
+timestamp (partition pruning: other days' files are never opened) and, inside
+them, the timestamp range (Parquet row-group statistics).
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark.sql.utils import AnalysisException
 from ..operators import graph as G
 from ..plans import graph_build as GB
 
+DATE_COL = "event_date"  # partition column of timestamp-keyed tables
+
 TABLES = {
     # name: (key columns, timestamp column used for range pruning)
     "log_notification": (["name", "timestamp"], "timestamp"),
@@ -85,7 +89,9 @@ class GraphStore:
         keys, ts = TABLES[name]
         cur = cur.filter(F.col("batch_id") < batch_id)
         if lo is not None and ts is not None:
-            cur = cur.filter(F.col(ts).between(lo, hi))
+            # partition pruning on the event date, then row-group pruning on the timestamp
+            cur = cur.filter(F.col(DATE_COL).between(F.to_date(F.lit(lo)), F.to_date(F.lit(hi)))
+                             & F.col(ts).between(lo, hi))
         return cur.select(*keys)
 
     def _unseeded(self, label: str, names: DataFrame) -> DataFrame:
@@ -97,12 +103,17 @@ class GraphStore:
         return names.join(seeded, "name", "left_anti")
 
     def merge(self, name: str, candidates: DataFrame, batch_id: int, lo=None, hi=None) -> None:
-        """Write the candidates whose key is new into partition ``batch_id``."""
-        keys, _ = TABLES[name]
+        """Write the candidates whose key is new into partition ``batch_id`` (and, for
+        timestamp-keyed tables, ``event_date``)."""
+        keys, ts = TABLES[name]
         existing = self._existing_keys(name, batch_id, lo, hi)
         new = candidates if existing is None else candidates.join(existing, keys, "left_anti")
+        parts = ["batch_id"]
+        if ts is not None:
+            new = new.withColumn(DATE_COL, F.to_date(ts))
+            parts = [DATE_COL, "batch_id"]
         (new.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .partitionBy("batch_id").parquet(self.path(name)))
+         .partitionBy(*parts).parquet(self.path(name)))
 
     # --- K3: the composed per-batch upsert of the ingest job ------------------------------------
     def upsert_batch(self, staged: DataFrame, batch_id: int, order: str | list[str] = "event_id") -> dict:
@@ -201,7 +212,7 @@ class StoredGraph:
             raise ValueError(f"graph table {name} has not been written yet")
         return df.select([F.col(f.name).cast("timestamp_ntz").alias(f.name)
                           if f.dataType.typeName() == "timestamp" else F.col(f.name)
-                          for f in df.schema.fields if f.name != "batch_id"])
+                          for f in df.schema.fields if f.name not in ("batch_id", DATE_COL)])
 
     log_notification = property(lambda self: self._table("log_notification"))
     has_record = property(lambda self: self._table("has_record"))
