@@ -110,7 +110,9 @@ class GraphStore:
         new = candidates if existing is None else candidates.join(existing, keys, "left_anti")
         parts = ["batch_id"]
         if ts is not None:
-            new = new.withColumn(DATE_COL, F.to_date(ts))
+            # cluster rows by date so each date folder gets few files; AQE still splits
+            # an oversized date into several tasks (rebalance, not a plain repartition)
+            new = new.withColumn(DATE_COL, F.to_date(ts)).hint("rebalance", DATE_COL)
             parts = [DATE_COL, "batch_id"]
         (new.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .partitionBy(*parts).parquet(self.path(name)))
