@@ -16,3 +16,18 @@ def test_every_oracle_has_a_query():
 def test_only_non_sql_results_lack_an_oracle():
     missing = set(E.queries()) - set(E.oracle_sql())
     assert missing == {"batch_metrics"}
+
+
+def test_scratch_lives_under_the_sessions_checkpoint_dir(spark):
+    from sensorweave.session import ensure_checkpoint_dir, scratch_path
+    d = ensure_checkpoint_dir(spark)
+    assert d == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(d.rstrip("/") + "/")
+    assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_oracle_sql_has_no_signed_zero_round():
+    import re
+    for key, sql in E.oracle_sql().items():
+        for m in re.finditer(r"(?<![\w])round\(", sql):
+            assert sql[max(0, m.start() - 1)] == "(", key
