@@ -175,7 +175,9 @@ def restriction_ranges(triples: DataFrame, strict: bool = False) -> DataFrame:
     bgp = onp.join(avf, "r").join(sub, "r").join(wr, "range")
     if strict:
         bgp = bgp.join(pred(triples, ON_DATATYPE, "range", "dt"), "range")
-    items = list_items(triples, bgp.select("head"))
+    # expand every restriction list once; the join with the pattern below keeps the
+    # matching ones (feeding bgp's heads instead would evaluate the pattern twice)
+    items = list_items(triples, wr.select("head"))
     mins = pred(triples, MIN_INCL, "item", "min")
     maxs = pred(triples, MAX_INCL, "item", "max")
     return (bgp.join(items, "head").join(mins, "item", "left").join(maxs, "item", "left")
