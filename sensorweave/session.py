@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # iterative operators checkpoint every round; delete a round's files once its RDD is
+    # garbage-collected so the shared folder does not grow with every query
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
