@@ -51,11 +51,14 @@ def main() -> None:
     # warm-up: JVM, code paths, file listing
     run(catalog.QUERIES["logs_by_type"](spark, SF_DIR))
 
-    queries = {}
+    queries, errors = {}, {}
     for key in catalog.HEADLINE:
         fn = catalog.QUERIES[key]
         reps = 1 if key.startswith("stream_") else REPS
-        queries[key] = round(timed(lambda: run(fn(spark, SF_DIR)), reps), 3)
+        try:
+            queries[key] = round(timed(lambda: run(fn(spark, SF_DIR)), reps), 3)
+        except Exception as e:  # noqa: BLE001 - report and keep measuring the rest
+            errors[key] = str(e)[:300]
 
     tel = telemetry(spark, SF_DIR)
     n = tel.count()
@@ -103,6 +106,8 @@ def main() -> None:
         "reps": REPS,
         "host_cpus": os.cpu_count(),
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
