@@ -31,3 +31,13 @@ def test_reports_over_stored_graph(spark):
     assert sum(r["errorCount"] for r in out["errors_per_hour"].collect()) == errors
     for k, df in out.items():
         df.collect()  # every report executes over the stored tables
+
+
+def test_approximate_distinct_per_minute_is_close(spark):
+    from sensorweave.plans.reports import REPORTS, _graph
+    g = _graph(spark, SMALL)
+    exact = {r["minute"]: r["totalErrorCount"] for r in REPORTS["notifications_per_minute"](spark, g).collect()}
+    approx = {r["minute"]: r["totalErrorCount"]
+              for r in REPORTS["notifications_per_minute"](spark, g, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - v) <= max(1, 0.05 * v) for k, v in exact.items())
