@@ -3,10 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorweave.llm import mixing, packing, simhash
+from sensorweave.llm import langid, mixing, packing, sanitise, simhash
 from sensorweave.llm.common import cut, documents
-from sensorweave.llm.queries import tokenizer_path
+from sensorweave.llm.queries import language_filters, tokenizer_path
+
+#: A text is rejected if less than this share of its n-grams belongs to any one language.
+LEAST_SHARE = 0.2
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an identified language go; a missing language is filled in."""
+    found = langid.identify(docs, language_filters(docs), "__lang", "__share")
+    kept = found.filter((F.col("__lang") != langid.UNKNOWN) & (F.col("__share") >= LEAST_SHARE))
+    return kept.select(*[F.coalesce("lang", "__lang").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +25,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs, 4, 4)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it are replaced in the texts; ``n_chars`` follows."""
+    clean = sanitise.sanitise(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    kind = docs.schema["n_chars"].dataType
+    return clean.withColumn("n_chars", F.length("text").cast(kind))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix to target weights takes them."""
     return mixing.resample(docs)
@@ -24,9 +44,10 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, tokenizer_path(), 2048)
 
 
-STAGES = [("simhash", near_duplicates), ("mixing", mix_sources), ("packing", pack_sequences)]
+STAGES = [("language", language), ("simhash", near_duplicates), ("personal_data", personal_data),
+          ("mixing", mix_sources), ("packing", pack_sequences)]
 
-#: Tokenisation and Bloom-style filters have no SQL form; the tests hold each stage against brute force.
+#: Filters, fingerprints and tokenisation have no SQL form; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 

@@ -68,13 +68,13 @@ def append_columns(df: DataFrame, inputs: dict, fields: str,
     return work.mapInArrow(run, out)
 
 
-def fixed_bits(df: DataFrame, key, bits: int = 22) -> list[tuple[int, int]]:
-    """A Bloom-style bitmap of ``key``: at most ``2**bits / 64`` (word, mask) rows, whatever the input.
+def fixed_bits(df: DataFrame, key: str, bits: int = 22) -> list[tuple[int, int]]:
+    """A bitmap of the low bits of the hash ``key``: at most ``2**bits / 64`` (word, mask) rows, whatever the input.
 
     The result is bounded by the parameter alone; members are never missed, other
     keys pass with a probability that rises with the number of members.
     """
-    pos = F.pmod(F.xxhash64(key), F.lit(1 << bits))
+    pos = F.col(key).bitwiseAND(F.lit((1 << bits) - 1))
     rows = df.select(pos.alias("p")).select(F.shiftright("p", 6).alias("w"),
                                             F.expr("shiftleft(1L, cast(p & 63 as int))").alias("m"))
     return [(r[0], r[1]) for r in rows.groupBy("w").agg(F.bit_or("m").alias("m")).collect()]

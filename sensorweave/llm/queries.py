@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash
+from . import langid, mixing, packing, sanitise, simhash
 from .common import documents
 
 QUERIES = {}
@@ -71,3 +71,22 @@ k AS (SELECT no, size, budget, sum(size) OVER (ORDER BY (turn * source_size + up
 g AS (SELECT no, CAST(sum(size) AS BIGINT) AS taken FROM k WHERE placed <= budget GROUP BY no)
 SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM p LEFT JOIN g USING (no)
 """
+
+
+def language_filters(docs: DataFrame) -> langid.Filters:
+    """Learned from text and language of the documents that are not held out."""
+    return langid.fit(docs.filter(langid.may_learn(F.col("doc_id"))).select("text", "lang"))
+
+
+@query
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by bit-sliced n-gram filters."""
+    docs = documents(spark, sf_dir)
+    found = langid.identify(docs.select("doc_id", "text"), language_filters(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it, in every whole text."""
+    return sanitise.digest(sanitise.find(documents(spark, sf_dir)))
