@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, sanitise, simhash
+from . import langid, license_scan, mixing, packing, sanitise, simhash
 from .common import documents
 
 QUERIES = {}
@@ -90,3 +90,9 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it, in every whole text."""
     return sanitise.digest(sanitise.find(documents(spark, sf_dir)))
+
+
+@query
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and template places of every whole text."""
+    return license_scan.digest(license_scan.scan(documents(spark, sf_dir)))
