@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, mixing, packing, sanitise, simhash
+from . import langid, license_scan, mixing, packing, quality_rules, sanitise, simhash
 from .common import documents
 
 QUERIES = {}
@@ -96,3 +96,66 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and template places of every whole text."""
     return license_scan.digest(license_scan.scan(documents(spark, sf_dir)))
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules, and adaptive thresholds for each language and source."""
+    return quality_rules.apply(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _rules_oracle(reach: float = 3.0, least_docs: int = 50) -> str:
+    """DuckDB SQL of op5, generated from the same feature list."""
+    spec = quality_rules.FEATURES
+    expr = {f: e.replace(" div ", " // ") for f, (e, _, _) in spec.items()}
+    values = ", ".join(f"('{f}', {e})" for f, e in expr.items())
+    base = "(n_words < 50 OR 100 * n_repeat_words > 50 * n_words)"
+    bucket = "((v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0))"
+    low = "CASE feature " + " ".join(
+        f"WHEN '{f}' THEN " + (f"q1 - {reach} * greatest(q3 - q1, {least})" if both else "-1.0")
+        for f, (_, both, least) in spec.items()) + " END"
+    high = "CASE feature " + " ".join(f"WHEN '{f}' THEN q3 + {reach} * greatest(q3 - q1, {least})"
+                                      for f, (_, _, least) in spec.items()) + " END"
+
+    def fences(name: str, source: str, keys: str) -> str:
+        by = (keys + ", " if keys else "") + "feature"
+        return f"""
+{name} AS (SELECT {by}, total, {low} AS lo, {high} AS hi FROM (
+  SELECT {by}, max(total) AS total, min(b) FILTER (4 * upto >= total) AS q1, min(b) FILTER (4 * upto >= 3 * total) AS q3
+  FROM (SELECT {by}, b, sum(n) OVER (PARTITION BY {by} ORDER BY b) AS upto, sum(n) OVER (PARTITION BY {by}) AS total
+        FROM (SELECT {by}, b, sum(n) AS n FROM {source} GROUP BY {by}, b)) GROUP BY {by}))"""
+
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS times FROM (
+        SELECT rid, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c
+        FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w))),
+r AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM g WHERE times > 1) GROUP BY rid),
+f AS (SELECT rid, doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+        CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+        CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+        CAST(len(regexp_extract_all(t, '[^\p{{L}}\p{{N}}\x20\x09-\x0D]')) AS BIGINT) AS n_marks,
+        CAST(len(regexp_extract_all(t, '\p{{Lu}}')) AS BIGINT) AS n_capitals,
+        CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN r USING (rid)),
+v AS (SELECT rid, lang, source, feature, CAST(v AS BIGINT) AS v
+      FROM f, LATERAL (VALUES {values}) AS x(feature, v) WHERE NOT {base}),
+s AS (SELECT lang, source, feature, {bucket} AS b, count(*) AS n FROM v GROUP BY ALL),{fences('own', 's', 'lang, source')},
+{fences('byl', 's', 'lang')},{fences('alls', 's', '')},
+bad AS (SELECT DISTINCT rid FROM v
+  LEFT JOIN own ON v.lang IS NOT DISTINCT FROM own.lang AND v.source IS NOT DISTINCT FROM own.source
+    AND v.feature = own.feature AND own.total >= {least_docs}
+  LEFT JOIN byl ON v.lang IS NOT DISTINCT FROM byl.lang AND v.feature = byl.feature AND byl.total >= {least_docs}
+  JOIN alls ON v.feature = alls.feature
+  WHERE v.v < coalesce(own.lo, byl.lo, alls.lo) OR v.v > coalesce(own.hi, byl.hi, alls.hi))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {base} AS base_failed,
+       NOT {base} AND bad.rid IS NULL AS kept
+FROM f LEFT JOIN bad USING (rid)
+"""
+
+
+ORACLES["op5_quality_rules"] = _rules_oracle()
