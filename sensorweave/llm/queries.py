@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, mixing, packing, quality_rules, sanitise, simhash
+from . import langid, license_scan, mixing, packing, quality_rules, sanitise, sharding, simhash
 from .common import documents
 
 QUERIES = {}
@@ -159,3 +159,10 @@ FROM f LEFT JOIN bad USING (rid)
 
 
 ORACLES["op5_quality_rules"] = _rules_oracle()
+
+
+@query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of nearly equal bytes."""
+    return sharding.shard(documents(spark, sf_dir), 40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "tokens")
