@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, mixing, packing, quality_rules, sanitise, sharding, simhash
-from .common import documents
+from . import langid, license_scan, mixing, packing, quality_model, quality_rules, sanitise, sharding, simhash
+from .common import cut, documents
 
 QUERIES = {}
 ORACLES = {}
@@ -166,3 +166,13 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of nearly equal bytes."""
     return sharding.shard(documents(spark, sf_dir), 40).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "tokens")
+
+
+@query
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text by an additive model of the labelled rows that are not held out."""
+    found = cut(quality_model.measured(documents(spark, sf_dir)), "features")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(langid.may_learn(F.col("doc_id")))
+    model = quality_model.fit(found, labels.select("doc_id", F.col("quality").alias("label")))
+    return quality_model.score(found, model).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
