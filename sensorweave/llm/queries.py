@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, mixing, packing, quality_model, quality_rules, sanitise, sharding, simhash
+from . import hamming_search, langid, license_scan, mixing, packing, quality_model, quality_rules, sanitise, sharding, simhash
 from .common import cut, documents
 
 QUERIES = {}
@@ -176,3 +176,29 @@ def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_model.fit(found, labels.select("doc_id", F.col("quality").alias("label")))
     return quality_model.score(found, model).select(
         "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def sign_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, code) of each vector: its sign bits; a repeated id counts once."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter("vec_id is not null and size(embedding) > 0")
+    return vectors.select(F.col("vec_id").cast("long").alias("id"), hamming_search.sign_code(F.col("embedding")).alias("code")) \
+        .groupBy("id").agg(F.min("code").alias("code"))
+
+
+@query
+def op2_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest sign codes, by Hamming distance, of every vector whose id is divisible by 100."""
+    codes = cut(sign_codes(spark, sf_dir), "codes")
+    return hamming_search.top_k(codes, codes.filter("id % 100 = 0"), 10).select(
+        F.col("qid").alias("query_id"), F.col("id").alias("vec_id"), "distance", F.col("rank").cast("long").alias("rank"))
+
+
+ORACLES["op2_hamming_topk"] = """
+WITH v AS (SELECT vec_id AS id, min(code) AS code FROM (
+  SELECT vec_id, list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 AND NOT isnan(embedding[i]) THEN 1 ELSE 0 END) AS code
+  FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0) GROUP BY vec_id),
+d AS (SELECT q.id AS query_id, v.id AS vec_id,
+             CAST(list_sum(list_transform(list_zip(q.code, v.code), lambda p: CASE WHEN p[1] <> p[2] THEN 1 ELSE 0 END)) AS BIGINT) AS distance
+      FROM v AS q JOIN v ON q.id % 100 = 0 AND q.id <> v.id)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d) WHERE rank <= 10
+"""
