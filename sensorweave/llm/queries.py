@@ -194,7 +194,8 @@ def op2_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op2_hamming_topk"] = """
-WITH v AS (SELECT vec_id AS id, min(code) AS code FROM (
+WITH v AS (SELECT vec_id AS id, arg_min(code, list_sum(list_transform(range(1, 65), lambda i:
+                    code[i] * CASE WHEN i = 64 THEN -(CAST(1 AS HUGEINT) << 63) ELSE CAST(1 AS HUGEINT) << (i - 1) END))) AS code FROM (
   SELECT vec_id, list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 AND NOT isnan(embedding[i]) THEN 1 ELSE 0 END) AS code
   FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0) GROUP BY vec_id),
 d AS (SELECT q.id AS query_id, v.id AS vec_id,
