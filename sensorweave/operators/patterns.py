@@ -65,27 +65,3 @@ def paths_up_to(edges: DataFrame, max_hops: int = 3) -> DataFrame:
     return allp.select("hops", "start", "end",
                        F.array_join("nodes", "->").alias("path"),
                        F.array_join("types", ",").alias("types"))
-
-
-MAX_BINDINGS = 10_000
-
-
-def bind_fixed(df: DataFrame, bindings: DataFrame, on: list[str]) -> DataFrame:
-    """Attach the rows of a fixed, size-checked binding table (e.g. matches of a
-    pattern over the seed topology) to every row of ``df`` whose ``on`` columns
-    agree - without a join: the bindings become a literal array and ``inline``
-    emits the matching ones per row (a narrow projection; no shuffle, no
-    broadcast nested-loop join even when ``df``'s key is a constant)."""
-    rows = bindings.limit(MAX_BINDINGS + 1).collect()
-    if len(rows) > MAX_BINDINGS:
-        raise ValueError("binding table is not small; join it instead")
-    extra = [c for c in bindings.columns if c not in on]
-    types = {f.name: f.dataType for f in bindings.schema.fields}
-    if not rows:
-        return df.filter(F.lit(False)).select("*", *[F.lit(None).cast(types[c]).alias(c) for c in extra])
-    structs = [F.struct(*[F.lit(r[c]).cast(types[c]).alias(f"_b_{c}") for c in bindings.columns])
-               for r in rows]
-    match = F.filter(F.array(*structs), lambda b: reduce(
-        lambda x, y: x & y, [b[f"_b_{c}"] == F.col(c) for c in on]))
-    out = df.select("*", F.inline(match))
-    return out.select(*df.columns, *[F.col(f"_b_{c}").alias(c) for c in extra])

@@ -191,11 +191,23 @@ def dedup_timestamp(tel: DataFrame) -> DataFrame:
 
 
 class TelemetryGraph:
-    """The graph tables a telemetry frame converges to (single merge, empty target)."""
+    """The graph tables a telemetry frame converges to (single merge, empty target).
 
-    def __init__(self, spark: SparkSession, tel: DataFrame):
+    As in the ingest job, the first record of each instant is merged; with
+    ``dedup=False`` every record is.
+    """
+
+    def __init__(self, spark: SparkSession, tel: DataFrame, dedup: bool = True):
         self.spark = spark
-        self.tel = tel
+        self.tel = dedup_timestamp(tel) if dedup else tel
+
+    @property
+    def seed_nodes(self) -> DataFrame:
+        return seed_nodes(self.spark)
+
+    @property
+    def seed_edges(self) -> DataFrame:
+        return seed_edges(self.spark)
 
     @property
     def log_notification(self) -> DataFrame:

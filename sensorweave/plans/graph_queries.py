@@ -19,7 +19,7 @@ from ..session import scratch_path
 from . import graph_build as GB
 from .proxy import telemetry, with_telemetry
 from .registry import register
-from .reports import ES_SQL, HRD_SQL, HR_SQL, HS_SQL, LN_SQL, SENSOR_SQL, WS_SQL
+from .reports import ES_SQL, HRD_SQL, HR_RAW, HS_RAW, HS_SQL, LN_RAW, LN_SQL, SENSOR_SQL, WS_SQL, _graph, graph_sql
 
 SPLIT_TS = "2024-01-16 00:00:00"
 
@@ -87,13 +87,13 @@ def dedup_timestamp(spark, sf_dir):
 
 # --- M3 - M8: insert-if-absent merges (first batch, then full replay) ----------------------
 @register("merge_log_notification", headline=True,
-          sql=with_telemetry("SELECT name, timestamp, hasMessage FROM ln", LN_SQL))
+          sql=with_telemetry("SELECT name, timestamp, hasMessage FROM ln", LN_RAW))
 def merge_log_notification(spark, sf_dir):
     first, allrows = _two_batches(spark, sf_dir)
     return GB.merge_log_notification(allrows, GB.merge_log_notification(first))
 
 
-@register("merge_has_record", sql=with_telemetry("SELECT * FROM hr", HR_SQL))
+@register("merge_has_record", sql=with_telemetry("SELECT * FROM hr", HR_RAW))
 def merge_has_record(spark, sf_dir):
     first, allrows = _two_batches(spark, sf_dir)
     return GB.merge_has_record(allrows, GB.merge_has_record(first))
@@ -108,7 +108,7 @@ SENSOR_ROUNDED = ", ".join(
 
 
 @register("merge_sensor", headline=True,
-          sql=with_telemetry(f"SELECT {SENSOR_ROUNDED} FROM sensor", SENSOR_SQL))
+          sql=graph_sql(f"SELECT {SENSOR_ROUNDED} FROM sensor", SENSOR_SQL))
 def merge_sensor(spark, sf_dir):
     first, allrows = _two_batches(spark, sf_dir)
     return _round_props(GB.merge_sensor(allrows, GB.merge_sensor(first)))
@@ -124,13 +124,13 @@ def merge_sensor_by_name(spark, sf_dir):
     return _round_props(GB.merge_sensor_by_name(allrows, GB.merge_sensor_by_name(first)))
 
 
-@register("merge_joint_has_sensor", sql=with_telemetry("SELECT * FROM hs", HS_SQL))
+@register("merge_joint_has_sensor", sql=with_telemetry("SELECT * FROM hs", HS_RAW))
 def merge_joint_has_sensor(spark, sf_dir):
     first, allrows = _two_batches(spark, sf_dir)
     return GB.merge_joint_has_sensor(allrows, GB.merge_joint_has_sensor(first))
 
 
-@register("merge_environment_reading", sql=with_telemetry(
+@register("merge_environment_reading", sql=graph_sql(
     "SELECT hasTimestamp, hasAirQuality, hasHumidity, round(hasTemperature, 6) AS hasTemperature "
     "FROM es", ES_SQL))
 def merge_environment_reading(spark, sf_dir):
@@ -254,7 +254,7 @@ def append_label_nodes(spark, sf_dir):
 
 
 # --- M12 / X7: back-fill an Unhealthy reading for every error instant ----------------------
-@register("backfill_unhealthy", sql=with_telemetry("""
+@register("backfill_unhealthy", sql=graph_sql("""
 SELECT coalesce(es.hasTimestamp, e.ts) AS hasTimestamp,
        CASE WHEN e.ts IS NOT NULL THEN 'Unhealthy' ELSE es.hasAirQuality END AS hasAirQuality,
        e.ts IS NOT NULL AS backfilled,
@@ -263,7 +263,7 @@ FROM es FULL OUTER JOIN (SELECT DISTINCT timestamp AS ts FROM ln WHERE name = 'e
   ON es.hasTimestamp = e.ts""", LN_SQL, ES_SQL))
 def backfill_unhealthy(spark, sf_dir):
     """Readings after the back-fill; random humidity / temperature replaced by a range check."""
-    tg = GB.TelemetryGraph(spark, telemetry(spark, sf_dir))
+    tg = _graph(spark, sf_dir)
     out = backfill(tg.environment_sensor, tg.log_notification)
     in_range = ((F.col("hasHumidity").try_cast("double") >= 0) & (F.col("hasHumidity").try_cast("double") < 100)
                 & (F.col("hasTemperature") >= 15) & (F.col("hasTemperature") < 25))
@@ -284,16 +284,21 @@ def backfill(readings: DataFrame, notifications: DataFrame, seed: int = 42) -> D
     return j.select(
         F.coalesce("hasTimestamp", "_ets").alias("hasTimestamp"),
         F.when(hit, F.lit("Unhealthy")).otherwise(F.col("hasAirQuality")).alias("hasAirQuality"),
-        F.when(hit, (F.rand(seed) * 100).cast("string")).otherwise(F.col("hasHumidity")).alias("hasHumidity"),
-        F.when(hit, F.lit(15.0) + F.rand(seed + 1) * 10).otherwise(F.col("hasTemperature")).alias("hasTemperature"),
+        F.when(hit, (_unit(seed) * 100).cast("string")).otherwise(F.col("hasHumidity")).alias("hasHumidity"),
+        F.when(hit, F.lit(15.0) + _unit(seed + 1) * 10).otherwise(F.col("hasTemperature")).alias("hasTemperature"),
         hit.alias("backfilled"))
 
 
+def _unit(seed: int):
+    """A value in [0, 1) that depends on the instant and the seed alone, so a retried task repeats it."""
+    return F.pmod(F.xxhash64("_ets", F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+
+
 # --- M13: bounded DETACH DELETE ---------------------------------------------------------
 DELETE_LIMIT = 40000
 
 
-@register("detach_delete", sql=with_telemetry(f"""
+@register("detach_delete", sql=graph_sql(f"""
 SELECT (SELECT count(*) FROM v) AS deleted_nodes,
        (SELECT count(*) FROM hs WHERE sensor_timestamp IN (SELECT timestamp FROM v)) AS deleted_edges,
        (SELECT count(*) FROM sensor) - (SELECT count(*) FROM v) AS remaining_nodes,
@@ -301,7 +306,7 @@ SELECT (SELECT count(*) FROM v) AS deleted_nodes,
 """, SENSOR_SQL, HS_SQL, f"v AS (SELECT timestamp FROM sensor ORDER BY timestamp LIMIT {DELETE_LIMIT})"))
 def detach_delete(spark, sf_dir):
     """Pick the first 40 000 Sensor nodes, delete them and their HAS_SENSOR edges."""
-    tg = GB.TelemetryGraph(spark, telemetry(spark, sf_dir))
+    tg = _graph(spark, sf_dir)
     sensors, hs = tg.sensor, tg.has_sensor
     # an ordered limit of a fixed size: bounded, so broadcasting it is safe
     victims = F.broadcast(sensors.select("timestamp").orderBy("timestamp").limit(DELETE_LIMIT))

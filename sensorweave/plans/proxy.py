@@ -6,8 +6,11 @@ record with the staging columns, so that every operator runs over data whose
 size grows with the input.  ``TELEMETRY_SQL`` is the same mapping written for
 DuckDB (used by the oracle queries); both must stay in step.
 
-Mapping (one row per event, event_id is the tie-break order):
-  obs_ts       hour of ts (the graph's event timestamp; keys collide on purpose)
+Mapping (one row per event and a second one for every tenth event):
+  event_id     2 * event_id, and 2 * event_id + 1 for the second record (the tie-break order)
+  second       every tenth event also yields an info record of the next joint, ten degrees
+               on, at the same instant, so that timestamp keys collide
+  obs_ts       ts (the graph's event timestamp)
   joint_name   'joint_' || (user_id % 6 + 1); sensor_name = joint_name || '_sensor'
   log_type     error -> error, signup -> warn, else info (+ fixed message text)
   joint_angle  value; position from cos/sin of the angle, force = position * 10,
@@ -22,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.telemetry import log_message_for, trunc_ntz
+from ..functions.telemetry import log_message_for
 from ..sources.tables import read_table
 
 TELEMETRY_COLUMNS = [
@@ -39,6 +42,12 @@ def _sq(c):
 
 def telemetry_from_events(ev: DataFrame) -> DataFrame:
     """Pure column mapping: one projection, no shuffle; fuses into the scan stage."""
+    # the second record is a narrow flat-map in the scan stage
+    copies = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    ev = ev.select("event_id", "ts", "props", "user_id", "event_type", "value", F.explode(copies).alias("_copy")).select(
+        (F.col("event_id") * 2 + F.col("_copy")).alias("event_id"), F.col("event_id").alias("_id"), "ts", "props",
+        (F.col("user_id") + F.col("_copy")).alias("user_id"), (F.col("value") + 10 * F.col("_copy")).alias("value"),
+        F.when(F.col("_copy") == 1, F.lit("view")).otherwise(F.col("event_type")).alias("event_type"))
     is_err = F.col("event_type") == "error"
     log_type = (F.when(is_err, F.lit("error"))
                 .when(F.col("event_type") == "signup", F.lit("warn"))
@@ -47,7 +56,7 @@ def telemetry_from_events(ev: DataFrame) -> DataFrame:
     px, py, pz = F.cos(r), F.sin(r), F.sin(r) / F.lit(2.0)
     k = F.get_json_object("props", "$.k").try_cast("double")
     joint = F.concat(F.lit("joint_"), (F.col("user_id") % 6 + 1).cast("string"))
-    mod10 = F.col("event_id") % 10
+    mod10 = F.col("_id") % 10
     air = (F.when(is_err, F.lit("Unhealthy")).when(mod10 < 7, F.lit("Good"))
            .when(mod10 < 9, F.lit("Moderate")).otherwise(F.lit("Unhealthy")))
     base = ev.select(
@@ -59,7 +68,7 @@ def telemetry_from_events(ev: DataFrame) -> DataFrame:
     ten = F.lit(10.0)
     return base.select(
         "event_id", "ts",
-        trunc_ntz("hour", "ts").alias("obs_ts"),
+        F.col("ts").alias("obs_ts"),
         F.concat(F.col("joint_name"), F.lit("_sensor")).alias("sensor_name"),
         "joint_name",
         F.col("value").alias("joint_angle"),
@@ -111,7 +120,7 @@ telemetry AS (
                   WHEN 'error' THEN 'Error log message' END AS log_message,
     k
   FROM (
-    SELECT event_id, ts, date_trunc('hour', ts) AS obs_ts,
+    SELECT event_id, ts, ts AS obs_ts,
       'joint_' || CAST(user_id % 6 + 1 AS VARCHAR) || '_sensor' AS sensor_name,
       'joint_' || CAST(user_id % 6 + 1 AS VARCHAR) AS joint_name,
       value AS joint_angle,
@@ -119,10 +128,12 @@ telemetry AS (
       sin(radians(value)) / 2e0 AS position_z,
       CASE WHEN event_type = 'error' THEN 'error' WHEN event_type = 'signup' THEN 'warn'
            ELSE 'info' END AS log_type,
-      CASE WHEN event_type = 'error' THEN 'Unhealthy' WHEN event_id % 10 < 7 THEN 'Good'
-           WHEN event_id % 10 < 9 THEN 'Moderate' ELSE 'Unhealthy' END AS environment_air_quality,
+      CASE WHEN event_type = 'error' THEN 'Unhealthy' WHEN event_id // 2 % 10 < 7 THEN 'Good'
+           WHEN event_id // 2 % 10 < 9 THEN 'Moderate' ELSE 'Unhealthy' END AS environment_air_quality,
       TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
-    FROM events
+    FROM (SELECT 2 * event_id + copy AS event_id, ts, props, user_id + copy AS user_id, value + 10 * copy AS value,
+                 CASE WHEN copy = 1 THEN 'view' ELSE event_type END AS event_type
+          FROM events, (VALUES (0), (1)) c(copy) WHERE copy = 0 OR event_id % 10 = 0) e
   ) b
 )"""
 

@@ -1,11 +1,10 @@
 """Window aggregates, graph reads, anomaly correlation and dashboard reports.
 
-Each query reads the telemetry proxy (built from ``events``) and the graph
-tables it converges to.  The seed topology (Thing -> RobotArm -> Log,
-Thing -> Environment, joints) is a fixed table of at most 26 rows: its pattern
-matches are attached with ``bind_fixed`` (a size-checked literal array, no join);
-all data-sized joins are left to AQE (broadcast only when measured small, else
-shuffle; skewed partitions split).
+The window aggregates read the telemetry proxy (built from ``events``); the graph
+reports read the stored node and edge tables that the ingest job keeps.  The seed
+topology (Thing -> RobotArm -> Log, Thing -> Environment, joints) is a stored table of
+fixed size and is joined by broadcast; all data-sized joins are left to AQE
+(broadcast only when measured small, else shuffle; skewed partitions split).
 """
 
 from __future__ import annotations
@@ -16,8 +15,9 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.telemetry import air_quality_category, air_quality_level, trunc_ntz
 from ..operators import windows as W
-from ..operators.patterns import bind_fixed
-from .graph_build import TelemetryGraph, seed_edges
+from ..operators.patterns import one_hop
+from ..session import scratch_path
+from ..streaming.graph_store import GraphStore, StoredGraph
 from .proxy import telemetry, with_telemetry
 from .registry import register
 
@@ -27,8 +27,18 @@ R6 = 6  # digits kept when comparing doubles across engines
 WS_SQL = "date_trunc('minute', ts) - to_minutes(CAST(minute(ts) % 5 AS BIGINT))"
 
 
-def _graph(spark: SparkSession, sf_dir: str) -> TelemetryGraph:
-    return TelemetryGraph(spark, telemetry(spark, sf_dir))
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _graph(spark: SparkSession, sf_dir: str) -> StoredGraph:
+    """The graph that the ingest job keeps, with its seed; stored once per application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    store = GraphStore(spark, _STORED.get(key) or scratch_path(spark, "graph"))
+    if key not in _STORED:
+        store.seed()
+        store.upsert_batch(telemetry(spark, sf_dir), 0)
+        _STORED[key] = store.root
+    return StoredGraph(store)
 
 
 # key -> fn(spark, graph): the graph reports, runnable over any object exposing the
@@ -49,26 +59,30 @@ def report(key: str, sql: str | None = None, headline: bool = False):
     return deco
 
 
-def _rel(spark, etype, src_label, dst_label, a, b) -> DataFrame:
-    e = seed_edges(spark)
-    return (e.filter((F.col("type") == etype) & (F.col("src_label") == src_label)
-                     & (F.col("dst_label") == dst_label))
+def _rel(tg, etype, src_label, dst_label, a, b) -> DataFrame:
+    return (tg.seed_edges.filter((F.col("type") == etype) & (F.col("src_label") == src_label)
+                                 & (F.col("dst_label") == dst_label))
             .select(F.col("src_name").alias(a), F.col("dst_name").alias(b)))
 
 
-def topology_logs(spark) -> DataFrame:
+def topology_logs(tg) -> DataFrame:
     """(thing, robot, log) for Thing-HAS_A->RobotArm-HAS_LOGS->Log."""
-    return _rel(spark, "HAS_A", "Thing", "RobotArm", "thing", "robot").join(
-        _rel(spark, "HAS_LOGS", "RobotArm", "Log", "robot", "log"), "robot")
+    return _rel(tg, "HAS_A", "Thing", "RobotArm", "thing", "robot").join(
+        _rel(tg, "HAS_LOGS", "RobotArm", "Log", "robot", "log"), "robot")
+
 
+def topology_envs(tg) -> DataFrame:
+    return _rel(tg, "HAS_A", "Thing", "Environment", "thing", "env")
 
-def topology_envs(spark) -> DataFrame:
-    return _rel(spark, "HAS_A", "Thing", "Environment", "thing", "env")
 
+def topology_joints(tg) -> DataFrame:
+    return _rel(tg, "HAS_A", "Thing", "RobotArm", "thing", "robot").join(
+        _rel(tg, "HAS_JOINT", "RobotArm", "Joint", "robot", "joint"), "robot")
 
-def topology_joints(spark) -> DataFrame:
-    return _rel(spark, "HAS_A", "Thing", "RobotArm", "thing", "robot").join(
-        _rel(spark, "HAS_JOINT", "RobotArm", "Joint", "robot", "joint"), "robot")
+
+def attach(df: DataFrame, topology: DataFrame, on: list[str]) -> DataFrame:
+    """Join with matches of a pattern over the seed: the seed's size is fixed (tens of rows), so it is broadcast."""
+    return df.join(F.broadcast(topology), on)
 
 
 def _r(c: str, alias: str | None = None):
@@ -108,33 +122,45 @@ def win_temperature_stats(spark, sf_dir):
                       _r("max_temperature"), _r("avg_temperature"))
 
 
-# Graph tables in DuckDB (first row per key by event_id = first write wins).
-LN_SQL = """ln AS (
+# Graph tables in DuckDB (first row per key by event_id = first write wins), over all
+# records (``_RAW``) or over the first record of each instant, as the ingest keeps them.
+FIRST_SQL = """d AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY obs_ts ORDER BY event_id) AS rn
+                 FROM telemetry WHERE obs_ts IS NOT NULL) x WHERE rn = 1)"""
+LN_RAW = """ln AS (
   SELECT log_type AS name, obs_ts AS timestamp, log_message AS hasMessage FROM (
     SELECT *, row_number() OVER (PARTITION BY log_type, obs_ts ORDER BY event_id) AS rn
     FROM telemetry WHERE log_type IS NOT NULL AND obs_ts IS NOT NULL) x WHERE rn = 1)"""
-HR_SQL = """hr AS (SELECT DISTINCT 'Log' AS log_name, log_type AS ln_name, obs_ts AS ln_timestamp,
+HR_RAW = """hr AS (SELECT DISTINCT 'Log' AS log_name, log_type AS ln_name, obs_ts AS ln_timestamp,
   obs_ts AS timestamp FROM telemetry WHERE log_type IS NOT NULL AND obs_ts IS NOT NULL)"""
-ES_SQL = """es AS (
-  SELECT obs_ts AS hasTimestamp, environment_air_quality AS hasAirQuality,
-         environment_humidity AS hasHumidity, environment_temperature AS hasTemperature FROM (
-    SELECT *, row_number() OVER (PARTITION BY obs_ts ORDER BY event_id) AS rn
-    FROM telemetry WHERE obs_ts IS NOT NULL) x WHERE rn = 1)"""
-HRD_SQL = """hrd AS (SELECT DISTINCT 'Environment' AS env_name, obs_ts AS es_timestamp,
-  obs_ts AS timestamp FROM telemetry WHERE obs_ts IS NOT NULL)"""
-SENSOR_SQL = """sensor AS (
+HS_RAW = """hs AS (SELECT DISTINCT joint_name, obs_ts AS sensor_timestamp, obs_ts AS timestamp
+  FROM telemetry WHERE joint_name IS NOT NULL AND obs_ts IS NOT NULL)"""
+_ES = """es AS (SELECT obs_ts AS hasTimestamp, environment_air_quality AS hasAirQuality,
+  environment_humidity AS hasHumidity, environment_temperature AS hasTemperature FROM d)"""
+_SENSOR = """sensor AS (
   SELECT obs_ts AS timestamp, joint_angle AS hasAcceleration, current AS hasCurrent,
     force_x AS hasForceX, force_y AS hasForceY, force_z AS hasForceZ,
     position_x AS hasPositionX, position_y AS hasPositionY, position_z AS hasPositionZ,
     torque_x AS hasTorqueX, torque_y AS hasTorqueY, torque_z AS hasTorqueZ,
-    velocity AS hasVelocity FROM (
-    SELECT *, row_number() OVER (PARTITION BY obs_ts ORDER BY event_id) AS rn
-    FROM telemetry WHERE obs_ts IS NOT NULL) x WHERE rn = 1)"""
-HS_SQL = """hs AS (SELECT DISTINCT joint_name, obs_ts AS sensor_timestamp, obs_ts AS timestamp
-  FROM telemetry WHERE joint_name IS NOT NULL AND obs_ts IS NOT NULL)"""
+    velocity AS hasVelocity FROM d)"""
+# keyed on the timestamp alone, so the same with and without the ingest's deduplication
+LN_SQL = """ln AS (SELECT log_type AS name, obs_ts AS timestamp, log_message AS hasMessage
+  FROM d WHERE log_type IS NOT NULL)"""
+HR_SQL = """hr AS (SELECT 'Log' AS log_name, log_type AS ln_name, obs_ts AS ln_timestamp, obs_ts AS timestamp
+  FROM d WHERE log_type IS NOT NULL)"""
+HS_SQL = """hs AS (SELECT joint_name, obs_ts AS sensor_timestamp, obs_ts AS timestamp
+  FROM d WHERE joint_name IS NOT NULL)"""
+HRD_SQL = """hrd AS (SELECT DISTINCT 'Environment' AS env_name, obs_ts AS es_timestamp,
+  obs_ts AS timestamp FROM telemetry WHERE obs_ts IS NOT NULL)"""
+ES_SQL, SENSOR_SQL = _ES, _SENSOR
+
+
+def graph_sql(body: str, *ctes: str) -> str:
+    """A DuckDB query over tables of the ingested graph."""
+    return with_telemetry(body, FIRST_SQL, *ctes)
 
 
-def _ln_edges(spark, tg: TelemetryGraph) -> DataFrame:
+def _ln_edges(spark, tg) -> DataFrame:
     """Log-[:HAS_RECORD]->LogNotification rows: (log, ln_name, ln_timestamp, ln_message, edge_ts)."""
     ln = tg.log_notification.select(F.col("name").alias("ln_name"),
                                     F.col("timestamp").alias("ln_timestamp"),
@@ -144,26 +170,28 @@ def _ln_edges(spark, tg: TelemetryGraph) -> DataFrame:
     return hr.join(ln, ["ln_name", "ln_timestamp"])
 
 
-def _es_edges(spark, tg: TelemetryGraph) -> DataFrame:
+def _es_edges(spark, tg) -> DataFrame:
     es = tg.environment_sensor.withColumnRenamed("hasTimestamp", "es_timestamp")
     hrd = tg.has_reading.select(F.col("env_name").alias("env"), "es_timestamp")
     return hrd.join(es, "es_timestamp")
 
 
 # --- J1: one-hop pattern ----------------------------------------------------------
-@report("match_one_hop", sql=with_telemetry("""
+@report("match_one_hop", sql=graph_sql("""
 SELECT hr.log_name AS log, hr.ln_name, hr.ln_timestamp, ln.hasMessage AS ln_message,
        hr.timestamp AS edge_timestamp
 FROM hr JOIN ln ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp""", LN_SQL, HR_SQL))
 def match_one_hop(spark, tg):
     """(log:Log)-[r:HAS_RECORD]->(ln:LogNotification): one row per edge."""
-    log_nodes = spark.createDataFrame([("Log",)], "log string")
-    return (bind_fixed(_ln_edges(spark, tg), log_nodes, ["log"])
-            .select("log", "ln_name", "ln_timestamp", "ln_message", "edge_timestamp"))
+    logs = tg.seed_nodes.filter(F.col("label") == "Log").select("name")
+    ln = tg.log_notification.select("name", "timestamp", F.col("hasMessage").alias("ln_message"))
+    edges = tg.has_record.select(F.col("log_name").alias("log"), "ln_name", "ln_timestamp", F.col("timestamp").alias("edge_timestamp"))
+    hops = one_hop(F.broadcast(logs), ["name"], edges, ["log"], ["ln_name", "ln_timestamp"], ln, ["name", "timestamp"])
+    return hops.select("log", "ln_name", "ln_timestamp", "ln_message", "edge_timestamp")
 
 
 # --- D4 / J3 / J4: error notification coinciding with unhealthy air ----------------
-@report("anomaly_env_error", headline=True, sql=with_telemetry("""
+@report("anomaly_env_error", headline=True, sql=graph_sql("""
 SELECT 'Thing' AS thing, 'RobotArm' AS robot, 'Log' AS log, ln.name AS ln_name,
        ln.timestamp AS ln_timestamp, ln.hasMessage AS ln_message, 'Environment' AS env,
        es.hasTimestamp AS es_timestamp, es.hasAirQuality AS es_air_quality,
@@ -174,10 +202,10 @@ JOIN hrd ON hrd.es_timestamp = es.hasTimestamp
 WHERE ln.name = 'error' AND es.hasAirQuality = 'Unhealthy'""", LN_SQL, HR_SQL, ES_SQL, HRD_SQL))
 def anomaly_env_error(spark, tg):
     """All matches (the report showed the first one); the error filter runs before the join."""
-    topo = topology_logs(spark).join(topology_envs(spark), "thing")
+    topo = topology_logs(tg).join(topology_envs(tg), "thing")
     ln = _ln_edges(spark, tg).filter(F.col("ln_name") == "error")
     es = _es_edges(spark, tg).filter(F.col("hasAirQuality") == "Unhealthy")
-    j = bind_fixed(ln.join(es, ln.ln_timestamp == es.es_timestamp), topo, ["log", "env"])
+    j = attach(ln.join(es, ln.ln_timestamp == es.es_timestamp), topo, ["log", "env"])
     return j.select("thing", "robot", "log", "ln_name", "ln_timestamp", "ln_message", "env",
                     "es_timestamp", F.col("hasAirQuality").alias("es_air_quality"),
                     F.col("hasHumidity").alias("es_humidity"),
@@ -185,7 +213,7 @@ def anomaly_env_error(spark, tg):
 
 
 # --- J5: error notification x joint sensor at the same instant --------------------
-@report("anomaly_joint_error", sql=with_telemetry("""
+@report("anomaly_joint_error", sql=graph_sql("""
 SELECT ln.timestamp AS logTimestamp, ln.hasMessage AS logMessage, hs.joint_name AS jointName,
        round(s.hasAcceleration, 6) AS acceleration, round(s.hasCurrent, 6) AS current,
        round(s.hasForceX, 6) AS forceX, round(s.hasForceY, 6) AS forceY,
@@ -196,22 +224,22 @@ JOIN sensor s ON s.timestamp = ln.timestamp
 JOIN hs ON hs.sensor_timestamp = s.timestamp
 WHERE ln.name = 'error'""", LN_SQL, HR_SQL, SENSOR_SQL, HS_SQL))
 def anomaly_joint_error(spark, tg):
-    topo = topology_joints(spark).join(topology_logs(spark), ["thing", "robot"])
+    topo = topology_joints(tg).join(topology_logs(tg), ["thing", "robot"])
     ln = _ln_edges(spark, tg).filter(F.col("ln_name") == "error")
     s = tg.sensor
     hs = tg.has_sensor.select(F.col("joint_name").alias("joint"), "sensor_timestamp")
     sens = hs.join(s, hs.sensor_timestamp == s.timestamp)
-    j = bind_fixed(ln.join(sens, ln.ln_timestamp == sens.timestamp), topo, ["joint", "log"])
+    j = attach(ln.join(sens, ln.ln_timestamp == sens.timestamp), topo, ["joint", "log"])
     return j.select(
         F.col("ln_timestamp").alias("logTimestamp"), F.col("ln_message").alias("logMessage"),
         F.col("joint").alias("jointName"), _r("hasAcceleration", "acceleration"),
         _r("hasCurrent", "current"), _r("hasForceX", "forceX"), _r("hasForceY", "forceY"),
         _r("hasForceZ", "forceZ"), _r("hasPositionX", "positionX"),
-        _r("hasPositionY", "positionY"), _r("hasPositionZ", "positionZ"))
+        _r("hasPositionY", "positionY"), _r("hasPositionZ", "positionZ")).orderBy("logTimestamp", "jointName")
 
 
 # --- A3: errors per hour -----------------------------------------------------------
-@report("errors_per_hour", headline=True, sql=with_telemetry("""
+@report("errors_per_hour", headline=True, sql=graph_sql("""
 SELECT date_trunc('hour', ln.timestamp) AS hour, count(*) AS errorCount
 FROM hr JOIN ln ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp
 WHERE ln.name = 'error' GROUP BY 1""", LN_SQL, HR_SQL))
@@ -223,7 +251,7 @@ def errors_per_hour(spark, tg):
 
 
 # --- A4 / U3: distinct notifications per minute -------------------------------------
-@report("notifications_per_minute", sql=with_telemetry("""
+@report("notifications_per_minute", sql=graph_sql("""
 SELECT date_trunc('minute', ln.timestamp) AS minute,
        count(DISTINCT (ln.name, ln.timestamp)) AS totalErrorCount
 FROM hr JOIN ln ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp GROUP BY 1""",
@@ -244,7 +272,7 @@ def notifications_per_minute(spark, tg, approx: bool = False, rsd: float = 0.01)
 
 
 # --- A5: count per log type -----------------------------------------------------------
-@report("logs_by_type", headline=True, sql=with_telemetry("""
+@report("logs_by_type", headline=True, sql=graph_sql("""
 SELECT ln.name AS logType, count(*) AS count
 FROM hr JOIN ln ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp GROUP BY 1""",
                                                             LN_SQL, HR_SQL))
@@ -254,14 +282,14 @@ def logs_by_type(spark, tg):
 
 
 # --- A6 / A13 / X3 / X5: averages per air-quality category -------------------------------
-@report("env_avg_by_quality", headline=True, sql=with_telemetry("""
+@report("env_avg_by_quality", headline=True, sql=graph_sql("""
 SELECT CASE WHEN hasAirQuality = 'Good' THEN 'Good' WHEN hasAirQuality = 'Moderate' THEN 'Moderate'
             WHEN hasAirQuality = 'Unhealthy' THEN 'Unhealthy' ELSE 'Other' END AS category,
        round(avg(TRY_CAST(hasHumidity AS DOUBLE)), 6) AS avgHumidity,
        round(avg(TRY_CAST(hasTemperature AS DOUBLE)), 6) AS avgTemperature
 FROM es JOIN hrd ON hrd.es_timestamp = es.hasTimestamp GROUP BY 1""", ES_SQL, HRD_SQL))
 def env_avg_by_quality(spark, tg):
-    es = bind_fixed(_es_edges(spark, tg), topology_envs(spark), ["env"])
+    es = attach(_es_edges(spark, tg), topology_envs(tg), ["env"])
     g = es.groupBy(air_quality_category("hasAirQuality").alias("category")).agg(
         F.avg(F.col("hasHumidity").try_cast("double")).alias("avgHumidity"),
         F.avg(F.col("hasTemperature").try_cast("double")).alias("avgTemperature"))
@@ -269,7 +297,7 @@ def env_avg_by_quality(spark, tg):
 
 
 # --- F4 / J6 / A7: readings at notification instants, counted per category ----------------
-@report("env_quality_during_notifications", sql=with_telemetry("""
+@report("env_quality_during_notifications", sql=graph_sql("""
 SELECT CASE WHEN hasAirQuality = 'Good' THEN 'Good' WHEN hasAirQuality = 'Moderate' THEN 'Moderate'
             WHEN hasAirQuality = 'Unhealthy' THEN 'Unhealthy' ELSE 'Other' END AS category,
        count(*) AS errorCount
@@ -286,7 +314,7 @@ def env_quality_during_notifications(spark, tg):
 
 
 # --- A10: the error-notification instants (the collected list, as rows) --------------------
-@report("collect_error_times", sql=with_telemetry("""
+@report("collect_error_times", sql=graph_sql("""
 SELECT ln.timestamp AS errorTimestamp
 FROM hr JOIN ln ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp
 WHERE ln.name = 'error'""", LN_SQL, HR_SQL))
@@ -297,7 +325,7 @@ def collect_error_times(spark, tg):
 
 # --- J2 / A8 / F3 / X6: average joint position per instant ----------------------------------
 def _joint_position_sql(joint: str) -> str:
-    return with_telemetry(f"""
+    return graph_sql(f"""
 SELECT coalesce(hs.timestamp, s.timestamp) AS timestamp,
        round(avg(s.hasPositionX), 6) AS positionX, round(avg(s.hasPositionY), 6) AS positionY,
        round(avg(s.hasPositionZ), 6) AS positionZ
@@ -308,12 +336,12 @@ GROUP BY 1""", SENSOR_SQL, HS_SQL)
 
 
 def joint_position(spark, tg, joint: str) -> DataFrame:
-    topo = topology_joints(spark).filter(F.col("joint") == joint)
+    topo = topology_joints(tg).filter(F.col("joint") == joint)
     hs = (tg.has_sensor.filter(F.col("joint_name") == joint)
           .select(F.col("joint_name").alias("joint"), "sensor_timestamp",
                   F.col("timestamp").alias("edge_timestamp")))
     s = tg.sensor
-    j = bind_fixed(hs, topo, ["joint"]).join(s, hs.sensor_timestamp == s.timestamp)
+    j = attach(hs, topo, ["joint"]).join(s, hs.sensor_timestamp == s.timestamp)
     t = F.coalesce(F.col("edge_timestamp"), F.col("timestamp"))
     seed_ts = F.lit(fixed.SEED_TIMESTAMP).cast("timestamp_ntz")
     g = (j.filter(t != seed_ts).groupBy(t.alias("ts"))
@@ -334,7 +362,7 @@ def report_joint2_position(spark, tg):
 
 
 # --- O3 / O5: first 1000 readings by time (the top-N is the report's feature) -------------
-@report("humidity_series", sql=with_telemetry("""
+@report("humidity_series", sql=graph_sql("""
 SELECT es.hasTimestamp AS timestamp, es.hasHumidity AS Humidity
 FROM es JOIN hrd ON hrd.es_timestamp = es.hasTimestamp
 ORDER BY timestamp LIMIT 1000""", ES_SQL, HRD_SQL))
@@ -344,7 +372,7 @@ def humidity_series(spark, tg):
             .orderBy(F.col("timestamp").asc_nulls_last()).limit(1000))
 
 
-@report("air_quality_series", sql=with_telemetry("""
+@report("air_quality_series", sql=graph_sql("""
 SELECT es.hasTimestamp AS timestamp,
        CASE es.hasAirQuality WHEN 'Good' THEN 1 WHEN 'Moderate' THEN 2 WHEN 'Unhealthy' THEN 3
             ELSE 0 END AS AirQualityLevel
@@ -358,22 +386,22 @@ def air_quality_series(spark, tg):
 
 
 # --- A9: whole-label counts --------------------------------------------------------------
-@report("count_notifications", sql=with_telemetry("SELECT count(*) AS count FROM ln", LN_SQL))
+@report("count_notifications", sql=graph_sql("SELECT count(*) AS count FROM ln", LN_SQL))
 def count_notifications(spark, tg):
     return tg.log_notification.agg(F.count("*").alias("count"))
 
 
-@report("count_environment", sql=with_telemetry("SELECT count(*) AS count FROM es", ES_SQL))
+@report("count_environment", sql=graph_sql("SELECT count(*) AS count FROM es", ES_SQL))
 def count_environment(spark, tg):
     return tg.environment_sensor.agg(F.count("*").alias("count"))
 
 
-@report("count_sensors", sql=with_telemetry("SELECT count(*) AS count FROM sensor", SENSOR_SQL))
+@report("count_sensors", sql=graph_sql("SELECT count(*) AS count FROM sensor", SENSOR_SQL))
 def count_sensors(spark, tg):
     return tg.sensor.agg(F.count("*").alias("count"))
 
 
-@report("count_error_logs", sql=with_telemetry(
+@report("count_error_logs", sql=graph_sql(
     "SELECT count(*) AS count FROM ln WHERE name = 'error'", LN_SQL))
 def count_error_logs(spark, tg):
     return tg.log_notification.filter(F.col("name") == "error").agg(F.count("*").alias("count"))

@@ -222,3 +222,12 @@ class StoredGraph:
     has_sensor = property(lambda self: self._table("has_sensor"))
     environment_sensor = property(lambda self: self._table("environment_sensor"))
     has_reading = property(lambda self: self._table("has_reading"))
+
+    def _seed(self, name: str) -> DataFrame:
+        df = self.store.read(name)
+        if df is None:
+            raise ValueError("the graph has not been seeded")
+        return df
+
+    seed_nodes = property(lambda self: self._seed("seed_nodes"))
+    seed_edges = property(lambda self: self._seed("seed_edges"))

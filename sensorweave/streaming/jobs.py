@@ -94,7 +94,7 @@ def start_graph_sink(parsed: DataFrame, store: GraphStore, checkpoint: str,
                      trigger: dict | None = None, order: str | list[str] = "event_id") -> StreamingQuery:
     """K3 / K9: foreachBatch -> dedup + three insert-if-absent writes + metrics row."""
     def process(batch: DataFrame, batch_id: int) -> None:
-        staged = batch.withColumn("obs_ts", F.date_trunc("hour", "timestamp"))
+        staged = batch.withColumn("obs_ts", F.col("timestamp"))
         m = store.upsert_batch(staged, batch_id, order=order)
         store.write_metrics(m)
     w = parsed.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
