@@ -29,20 +29,25 @@ def rejects(df: DataFrame, keys) -> DataFrame:
     return df.filter(~null_key_filter(keys))
 
 
+_FIXED_WIDTH = ("boolean", "byte", "short", "integer", "long", "float", "double", "date", "timestamp", "timestamp_ntz")
+
+
 def first_per_key(df: DataFrame, keys, order, values=None) -> DataFrame:
     """One row per key: the row with the smallest ``order`` (deterministic survivor).
 
     ``values`` defaults to every non-key column.  Rows with a null key are dropped
-    (see ``rejects``).
+    (see ``rejects``).  Values of fixed width are picked by one ``min_by`` each, which
+    a hash aggregate can hold; others travel as one struct, which sorts.
     """
     keys, order = _names(keys), _names(order)
     values = [c for c in (values or df.columns) if c not in keys]
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    rows = df.filter(null_key_filter(keys)).groupBy(*keys)
+    if len(order) == 1 and all(kinds[c] in _FIXED_WIDTH for c in [*values, *order]):
+        return rows.agg(*[F.min_by(c, order[0]).alias(c) for c in values])
     packed = F.struct(*[F.col(c) for c in values])
     by = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
-    out = (df.filter(null_key_filter(keys))
-           .groupBy(*keys)
-           .agg(F.min_by(packed, by).alias("_v")))
-    return out.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+    return rows.agg(F.min_by(packed, by).alias("_v")).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
 def last_per_key(df: DataFrame, keys, order, values=None) -> DataFrame:

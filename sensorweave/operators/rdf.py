@@ -1,9 +1,8 @@
 """RDF triples as a DataFrame ``(s, p, o)`` and graph-pattern operators over it.
 
 * basic graph patterns are self-joins of the triples frame (one per pattern);
-* ``rdf:rest*/rdf:first`` list expansion uses pointer jumping: O(log L) join
-  rounds for a list of length L, and no join key is ever hot - a list holding a
-  third of all nodes is split across tasks like any other data;
+* ``rdf:rest*/rdf:first`` list expansion uses forward pointer jumping: O(log L) join
+  rounds for a list of length L;
 * ``rdfs:subClassOf`` closure uses semi-naive doubling (O(log depth) rounds, each
   composing only the pairs found in the previous round).
 
@@ -34,43 +33,73 @@ WITH_RESTRICTIONS = OWL + "withRestrictions"
 MIN_INCL = XSD + "minInclusive"
 MAX_INCL = XSD + "maxInclusive"
 
-MAX_ROUNDS = 64  # 2^64 list length / hierarchy depth: never reached by real data
-
 # N-Triples line: <s> <p> <o> . | _:b <p> "lit"^^<dt> .
 _TERM = r'(<[^>]*>|_:\S+|"(?:[^"\\]|\\.)*"(?:\^\^<[^>]*>|@[A-Za-z-]+)?)'
 _LINE = rf"^\s*{_TERM}\s+{_TERM}\s+{_TERM}\s*\.\s*$"
 
 
+_ESCAPES = (("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ('\\"', '"'))  # fixed values: text in a literal, character
+_IRI = r'^[A-Za-z][A-Za-z0-9+.-]*:[^\s<>"{}|^`\\]*$'
+
+
+def _escaped(c: Column) -> Column:
+    out = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for text, char in _ESCAPES:
+        out = F.replace(out, F.lit(char), F.lit(text))
+    return out
+
+
+def _unescaped(c: Column) -> Column:
+    # an escaped backslash stands aside as a character that no N-Triples text may hold
+    out = F.replace(c, F.lit("\\\\"), F.lit("\0"))
+    for text, char in _ESCAPES:
+        out = F.replace(out, F.lit(text), F.lit(char))
+    return F.replace(out, F.lit("\0"), F.lit("\\"))
+
+
 def _unterm(c: Column) -> Column:
-    """IRI -> bare IRI text, literal -> lexical form (unescaped quotes), blank node as is."""
+    """IRI -> bare IRI text, literal -> lexical form (unescaped), blank node as is."""
     iri = F.regexp_extract(c, r"^<(.*)>$", 1)
-    lit = F.regexp_replace(F.regexp_extract(c, r'^"((?:[^"\\]|\\.)*)"', 1), r'\\"', '"')
+    lit = _unescaped(F.regexp_extract(c, r'^"((?:[^"\\]|\\.)*)"', 1))
     return F.when(c.startswith("<"), iri).when(c.startswith('"'), lit).otherwise(c)
 
 
-def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
-    """Line-oriented N-Triples scan -> (s, p, o); comments / blank lines skipped."""
-    lines = spark.read.text(path)
-    m = [F.regexp_extract("value", _LINE, i) for i in (1, 2, 3)]
-    parsed = lines.select(*[x.alias(n) for x, n in zip(m, ["_s", "_p", "_o"])])
-    return (parsed.filter(F.col("_s") != "")
-            .select(_unterm(F.col("_s")).alias("s"), _unterm(F.col("_p")).alias("p"),
-                    _unterm(F.col("_o")).alias("o")))
+def _kind(c: Column) -> Column:
+    return F.when(c.startswith("<"), F.lit("iri")).when(c.startswith('"'), F.lit("literal")).otherwise(F.lit("blank"))
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.select("value", *[F.regexp_extract("value", _LINE, i).alias(n) for i, n in ((1, "_s"), (2, "_p"), (3, "_o"))])
+
+
+def read_ntriples(spark: SparkSession, path: str, kinds: bool = False) -> DataFrame:
+    """Line-oriented N-Triples scan -> (s, p, o); comments and blank lines are skipped,
+    unparsable ones are in ``ntriples_rejects``.  ``kinds`` adds ``o_kind`` (iri, literal or blank)."""
+    parsed = _scan(spark, path).filter(F.col("_s") != "")
+    more = [_kind(F.col("_o")).alias("o_kind")] if kinds else []
+    return parsed.select(_unterm(F.col("_s")).alias("s"), _unterm(F.col("_p")).alias("p"), _unterm(F.col("_o")).alias("o"), *more)
+
+
+def ntriples_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that are neither a triple, nor a comment, nor blank."""
+    return _scan(spark, path).filter((F.col("_s") == "") & ~F.col("value").rlike(r"^\s*(#.*)?$")).select("value")
 
 
 def to_ntriples(triples: DataFrame) -> DataFrame:
-    """Render (s, p, o) as N-Triples lines (objects that are not IRIs / blank nodes
-    become plain literals)."""
-    def term(c, literal_ok):
-        is_node = c.startswith("_:")
-        is_iri = c.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") & ~is_node
-        as_iri = F.concat(F.lit("<"), c, F.lit(">"))
-        if not literal_ok:
-            return F.when(is_node, c).otherwise(as_iri)
-        lit = F.concat(F.lit('"'), F.regexp_replace(c, '"', r'\\"'), F.lit('"'))
-        return F.when(is_node, c).when(is_iri, as_iri).otherwise(lit)
-    return triples.select(F.concat_ws(" ", term(F.col("s"), False), term(F.col("p"), False),
-                                      term(F.col("o"), True), F.lit(".")).alias("value"))
+    """Render (s, p, o) as N-Triples lines.
+
+    A column ``o_kind`` (iri, literal or blank) says what the object is; without it an
+    object that reads as an IRI or a blank node is one, all others are literals.
+    """
+    def node(c):
+        return F.when(c.startswith("_:"), c).otherwise(F.concat(F.lit("<"), c, F.lit(">")))
+
+    o = F.col("o")
+    kind = F.col("o_kind") if "o_kind" in triples.columns else F.when(o.rlike(r"^_:\S+$"), F.lit("blank")).when(
+        o.rlike(_IRI), F.lit("iri")).otherwise(F.lit("literal"))
+    obj = F.when(kind == "literal", F.concat(F.lit('"'), _escaped(o), F.lit('"'))).otherwise(node(o))
+    return triples.select(F.concat_ws(" ", node(F.col("s")), node(F.col("p")), obj, F.lit(".")).alias("value"))
 
 
 def pred(triples: DataFrame, p: str, s: str = "s", o: str = "o") -> DataFrame:
@@ -89,47 +118,30 @@ def _checkpoint(df: DataFrame) -> DataFrame:
 
 
 # --- J9: list expansion ------------------------------------------------------------------
-def list_positions(rest: DataFrame) -> DataFrame:
-    """For every node of every rdf:rest chain: (node, root, dist) = its list head and
-    0-based position.  Pointer jumping; each round joins only unfinished rows whose
-    pointers are pairwise distinct, so no join key is hot."""
-    r = rest.filter(F.col("next") != RDF_NIL).select("node", "next")
-    # one aggregation gives every node with its predecessor (null for a list head)
-    ends = (r.select(F.col("node").alias("n"), F.lit(None).cast("string").alias("p"))
-            .unionByName(r.select(F.col("next").alias("n"), F.col("node").alias("p"))))
-    preds = ends.groupBy("n").agg(F.min("p").alias("p"))
-    # heads point to themselves at distance 0 and are done; everybody else points
-    # to its predecessor at distance 1 and finds out in the first round
-    init = preds.select(F.col("n").alias("node"), F.coalesce("p", "n").alias("anc"),
-                        F.when(F.col("p").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("dist"),
-                        F.col("p").isNull().alias("done"))
-    state = _checkpoint(init)
-    for _ in range(MAX_ROUNDS):
-        todo = state.filter(~F.col("done"))
-        if todo.isEmpty():
-            break
-        look = state.select(F.col("node").alias("anc"), F.col("anc").alias("_a2"),
-                            F.col("dist").alias("_d2"), F.col("done").alias("_done2"))
-        jumped = todo.join(look, "anc").select(
-            "node", F.col("_a2").alias("anc"), (F.col("dist") + F.col("_d2")).alias("dist"),
-            F.col("_done2").alias("done"))
-        state = _checkpoint(state.filter(F.col("done")).unionByName(jumped))
-    return state.select("node", F.col("anc").alias("root"), "dist")
-
-
 def list_items(triples: DataFrame, heads: DataFrame) -> DataFrame:
-    """``?head rdf:rest*/rdf:first ?item`` for the given heads -> (head, pos, item)."""
-    rest = pred(triples, RDF_REST, "node", "next")
+    """``?head rdf:rest*/rdf:first ?item`` for the given heads -> (head, pos, item).
+
+    Forward pointer jumping: after k rounds each head has its first 2^k nodes, and a
+    table leads from a node to its 2^k-th successor.  Heads may lie inside other
+    lists and lists may share tails.  Every round writes only its new rows.  A cyclic
+    list has no end, so it raises an error.
+    """
     first = pred(triples, RDF_FIRST, "node", "item")
-    pos = list_positions(rest)
-    h = heads.select(F.col("head")).distinct()
-    chained = pos.join(h.withColumnRenamed("head", "root"), "root", "left_semi")
-    # a head without any rdf:rest link (one-element list) is still position 0
-    singles = (h.join(pos.select(F.col("node").alias("head")), "head", "left_anti")
-               .select(F.col("head").alias("node"), F.col("head").alias("root"), F.lit(0).alias("dist")))
-    allpos = chained.unionByName(singles)
-    return allpos.join(first, "node").select(F.col("root").alias("head"),
-                                             F.col("dist").alias("pos"), "item")
+    jump = _checkpoint(pred(triples, RDF_REST, "node", "next").filter(F.col("next") != RDF_NIL))
+    nodes, step = jump.count(), 1
+    h = heads.select("head").distinct()
+    reached = _checkpoint(h.select("head", F.col("head").alias("node"), F.lit(0).cast("long").alias("pos")))
+    while True:
+        new = _checkpoint(reached.join(jump, "node").select("head", F.col("next").alias("node"), (F.col("pos") + step).alias("pos")))
+        if new.isEmpty():
+            break
+        if step > nodes:
+            raise ValueError("a list is cyclic")
+        reached = reached.unionByName(new)
+        jump = _checkpoint(jump.select("node", F.col("next").alias("_mid")).join(
+            jump.select(F.col("node").alias("_mid"), "next"), "_mid").select("node", "next"))
+        step *= 2
+    return reached.join(first, "node").select("head", "pos", "item")
 
 
 # --- D5: transitive closure of a relation ---------------------------------------------------
@@ -144,7 +156,7 @@ def transitive_closure(edges: DataFrame, src: str = "c", dst: str = "p") -> Data
     delta = c
     def cols(df, x, y):  # fresh attribute names per use: the same plan joins itself
         return df.select(F.col("a").alias(x), F.col("b").alias(y))
-    for _ in range(MAX_ROUNDS):
+    while True:  # ends: the pairs of a finite relation are finite
         left = (cols(delta, "da", "db").join(cols(c, "ra", "rb"), F.col("db") == F.col("ra"))
                 .select(F.col("da").alias("a"), F.col("rb").alias("b")))
         right = (cols(c, "la", "lb").join(cols(delta, "xa", "xb"), F.col("lb") == F.col("xa"))
@@ -175,9 +187,9 @@ def restriction_ranges(triples: DataFrame, strict: bool = False) -> DataFrame:
     bgp = onp.join(avf, "r").join(sub, "r").join(wr, "range")
     if strict:
         bgp = bgp.join(pred(triples, ON_DATATYPE, "range", "dt"), "range")
-    # expand every restriction list once; the join with the pattern below keeps the
-    # matching ones (feeding bgp's heads instead would evaluate the pattern twice)
-    items = list_items(triples, wr.select("head"))
+    # the pattern first, once: only the lists that it leaves are expanded
+    bgp = _checkpoint(bgp)
+    items = list_items(triples, bgp.select("head"))
     mins = pred(triples, MIN_INCL, "item", "min")
     maxs = pred(triples, MAX_INCL, "item", "max")
     return (bgp.join(items, "head").join(mins, "item", "left").join(maxs, "item", "left")

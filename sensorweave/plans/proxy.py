@@ -92,12 +92,9 @@ def telemetry_from_events(ev: DataFrame) -> DataFrame:
     )
 
 
-def telemetry(spark: SparkSession, sf_dir: str, parallel: bool = False) -> DataFrame:
-    """The telemetry view.  ``parallel=True`` for plans whose heavy work is narrow
-    (JSON encode / parse): an under-split scan is then spread over all task slots.
-    Aggregating plans shuffle right after the scan anyway and do not need it."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"],
-                    parallel=parallel)
+def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry view."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     return telemetry_from_events(ev)
 
 

@@ -15,33 +15,25 @@ from .proxy import telemetry, with_telemetry
 from .rdf_queries import kb_triples
 from .registry import register
 
-MAX_CONSTRAINT_ROWS = 256  # an ontology states a handful of ranges; checked below
-
-
 def effective_limits(constraints: DataFrame | None) -> dict[str, tuple[float, float]]:
-    """Clamp limits per ontology property.
+    """Clamp limits per governed property.
 
     Start from the fixed defaults; a constraint row overrides them, with the
     reference's effective rule that force and torque are clamped to +/- max.
-    The constraint table is bounded by the ontology, not by the data; its size
-    is checked before it is brought to the driver.
+    The constraints are aggregated to one row, whatever their number.
     """
     limits = dict(fixed.DEFAULT_LIMITS)
     if constraints is None:
         return limits
-    rows = constraints.limit(MAX_CONSTRAINT_ROWS + 1).collect()
-    if len(rows) > MAX_CONSTRAINT_ROWS:
-        raise ValueError("constraint table larger than an ontology's range list")
-    for r in rows:
-        if r["property"] not in limits:
-            continue
-        lo, hi = limits[r["property"]]
-        hi = r["max"] if r["max"] is not None else hi
-        if r["property"] in ("hasForce", "hasTorque"):
+    stated = constraints.agg(*[F.max(F.when(F.col("property") == p, F.col(c))).alias(f"{p}_{c}")
+                               for p in limits for c in ("min", "max")]).first()
+    for p, (lo, hi) in limits.items():
+        hi = stated[f"{p}_max"] if stated[f"{p}_max"] is not None else hi
+        if p in ("hasForce", "hasTorque"):
             lo = -hi
-        elif r["min"] is not None:
-            lo = r["min"]
-        limits[r["property"]] = (lo, hi)
+        elif stated[f"{p}_min"] is not None:
+            lo = stated[f"{p}_min"]
+        limits[p] = (lo, hi)
     return limits
 
 
@@ -77,18 +69,18 @@ def clamp_columns(df: DataFrame, limits: dict[str, tuple[float, float]], keep=("
     return df.select(*out)
 
 
-def violations(df: DataFrame, limits: dict[str, tuple[float, float]], keep=("event_id",)) -> DataFrame:
-    """D3: one row per (record, column) outside its range.  The check is a filtered
-    array per row then ``inline`` - narrow, no unpivot of every value, no shuffle."""
-    cells = []
-    for p, cols in fixed.PROPERTY_COLUMNS.items():
-        lo, hi = limits[p]
-        for c in cols:
-            cells.append(F.struct(F.lit(c).alias("column"), F.lit(p).alias("property"),
-                                  _numeric(c).alias("value"), F.lit(float(lo)).alias("lo"),
-                                  F.lit(float(hi)).alias("hi")))
-    arr = F.filter(F.array(*cells), lambda s: (s["value"] < s["lo"]) | (s["value"] > s["hi"]))
-    return df.select(*keep, F.inline(arr)).withColumn("value", F.round("value", 6))
+def violations(df: DataFrame, constraints: DataFrame, keep=("event_id",)) -> DataFrame:
+    """D3: one row per (record, column) outside the range that the ontology states for its property.
+
+    ``constraints`` are the extracted rows (property, min, max), joined to the values;
+    AQE broadcasts them where they measure small, as an ontology's ranges do.
+    """
+    cells = [F.struct(F.lit(c).alias("column"), F.lit(p).alias("property"), _numeric(c).alias("value"))
+             for p, cols in fixed.PROPERTY_COLUMNS.items() for c in cols]
+    values = df.select(*keep, F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    stated = constraints.select("property", F.col("min").alias("lo"), F.col("max").alias("hi"))
+    return (values.join(stated, "property").filter((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi")))
+            .select(*keep, "column", "property", F.round("value", 6).alias("value"), "lo", "hi"))
 
 
 def _limits_sql_case(limits) -> dict[str, str]:
@@ -114,8 +106,9 @@ def clamp_to_constraints(spark, sf_dir):
 
 def _violations_sql() -> str:
     parts = []
+    ranges = {prop: (float(lo.replace("−", "-")), float(hi)) for _, prop, lo, hi in fixed.KB_RESTRICTIONS}
     for p, cols in fixed.PROPERTY_COLUMNS.items():
-        lo, hi = fixed.DEFAULT_LIMITS[p]
+        lo, hi = ranges[p]
         for c in cols:
             v = f"TRY_CAST({c} AS DOUBLE)" if c == "environment_humidity" else c
             parts.append(f"SELECT event_id, '{c}' AS \"column\", '{p}' AS property, round({v}, 6) AS value, "
@@ -126,7 +119,9 @@ def _violations_sql() -> str:
 
 @register("constraint_violations", sql=_violations_sql())
 def constraint_violations(spark, sf_dir):
-    return violations(telemetry(spark, sf_dir), kb_limits(spark))
+    """Values outside the ranges that the ontology states (not the wider clamp limits)."""
+    stated = RD.fold_constraints(RD.restriction_ranges(kb_triples(spark)))
+    return violations(telemetry(spark, sf_dir), stated)
 
 
 # --- X9 / X10 / A15: kinematics derived from the joint angle --------------------------------------
@@ -210,9 +205,8 @@ e AS (SELECT type, src, dst, type || '|' || src || '|' || dst AS id FROM edges)"
 
 @register("edges_union", sql="WITH " + _edges_sql() + "\nSELECT type, src, dst FROM edges")
 def edges_union(spark, sf_dir):
-    e = path_edges(spark, sf_dir)
-    typed = {t: e.filter(F.col("type") == t) for t in fixed.PATH_EDGE_TYPES}
-    return PT.union_edges(typed).select("type", "src", "dst")
+    # each table is one typed edge source, scanned once
+    return path_edges(spark, sf_dir).filter(F.col("type").isin(fixed.PATH_EDGE_TYPES)).select("type", "src", "dst")
 
 
 @register("path_1_to_3", headline=True, sql="WITH " + _edges_sql() + """
@@ -230,3 +224,20 @@ def path_1_to_3(spark, sf_dir):
     e = path_edges(spark, sf_dir)
     e = e.withColumn("edge_id", F.concat_ws("|", "type", "src", "dst"))
     return PT.paths_up_to(e, 3)
+
+
+@register("path_preview", sql="WITH " + _edges_sql() + """
+SELECT * FROM (
+  SELECT 1 AS hops, src AS start, dst AS "end", src || '->' || dst AS path, type AS types FROM e
+  UNION ALL
+  SELECT 2, e1.src, e2.dst, e1.src || '->' || e1.dst || '->' || e2.dst, e1.type || ',' || e2.type
+  FROM e e1 JOIN e e2 ON e1.dst = e2.src AND e1.id <> e2.id
+  UNION ALL
+  SELECT 3, e1.src, e3.dst, e1.src || '->' || e1.dst || '->' || e2.dst || '->' || e3.dst,
+         e1.type || ',' || e2.type || ',' || e3.type
+  FROM e e1 JOIN e e2 ON e1.dst = e2.src AND e1.id <> e2.id
+  JOIN e e3 ON e2.dst = e3.src AND e3.id <> e1.id AND e3.id <> e2.id) x
+ORDER BY hops, path, types LIMIT 25""")
+def path_preview(spark, sf_dir, limit: int = 25):
+    """The dashboard's preview: the first ``limit`` paths in a total order."""
+    return path_1_to_3(spark, sf_dir).orderBy("hops", "path", "types").limit(limit)

@@ -5,13 +5,16 @@ values) plus a hierarchy and restriction lists derived from the data:
 
   region / nation / customer      owl:Class each; customer subClassOf nation subClassOf region
   order o                         customer subClassOf _:r<o>, a restriction on
-                                  tb:hasPriority<first digit of o_orderpriority>,
+                                  tb:hasPriority_<o_orderpriority, blanks as _>,
                                   allValuesFrom _:d<o> (rdf:type xsd:float, and
                                   owl:onDatatype xsd:float when o_orderstatus = 'F'),
                                   owl:withRestrictions the list _:l<o>_1
   line item #n of order o         list node _:l<o>_n -> item _:i<o>_n; odd n states
                                   xsd:minInclusive l_discount, even n xsd:maxInclusive
                                   l_extendedprice (numbers as text)
+  second item of every 5th order  _:x<o> -> item _:i<o>_1 with the tail _:l<o>_2 shared, stated
+                                  by _:e<o>; _:g<o> states the interior node _:l<o>_2 as a list
+  every 10th customer             rdfs:label with a colon, quotes, a backslash, a tab and a line end
 
 Line items are numbered by their rank over (l_linenumber, l_partkey, l_suppkey,
 l_quantity, l_extendedprice, l_shipdate) within the order.
@@ -31,6 +34,8 @@ from .registry import register
 
 KB = fixed.KB_NAMESPACE
 TB = "http://example.org/tables#"
+LABEL = fixed.RDFS + "label"
+LABEL_TEXT = 'note: a "quoted" back\\slash\tand\na line of customer '
 LI_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
 
 
@@ -70,9 +75,9 @@ def table_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     bn = lambda kind, c: F.concat(F.lit(f"_:{kind}"), F.col(c).cast("string"))
     region = read_table(spark, sf_dir, "region", ["r_regionkey"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
-    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"], parallel=True)
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus",
-                                                  "o_orderpriority"], parallel=True)
+                                                  "o_orderpriority"])
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_discount", *LI_ORDER])
     t_region = region.select(F.inline(F.array(_t(iri("Region", "r_regionkey"), RD.RDF_TYPE, RD.OWL_CLASS))))
     t_nation = nation.select(F.inline(F.array(
@@ -82,7 +87,7 @@ def table_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
         _t(iri("Customer", "c_custkey"), RD.RDF_TYPE, RD.OWL_CLASS),
         _t(iri("Customer", "c_custkey"), RD.SUBCLASS, iri("Nation", "c_nationkey")))))
     r, d = bn("r", "o_orderkey"), bn("d", "o_orderkey")
-    prop = F.concat(F.lit(f"{TB}hasPriority"), F.substring("o_orderpriority", 1, 1))
+    prop = F.concat(F.lit(f"{TB}hasPriority_"), F.translate("o_orderpriority", " ", "_"))
     head = F.concat(bn("l", "o_orderkey"), F.lit("_1"))
     strict = F.when(F.col("o_orderstatus") == "F", F.array(_t(d, RD.ON_DATATYPE, fixed.XSD + "float"))) \
         .otherwise(F.array().cast("array<struct<s:string,p:string,o:string>>"))
@@ -102,7 +107,16 @@ def table_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     facet = F.when(F.col("n") % 2 == 1, _t(item, RD.MIN_INCL, F.col("l_discount").cast("string"))) \
         .otherwise(_t(item, RD.MAX_INCL, F.col("l_extendedprice").cast("string")))
     t_li = num.select(F.inline(F.array(_t(lst, RD.RDF_FIRST, item), _t(lst, RD.RDF_REST, nxt), facet)))
-    return t_region.unionByName(t_nation).unionByName(t_cust).unionByName(t_orders).unionByName(t_li)
+    o = F.col("l_orderkey").cast("string")
+    bno = lambda k: F.concat(F.lit(f"_:{k}"), o)
+    second = num.filter((F.col("l_orderkey") % 5 == 0) & (F.col("n") == 2))
+    t_shared = second.select(F.inline(F.array(
+        _t(bno("e"), RD.WITH_RESTRICTIONS, bno("x")), _t(bno("x"), RD.RDF_FIRST, F.concat(bno("i"), F.lit("_1"))),
+        _t(bno("x"), RD.RDF_REST, F.concat(bno("l"), F.lit("_2"))), _t(bno("g"), RD.WITH_RESTRICTIONS, F.concat(bno("l"), F.lit("_2"))))))
+    t_label = cust.filter(F.col("c_custkey") % 10 == 0).select(F.inline(F.array(
+        _t(iri("Customer", "c_custkey"), LABEL, F.concat(F.lit(LABEL_TEXT), F.col("c_custkey").cast("string"))))))
+    return (t_region.unionByName(t_nation).unionByName(t_cust).unionByName(t_orders).unionByName(t_li)
+            .unionByName(t_shared).unionByName(t_label))
 
 
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +156,7 @@ triples AS (
   UNION ALL SELECT '{TB}Customer_' || c_custkey, '{RD.SUBCLASS}', '{TB}Nation_' || c_nationkey FROM customer
   UNION ALL SELECT '{TB}Customer_' || o_custkey, '{RD.SUBCLASS}', '_:r' || o_orderkey FROM orders
   UNION ALL SELECT '_:r' || o_orderkey, '{RD.RDF_TYPE}', '{RD.OWL_RESTRICTION}' FROM orders
-  UNION ALL SELECT '_:r' || o_orderkey, '{RD.ON_PROPERTY}', '{TB}hasPriority' || substring(o_orderpriority, 1, 1) FROM orders
+  UNION ALL SELECT '_:r' || o_orderkey, '{RD.ON_PROPERTY}', '{TB}hasPriority_' || replace(o_orderpriority, ' ', '_') FROM orders
   UNION ALL SELECT '_:r' || o_orderkey, '{RD.ALL_VALUES_FROM}', '_:d' || o_orderkey FROM orders
   UNION ALL SELECT '_:d' || o_orderkey, '{RD.RDF_TYPE}', '{X}float' FROM orders
   UNION ALL SELECT '_:d' || o_orderkey, '{RD.WITH_RESTRICTIONS}', '_:l' || o_orderkey || '_1' FROM orders
@@ -153,6 +167,11 @@ triples AS (
   UNION ALL SELECT '_:i' || l_orderkey || '_' || n,
     CASE WHEN n % 2 = 1 THEN '{RD.MIN_INCL}' ELSE '{RD.MAX_INCL}' END,
     CASE WHEN n % 2 = 1 THEN CAST(l_discount AS VARCHAR) ELSE CAST(l_extendedprice AS VARCHAR) END FROM num
+  UNION ALL SELECT '_:e' || l_orderkey, '{RD.WITH_RESTRICTIONS}', '_:x' || l_orderkey FROM num WHERE l_orderkey % 5 = 0 AND n = 2
+  UNION ALL SELECT '_:x' || l_orderkey, '{RD.RDF_FIRST}', '_:i' || l_orderkey || '_1' FROM num WHERE l_orderkey % 5 = 0 AND n = 2
+  UNION ALL SELECT '_:x' || l_orderkey, '{RD.RDF_REST}', '_:l' || l_orderkey || '_2' FROM num WHERE l_orderkey % 5 = 0 AND n = 2
+  UNION ALL SELECT '_:g' || l_orderkey, '{RD.WITH_RESTRICTIONS}', '_:l' || l_orderkey || '_2' FROM num WHERE l_orderkey % 5 = 0 AND n = 2
+  UNION ALL SELECT '{TB}Customer_' || c_custkey, '{LABEL}', '{LABEL_TEXT}' || c_custkey FROM customer WHERE c_custkey % 10 = 0
 )"""
 
 
@@ -221,6 +240,13 @@ def rdf_subclass_pairs(spark, sf_dir):
     return subclass_pairs(stored_triples(spark, sf_dir)).orderBy("class", "superclass")
 
 
+@register("rdf_subclass_preview", sql=with_triples(
+    "SELECT class, superclass FROM pairs ORDER BY class, superclass LIMIT 100", SUBCLASS_PAIRS_SQL))
+def rdf_subclass_preview(spark, sf_dir, limit: int = 100):
+    """The report's preview: the first ``limit`` pairs in a total order."""
+    return rdf_subclass_pairs(spark, sf_dir).limit(limit)
+
+
 # --- D5: transitive subclass closure ------------------------------------------------------------------------
 @register("rdf_subclass_closure", sql=with_triples("SELECT class, superclass FROM closure", SUBCLASS_PAIRS_SQL, """
 closure AS (

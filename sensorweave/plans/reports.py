@@ -191,7 +191,7 @@ def match_one_hop(spark, tg):
 
 
 # --- D4 / J3 / J4: error notification coinciding with unhealthy air ----------------
-@report("anomaly_env_error", headline=True, sql=graph_sql("""
+_ANOMALY = """
 SELECT 'Thing' AS thing, 'RobotArm' AS robot, 'Log' AS log, ln.name AS ln_name,
        ln.timestamp AS ln_timestamp, ln.hasMessage AS ln_message, 'Environment' AS env,
        es.hasTimestamp AS es_timestamp, es.hasAirQuality AS es_air_quality,
@@ -199,7 +199,10 @@ SELECT 'Thing' AS thing, 'RobotArm' AS robot, 'Log' AS log, ln.name AS ln_name,
 FROM ln JOIN hr ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp
 JOIN es ON es.hasTimestamp = ln.timestamp
 JOIN hrd ON hrd.es_timestamp = es.hasTimestamp
-WHERE ln.name = 'error' AND es.hasAirQuality = 'Unhealthy'""", LN_SQL, HR_SQL, ES_SQL, HRD_SQL))
+WHERE ln.name = 'error' AND es.hasAirQuality = 'Unhealthy'"""
+
+
+@report("anomaly_env_error", headline=True, sql=graph_sql(_ANOMALY, LN_SQL, HR_SQL, ES_SQL, HRD_SQL))
 def anomaly_env_error(spark, tg):
     """All matches (the report showed the first one); the error filter runs before the join."""
     topo = topology_logs(tg).join(topology_envs(tg), "thing")
@@ -212,6 +215,12 @@ def anomaly_env_error(spark, tg):
                     F.round("hasTemperature", R6).alias("es_temperature"))
 
 
+@report("anomaly_env_error_first", sql=graph_sql(_ANOMALY + " ORDER BY ln.timestamp LIMIT 1", LN_SQL, HR_SQL, ES_SQL, HRD_SQL))
+def anomaly_env_error_first(spark, tg, limit: int = 1):
+    """The report as shown: the first ``limit`` matches by time (one match an instant)."""
+    return anomaly_env_error(spark, tg).orderBy("ln_timestamp").limit(limit)
+
+
 # --- J5: error notification x joint sensor at the same instant --------------------
 @report("anomaly_joint_error", sql=graph_sql("""
 SELECT ln.timestamp AS logTimestamp, ln.hasMessage AS logMessage, hs.joint_name AS jointName,
