@@ -116,15 +116,24 @@ SEED_EDGES = [
     ("HAS_LOCATION", "Environment", "Environment", "Location", "Location"),
     ("POWERED_BY", "Location", "Location", "PowerSupply", "PowerSupply"),
 ]
+# Joints of the full seed: (name, joint type); they stand beside the joints above.
+SEED_FULL_JOINTS = [
+    ("Joint1", "Base Joint"),
+    ("Joint2", "Shoulder Joint"),
+    ("Joint3", "Elbow Joint"),
+    ("Joint4", "Wrist 1 Joint"),
+    ("Joint5", "Wrist 2 Joint"),
+    ("Joint6", "Wrist 3 Joint"),
+]
 # Example sensor values of the full seed: (name, joint, acceleration, current,
 # force, position x, y, z, torque, velocity)
 SEED_SENSORS = [
-    ("Sensor1", "joint_1", 1.5, 2.0, 3.0, 0.5, 1.0, 1.5, 4.0, 2.5),
-    ("Sensor2", "joint_2", 1.2, 1.8, 2.5, 0.4, 0.9, 1.4, 3.5, 2.0),
-    ("Sensor3", "joint_3", 1.3, 1.9, 2.8, 0.45, 0.95, 1.45, 3.8, 2.3),
-    ("Sensor4", "joint_4", 1.4, 2.1, 3.1, 0.48, 0.98, 1.48, 4.1, 2.4),
-    ("Sensor5", "joint_5", 1.6, 2.3, 3.4, 0.52, 1.02, 1.52, 4.4, 2.6),
-    ("Sensor6", "joint_6", 1.7, 2.5, 3.6, 0.54, 1.04, 1.54, 4.6, 2.7),
+    ("Sensor1", "Joint1", 1.5, 2.0, 3.0, 0.5, 1.0, 1.5, 4.0, 2.5),
+    ("Sensor2", "Joint2", 1.2, 1.8, 2.5, 0.4, 0.9, 1.4, 3.5, 2.0),
+    ("Sensor3", "Joint3", 1.3, 1.9, 2.8, 0.45, 0.95, 1.45, 3.8, 2.3),
+    ("Sensor4", "Joint4", 1.4, 2.1, 3.1, 0.48, 0.98, 1.48, 4.1, 2.4),
+    ("Sensor5", "Joint5", 1.6, 2.3, 3.4, 0.52, 1.02, 1.52, 4.4, 2.6),
+    ("Sensor6", "Joint6", 1.7, 2.5, 3.6, 0.54, 1.04, 1.54, 4.6, 2.7),
 ]
 # Environment sub-sensors of the full seed: (label, name, property, value, edge type)
 SEED_ENV_SUBSENSORS = [
@@ -135,3 +144,44 @@ SEED_ENV_SUBSENSORS = [
 
 # Edge types of the dashboard's variable-length path report.
 PATH_EDGE_TYPES = ["HAS_A", "HAS_JOINT", "POWERED_BY", "HAS_LOGS", "HAS_LOCATION"]
+
+# Nodes created for each event by the bulk create: (label, name, {property: telemetry expression or text})
+UNWIND_NODES = [
+    ("Thing", "Thing", {}),
+    ("RobotArm", "RobotArm", {"hasRobotName": "'RobotArm1'"}),
+    ("Joint", "Joint", {"hasJointType": "joint_name"}),
+    ("Sensor", "Sensor", {"hasAcceleration": "joint_angle", "hasCurrent": "current", "hasForce": "force_x",
+                          "hasPositionX": "position_x", "hasPositionY": "position_y", "hasPositionZ": "position_z",
+                          "hasTorque": "torque_y", "hasVelocity": "velocity"}),
+    ("Location", "Location", {"inBuilding": "'BuildingA'", "inWorkstation": "'Workstation5'"}),
+    ("PowerSupply", "PowerSupply", {"hasVoltage": "220.0"}),
+    ("Environment", "Environment", {}),
+    ("EnvironmentSensor", "EnvironmentSensor", {}),
+    ("AirQualitySensor", "AirQualitySensor", {"hasAirQuality": "environment_air_quality"}),
+    ("HumiditySensor", "HumiditySensor", {"hasHumidity": "environment_humidity"}),
+    ("TemperatureSensor", "TemperatureSensor", {"hasTemperature": "environment_temperature"}),
+    ("Log", "Log", {}),
+    ("WarnLog", "WarnLog", {"hasTimestamp": "CASE WHEN log_type = 'warn' THEN ts END",
+                            "hasMessage": "CASE WHEN log_type = 'warn' THEN log_message END"}),
+    ("InfoLog", "InfoLog", {"hasTimestamp": "CASE WHEN log_type = 'info' THEN ts END",
+                            "hasMessage": "CASE WHEN log_type = 'info' THEN log_message END"}),
+    ("ErrorLog", "ErrorLog", {"hasTimestamp": "CASE WHEN log_type = 'error' THEN ts END",
+                              "hasMessage": "CASE WHEN log_type = 'error' THEN log_message END"}),
+]
+# The relationships created between one event's nodes (type, from, to)
+UNWIND_EDGES = [
+    ("HAS_JOINT", "RobotArm", "Joint"),
+    ("HAS_SENSOR", "Joint", "Sensor"),
+    ("HAS_A", "Thing", "RobotArm"),
+    ("HAS_A", "Thing", "Environment"),
+    ("HAS_READING", "Environment", "EnvironmentSensor"),
+    ("HAS_AIRQUALITY", "EnvironmentSensor", "AirQualitySensor"),
+    ("HAS_HUMIDITY", "EnvironmentSensor", "HumiditySensor"),
+    ("HAS_TEMPERATURE", "EnvironmentSensor", "TemperatureSensor"),
+    ("HAS_LOGS", "RobotArm", "Log"),
+    ("HAS_RECORD", "Log", "WarnLog"),
+    ("HAS_RECORD", "Log", "InfoLog"),
+    ("HAS_RECORD", "Log", "ErrorLog"),
+    ("HAS_LOCATION", "Environment", "Location"),
+    ("POWERED_BY", "Location", "PowerSupply"),
+]

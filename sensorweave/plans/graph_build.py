@@ -66,6 +66,9 @@ def seed_rows(full: bool = False):
         for lbl, name, prop, val, etype in fixed.SEED_ENV_SUBSENSORS:
             nodes.append((lbl, name, {prop: val}))
             edges.append((etype, "EnvironmentSensor", "EnvironmentSensor", lbl, name))
+        for name, kind in fixed.SEED_FULL_JOINTS:
+            nodes.append(("Joint", name, {"hasJointType": kind}))
+            edges.append(("HAS_JOINT", "RobotArm", "RobotArm", "Joint", name))
         for s in fixed.SEED_SENSORS:
             name, joint = s[0], s[1]
             props = dict(zip(["hasAcceleration", "hasCurrent", "hasForce", "hasPositionX",
@@ -78,7 +81,7 @@ def seed_rows(full: bool = False):
 
 
 def seed_nodes(spark: SparkSession, full: bool = False) -> DataFrame:
-    """Seed topology nodes (fixed, 15-26 rows); idempotent by (label, name)."""
+    """Seed topology nodes (fixed, 15 or 31 rows); idempotent by (label, name)."""
     nodes, _ = seed_rows(full)
     return spark.createDataFrame(nodes, NODE_SCHEMA)
 
@@ -88,6 +91,16 @@ def seed_edges(spark: SparkSession, full: bool = False) -> DataFrame:
     return spark.createDataFrame(edges, EDGE_SCHEMA)
 
 
+def seed_into(nodes: DataFrame | None, edges: DataFrame | None, spark: SparkSession, full: bool = False) -> tuple[DataFrame, DataFrame]:
+    """M1 / M2: MERGE the seed into existing node and edge tables; what is there stays."""
+    new_nodes, new_edges = seed_nodes(spark, full), seed_edges(spark, full)
+    if nodes is not None:
+        new_nodes = nodes.unionByName(new_nodes.join(nodes.select("label", "name"), ["label", "name"], "left_anti"))
+    if edges is not None:
+        new_edges = edges.unionByName(new_edges.join(edges, EDGE_SCHEMA.names, "left_anti"))
+    return new_nodes, new_edges
+
+
 def joint_nodes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(fixed.SEED_JOINT_TYPES, "name string, hasJointType string")
 

@@ -16,6 +16,7 @@ from ..operators import graph as G
 from ..operators import windows as W
 from ..sinks.tables import append_nodes
 from ..session import scratch_path
+from ..sources.tables import read_table
 from . import graph_build as GB
 from .proxy import telemetry, with_telemetry
 from .registry import register
@@ -36,31 +37,53 @@ def _props_text(m):
         e["key"], F.lit("="), e["value"]))), ",")
 
 
+# Oracles of the seed, written by hand from the seed statements.
+_SEED_NODES_SQL = """
+  ('Thing', 'Thing', ''), ('RobotArm', 'RobotArm', 'hasRobotName=RoboArm1'), ('Environment', 'Environment', ''),
+  ('Location', 'Location', 'inBuilding=BuildingA,inWorkstation=Workstation5'), ('PowerSupply', 'PowerSupply', 'hasVoltage=220.0'),
+  ('Log', 'Log', ''), ('Joint', 'joint_1', 'hasJointType=Base Joint'), ('Joint', 'joint_2', 'hasJointType=Shoulder Joint'),
+  ('Joint', 'joint_3', 'hasJointType=Elbow Joint'), ('Joint', 'joint_4', 'hasJointType=Wrist 1 Joint'),
+  ('Joint', 'joint_5', 'hasJointType=Wrist 2 Joint'), ('Joint', 'joint_6', 'hasJointType=Wrist 3 Joint'),
+  ('WarnLog', 'WarnLog', 'hasMessage=Warning log message,hasTimestamp=2024-07-01 12:00:00'),
+  ('InfoLog', 'InfoLog', 'hasMessage=Info log message,hasTimestamp=2024-07-01 12:00:00'),
+  ('ErrorLog', 'ErrorLog', 'hasMessage=Error log message,hasTimestamp=2024-07-01 12:00:00')"""
+_FULL_NODES_SQL = """,
+  ('EnvironmentSensor', 'EnvironmentSensor', ''), ('AirQualitySensor', 'AirQualitySensor', 'hasAirQuality=Good'),
+  ('HumiditySensor', 'HumiditySensor', 'hasHumidity=45.0'), ('TemperatureSensor', 'TemperatureSensor', 'hasTemperature=22.0'),
+  ('Joint', 'Joint1', 'hasJointType=Base Joint'), ('Joint', 'Joint2', 'hasJointType=Shoulder Joint'),
+  ('Joint', 'Joint3', 'hasJointType=Elbow Joint'), ('Joint', 'Joint4', 'hasJointType=Wrist 1 Joint'),
+  ('Joint', 'Joint5', 'hasJointType=Wrist 2 Joint'), ('Joint', 'Joint6', 'hasJointType=Wrist 3 Joint'),
+  ('Sensor', 'Sensor1', 'hasAcceleration=1.5,hasCurrent=2.0,hasForce=3.0,hasPositionX=0.5,hasPositionY=1.0,hasPositionZ=1.5,hasTimestamp=2024-07-01 12:00:00,hasTorque=4.0,hasVelocity=2.5'),
+  ('Sensor', 'Sensor2', 'hasAcceleration=1.2,hasCurrent=1.8,hasForce=2.5,hasPositionX=0.4,hasPositionY=0.9,hasPositionZ=1.4,hasTimestamp=2024-07-01 12:00:00,hasTorque=3.5,hasVelocity=2.0'),
+  ('Sensor', 'Sensor3', 'hasAcceleration=1.3,hasCurrent=1.9,hasForce=2.8,hasPositionX=0.45,hasPositionY=0.95,hasPositionZ=1.45,hasTimestamp=2024-07-01 12:00:00,hasTorque=3.8,hasVelocity=2.3'),
+  ('Sensor', 'Sensor4', 'hasAcceleration=1.4,hasCurrent=2.1,hasForce=3.1,hasPositionX=0.48,hasPositionY=0.98,hasPositionZ=1.48,hasTimestamp=2024-07-01 12:00:00,hasTorque=4.1,hasVelocity=2.4'),
+  ('Sensor', 'Sensor5', 'hasAcceleration=1.6,hasCurrent=2.3,hasForce=3.4,hasPositionX=0.52,hasPositionY=1.02,hasPositionZ=1.52,hasTimestamp=2024-07-01 12:00:00,hasTorque=4.4,hasVelocity=2.6'),
+  ('Sensor', 'Sensor6', 'hasAcceleration=1.7,hasCurrent=2.5,hasForce=3.6,hasPositionX=0.54,hasPositionY=1.04,hasPositionZ=1.54,hasTimestamp=2024-07-01 12:00:00,hasTorque=4.6,hasVelocity=2.7')"""
+# the telemetry's joints carry the seeded names, and one robot's unknown joint (user 7 of 8) does not
+_EXTRA_JOINT = "'joint_' || CAST(user_id % 6 + 1 AS VARCHAR) || '_' || CAST(user_id % 8 AS VARCHAR)"
+
+
 def _seed_sql(full: bool) -> str:
-    nodes, _ = GB.seed_rows(full)
-    vals = ",\n  ".join(
-        "('{}', '{}', '{}')".format(lbl, name, ",".join(f"{k}={v}" for k, v in sorted(p.items())))
-        for lbl, name, p in nodes)
-    seed_joints = ", ".join(f"'{n}'" for n, _ in fixed.SEED_JOINT_TYPES)
     return with_telemetry(f"""
-SELECT label, name, props FROM (VALUES
-  {vals}) v(label, name, props)
+SELECT label, name, props FROM (VALUES {_SEED_NODES_SQL}{_FULL_NODES_SQL if full else ''}) v(label, name, props)
 UNION ALL
-SELECT DISTINCT 'Joint' AS label, joint_name AS name, '' AS props FROM telemetry
-WHERE joint_name IS NOT NULL AND joint_name NOT IN ({seed_joints})""")
+SELECT DISTINCT 'Joint', {_EXTRA_JOINT}, '' FROM events WHERE user_id % 8 = 7 AND user_id IS NOT NULL""")
 
 
 def seed_graph(spark, sf_dir, full: bool) -> DataFrame:
-    """Seed nodes, then MERGE (j:Joint {name}) for every joint the telemetry names.
+    """Seed nodes, then MERGE (j:Joint {name}) for every joint the events name.
 
-    Seeding is idempotent: joints already seeded match by name and add nothing.
+    Seeding merges: seeding twice adds nothing, and joints already seeded match by name.
+    Users of the seventh kind work a joint that no seed knows.
     """
-    seed = GB.seed_nodes(spark, full).select("label", "name", _props_text(F.col("props")).alias("props"))
-    tel = telemetry(spark, sf_dir)
-    seen = (tel.select(F.col("joint_name").alias("name")).filter(F.col("name").isNotNull())
-            .distinct())
-    seeded = seed.filter(F.col("label") == "Joint").select("name")
-    new = (seen.join(F.broadcast(seeded), "name", "left_anti")
+    once = GB.seed_into(None, None, spark, full)
+    seed, _ = GB.seed_into(*once, spark, full)
+    seed = seed.select("label", "name", _props_text(F.col("props")).alias("props"))
+    plain = F.concat(F.lit("joint_"), (F.col("user_id") % 6 + 1).cast("string"))
+    own = F.when(F.col("user_id") % 8 == 7, F.concat(plain, F.lit("_"), (F.col("user_id") % 8).cast("string"))).otherwise(plain)
+    seen = (read_table(spark, sf_dir, "events", ["user_id"]).select(own.alias("name"))
+            .filter(F.col("name").isNotNull()).distinct())
+    new = (seen.join(seed.filter(F.col("label") == "Joint").select("name"), "name", "left_anti")
            .select(F.lit("Joint").alias("label"), "name", F.lit("").alias("props")))
     return seed.unionByName(new)
 
@@ -75,6 +98,29 @@ def graph_seed_full(spark, sf_dir):
     return seed_graph(spark, sf_dir, True)
 
 
+@register("graph_seed_edges", sql=with_telemetry("""
+SELECT * FROM (VALUES
+  ('HAS_A', 'Thing', 'RobotArm'), ('HAS_JOINT', 'RobotArm', 'joint_1'), ('HAS_JOINT', 'RobotArm', 'joint_2'),
+  ('HAS_JOINT', 'RobotArm', 'joint_3'), ('HAS_JOINT', 'RobotArm', 'joint_4'), ('HAS_JOINT', 'RobotArm', 'joint_5'),
+  ('HAS_JOINT', 'RobotArm', 'joint_6'), ('HAS_LOGS', 'RobotArm', 'Log'), ('HAS_RECORD', 'Log', 'WarnLog'),
+  ('HAS_RECORD', 'Log', 'InfoLog'), ('HAS_RECORD', 'Log', 'ErrorLog'), ('HAS_A', 'Thing', 'Environment'),
+  ('HAS_LOCATION', 'Environment', 'Location'), ('POWERED_BY', 'Location', 'PowerSupply'),
+  ('HAS_JOINT', 'RobotArm', 'Joint1'), ('HAS_JOINT', 'RobotArm', 'Joint2'), ('HAS_JOINT', 'RobotArm', 'Joint3'),
+  ('HAS_JOINT', 'RobotArm', 'Joint4'), ('HAS_JOINT', 'RobotArm', 'Joint5'), ('HAS_JOINT', 'RobotArm', 'Joint6'),
+  ('HAS_SENSOR', 'Joint1', 'Sensor1'), ('HAS_SENSOR', 'Joint2', 'Sensor2'), ('HAS_SENSOR', 'Joint3', 'Sensor3'),
+  ('HAS_SENSOR', 'Joint4', 'Sensor4'), ('HAS_SENSOR', 'Joint5', 'Sensor5'), ('HAS_SENSOR', 'Joint6', 'Sensor6'),
+  ('HAS_READING', 'Environment', 'EnvironmentSensor'), ('HAS_AIRQUALITY', 'EnvironmentSensor', 'AirQualitySensor'),
+  ('HAS_HUMIDITY', 'EnvironmentSensor', 'HumiditySensor'), ('HAS_TEMPERATURE', 'EnvironmentSensor', 'TemperatureSensor')
+) v(type, src, dst)
+UNION ALL SELECT DISTINCT 'HAS_SENSOR', joint_name, sensor_name FROM telemetry WHERE joint_name IS NOT NULL"""))
+def graph_seed_edges(spark, sf_dir):
+    """The full seed's relationships, merged twice, and each joint's link to its sensors in the telemetry."""
+    _, edges = GB.seed_into(*GB.seed_into(None, None, spark, True), spark, True)
+    seen = telemetry(spark, sf_dir).filter(F.col("joint_name").isNotNull()).select(
+        F.lit("HAS_SENSOR").alias("type"), F.col("joint_name").alias("src"), F.col("sensor_name").alias("dst")).distinct()
+    return edges.select("type", F.col("src_name").alias("src"), F.col("dst_name").alias("dst")).unionByName(seen)
+
+
 # --- M14 ----------------------------------------------------------------------------
 @register("dedup_timestamp", sql=with_telemetry("""
 SELECT obs_ts, event_id, joint_name, log_type FROM (
@@ -145,9 +191,20 @@ def merge_has_reading(spark, sf_dir):
     return GB.merge_has_reading(allrows, GB.merge_has_reading(first))
 
 
-# --- M9 / M10: last-write-wins summaries over the window aggregates -----------------------
+# --- M9 / M10: last-write-wins summaries over the window aggregates, with their anchors -----
+def anchored(summary: DataFrame, seed: DataFrame, label: str, edge: str) -> DataFrame:
+    """MATCH the anchor node, then its relationship to each summary node; without the anchor nothing.
+
+    The seed's size is fixed, so its one matching row is broadcast.
+    """
+    anchor = seed.filter((F.col("label") == label) & (F.col("name") == label)).select(F.col("name").alias("src"))
+    keyed = summary.withColumn("_a", F.lit(label))
+    return (keyed.join(F.broadcast(anchor), F.col("_a") == F.col("src")).drop("_a")
+            .withColumn("edge", F.lit(edge)))
+
+
 @register("summary_log_latest", sql=with_telemetry(f"""
-SELECT log_type AS logType, arg_max(log_count, ws) AS count, max(ws) AS timestamp FROM (
+SELECT log_type AS logType, arg_max(log_count, ws) AS count, max(ws) AS timestamp, 'Log' AS src, 'HAS_LOG_SUMMARY' AS edge FROM (
   SELECT {WS_SQL} AS ws, log_type, count(log_type) AS log_count FROM telemetry GROUP BY 1, 2) w
 WHERE log_type IS NOT NULL GROUP BY log_type"""))
 def summary_log_latest(spark, sf_dir):
@@ -156,87 +213,65 @@ def summary_log_latest(spark, sf_dir):
     rows = w.filter(F.col("log_type").isNotNull()).select(
         F.col("log_type").alias("logType"), F.col("log_count").alias("count"),
         F.col("window_start").alias("timestamp"))
-    return G.upsert_latest(rows, None, ["logType"], ["timestamp"])
+    return anchored(G.upsert_latest(rows, None, ["logType"], ["timestamp"]), GB.seed_nodes(spark), "Log", "HAS_LOG_SUMMARY")
 
 
 @register("summary_env_latest", sql=with_telemetry(f"""
-SELECT round(arg_max(avg_humidity, ws), 6) AS avg_humidity, max(ws) AS timestamp FROM (
+SELECT round(arg_max(avg_humidity, ws), 6) AS avg_humidity, max(ws) AS timestamp, 'Environment' AS src, 'HAS_ENV_SUMMARY' AS edge FROM (
   SELECT {WS_SQL} AS ws, avg(TRY_CAST(environment_humidity AS DOUBLE)) AS avg_humidity
   FROM telemetry GROUP BY 1) w"""))
 def summary_env_latest(spark, sf_dir):
     """The single EnvironmentSummary node after all window upserts (latest wins)."""
     w = W.window_avg_humidity(telemetry(spark, sf_dir), ts="ts")
     rows = w.select("avg_humidity", F.col("window_start").alias("timestamp"))
-    out = G.upsert_latest(rows, None, [], ["timestamp"])
-    return out.select(F.round("avg_humidity", 6).alias("avg_humidity"), "timestamp")
+    out = G.upsert_latest(rows, None, [], ["timestamp"]).select(F.round("avg_humidity", 6).alias("avg_humidity"), "timestamp")
+    return anchored(out, GB.seed_nodes(spark), "Environment", "HAS_ENV_SUMMARY")
 
 
 # --- M11 / U2: UNWIND events -> CREATE many nodes per event --------------------------------
-_UNWIND = [  # (label, name expression, numeric value column or None, text value column or None)
-    ("Thing", "'Thing'", None, None),
-    ("RobotArm", "'RobotArm'", None, None),
-    ("Joint", "joint_name", None, None),
-    ("Sensor", "sensor_name", "joint_angle", None),
-    ("Location", "'Location'", None, None),
-    ("PowerSupply", "'PowerSupply'", None, None),
-    ("Environment", "'Environment'", None, None),
-    ("EnvironmentSensor", "'EnvironmentSensor'", None, None),
-    ("AirQualitySensor", "'AirQualitySensor'", None, "environment_air_quality"),
-    ("HumiditySensor", "'HumiditySensor'", None, "environment_humidity"),
-    ("TemperatureSensor", "'TemperatureSensor'", "environment_temperature", None),
-    ("Log", "'Log'", None, None),
-    ("WarnLog", "'WarnLog'", None, "CASE WHEN log_type = 'warn' THEN log_message END"),
-    ("InfoLog", "'InfoLog'", None, "CASE WHEN log_type = 'info' THEN log_message END"),
-    ("ErrorLog", "'ErrorLog'", None, "CASE WHEN log_type = 'error' THEN log_message END"),
-]
-# fixed values: the relationships created between one event's nodes (type, from, to)
-_UNWIND_EDGES = [
-    ("HAS_JOINT", "RobotArm", "Joint"),
-    ("HAS_SENSOR", "Joint", "Sensor"),
-    ("HAS_A", "Thing", "RobotArm"),
-    ("HAS_A", "Thing", "Environment"),
-    ("HAS_READING", "Environment", "EnvironmentSensor"),
-    ("HAS_AIRQUALITY", "EnvironmentSensor", "AirQualitySensor"),
-    ("HAS_HUMIDITY", "EnvironmentSensor", "HumiditySensor"),
-    ("HAS_TEMPERATURE", "EnvironmentSensor", "TemperatureSensor"),
-    ("HAS_LOGS", "RobotArm", "Log"),
-    ("HAS_RECORD", "Log", "WarnLog"),
-    ("HAS_RECORD", "Log", "InfoLog"),
-    ("HAS_RECORD", "Log", "ErrorLog"),
-    ("HAS_LOCATION", "Environment", "Location"),
-    ("POWERED_BY", "Location", "PowerSupply"),
-]
-
-
 def _unwind_sql() -> str:
-    items = [
-        "{{'kind': 'node', 'label': '{}', 'name': {}, 'num_value': {}, 'text_value': {}}}".format(
-            lbl, name, f"round({num}, 6)" if num else "CAST(NULL AS DOUBLE)",
-            txt if txt else "CAST(NULL AS VARCHAR)")
-        for lbl, name, num, txt in _UNWIND]
-    items += [
-        "{{'kind': 'edge', 'label': '{}', 'name': '{}->{}', 'num_value': CAST(NULL AS DOUBLE), "
-        "'text_value': CAST(NULL AS VARCHAR)}}".format(t, a, b) for t, a, b in _UNWIND_EDGES]
+    """One struct for each property of each node, and for each relationship."""
+    def cell(kind, label, name, prop, value):
+        return "{{'kind': '{}', 'label': '{}', 'name': '{}', 'prop': {}, 'value': {}}}".format(kind, label, name, prop, value)
+
+    null = "CAST(NULL AS VARCHAR)"
+    items = []
+    for lbl, name, props in fixed.UNWIND_NODES:
+        items.append(cell("node", lbl, name, null, null))
+        for k, v in props.items():
+            number = v in _NUMBERS
+            items.append(cell("prop", lbl, name, f"'{k}'", f"printf('%.6f', {v})" if number else
+                              f"strftime({v}, '%Y-%m-%d %H:%M:%S.%f')" if k == "hasTimestamp" else f"CAST({v} AS VARCHAR)"))
+    items += [cell("edge", t, f"{a}->{b}", null, null) for t, a, b in fixed.UNWIND_EDGES]
     return with_telemetry(f"""
-SELECT event_id, n.kind AS kind, n.label AS label, n.name AS name, n.num_value AS num_value,
-       n.text_value AS text_value
+SELECT event_id, n.kind AS kind, n.label AS label, n.name AS name, n.prop AS prop, n.value AS value
 FROM (SELECT event_id, unnest([{", ".join(items)}]) AS n FROM telemetry) x""")
 
 
+_NUMBERS = ("joint_angle", "current", "force_x", "position_x", "position_y", "position_z", "torque_y", "velocity",
+            "environment_temperature")
+
+
 @register("unwind_create", sql=_unwind_sql())
 def unwind_create(spark, sf_dir):
-    """Each event creates 15 nodes and the 14 relationships between them (no dedup):
-    an ``inline`` of per-row structs - a narrow flat-map, no shuffle; the output
-    grows 29x with the input."""
-    tel = telemetry(spark, sf_dir)
-    nodes = [F.struct(F.lit("node").alias("kind"), F.lit(lbl).alias("label"), F.expr(name).alias("name"),
-                      (F.round(num, 6) if num else F.lit(None).cast("double")).alias("num_value"),
-                      (F.expr(txt) if txt else F.lit(None).cast("string")).alias("text_value"))
-             for lbl, name, num, txt in _UNWIND]
-    edges = [F.struct(F.lit("edge").alias("kind"), F.lit(t).alias("label"), F.lit(f"{a}->{b}").alias("name"),
-                      F.lit(None).cast("double").alias("num_value"), F.lit(None).cast("string").alias("text_value"))
-             for t, a, b in _UNWIND_EDGES]
-    return tel.select("event_id", F.inline(F.array(*nodes, *edges)))
+    """Each event creates 15 nodes, their properties and the 14 relationships between them (no
+    dedup): an ``inline`` of per-row structs - a narrow flat-map, no shuffle; the output is one
+    row for each node, property and relationship."""
+    def cell(kind, label, name, prop=None, value=None):
+        text = F.lit(None).cast("string")
+        return F.struct(F.lit(kind).alias("kind"), F.lit(label).alias("label"), F.lit(name).alias("name"),
+                        (F.lit(prop) if prop else text).alias("prop"), (text if value is None else value).alias("value"))
+
+    def shown(prop, expr):
+        if expr in _NUMBERS:
+            return F.format_string("%.6f", F.expr(expr))
+        return F.date_format(F.expr(expr), "yyyy-MM-dd HH:mm:ss.SSSSSS") if prop == "hasTimestamp" else F.expr(expr).cast("string")
+
+    cells = []
+    for lbl, name, props in fixed.UNWIND_NODES:
+        cells += [cell("node", lbl, name), *[cell("prop", lbl, name, k, shown(k, v)) for k, v in props.items()]]
+    cells += [cell("edge", t, f"{a}->{b}") for t, a, b in fixed.UNWIND_EDGES]
+    return telemetry(spark, sf_dir).select("event_id", F.inline(F.array(*cells)))
 
 
 # --- K6: append rows as labelled nodes, no dedup -----------------------------------------
@@ -258,17 +293,28 @@ def append_label_nodes(spark, sf_dir):
 SELECT coalesce(es.hasTimestamp, e.ts) AS hasTimestamp,
        CASE WHEN e.ts IS NOT NULL THEN 'Unhealthy' ELSE es.hasAirQuality END AS hasAirQuality,
        e.ts IS NOT NULL AS backfilled,
-       CASE WHEN e.ts IS NOT NULL THEN true END AS in_range
+       CASE WHEN e.ts IS NOT NULL THEN true END AS in_range,
+       (hrd.env_name IS NOT NULL OR e.ts IS NOT NULL) AS linked
 FROM es FULL OUTER JOIN (SELECT DISTINCT timestamp AS ts FROM ln WHERE name = 'error') e
-  ON es.hasTimestamp = e.ts""", LN_SQL, ES_SQL))
+  ON es.hasTimestamp = e.ts LEFT JOIN hrd ON hrd.es_timestamp = coalesce(es.hasTimestamp, e.ts)""", LN_SQL, ES_SQL, HRD_SQL))
 def backfill_unhealthy(spark, sf_dir):
     """Readings after the back-fill; random humidity / temperature replaced by a range check."""
     tg = _graph(spark, sf_dir)
     out = backfill(tg.environment_sensor, tg.log_notification)
     in_range = ((F.col("hasHumidity").try_cast("double") >= 0) & (F.col("hasHumidity").try_cast("double") < 100)
                 & (F.col("hasTemperature") >= 15) & (F.col("hasTemperature") < 25))
-    return out.select("hasTimestamp", "hasAirQuality", "backfilled",
-                      F.when(F.col("backfilled"), in_range).alias("in_range"))
+    links = backfill_links(tg.has_reading, out).select(F.col("es_timestamp").alias("hasTimestamp"), F.lit(True).alias("linked"))
+    return (out.join(links.distinct(), "hasTimestamp", "left")
+            .select("hasTimestamp", "hasAirQuality", "backfilled", F.when(F.col("backfilled"), in_range).alias("in_range"),
+                    F.coalesce("linked", F.lit(False)).alias("linked")))
+
+
+def backfill_links(has_reading: DataFrame, filled: DataFrame) -> DataFrame:
+    """MERGE of Environment-[:HAS_READING]->(reading) for every back-filled reading."""
+    new = filled.filter("backfilled").select(F.lit("Environment").alias("env_name"), F.col("hasTimestamp").alias("es_timestamp"),
+                                             F.col("hasTimestamp").alias("timestamp"))
+    keys = ["env_name", "es_timestamp"]
+    return has_reading.unionByName(new.join(has_reading.select(*keys), keys, "left_anti"))
 
 
 def backfill(readings: DataFrame, notifications: DataFrame, seed: int = 42) -> DataFrame:
