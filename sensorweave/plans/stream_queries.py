@@ -2,10 +2,9 @@
 ``availableNow`` into sinks under the shared checkpoint folder, and the sink
 is read back as the result.
 
-Message files are written in three time-ordered appends (days 1-10, 11-20,
-21-31) of ``FILES_PER_APPEND`` round-robin files each, and a micro-batch takes
-exactly that many files (oldest first), so every batch is one whole append and
-an hour - the graph's event-timestamp key - never spans two batches.
+Message files are written in time-ordered appends: equal spans between the first
+and the last event time, events without a time in the last one.  Each append has
+as many files as the input's size asks for, and a micro-batch takes one whole append.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..operators import parse as P
 from ..session import scratch_path
-from ..sinks.tables import append_nodes
 from ..sinks.topic import publish
 from ..streaming import jobs as J
 from ..streaming.graph_store import GraphStore
@@ -23,34 +21,48 @@ from .proxy import telemetry, with_telemetry
 from .registry import register
 from .reports import WS_SQL
 
-SEGMENTS = [(1, 10), (11, 20), (21, 31)]
-FILES_PER_APPEND = 4
+APPENDS = 3
+FILE_ROWS = 25_000
 
 
-def _segment(df: DataFrame, lo: int, hi: int, ts: str = "ts") -> DataFrame:
-    d = F.dayofmonth(ts)
-    return df.filter((d >= lo) & (d <= hi))
+def segment_sql(n: int) -> str:
+    """The append, from 0, of an event in DuckDB; the same rule as ``_segments``."""
+    return (f"coalesce(({n} * (epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events))) // "
+            f"(SELECT max(epoch_us(ts)) - min(epoch_us(ts)) + 1 FROM events), {n - 1})")
 
 
-def write_topic(spark, sf_dir, path, segments=SEGMENTS, encoder=P.encode_v2) -> None:
-    tel = telemetry(spark, sf_dir)
-    for lo, hi in segments:
-        publish(encoder(_segment(tel, lo, hi)), path, files=FILES_PER_APPEND)
+def _segments(df: DataFrame, n: int, ts: str = "ts") -> tuple[list[DataFrame], int]:
+    """``df`` in ``n`` spans of time, and the files that each of them takes."""
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    lo, hi, rows = df.agg(F.min(us), F.max(us), F.count("*")).first()
+    at = F.lit(n - 1) if lo is None else F.coalesce(F.expr(f"{n}L") * (us - F.lit(lo)), F.lit(None).cast("long"))
+    if lo is not None:
+        at = F.coalesce(F.floor(at / F.lit(hi - lo + 1)).cast("int"), F.lit(n - 1))
+    return [df.filter(at == k) for k in range(n)], rows // (n * FILE_ROWS) + 1
+
+
+def write_topic(spark, sf_dir, path, encoder=P.encode_v2, tel: DataFrame | None = None, only: slice = slice(None)) -> int:
+    """Publish the telemetry in time-ordered appends; returns the files of each append."""
+    parts, files = _segments(telemetry(spark, sf_dir) if tel is None else tel, APPENDS)
+    for part in parts[only]:
+        publish(encoder(part), path, files=files)
+    return files
 
 
-def _messages(spark, path):
-    return J.message_stream(spark, "parquet", path, options={"maxFilesPerTrigger": str(FILES_PER_APPEND)})
+def _messages(spark, path, files: int):
+    return J.message_stream(spark, "parquet", path, options={"maxFilesPerTrigger": str(files)})
 
 
-def write_staging(spark, sf_dir, path, segments=SEGMENTS) -> None:
+def write_staging(spark, sf_dir, path, appends: int = APPENDS, only=None) -> int:
     """Staging rows (the ingest job's output) written as time-ordered appends."""
-    st = P.ingest_v2(P.encode_v2(telemetry(spark, sf_dir)))
-    for lo, hi in segments:
-        _segment(st, lo, hi, "timestamp").repartition(FILES_PER_APPEND).write.mode("append").parquet(path)
+    parts, files = _segments(P.ingest_v2(P.encode_v2(telemetry(spark, sf_dir))), appends, "timestamp")
+    for k in (only if only is not None else range(appends)):
+        parts[k].repartition(files).write.mode("append").parquet(path)
+    return files
 
 
-def _staged(spark, path):
-    return J.staging_stream(spark, path, max_files=FILES_PER_APPEND)
+def _staged(spark, path, files: int):
+    return J.staging_stream(spark, path, max_files=files)
 
 
 R6 = 6
@@ -71,10 +83,10 @@ def _staging_out(df):
 @register("stream_ingest_flatten", sql=STAGE_SQL)
 def stream_ingest_flatten(spark, sf_dir):
     root = scratch_path(spark, "ingest")
-    write_topic(spark, sf_dir, f"{root}/topic")
+    files = write_topic(spark, sf_dir, f"{root}/topic")
     store = GraphStore(spark, f"{root}/graph")
     store.seed()
-    J.run_ingest(spark, _messages(spark, f"{root}/topic"), f"{root}/staging", store, f"{root}/ckpt")
+    J.run_ingest(spark, _messages(spark, f"{root}/topic", files), f"{root}/staging", store, f"{root}/ckpt")
     return _staging_out(spark.read.parquet(f"{root}/staging"))
 
 
@@ -84,8 +96,8 @@ SELECT event_id, sensor_name AS sensor, round(position_x, 6) AS position_x,
        round(environment_temperature, 6) AS temperature, ts AS timestamp FROM telemetry"""))
 def stream_flat_sensor_sink(spark, sf_dir, trigger: dict | None = None):
     root = scratch_path(spark, "flat")
-    write_topic(spark, sf_dir, f"{root}/topic", encoder=P.encode_flat)
-    parsed = P.parse_flat(_messages(spark, f"{root}/topic"))
+    files = write_topic(spark, sf_dir, f"{root}/topic", encoder=P.encode_flat)
+    parsed = P.parse_flat(_messages(spark, f"{root}/topic", files))
     q = J.start_parquet_sink(parsed, f"{root}/out", f"{root}/ckpt", trigger)
     q.awaitTermination()
     out = spark.read.parquet(f"{root}/out")
@@ -99,14 +111,12 @@ SELECT 'sensor' AS label, sensor_name AS sensor, ts AS timestamp,
        round(environment_temperature, 6) AS temperature FROM telemetry"""))
 def stream_append_label_nodes(spark, sf_dir):
     root = scratch_path(spark, "labelnodes")
-    write_topic(spark, sf_dir, f"{root}/topic", encoder=P.encode_flat)
-    parsed = P.parse_flat(_messages(spark, f"{root}/topic")).select("sensor", "timestamp", "temperature")
+    files = write_topic(spark, sf_dir, f"{root}/topic", encoder=P.encode_flat)
+    parsed = P.parse_flat(_messages(spark, f"{root}/topic", files)).select("sensor", "timestamp", "temperature")
 
-    def append(batch, _bid):
-        append_nodes(batch, f"{root}/nodes", "sensor")
-    q = (parsed.writeStream.foreachBatch(append).option("checkpointLocation", f"{root}/ckpt")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    # the file sink commits each batch once: a retried batch adds nothing
+    labelled = parsed.withColumn("label", F.lit("sensor"))
+    J.start_staging_sink(labelled, f"{root}/nodes", f"{root}/ckpt", partition_cols=["label"]).awaitTermination()
     out = spark.read.parquet(f"{root}/nodes")
     return out.select("label", "sensor", J.ntz("timestamp"), F.round("temperature", R6).alias("temperature"))
 
@@ -127,16 +137,18 @@ def _graph_keys(store: GraphStore) -> DataFrame:
     return store.keys_view().select("tbl", "name", J.ntz("timestamp"))
 
 
-def _graph_run(spark, sf_dir, replay: bool = False):
+def _graph_run(spark, sf_dir, replay: bool = False, tel: DataFrame | None = None):
     root = scratch_path(spark, "graph")
     topic = f"{root}/topic"
-    write_topic(spark, sf_dir, topic)
+    files = write_topic(spark, sf_dir, topic, tel=tel)
     store = GraphStore(spark, f"{root}/graph")
     store.seed()
-    J.run_ingest(spark, _messages(spark, topic), f"{root}/staging", store, f"{root}/ckpt")
+    J.run_ingest(spark, _messages(spark, topic, files), f"{root}/staging", store, f"{root}/ckpt")
     if replay:
         write_topic(spark, sf_dir, topic)  # the producer re-sends every event
-        J.run_ingest(spark, _messages(spark, topic), f"{root}/staging", store, f"{root}/ckpt")
+        J.run_ingest(spark, _messages(spark, topic, files), f"{root}/staging", store, f"{root}/ckpt")
+        # and a consumer with a new checkpoint reads the whole topic again, over the filled store
+        J.run_ingest(spark, _messages(spark, topic, files), f"{root}/staging2", store, f"{root}/ckpt2")
     return store
 
 
@@ -151,12 +163,24 @@ def stream_replay_idempotent(spark, sf_dir):
     return _graph_keys(_graph_run(spark, sf_dir, replay=True))
 
 
-@register("batch_metrics")
+@register("batch_metrics", sql=with_telemetry(f"""
+SELECT {segment_sql(APPENDS)} AS batch_id, count(*) AS records, true AS timed, true AS per_record
+FROM telemetry GROUP BY 1"""))
 def batch_metrics(spark, sf_dir):
-    """One row per micro-batch (timings, so no SQL oracle)."""
+    """One row per micro-batch; its times are checked, not compared."""
     store = _graph_run(spark, sf_dir)
-    return spark.read.parquet(store.path("metrics")).select(
-        "batch_id", "records", "seconds", "seconds_per_record")
+    return store.read("metrics").select(
+        F.col("batch_id").cast("long").alias("batch_id"), "records", (F.col("seconds") > 0).alias("timed"),
+        F.col("seconds_per_record").isNotNull().alias("per_record"))
+
+
+@register("stream_rejects", sql=with_telemetry("SELECT event_id, joint_name FROM telemetry WHERE event_id % 50 = 0"))
+def stream_rejects(spark, sf_dir):
+    """Events without a time reach the rejects table; they key no node."""
+    tel = telemetry(spark, sf_dir)
+    lost = F.when(F.col("event_id") % 50 != 0, F.col("ts"))
+    store = _graph_run(spark, sf_dir, tel=tel.withColumn("ts", lost).withColumn("obs_ts", lost))
+    return store.read("rejects").select("event_id", "joint_name")
 
 
 # --- T4: restart from the checkpoint: each event staged exactly once ---------------------------------
@@ -165,9 +189,9 @@ def batch_metrics(spark, sf_dir):
 def stream_restart_exactly_once(spark, sf_dir):
     root = scratch_path(spark, "restart")
     topic, staging, ckpt = f"{root}/topic", f"{root}/staging", f"{root}/ckpt"
-    for seg in (SEGMENTS[:1], SEGMENTS[1:]):  # run, stop, more data arrives, restart
-        write_topic(spark, sf_dir, topic, segments=seg)
-        q = J.start_staging_sink(J.parsed_stream(_messages(spark, topic)), staging, ckpt)
+    for only in (slice(0, 1), slice(1, None)):  # run, stop, more data arrives, restart
+        files = write_topic(spark, sf_dir, topic, only=only)
+        q = J.start_staging_sink(J.parsed_stream(_messages(spark, topic, files)), staging, ckpt)
         q.awaitTermination()
     out = spark.read.parquet(staging)
     return out.select("event_id", J.ntz("timestamp"), "joint_name", "log_type")
@@ -193,8 +217,8 @@ def _win_out(df):
 @register("stream_window_log_counts", sql=_win_counts_sql())
 def stream_window_log_counts(spark, sf_dir):
     root = scratch_path(spark, "winlog")
-    write_staging(spark, sf_dir, f"{root}/staging")
-    agg = J.window_log_counts_stream(_staged(spark, f"{root}/staging"))
+    files = write_staging(spark, sf_dir, f"{root}/staging")
+    agg = J.window_log_counts_stream(_staged(spark, f"{root}/staging", files))
     J.start_parquet_sink(agg, f"{root}/out", f"{root}/ckpt").awaitTermination()
     return _win_out(spark.read.parquet(f"{root}/out"))
 
@@ -207,8 +231,8 @@ WHERE {_closed()}
 GROUP BY ws"""))
 def stream_window_humidity(spark, sf_dir):
     root = scratch_path(spark, "winhum")
-    write_staging(spark, sf_dir, f"{root}/staging")
-    agg = J.window_humidity_stream(_staged(spark, f"{root}/staging"))
+    files = write_staging(spark, sf_dir, f"{root}/staging")
+    agg = J.window_humidity_stream(_staged(spark, f"{root}/staging", files))
     J.start_parquet_sink(agg, f"{root}/out", f"{root}/ckpt").awaitTermination()
     out = spark.read.parquet(f"{root}/out")
     return out.select(J.ntz("window_start"), J.ntz("window_end"),
@@ -216,18 +240,15 @@ def stream_window_humidity(spark, sf_dir):
 
 
 # --- T3: rows older than the watermark are dropped -------------------------------------------------------
-LATE_SPLIT_DAY = 16
-
-
-@register("stream_late_rows", sql=_win_counts_sql(f"WHERE dayofmonth(ts) >= {LATE_SPLIT_DAY}"))
+@register("stream_late_rows", sql=_win_counts_sql(f"WHERE {segment_sql(2)} = 1"))
 def stream_late_rows(spark, sf_dir):
-    """Run 1 sees days 16-31; run 2 (restarted from the checkpoint) receives days 1-15,
-    all older than the restored watermark - every one of them is dropped."""
+    """Run 1 sees the later half of the time; run 2 (restarted from the checkpoint) receives the
+    earlier half, all older than the restored watermark - every one of them is dropped."""
     root = scratch_path(spark, "late")
     staging, out, ckpt = f"{root}/staging", f"{root}/out", f"{root}/ckpt"
-    for seg in ([(LATE_SPLIT_DAY, 31)], [(1, LATE_SPLIT_DAY - 1)]):
-        write_staging(spark, sf_dir, staging, segments=seg)
-        agg = J.window_log_counts_stream(_staged(spark, staging))
+    for only in ([1], [0]):
+        files = write_staging(spark, sf_dir, staging, appends=2, only=only)
+        agg = J.window_log_counts_stream(_staged(spark, staging, files))
         J.start_parquet_sink(agg, out, ckpt).awaitTermination()
     return _win_out(spark.read.parquet(out))
 
@@ -236,11 +257,11 @@ def stream_late_rows(spark, sf_dir):
 @register("stream_pipeline_e2e", sql=_win_counts_sql())
 def stream_pipeline_e2e(spark, sf_dir):
     root = scratch_path(spark, "e2e")
-    write_topic(spark, sf_dir, f"{root}/topic")
-    q = J.start_staging_sink(J.parsed_stream(_messages(spark, f"{root}/topic")),
+    files = write_topic(spark, sf_dir, f"{root}/topic")
+    q = J.start_staging_sink(J.parsed_stream(_messages(spark, f"{root}/topic", files)),
                              f"{root}/staging", f"{root}/ckpt_ingest")
     q.awaitTermination()
-    agg = J.window_log_counts_stream(_staged(spark, f"{root}/staging"))
+    agg = J.window_log_counts_stream(_staged(spark, f"{root}/staging", files))
     J.start_parquet_sink(agg, f"{root}/out", f"{root}/ckpt_agg").awaitTermination()
     return _win_out(spark.read.parquet(f"{root}/out"))
 
@@ -248,24 +269,25 @@ def stream_pipeline_e2e(spark, sf_dir):
 # --- K5 / M9 / M10: summaries upserted from emitted windows --------------------------------------------------
 @register("stream_summary_upsert", sql=with_telemetry(f"""
 SELECT 'log' AS kind, log_type AS logType, arg_max(n, ws) AS count, CAST(NULL AS DOUBLE) AS avg_humidity,
-       max(ws) AS timestamp
+       max(ws) AS timestamp, 'Log' AS src, 'HAS_LOG_SUMMARY' AS edge
 FROM (SELECT ws, log_type, count(log_type) AS n FROM (SELECT {WS_SQL} AS ws, log_type FROM telemetry) t
       WHERE {_closed()} GROUP BY 1, 2) w WHERE log_type IS NOT NULL GROUP BY log_type
 UNION ALL
-SELECT 'env', NULL, NULL, round(arg_max(h, ws), 6), max(ws)
+SELECT 'env', NULL, NULL, round(arg_max(h, ws), 6), max(ws), 'Environment', 'HAS_ENV_SUMMARY'
 FROM (SELECT ws, avg(TRY_CAST(environment_humidity AS DOUBLE)) AS h
       FROM (SELECT {WS_SQL} AS ws, environment_humidity FROM telemetry) t WHERE {_closed()} GROUP BY 1) w"""))
 def stream_summary_upsert(spark, sf_dir):
     root = scratch_path(spark, "summary")
-    write_staging(spark, sf_dir, f"{root}/staging")
-    staged = _staged(spark, f"{root}/staging")
-    qs = J.start_summary_sink(J.window_log_counts_stream(staged), J.window_humidity_stream(staged),
-                              f"{root}/out", f"{root}/ckpt")
+    files = write_staging(spark, sf_dir, f"{root}/staging")
+    staged = _staged(spark, f"{root}/staging", files)
+    store = GraphStore(spark, f"{root}/graph")
+    store.seed()
+    qs = J.start_summary_sink(J.window_log_counts_stream(staged), J.window_humidity_stream(staged), store, f"{root}/ckpt")
     J.await_all(qs)
-    log_latest, env_latest = J.summary_tables(spark, f"{root}/out")
-    a = log_latest.select(F.lit("log").alias("kind"), "logType", "count",
-                          F.lit(None).cast("double").alias("avg_humidity"), J.ntz("timestamp"))
+    log_latest, env_latest = J.summary_tables(store)
+    a = log_latest.select(F.lit("log").alias("kind"), "logType", "count", F.lit(None).cast("double").alias("avg_humidity"),
+                          J.ntz("timestamp"), "src", "edge")
     b = env_latest.select(F.lit("env").alias("kind"), F.lit(None).cast("string").alias("logType"),
-                          F.lit(None).cast("bigint").alias("count"),
-                          F.round("avg_humidity", R6).alias("avg_humidity"), J.ntz("timestamp"))
+                          F.lit(None).cast("bigint").alias("count"), F.round("avg_humidity", R6).alias("avg_humidity"),
+                          J.ntz("timestamp"), "src", "edge")
     return a.unionByName(b)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,8 +62,9 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is always used when present.  Only when it is unset
-    (local tests) a private folder is created and registered.
+    The cluster's setting is always used when present.  Where it is unset a local
+    session gets a private folder (one process, one disk); any other master
+    raises, as executors would write to their own disks.
     """
     try:
         sc = spark.sparkContext
@@ -74,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if sc is None or not (sc.master or "").split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="sensorweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -84,6 +86,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
     return f"{base}/sensorweave/{name}-{uuid.uuid4().hex[:12]}"

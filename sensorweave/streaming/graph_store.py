@@ -1,23 +1,26 @@
 """Graph tables on shared storage, maintained by idempotent micro-batch merges.
 
 Each node / edge table is a Parquet folder partitioned by ``event_date`` (for
-timestamp-keyed tables) and ``batch_id``.  A batch writes only its own
-partitions with dynamic partition overwrite, and its
-insert-if-absent check looks only at partitions of *earlier* batches - so a
-batch that is re-run after a failure (or replayed) rewrites exactly the same
-rows, and replayed events add nothing (first write wins across batches).
+timestamp-keyed tables), ``run_id`` and ``batch_id``; the run is the streaming
+query's id, which lives in its checkpoint.  A batch writes only its own
+partitions with dynamic partition overwrite, and its insert-if-absent check looks
+at all partitions but its own - so a batch that is re-run after a failure
+rewrites exactly the same rows, replayed events add nothing (first write wins
+across batches), and a new checkpoint over a filled store starts no new history.
 
 The anti-join against the existing table reads only the key columns and only
-the key range of the batch: the event dates between the batch's min and max
-timestamp (partition pruning: other days' files are never opened) and, inside
-them, the timestamp range (Parquet row-group statistics).
+the key range of the batch: only the folders of the event dates between the batch's
+min and max timestamp are listed and opened, and inside them the timestamp range
+(Parquet row-group statistics).  ``compact_to`` writes a store with one run and few
+files for each date.
 """
 
 from __future__ import annotations
 
 import time
-from concurrent.futures import ThreadPoolExecutor
+from datetime import timedelta
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -41,6 +44,12 @@ TABLES = {
 }
 
 
+def _absent(e: AnalysisException) -> bool:
+    """Whether the error says that there is no table yet."""
+    cond = (e.getCondition() if hasattr(e, "getCondition") else e.getErrorClass()) or ""
+    return cond in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 class GraphStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -55,8 +64,7 @@ class GraphStore:
         try:
             return self.spark.read.parquet(self.path(name))
         except AnalysisException as e:
-            cond = (e.getCondition() if hasattr(e, "getCondition") else e.getErrorClass()) or ""
-            if cond in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if _absent(e):
                 return None
             raise
 
@@ -82,17 +90,25 @@ class GraphStore:
             F.col("name").alias("log_name"))
 
     # --- one insert-if-absent merge -------------------------------------------------------
-    def _existing_keys(self, name: str, batch_id: int, lo, hi) -> DataFrame | None:
-        cur = self.read(name)
+    def _dated(self, name: str, lo, hi) -> DataFrame | None:
+        """The table's folders of the dates from ``lo`` to ``hi``; other dates are not even listed."""
+        days = ",".join(str(lo.date() + timedelta(days=k)) for k in range((hi.date() - lo.date()).days + 1))
+        try:
+            return (self.spark.read.option("basePath", self.path(name))
+                    .parquet(f"{self.path(name)}/{DATE_COL}={{{days}}}"))
+        except AnalysisException as e:
+            if _absent(e):
+                return None
+            raise
+
+    def _existing_keys(self, name: str, run_id: str, batch_id: int, lo, hi) -> DataFrame | None:
+        keys, ts = TABLES[name]
+        dated = ts is not None and lo is not None
+        cur = self._dated(name, lo, hi) if dated else self.read(name)
         if cur is None:
             return None
-        keys, ts = TABLES[name]
-        cur = cur.filter(F.col("batch_id") < batch_id)
-        if lo is not None and ts is not None:
-            # partition pruning on the event date, then row-group pruning on the timestamp
-            cur = cur.filter(F.col(DATE_COL).between(F.to_date(F.lit(lo)), F.to_date(F.lit(hi)))
-                             & F.col(ts).between(lo, hi))
-        return cur.select(*keys)
+        cur = cur.filter(~((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)))
+        return (cur.filter(F.col(ts).between(lo, hi)) if dated else cur).select(*keys)
 
     def _unseeded(self, label: str, names: DataFrame) -> DataFrame:
         """Names of ``label`` nodes the seed does not already hold (MERGE matches seeded nodes)."""
@@ -102,23 +118,38 @@ class GraphStore:
         seeded = seed.filter(F.col("label") == label).select("name")
         return names.join(seeded, "name", "left_anti")
 
-    def merge(self, name: str, candidates: DataFrame, batch_id: int, lo=None, hi=None) -> None:
-        """Write the candidates whose key is new into partition ``batch_id`` (and, for
-        timestamp-keyed tables, ``event_date``)."""
-        keys, ts = TABLES[name]
-        existing = self._existing_keys(name, batch_id, lo, hi)
-        new = candidates if existing is None else candidates.join(existing, keys, "left_anti")
-        parts = ["batch_id"]
+    def _write(self, name: str, rows: DataFrame, run_id: str, batch_id: int) -> None:
+        ts, parts = TABLES[name][1], ["run_id", "batch_id"]
         if ts is not None:
             # cluster rows by date so each date folder gets few files; AQE still splits
             # an oversized date into several tasks (rebalance, not a plain repartition)
-            new = new.withColumn(DATE_COL, F.to_date(ts)).hint("rebalance", DATE_COL)
-            parts = [DATE_COL, "batch_id"]
-        (new.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+            rows = rows.withColumn(DATE_COL, F.to_date(ts)).hint("rebalance", DATE_COL)
+            parts = [DATE_COL, *parts]
+        (rows.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .partitionBy(*parts).parquet(self.path(name)))
 
+    def merge(self, name: str, candidates: DataFrame, batch_id: int, lo=None, hi=None, run_id: str = "batch") -> None:
+        """Write the candidates whose key is new into the partitions of (``run_id``, ``batch_id``)."""
+        existing = self._existing_keys(name, run_id, batch_id, lo, hi)
+        new = candidates if existing is None else candidates.join(existing, TABLES[name][0], "left_anti")
+        self._write(name, new, run_id, batch_id)
+
+    def compact_to(self, root: str) -> GraphStore:
+        """The same graph in a new store: one run, and few files for each date."""
+        out = GraphStore(self.spark, root)
+        for name in TABLES:
+            df = self.read(name)
+            if df is not None:
+                out._write(name, df.drop("run_id", "batch_id", DATE_COL), "compacted", 0)
+        for name in ("seed_nodes", "seed_edges"):
+            df = self.read(name)
+            if df is not None:
+                df.coalesce(1).write.mode("overwrite").parquet(out.path(name))
+        return out
+
     # --- K3: the composed per-batch upsert of the ingest job ------------------------------------
-    def upsert_batch(self, staged: DataFrame, batch_id: int, order: str | list[str] = "event_id") -> dict:
+    def upsert_batch(self, staged: DataFrame, batch_id: int, order: str | list[str] = "event_id",
+                     run_id: str = "batch") -> dict:
         """Dedup on timestamp, then the three graph writes of the ingest job.
 
         ``staged`` are flattened telemetry rows with ``obs_ts`` (the event
@@ -133,8 +164,8 @@ class GraphStore:
                             F.min(GB.TS).alias("lo"), F.max(GB.TS).alias("hi")).first()
             n, lo, hi = st["n"], st["lo"], st["hi"]
             if st["bad"]:
-                (G.rejects(staged, [GB.TS]).withColumn("batch_id", F.lit(batch_id)).write
-                 .mode("overwrite").partitionBy("batch_id").parquet(self.path("rejects")))
+                (G.rejects(staged, [GB.TS]).withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id)).write
+                 .mode("overwrite").partitionBy("run_id", "batch_id").parquet(self.path("rejects")))
             dedup = G.first_per_key(staged, [GB.TS], order).persist()
             try:
                 writes = []
@@ -157,23 +188,39 @@ class GraphStore:
                     ("environment", self._unseeded("Environment", dedup.limit(1).select(
                         F.lit("Environment").alias("name"))))]
                 # the merges touch different tables: submit them as concurrent jobs
-                with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-                    for f in [pool.submit(self.merge, name, cand, batch_id, lo, hi) for name, cand in writes]:
-                        f.result()
+                self._concurrently([(name, cand, batch_id, lo, hi, run_id) for name, cand in writes])
             finally:
                 dedup.unpersist()
         finally:
             staged.unpersist()
         secs = time.time() - t0
-        return {"batch_id": batch_id, "seconds": secs, "records": n,
+        return {"run_id": run_id, "batch_id": batch_id, "seconds": secs, "records": n,
                 "seconds_per_record": (secs / n) if n > 0 else None}
 
     def write_metrics(self, m: dict) -> None:
         """K9: one metrics row per batch (re-running a batch replaces its row)."""
         df = self.spark.createDataFrame(
-            [(m["batch_id"], float(m["seconds"]), int(m["records"]), m["seconds_per_record"])],
-            "batch_id long, seconds double, records long, seconds_per_record double")
-        df.write.mode("overwrite").partitionBy("batch_id").parquet(self.path("metrics"))
+            [(m["run_id"], m["batch_id"], float(m["seconds"]), int(m["records"]), m["seconds_per_record"])],
+            "run_id string, batch_id long, seconds double, records long, seconds_per_record double")
+        df.write.mode("overwrite").partitionBy("run_id", "batch_id").parquet(self.path("metrics"))
+
+    def _concurrently(self, merges: list[tuple]) -> None:
+        """Merge several tables at once; threads inherit the job group and local properties."""
+        failed = []
+
+        def one(args):
+            try:
+                self.merge(*args)
+            except Exception as e:  # noqa: BLE001 - raised below, in the batch's own thread
+                failed.append(e)
+
+        threads = [InheritableThread(target=one, args=(m,)) for m in merges]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        if failed:
+            raise failed[0]
 
     # --- read back ----------------------------------------------------------------------
     def keys_view(self) -> DataFrame:
@@ -214,7 +261,7 @@ class StoredGraph:
             raise ValueError(f"graph table {name} has not been written yet")
         return df.select([F.col(f.name).cast("timestamp_ntz").alias(f.name)
                           if f.dataType.typeName() == "timestamp" else F.col(f.name)
-                          for f in df.schema.fields if f.name not in ("batch_id", DATE_COL)])
+                          for f in df.schema.fields if f.name not in ("run_id", "batch_id", DATE_COL)])
 
     log_notification = property(lambda self: self._table("log_notification"))
     has_record = property(lambda self: self._table("has_record"))

@@ -64,7 +64,7 @@ def _trigger(w, trigger: dict | None):
     return w.trigger(**(trigger or {"availableNow": True}))
 
 
-# --- ingest: parse once, fan out -----------------------------------------------------------
+# --- ingest: one parsed frame, two queries (each reads its own copy of the source) -----------------------------------------------------------
 def parsed_stream(messages: DataFrame, keep=("event_id",)) -> DataFrame:
     """Decode + parse + flatten + cast, all built-in expressions (no Python worker)."""
     return P.ingest_v2(messages, keep=keep)
@@ -95,7 +95,8 @@ def start_graph_sink(parsed: DataFrame, store: GraphStore, checkpoint: str,
     """K3 / K9: foreachBatch -> dedup + three insert-if-absent writes + metrics row."""
     def process(batch: DataFrame, batch_id: int) -> None:
         staged = batch.withColumn("obs_ts", F.col("timestamp"))
-        m = store.upsert_batch(staged, batch_id, order=order)
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        m = store.upsert_batch(staged, batch_id, order=order, run_id=run)
         store.write_metrics(m)
     w = parsed.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
@@ -150,37 +151,54 @@ def start_parquet_sink(df: DataFrame, out: str, checkpoint: str, trigger: dict |
     return _trigger(w, trigger).start()
 
 
-def start_summary_sink(log_counts: DataFrame, humidity: DataFrame, root: str, checkpoint_root: str,
-                       trigger: dict | None = None) -> list[StreamingQuery]:
-    """Each emitted window upserts the summaries; the last write wins.
+SUMMARIES = {
+    # name: (key columns, value column, anchor label, relationship)
+    "log_summary": (["logType"], "count", "Log", "HAS_LOG_SUMMARY"),
+    "env_summary": ([], "avg_humidity", "Environment", "HAS_ENV_SUMMARY"),
+}
+
+
+def upsert_summary(store: GraphStore, name: str, rows: DataFrame, batch_id: int) -> None:
+    """SET on one node per key: the latest window wins, and only the latest is kept.
 
-    Each micro-batch appends its window rows as new versions (partitioned by
-    batch id, so a re-run batch replaces its own rows); ``summary_tables`` resolves
-    the latest version per key with ``max_by`` on read.
+    The write starts with MATCH (anchor): without the seeded anchor it writes nothing.
+    Two slots take turns, so a reader always finds a whole one; a batch that is run
+    again merges the same rows into the same state.
     """
-    def versions(name):
-        def f(batch: DataFrame, batch_id: int) -> None:
-            (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .partitionBy("batch_id").parquet(f"{root}/{name}"))
-        return f
-    q1 = _trigger(log_counts.writeStream.foreachBatch(versions("log_summary_versions"))
-                  .option("checkpointLocation", f"{checkpoint_root}/log_summary"), trigger).start()
-    q2 = _trigger(humidity.writeStream.foreachBatch(versions("env_summary_versions"))
-                  .option("checkpointLocation", f"{checkpoint_root}/env_summary"), trigger).start()
-    return [q1, q2]
-
-
-def summary_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """(LogSummary per log type, the single EnvironmentSummary) after all upserts."""
-    logv = spark.read.parquet(f"{root}/log_summary_versions")
-    envv = spark.read.parquet(f"{root}/env_summary_versions")
-    log_rows = logv.filter(F.col("log_type").isNotNull()).select(
-        F.col("log_type").alias("logType"), F.col("log_count").alias("count"),
-        F.col("window_start").alias("timestamp"))
-    log_latest = G.upsert_latest(log_rows, None, ["logType"], ["timestamp"])
-    env_rows = envv.select("avg_humidity", F.col("window_start").alias("timestamp"))
-    env_latest = G.upsert_latest(env_rows, None, [], ["timestamp"])
-    return log_latest, env_latest
+    keys, value, label, edge = SUMMARIES[name]
+    seed = store.read("seed_nodes")
+    if seed is None or seed.filter((F.col("label") == label) & (F.col("name") == label)).isEmpty():
+        return
+    rows = rows.select(*keys, value, "timestamp").withColumn("src", F.lit(label)).withColumn("edge", F.lit(edge))
+    for slot in (0, 1):
+        held = store.read(f"{name}/slot={slot}")
+        if held is not None:
+            rows = rows.unionByName(held.select(*rows.columns))
+    latest = G.last_per_key(rows, keys, ["timestamp"]).select(*rows.columns)
+    # at most one row a key; cut from its inputs, as one of them is overwritten now
+    latest.checkpoint(eager=True).write.mode("overwrite").parquet(store.path(f"{name}/slot={batch_id % 2}"))
+
+
+def start_summary_sink(log_counts: DataFrame, humidity: DataFrame, store: GraphStore, checkpoint_root: str,
+                       trigger: dict | None = None) -> list[StreamingQuery]:
+    """Each emitted window upserts the summaries; the last write wins."""
+    def log_rows(batch):
+        return batch.filter(F.col("log_type").isNotNull()).select(
+            F.col("log_type").alias("logType"), F.col("log_count").alias("count"), F.col("window_start").alias("timestamp"))
+
+    def env_rows(batch):
+        return batch.select("avg_humidity", F.col("window_start").alias("timestamp"))
+
+    def start(df, name, rows):
+        w = df.writeStream.foreachBatch(lambda batch, n: upsert_summary(store, name, rows(batch), n))
+        return _trigger(w.option("checkpointLocation", f"{checkpoint_root}/{name}"), trigger).start()
+
+    return [start(log_counts, "log_summary", log_rows), start(humidity, "env_summary", env_rows)]
+
+
+def summary_tables(store: GraphStore) -> tuple[DataFrame, DataFrame]:
+    """(LogSummary per log type, the single EnvironmentSummary), each with its anchor and relationship."""
+    return tuple(G.last_per_key(store.read(name).drop("slot"), keys, ["timestamp"]) for name, (keys, *_) in SUMMARIES.items())
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
