@@ -1,6 +1,6 @@
 """Property: a first-wins merge does not depend on how rows are split into batches
-or on their order, as long as each key's rows arrive in one batch (the ingest
-guarantees this for the event-hour key)."""
+or on their order, as long as each key's rows arrive in one batch (a time-ordered
+topic gives this for the event timestamp)."""
 
 from hypothesis import given, settings
 from hypothesis import strategies as st

@@ -47,6 +47,11 @@ def test_window_aggregate_is_partial(spark):
     assert "partial_count" in txt
 
 
-def test_topology_bound_without_join(spark):
+def test_sensor_merge_hashes(spark):
+    txt = plan_text(catalog.QUERIES["merge_sensor"](spark, SMALL))
+    assert "HashAggregate" in txt and "SortAggregate" not in txt
+
+
+def test_topology_is_a_broadcast_join_over_stored_tables(spark):
     txt = plan_text(catalog.QUERIES["anomaly_env_error"](spark, SMALL))
-    assert "Generate (" in txt and "inline(" in txt
+    assert "BroadcastHashJoin" in txt and txt.count("events.parquet") == 0

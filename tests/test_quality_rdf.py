@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SMALL
@@ -28,9 +30,12 @@ def test_clamp_stays_in_range_and_leaves_no_violation(spark):
     tel = telemetry(spark, SMALL)
     limits = Q.kb_limits(spark)
     assert limits == fixed.DEFAULT_LIMITS
-    assert Q.violations(tel, limits).count() > 0
+    stated = RD.fold_constraints(RD.restriction_ranges(kb_triples(spark)))
     clamped = Q.clamp_columns(tel, limits)
-    assert Q.violations(clamped, limits).count() == 0
+    # clamping is wider than the stated range for force and torque alone: only values below zero remain
+    left = Q.violations(clamped, stated).select("property", (F.col("value") < 0).alias("below")).distinct().collect()
+    assert Q.violations(tel, stated).count() > Q.violations(clamped, stated).count()
+    assert {r.property for r in left} <= {"hasForce", "hasTorque"} and all(r.below for r in left)
     for p, cols in fixed.PROPERTY_COLUMNS.items():
         lo, hi = limits[p]
         for c in cols:
@@ -46,28 +51,51 @@ def test_ntriples_round_trip(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, t.collect()))
 
 
-def _lists(n_lists, max_len, seed):
-    rnd = random.Random(seed)
-    rest, expected = [], {}
-    for li in range(n_lists):
-        length = rnd.randint(1, max_len)
+def test_ntriples_awkward_literals_and_rejects(spark):
+    rows = [("http://a#x", "http://b#p", t, "literal") for t in (
+        "line\nbreak\r\ttab", "note: text", "http://looks/like#iri", "back\\nslash \\\\ \"q\"", "_:notblank", "")]
+    rows += [("_:b", "http://b#p", "http://c#o", "iri"), ("http://a#x", "http://b#p", "_:b", "blank")]
+    t = spark.createDataFrame(rows, "s string, p string, o string, o_kind string")
+    path = scratch_path(spark, "test-nt2")
+    RD.to_ntriples(t).write.text(path)
+    assert sorted(map(tuple, RD.read_ntriples(spark, path, kinds=True).collect())) == sorted(rows)
+    spark.createDataFrame([("not a triple",), ("# comment",), ("",)], "value string").write.mode("append").text(path)
+    assert [r.value for r in RD.ntriples_rejects(spark, path).collect()] == ["not a triple"]
+    assert RD.read_ntriples(spark, path).count() == len(rows)
+
+
+def _triples(spark, rest):
+    nodes = {a for a, _ in rest}
+    rows = [(a, RD.RDF_REST, b) for a, b in rest] + [(n, RD.RDF_FIRST, "i" + n) for n in nodes]
+    return spark.createDataFrame(rows, "s string, p string, o string")
+
+
+def test_list_items_match_a_walk(spark):
+    """Lists of many lengths, one long one, shared tails, interior heads and a head without any list."""
+    rnd = random.Random(7)
+    rest, heads = [], ["nowhere"]
+    for li in range(30):
+        length = rnd.randint(1, 200) if li else 1500
         nodes = [f"n{li}_{i}" for i in range(length)]
-        for i, n in enumerate(nodes):
-            rest.append((n, nodes[i + 1] if i + 1 < length else RD.RDF_NIL))
-            expected[n] = (nodes[0], i)
-    return rest, expected
-
-
-def test_list_positions_pointer_jumping_matches_walk(spark):
-    rest, expected = _lists(40, 300, 7)
-    rest.append(("long_0", "long_1"))   # plus one long list (a hot list)
-    for i in range(1, 2000):
-        rest.append((f"long_{i}", f"long_{i + 1}" if i < 1999 else RD.RDF_NIL))
-        expected[f"long_{i}"] = ("long_0", i)
-    expected["long_0"] = ("long_0", 0)
-    df = spark.createDataFrame(rest, "node string, next string")
-    got = {r["node"]: (r["root"], r["dist"]) for r in RD.list_positions(df).collect()}
-    assert got == expected
+        rest += list(zip(nodes, [*nodes[1:], RD.RDF_NIL], strict=True))
+        heads += [nodes[0], nodes[length // 2]]
+        if li % 3 == 0:
+            rest.append((f"x{li}", nodes[length // 2]))
+            heads.append(f"x{li}")
+    nxt = dict(rest)
+    want = set()
+    for h in heads:
+        at, pos = h, 0
+        while at in nxt:
+            want.add((h, pos, "i" + at))
+            at, pos = nxt[at], pos + 1
+    got = RD.list_items(_triples(spark, rest), spark.createDataFrame([(h,) for h in heads], "head string")).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_a_cyclic_list_raises(spark):
+    with pytest.raises(ValueError):
+        RD.list_items(_triples(spark, [("a", "b"), ("b", "c"), ("c", "a")]), spark.createDataFrame([("a",)], "head string"))
 
 
 def test_transitive_closure_matches_brute_force(spark):

@@ -4,6 +4,7 @@ import threading
 import time
 
 from conftest import SMALL
+from sensorweave.plans.proxy import telemetry
 from sensorweave.plans.stream_queries import _messages, write_topic
 from sensorweave.session import scratch_path
 from sensorweave.streaming import jobs as J
@@ -12,15 +13,15 @@ from sensorweave.streaming.graph_store import GraphStore
 
 def test_processing_time_ingest(spark):
     root = scratch_path(spark, "test-continuous")
-    write_topic(spark, SMALL, f"{root}/topic")
-    total = spark.read.parquet(f"{SMALL}/events.parquet").count()
+    files = write_topic(spark, SMALL, f"{root}/topic")
+    total = telemetry(spark, SMALL).count()
     store = GraphStore(spark, f"{root}/graph")
     store.seed()
     errors = []
 
     def run():
         try:
-            J.run_ingest(spark, _messages(spark, f"{root}/topic"), f"{root}/staging", store,
+            J.run_ingest(spark, _messages(spark, f"{root}/topic", files), f"{root}/staging", store,
                          f"{root}/ckpt", trigger={"processingTime": "1 second"})
         except Exception as e:  # noqa: BLE001
             errors.append(e)

@@ -14,10 +14,10 @@ from sensorweave.streaming.graph_store import GraphStore
 
 def test_staging_dedup_within_watermark_drops_replays(spark):
     root = scratch_path(spark, "test-replay-staging")
-    total = spark.read.parquet(f"{SMALL}/events.parquet").count()
+    total = telemetry(spark, SMALL).count()
     for _ in range(2):  # the producer re-sends everything once
-        write_topic(spark, SMALL, f"{root}/topic")
-        q = J.start_staging_sink(J.parsed_stream(_messages(spark, f"{root}/topic")), f"{root}/staging",
+        files = write_topic(spark, SMALL, f"{root}/topic")
+        q = J.start_staging_sink(J.parsed_stream(_messages(spark, f"{root}/topic", files)), f"{root}/staging",
                                  f"{root}/ckpt", dedup_keys=["event_id"])
         q.awaitTermination()
     out = spark.read.parquet(f"{root}/staging")
@@ -38,6 +38,6 @@ def test_kafka_style_offsets_as_tie_break(spark):
     store.seed()
     J.run_ingest(spark, stream, f"{root}/staging", store, f"{root}/ckpt",
                  keep=J.KAFKA_KEEP, order=list(J.KAFKA_KEEP))
-    hours = tel.select("obs_ts").distinct().count()
-    assert store.read("sensor").count() == hours
+    instants = tel.select("obs_ts").distinct().count()
+    assert store.read("sensor").count() == instants
     assert set(spark.read.parquet(f"{root}/staging").columns) >= {"partition", "offset", "timestamp"}
