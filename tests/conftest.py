@@ -11,9 +11,10 @@ MEDIUM = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from sensorweave.session import get_session
-    s = get_session("local[4]", 8, app_name="sensorweave-tests")
+    s = get_session("local[4]", 8, app_name="sensorweave-tests",
+                    extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
