@@ -13,7 +13,6 @@ LOG_MESSAGES = {
 }
 
 # --- fixed values: value domains -------------------------------------------
-JOINT_NAMES = ["joint_1", "joint_2", "joint_3", "joint_4", "joint_5", "joint_6"]
 AIR_QUALITY_LEVELS = {"Good": 1, "Moderate": 2, "Unhealthy": 3}  # anything else -> 0
 AIR_QUALITY_CATEGORIES = ["Good", "Moderate", "Unhealthy"]  # anything else -> 'Other'
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,15 +19,6 @@ def decode_utf8(value: str | Column = "value") -> Column:
     return F.when(F.is_valid_utf8(v.cast("string")), v.cast("string"))
 
 
-# --- X1 / P11: text -> typed, null on bad input ------------------------------
-def to_double(c: str | Column) -> Column:
-    return col_(c).try_cast("double")
-
-
-def to_timestamp(c: str | Column) -> Column:
-    return col_(c).try_cast("timestamp")
-
-
 # --- X2: truncation keeping the NTZ type of the input -------------------------
 def trunc_ntz(unit: str, c: str | Column) -> Column:
     return F.date_trunc(unit, col_(c)).cast("timestamp_ntz")
@@ -61,18 +50,7 @@ def log_message_for(c: str | Column = "log_type") -> Column:
     return out
 
 
-# --- X9 / X10 / A15: kinematics from a joint angle -----------------------------
-def position_from_angle(angle: str | Column) -> dict[str, Column]:
-    r = F.radians(col_(angle))
-    return {"position_x": F.cos(r), "position_y": F.sin(r), "position_z": F.sin(r) / F.lit(2.0)}
-
-
-def euclid_norm(*cols: str | Column) -> Column:
-    return F.sqrt(reduce(lambda a, b: a + b, [col_(c) * col_(c) for c in cols]))
-
-
-def velocity_from_position(x: str | Column, y: str | Column) -> Column:
-    return euclid_norm(x, y) * F.lit(0.1)
+# --- X8: ranges
 
 
 def clamp(c: str | Column, lo: Column | float | None, hi: Column | float | None) -> Column:
@@ -84,11 +62,6 @@ def clamp(c: str | Column, lo: Column | float | None, hi: Column | float | None)
     return F.when(lo_c.isNotNull() & (v < lo_c), lo_c).otherwise(v)
 
 
-# --- X11: IRI local name ------------------------------------------------------
-def local_name(c: str | Column) -> Column:
-    return F.substring_index(col_(c), "#", -1)
-
-
 # --- X13: the two timestamp renderings ----------------------------------------
 def format_plain(c: str | Column) -> Column:
     return F.date_format(col_(c), "yyyy-MM-dd HH:mm:ss")
@@ -96,11 +69,3 @@ def format_plain(c: str | Column) -> Column:
 
 def format_iso_z(c: str | Column) -> Column:
     return F.date_format(col_(c), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-
-def round6(df, digits: int = 6):
-    """Round every double column (used where results are compared across engines)."""
-    return df.select([
-        F.round(F.col(f.name), digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
-        for f in df.schema.fields
-    ])

@@ -29,13 +29,6 @@ def one_hop(src: DataFrame, src_key: list[str], edges: DataFrame, edge_src: list
     return left.join(dst, on=edge_dst, how="inner")
 
 
-def union_edges(typed: dict[str, DataFrame], src: str = "src", dst: str = "dst") -> DataFrame:
-    """Edge-type alternation ``A|B|C`` = union of typed edge tables with a type column."""
-    parts = [df.select(F.col(src).alias("src"), F.col(dst).alias("dst")).withColumn("type", F.lit(t))
-             for t, df in typed.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
 def paths_up_to(edges: DataFrame, max_hops: int = 3) -> DataFrame:
     """All directed paths of 1..max_hops edges, an edge used at most once per path.
 

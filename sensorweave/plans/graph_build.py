@@ -101,10 +101,6 @@ def seed_into(nodes: DataFrame | None, edges: DataFrame | None, spark: SparkSess
     return new_nodes, new_edges
 
 
-def joint_nodes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(fixed.SEED_JOINT_TYPES, "name string, hasJointType string")
-
-
 # --- stream-driven node and edge tables (M3 - M8) ------------------------------
 def _order_cols(order) -> list[str]:
     return [order] if isinstance(order, str) else list(order)
@@ -168,15 +164,6 @@ def merge_joint_has_sensor(tel: DataFrame, target: DataFrame | None = None) -> D
     return target.unionByName(new.join(target.select(*keys), keys, "left_anti"))
 
 
-def merge_joints(spark: SparkSession, tel: DataFrame) -> DataFrame:
-    """MERGE (j:Joint {name}): seed joints kept, unseen names appended without a type."""
-    seed = joint_nodes(spark)
-    names = tel.select(F.col("joint_name").alias("name")).filter(F.col("name").isNotNull()).distinct()
-    new = names.join(seed.select("name"), "name", "left_anti").withColumn(
-        "hasJointType", F.lit(None).cast("string"))
-    return seed.unionByName(new)
-
-
 def environment_rows(tel: DataFrame, order=ORDER) -> DataFrame:
     return tel.select(F.col(TS).alias("hasTimestamp"),
                       *[F.col(src).alias(p) for p, src in ENV_PROPS.items()], *_order_cols(order))
@@ -245,7 +232,3 @@ class TelemetryGraph:
     @property
     def has_reading(self) -> DataFrame:
         return merge_has_reading(self.tel)
-
-    @property
-    def joint(self) -> DataFrame:
-        return merge_joints(self.spark, self.tel)

@@ -17,7 +17,7 @@ from ..sources.files import read_csv_strings
 from ..sinks.tables import write_table
 from ..sinks.topic import publish
 from ..streaming.jobs import message_batch
-from .proxy import telemetry, with_telemetry
+from .proxy import message_sql, telemetry, with_telemetry
 from .registry import register
 
 R = 6
@@ -169,10 +169,8 @@ def format_timestamps(spark, sf_dir):
 
 
 # --- X15: type -> message lookup through a literal map --------------------------------------------
-@register("log_message_lookup", sql=with_telemetry("""
-SELECT event_id, log_type,
-  CASE log_type WHEN 'warn' THEN 'Warning log message' WHEN 'info' THEN 'Info log message'
-                WHEN 'error' THEN 'Error log message' END AS message FROM telemetry"""))
+@register("log_message_lookup", sql=with_telemetry(
+    f"SELECT event_id, log_type, {message_sql('log_type')} AS message FROM telemetry"))
 def log_message_lookup(spark, sf_dir):
     m = F.create_map(*[x for k, v in LOG_MESSAGES.items() for x in (F.lit(k), F.lit(v))])
     tel = telemetry(spark, sf_dir)

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.fixed import LOG_MESSAGES
 from ..functions.telemetry import log_message_for
 from ..sources.tables import read_table
 
@@ -98,6 +99,11 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry_from_events(ev)
 
 
+def message_sql(c: str) -> str:
+    """The message of a log type, in DuckDB SQL."""
+    return f"CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LOG_MESSAGES.items()) + " END"
+
+
 # Same mapping in DuckDB SQL; numeric literals written as doubles (e0).
 TELEMETRY_SQL = """
 telemetry AS (
@@ -113,8 +119,7 @@ telemetry AS (
     joint_angle * 0.1e0 AS torque_z,
     environment_air_quality, CAST(k AS VARCHAR) AS environment_humidity,
     20e0 + k / 10e0 AS environment_temperature, log_type,
-    CASE log_type WHEN 'warn' THEN 'Warning log message' WHEN 'info' THEN 'Info log message'
-                  WHEN 'error' THEN 'Error log message' END AS log_message,
+    @MESSAGE@ AS log_message,
     k
   FROM (
     SELECT event_id, ts, ts AS obs_ts,
@@ -132,7 +137,7 @@ telemetry AS (
                  CASE WHEN copy = 1 THEN 'view' ELSE event_type END AS event_type
           FROM events, (VALUES (0), (1)) c(copy) WHERE copy = 0 OR event_id % 10 = 0) e
   ) b
-)"""
+)""".replace("@MESSAGE@", message_sql("log_type"))
 
 
 def with_telemetry(sql_body: str, *extra_ctes: str) -> str:

@@ -63,4 +63,3 @@ STAGING = T.StructType([
 STAGING_COLUMNS = [f.name for f in STAGING.fields]
 
 # Triples: subject, predicate, object (object kept as text, literal or IRI).
-TRIPLES = _struct(s=_S, p=_S, o=_S)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def publish(messages: DataFrame, path: str | None = None, fmt: str = "parquet",
@@ -22,9 +21,3 @@ def publish(messages: DataFrame, path: str | None = None, fmt: str = "parquet",
         w.save(path)
     else:
         w.save()
-
-
-def to_messages(df: DataFrame, key_cols=("event_id",)) -> DataFrame:
-    """Row -> JSON text of all non-key columns, as bytes (the producer's serializer)."""
-    body = [c for c in df.columns if c not in key_cols]
-    return df.select(*key_cols, F.to_json(F.struct(*body)).cast("binary").alias("value"))
