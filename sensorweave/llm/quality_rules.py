@@ -28,7 +28,7 @@ FEATURES = {
     "capitals": ("1000 * n_capitals div greatest(word_chars, 1)", False, 30),
     "length": ("1000 * word_chars div n_words", True, 600),
     "same_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", False, 120),
-    "repeats": ("1000 * n_repeat_words div n_words", False, 60),
+    "repeats": ("1000 * n_repeat_words div n_words", False, 100),
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_marks", "n_capitals", "n_lines"]
 
