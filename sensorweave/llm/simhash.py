@@ -41,6 +41,8 @@ BITS = 64
 SHARD_ROWS = 4096
 #: Expected fingerprints of a shard above which one more segment has to agree.
 SHARD_TARGET = 128
+#: Parts that the links of one node are dealt to.
+SALTS = 16
 _CHUNK = 1 << 16
 
 
@@ -260,6 +262,13 @@ def _contract(batches):
     yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["u", "v"])
 
 
+def _salted(links: DataFrame, per_node: DataFrame) -> DataFrame:
+    """Join on ``u`` with one row per node; a node's links are spread over ``SALTS`` keys, as a hub may hold most."""
+    spread = links.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    each = per_node.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return spread.join(each, ["u", "s"]).drop("s")
+
+
 def components(link_rows: DataFrame) -> DataFrame:
     """(u, v): each linked node u but the smallest of its component, with that smallest node v."""
     stars = cut(link_rows.mapInArrow(_contract, "u long, v long"), "stars")
@@ -271,9 +280,9 @@ def components(link_rows: DataFrame) -> DataFrame:
         state = now
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _salted(both.filter("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.explode(F.array(
+        small = (_salted(large, low).select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v").filter("u <> v").distinct())
         stars = cut(small, "stars")
