@@ -1,9 +1,9 @@
 """Graph build queries: seed, merges, summaries, bulk create, back-fill, delete.
 
-Merge queries run the way the ingest job does: a first batch (events before
-``SPLIT_TS``) merged into an empty target, then the *whole* table replayed on
-top - the replay only adds keys the first batch lacked, and the final table
-equals a single first-wins merge of all rows.
+Merge queries run the way the ingest job does: a first batch (events before the
+middle of their time span) merged into an empty target and stored, then the *whole*
+table replayed on top of the stored target - the replay only adds keys the first
+batch lacked, and the final table equals a single first-wins merge of all rows.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..operators import graph as G
 from ..operators import windows as W
-from ..sinks.tables import append_nodes
+from ..sinks.tables import append_nodes, write_table
 from ..session import scratch_path
 from ..sources.tables import read_table
 from . import graph_build as GB
@@ -22,13 +22,22 @@ from .proxy import telemetry, with_telemetry
 from .registry import register
 from .reports import ES_SQL, HRD_SQL, HR_RAW, HS_RAW, HS_SQL, LN_RAW, LN_SQL, SENSOR_SQL, WS_SQL, _graph, graph_sql
 
-SPLIT_TS = "2024-01-16 00:00:00"
-
 
 def _two_batches(spark, sf_dir):
+    """The events before the middle of the time span, and all events."""
     tel = telemetry(spark, sf_dir)
-    first = tel.filter(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz"))
-    return first, tel
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = read_table(spark, sf_dir, "events", ["ts"]).agg(F.min(us), F.max(us)).first()
+    middle = F.timestamp_micros(F.lit(((lo or 0) + (hi or 0)) // 2)).cast("timestamp_ntz")
+    return tel.filter(F.col("ts") < middle), tel
+
+
+def _merged(spark, sf_dir, merge, name: str) -> DataFrame:
+    """The first batch merged into an empty table and stored, then all events merged into what is stored."""
+    first, allrows = _two_batches(spark, sf_dir)
+    path = scratch_path(spark, name)
+    write_table(merge(first), path)
+    return merge(allrows, spark.read.parquet(path))
 
 
 def _props_text(m):
@@ -135,14 +144,12 @@ def dedup_timestamp(spark, sf_dir):
 @register("merge_log_notification", headline=True,
           sql=with_telemetry("SELECT name, timestamp, hasMessage FROM ln", LN_RAW))
 def merge_log_notification(spark, sf_dir):
-    first, allrows = _two_batches(spark, sf_dir)
-    return GB.merge_log_notification(allrows, GB.merge_log_notification(first))
+    return _merged(spark, sf_dir, GB.merge_log_notification, "merge_log_notification")
 
 
 @register("merge_has_record", sql=with_telemetry("SELECT * FROM hr", HR_RAW))
 def merge_has_record(spark, sf_dir):
-    first, allrows = _two_batches(spark, sf_dir)
-    return GB.merge_has_record(allrows, GB.merge_has_record(first))
+    return _merged(spark, sf_dir, GB.merge_has_record, "merge_has_record")
 
 
 def _round_props(df: DataFrame) -> DataFrame:
@@ -156,8 +163,7 @@ SENSOR_ROUNDED = ", ".join(
 @register("merge_sensor", headline=True,
           sql=graph_sql(f"SELECT {SENSOR_ROUNDED} FROM sensor", SENSOR_SQL))
 def merge_sensor(spark, sf_dir):
-    first, allrows = _two_batches(spark, sf_dir)
-    return _round_props(GB.merge_sensor(allrows, GB.merge_sensor(first)))
+    return _round_props(_merged(spark, sf_dir, GB.merge_sensor, "merge_sensor"))
 
 
 @register("merge_sensor_by_name", sql=with_telemetry(f"""
@@ -166,29 +172,25 @@ SELECT sensor_name AS name, obs_ts AS timestamp,
 FROM (SELECT *, row_number() OVER (PARTITION BY sensor_name, obs_ts ORDER BY event_id) AS rn
       FROM telemetry WHERE sensor_name IS NOT NULL AND obs_ts IS NOT NULL) x WHERE rn = 1"""))
 def merge_sensor_by_name(spark, sf_dir):
-    first, allrows = _two_batches(spark, sf_dir)
-    return _round_props(GB.merge_sensor_by_name(allrows, GB.merge_sensor_by_name(first)))
+    return _round_props(_merged(spark, sf_dir, GB.merge_sensor_by_name, "merge_sensor_by_name"))
 
 
 @register("merge_joint_has_sensor", sql=with_telemetry("SELECT * FROM hs", HS_RAW))
 def merge_joint_has_sensor(spark, sf_dir):
-    first, allrows = _two_batches(spark, sf_dir)
-    return GB.merge_joint_has_sensor(allrows, GB.merge_joint_has_sensor(first))
+    return _merged(spark, sf_dir, GB.merge_joint_has_sensor, "merge_joint_has_sensor")
 
 
 @register("merge_environment_reading", sql=graph_sql(
     "SELECT hasTimestamp, hasAirQuality, hasHumidity, round(hasTemperature, 6) AS hasTemperature "
     "FROM es", ES_SQL))
 def merge_environment_reading(spark, sf_dir):
-    first, allrows = _two_batches(spark, sf_dir)
-    out = GB.merge_environment_reading(allrows, GB.merge_environment_reading(first))
+    out = _merged(spark, sf_dir, GB.merge_environment_reading, "merge_environment_reading")
     return out.withColumn("hasTemperature", F.round("hasTemperature", 6))
 
 
 @register("merge_has_reading", sql=with_telemetry("SELECT * FROM hrd", HRD_SQL))
 def merge_has_reading(spark, sf_dir):
-    first, allrows = _two_batches(spark, sf_dir)
-    return GB.merge_has_reading(allrows, GB.merge_has_reading(first))
+    return _merged(spark, sf_dir, GB.merge_has_reading, "merge_has_reading")
 
 
 # --- M9 / M10: last-write-wins summaries over the window aggregates, with their anchors -----

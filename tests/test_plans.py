@@ -26,9 +26,12 @@ def test_no_cartesian_or_nested_loop_join(spark, key):
 
 
 def test_first_wins_merge_aggregates_map_side_and_pushes_filters(spark):
-    txt = plan_text(catalog.QUERIES["merge_sensor"](spark, SMALL))
+    from sensorweave.plans import graph_build, graph_queries
+    first, _ = graph_queries._two_batches(spark, SMALL)
+    txt = plan_text(graph_build.merge_sensor(first))
     assert "partial_min_by" in txt                      # hot keys reduced before the shuffle
     assert "LessThan(ts," in txt                        # batch filter reaches the Parquet scan
+    assert "LeftAnti" in plan_text(catalog.QUERIES["merge_sensor"](spark, SMALL))
 
 
 def test_ingest_parses_each_message_once(spark):
