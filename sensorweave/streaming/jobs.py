@@ -1,4 +1,4 @@
-"""Structured Streaming jobs: ingest (two sinks from one parsed stream) and the
+"""Structured Streaming jobs: ingest (staging, and the graph from staging) and the
 windowed aggregator reading the ingest job's staging output.
 
 Sources are injectable: ``format="kafka"`` with broker options in production,
@@ -9,6 +9,8 @@ folder; restarting a query from it resumes exactly where it stopped.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,7 +66,7 @@ def _trigger(w, trigger: dict | None):
     return w.trigger(**(trigger or {"availableNow": True}))
 
 
-# --- ingest: one parsed frame, two queries (each reads its own copy of the source) -----------------------------------------------------------
+# --- ingest: parse once, the graph reads staging -----------------------------------------------------------
 def parsed_stream(messages: DataFrame, keep=("event_id",)) -> DataFrame:
     """Decode + parse + flatten + cast, all built-in expressions (no Python worker)."""
     return P.ingest_v2(messages, keep=keep)
@@ -108,17 +110,27 @@ KAFKA_KEEP = ("partition", "offset")  # a Kafka record's position: the tie-break
 def run_ingest(spark: SparkSession, messages: DataFrame, staging: str, store: GraphStore,
                checkpoint_root: str, trigger: dict | None = None, keep=("event_id",),
                order: str | list[str] = "event_id") -> None:
-    """Two queries on one parsed stream; returns when both are done (availableNow)
-    or raises as soon as either fails.  For Kafka input pass ``keep=KAFKA_KEEP,
-    order=list(KAFKA_KEEP)`` so the first record of a key is the lowest offset."""
-    # Per-batch row counts in every query's progress, without an extra job
+    """Parse once, then two queries: staging from the messages, the graph from staging.
+
+    The staging sink commits each file once and the graph query reads only committed
+    files.  Returns when both are done (availableNow) or raises as soon as either
+    fails.  For Kafka input pass ``keep=KAFKA_KEEP, order=list(KAFKA_KEEP)`` so the first
+    record of a key is the lowest offset.
+    """
+    # Per-batch row counts in the query's progress, without an extra job
     parsed = parsed_stream(messages, keep=keep).observe(
         "ingest", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("timestamp").isNull()).alias("no_timestamp"))
     continuous = bool(trigger) and not (trigger.get("availableNow") or trigger.get("once"))
     if continuous:
         spark.streams.resetTerminated()  # forget queries that ended before this run
     q1 = start_staging_sink(parsed, staging, f"{checkpoint_root}/staging", trigger)
-    q2 = start_graph_sink(parsed, store, f"{checkpoint_root}/graph", trigger, order=order)
+    if continuous:
+        while q1.isActive and not q1.recentProgress:  # the folder exists after the first commit
+            time.sleep(0.2)
+    else:
+        q1.awaitTermination()
+    staged = staging_stream(spark, staging, schema=parsed.schema)
+    q2 = start_graph_sink(staged, store, f"{checkpoint_root}/graph", trigger, order=order)
     if continuous:
         # continuous run: wait for the first query to end (or fail), then stop the other
         try:
@@ -131,8 +143,7 @@ def run_ingest(spark: SparkSession, messages: DataFrame, staging: str, store: Gr
             if q.exception() is not None:
                 raise q.exception()
         return
-    for q in (q1, q2):
-        q.awaitTermination()
+    q2.awaitTermination()
 
 
 # --- aggregator: watermark + tumbling windows, append mode -----------------------------------

@@ -39,7 +39,7 @@ def test_processing_time_ingest(spark):
     assert len(mine) == 2
     observed = [sum(p["observedMetrics"]["ingest"]["rows"] for p in q.recentProgress
                     if p.get("observedMetrics", {}).get("ingest")) for q in mine]
-    assert observed == [total, total]
+    assert sorted(observed) == [0, total]   # messages are parsed by one of the two queries only
     mine[0].stop()          # one query ends -> the run stops the other and returns
     t.join(120)
     assert not t.is_alive() and not errors
