@@ -30,7 +30,7 @@ from .common import append_columns, cut, map_batches
 UNKNOWN = "und"
 MAX_LANGUAGES = 512
 #: Code points handled at once.
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 

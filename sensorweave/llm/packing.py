@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import cut, map_batches, sums_before
 
 #: Words whose ids a task keeps at most.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 
 def byte_letters() -> list[str]:
