@@ -266,7 +266,8 @@ def _salted(links: DataFrame, per_node: DataFrame) -> DataFrame:
     """Join on ``u`` with one row per node; a node's links are spread over ``SALTS`` keys, as a hub may hold most."""
     spread = links.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
     each = per_node.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return spread.join(each, ["u", "s"]).drop("s")
+    # no broadcast: its size would be judged before the salts multiply it
+    return spread.join(each.hint("merge"), ["u", "s"]).drop("s")
 
 
 def components(link_rows: DataFrame) -> DataFrame:
