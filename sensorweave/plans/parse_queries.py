@@ -27,8 +27,13 @@ def _r(c, alias=None):
     return F.round(F.col(c), R).alias(alias or c)
 
 
+def _keyed(spark, sf_dir):
+    """The telemetry as a topic deals it: by the record's key, whatever the splits of the scan."""
+    return telemetry(spark, sf_dir).repartition("event_id")
+
+
 def _messages(spark, sf_dir):
-    return P.encode_v2(telemetry(spark, sf_dir))
+    return P.encode_v2(_keyed(spark, sf_dir))
 
 
 # --- P1 / V1 ------------------------------------------------------------------------------
@@ -103,7 +108,7 @@ def parse_flat_sensor(spark, sf_dir):
     """Messages published to a topic folder (K8), read back in one batch from the
     earliest offset (S2), parsed and cast (P2, P12)."""
     topic = scratch_path(spark, "flat-topic")
-    publish(P.encode_flat(telemetry(spark, sf_dir)), topic)
+    publish(P.encode_flat(_keyed(spark, sf_dir)), topic)
     p = P.parse_flat(message_batch(spark, "parquet", topic))
     return p.select("event_id",
                     F.get_json_object("more_details", "$.log_type").alias("detail_log_type"),
@@ -118,7 +123,7 @@ SELECT event_id, ts AS timestamp, round(joint_angle, 6) AS joint_1, round(torque
   round(velocity, 6) AS joint_6, round(position_z, 6) AS position_z, round(torque_y, 6) AS torque_y,
   CASE WHEN log_type = 'error' THEN 'open' ELSE 'closed' END AS gripper_status FROM telemetry"""))
 def parse_robot_v1(spark, sf_dir):
-    p = P.parse_v1(P.encode_v1(telemetry(spark, sf_dir)))
+    p = P.parse_v1(P.encode_v1(_keyed(spark, sf_dir)))
     return p.select("event_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
                     *[_r(f"joint_angles.joint_{i}", f"joint_{i}") for i in range(1, 7)],
                     _r("position.z", "position_z"), _r("force_torque.torque.y", "torque_y"),

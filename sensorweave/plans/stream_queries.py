@@ -22,7 +22,7 @@ from .registry import register
 from .reports import WS_SQL
 
 APPENDS = 3
-FILE_ROWS = 25_000
+FILE_ROWS = 10_000
 
 
 def segment_sql(n: int) -> str:
@@ -45,7 +45,7 @@ def write_topic(spark, sf_dir, path, encoder=P.encode_v2, tel: DataFrame | None
     """Publish the telemetry in time-ordered appends; returns the files of each append."""
     parts, files = _segments(telemetry(spark, sf_dir) if tel is None else tel, APPENDS)
     for part in parts[only]:
-        publish(encoder(part), path, files=files)
+        publish(encoder(part.repartition(files)), path)  # dealt before the encoding, which is the costly part
     return files
 
 
@@ -55,9 +55,9 @@ def _messages(spark, path, files: int):
 
 def write_staging(spark, sf_dir, path, appends: int = APPENDS, only=None) -> int:
     """Staging rows (the ingest job's output) written as time-ordered appends."""
-    parts, files = _segments(P.ingest_v2(P.encode_v2(telemetry(spark, sf_dir))), appends, "timestamp")
+    parts, files = _segments(telemetry(spark, sf_dir), appends)
     for k in (only if only is not None else range(appends)):
-        parts[k].repartition(files).write.mode("append").parquet(path)
+        P.ingest_v2(P.encode_v2(parts[k].repartition(files))).write.mode("append").parquet(path)
     return files
 
 
