@@ -2,16 +2,16 @@
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers.  Hiding those
 is not enough where other words give them away, so corpus co-occurrence estimates how
-strongly a term reveals an entity: over segments of at most ``SEGMENT_WORDS`` words of a
-line, with n segments in all, n_e with the entity, n_t with the term and n_et with both,
+strongly a term reveals an entity: of n distinct texts in all, n_e hold the entity, n_t the
+term, and n_et hold both in one segment of at most ``SEGMENT_WORDS`` words of a line,
 
     disclosure = PMI(e, t) / IC(e) = 1 - log(n_t / n_et) / log(n / n_e)
 
 is the share of the entity's information that the term carries.  A term at or above
 ``generalise`` is generalised where it stands by the entity, one at or above ``remove``
-is removed.  n_e and n_et count distinct segments, so that copies of one text are one
-observation; pairs seen in fewer than ``support`` of them, or in one text only, prove
-nothing.
+is removed.  All counts are of distinct texts: copies of a whole text are one observation,
+a line that different texts share counts in each.  Pairs seen in fewer than ``support``
+texts prove nothing; the default of two asks only that one text is not the whole evidence.
 
 Two passes over all texts: the first finds the patterns and, for segments with an
 entity, the terms beside it; the second counts candidate terms over the whole corpus.
@@ -116,12 +116,8 @@ def segments(text: str):
         at += len(line) + 1
 
 
-def segment_id(words: list[str]) -> int:
-    return _signed(" ".join(words))
-
-
-def beside(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """(entity, term, segment, start, end) of each term that shares a segment with a span."""
+def beside(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int]]:
+    """(entity, term, start, end) of each term that shares a segment with a span."""
     out, order, i = [], sorted(spans, key=lambda x: x[1]), 0
     for words in segments(text):
         lo, hi = words[0][0], words[-1][1]
@@ -134,42 +130,41 @@ def beside(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int,
             inside.append(order[k])
         if not inside:
             continue
-        sid = segment_id([w for _, _, w in words])
         found = {entity(kind, text[s:e]) for kind, s, e in inside}
         for s, e, w in words:
             if all(e <= a or s >= b for _, a, b in inside) and (t := term(w)) is not None:
                 lead = len(w) - len(w.lstrip(_EDGE))
-                out += [(x, t, sid, s + lead, s + lead + len(w.strip(_EDGE))) for x in found]
+                out += [(x, t, s + lead, s + lead + len(w.strip(_EDGE))) for x in found]
     return out
 
 
 def first_pass(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, hash, spans, segments, beside) of each row; ``row`` is its place in the scan."""
-    schema = ("row long, doc_id long, hash long, spans array<struct<kind: string, start: long, end: long>>, segments long, "
-              "beside array<struct<e: long, t: long, s: long, start: long, end: long>>")
+    """(row, doc_id, hash, spans, entities, beside) of each row; ``row`` is its place in the scan."""
+    schema = ("row long, doc_id long, hash long, spans array<struct<kind: string, start: long, end: long>>, "
+              "entities array<long>, beside array<struct<e: long, t: long, start: long, end: long>>")
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-    pair = pa.struct([(c, pa.int64()) for c in ("e", "t", "s", "start", "end")])
+    pair = pa.struct([(c, pa.int64()) for c in ("e", "t", "start", "end")])
 
     def run(batches):
         for b in batches:
-            spans, count, near = [], [], []
+            spans, held, near = [], [], []
             for text in b.column(3).to_pylist():
                 text = text or ""
                 found = base_spans(text)
                 spans.append([dict(zip(("kind", "start", "end"), x, strict=True)) for x in found])
-                count.append(sum(-(-len(line.split()) // SEGMENT_WORDS) for line in text.split("\n")))
-                near.append([dict(zip(("e", "t", "s", "start", "end"), x, strict=True))
+                held.append(sorted({entity(kind, text[s:e]) for kind, s, e in found}))
+                near.append([dict(zip(("e", "t", "start", "end"), x, strict=True))
                              for x in (beside(text, found) if found else ())])
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], pa.array(spans, pa.list_(span)), pa.array(count, pa.int64()),
-                 pa.array(near, pa.list_(pair))], ["row", "doc_id", "hash", "spans", "segments", "beside"])
+                [*b.columns[:3], pa.array(spans, pa.list_(span)), pa.array(held, pa.list_(pa.int64())),
+                 pa.array(near, pa.list_(pair))], ["row", "doc_id", "hash", "spans", "entities", "beside"])
 
     return map_batches(docs, [F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                               F.xxhash64("text").alias("hash"), F.col("text").cast("string").alias("text")], schema, run)
 
 
 def term_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(t, n_t): distinct segments of the corpus with each candidate term ``t`` (and some others)."""
+    """(t, n_t): distinct texts of the corpus with each candidate term ``t`` (and some others)."""
     words = fixed_bits(candidates, "t", _BITS)
     if not words:
         return candidates.select("t", F.lit(0).cast("long").alias("n_t")).limit(0)
@@ -181,31 +176,25 @@ def term_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     def run(batches):
         cache: dict[str, int | None] = {}
         for b in batches:
-            ts, ss = [], []
-            for text in b.column(0).to_pylist():
-                for line in (text or "").split("\n"):
-                    words = line.split()
-                    for i in range(0, len(words), SEGMENT_WORDS):
-                        own = words[i:i + SEGMENT_WORDS]
-                        hits = set()
-                        for w in own:
-                            if w not in cache:
-                                if len(cache) > 300_000:
-                                    cache.clear()
-                                cache[w] = _candidate(w, shared.value)
-                            if cache[w] is not None:
-                                hits.add(cache[w])
-                        if hits:
-                            sid = segment_id(own)
-                            ts += hits
-                            ss += [sid] * len(hits)
+            ts, hs = [], []
+            for text, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                hits = set()
+                for w in (text or "").split():
+                    if w not in cache:
+                        if len(cache) > 300_000:
+                            cache.clear()
+                        cache[w] = _candidate(w, shared.value)
+                    if cache[w] is not None:
+                        hits.add(cache[w])
+                ts += hits
+                hs += [h] * len(hits)
                 if len(ts) > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(ts, pa.int64()), pa.array(ss, pa.int64())], ["t", "s"])
-                    ts, ss = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(ts, pa.int64()), pa.array(ss, pa.int64())], ["t", "s"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ts, pa.int64()), pa.array(hs, pa.int64())], ["t", "h"])
+                    ts, hs = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(ts, pa.int64()), pa.array(hs, pa.int64())], ["t", "h"])
 
-    pairs = map_batches(docs, [F.col("text").cast("string").alias("text")], "t long, s long", run)
-    return pairs.groupBy("t").agg(F.approx_count_distinct("s", 0.03).alias("n_t"))
+    pairs = map_batches(docs, [F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h")], "t long, h long", run)
+    return pairs.groupBy("t").agg(F.approx_count_distinct("h", 0.03).alias("n_t"))
 
 
 def _candidate(word: str, bitmap: np.ndarray) -> int | None:
@@ -219,11 +208,10 @@ def _candidate(word: str, bitmap: np.ndarray) -> int | None:
 def disclosing(found: DataFrame, docs: DataFrame, support: int, generalise: float, remove: float) -> DataFrame:
     """(row, start, end, removed): the terms to hide in each row; ``found`` is the stored first pass."""
     near = found.select("row", "hash", F.explode("beside").alias("b")).select("row", "hash", "b.*")
-    n = found.agg(F.sum("segments")).first()[0] or 0
-    once = near.groupBy("e", "t", "s").agg(F.min("hash").alias("hash"))
-    seen = (once.groupBy("e", "t").agg(F.count("*").alias("n_et"), F.min("hash").alias("h0"), F.max("hash").alias("h1"))
-            .filter((F.col("n_et") >= support) & (F.col("h0") < F.col("h1"))).drop("h0", "h1"))
-    n_e = near.select("e", "s").distinct().groupBy("e").agg(F.count("*").alias("n_e"))
+    n = found.select("hash").distinct().count()
+    seen = (near.select("e", "t", "hash").distinct().groupBy("e", "t").agg(F.count("*").alias("n_et"))
+            .filter(F.col("n_et") >= support))
+    n_e = found.select("hash", F.explode("entities").alias("e")).distinct().groupBy("e").agg(F.count("*").alias("n_e"))
     seen = cut(seen.join(n_e, "e"), "cooccurrence")
     counts = term_counts(docs, seen.select("t").distinct())
     share = 1 - F.log(F.greatest("n_t", "n_et") / F.col("n_et")) / F.log(F.lit(float(max(n, 2))) / F.col("n_e"))
@@ -232,13 +220,13 @@ def disclosing(found: DataFrame, docs: DataFrame, support: int, generalise: floa
     return (near.join(strong, ["e", "t"]).groupBy("row", "start", "end").agg(F.max("removed").alias("removed")))
 
 
-def find(docs: DataFrame, support: int = 3, generalise: float = 0.85, remove: float = 0.95) -> DataFrame:
+def find(docs: DataFrame, support: int = 2, generalise: float = 0.85, remove: float = 0.95) -> DataFrame:
     """(row, doc_id, spans, terms) of each row: pattern spans, and (start, end, removed) of disclosing terms."""
     found = cut(first_pass(docs), "spans")
     terms = (disclosing(found, docs, support, generalise, remove).groupBy(F.col("row").alias("t_row"))
              .agg(F.array_sort(F.collect_list(F.struct("start", "end", "removed"))).alias("terms")))
     empty = F.array().cast("array<struct<start: long, end: long, removed: boolean>>")
-    return (found.drop("beside", "segments", "hash").join(terms, F.col("row") == F.col("t_row"), "left").drop("t_row")
+    return (found.drop("beside", "entities", "hash").join(terms, F.col("row") == F.col("t_row"), "left").drop("t_row")
             .withColumn("terms", F.coalesce("terms", empty)))
 
 
@@ -272,7 +260,7 @@ def hidden(text: str | None, spans: list | None, terms: list | None) -> str | No
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, support: int = 3, generalise: float = 0.85, remove: float = 0.95) -> DataFrame:
+def sanitise(docs: DataFrame, support: int = 2, generalise: float = 0.85, remove: float = 0.95) -> DataFrame:
     """``docs`` with sanitised texts.  ``docs`` must be a stored table as read: a row's place in the scan names it."""
     own = docs.columns
     marks = (find(docs, support, generalise, remove).filter((F.size("spans") > 0) | (F.size("terms") > 0))

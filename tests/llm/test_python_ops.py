@@ -74,6 +74,23 @@ def test_disclosing_terms(spark, tmp_path):
     assert "plumtree" in out[len(rows) - 1].text
 
 
+def sanitised(spark, tmp_path, texts):
+    d = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(d)
+    return [r.text for r in sanitise.sanitise(spark.read.parquet(d)).orderBy("doc_id").collect()]
+
+
+def test_a_line_shared_by_different_texts_counts_in_each(spark, tmp_path):
+    texts = [f"letter about matter {i}\nquillfeather boss@corp.example.com" for i in range(6)]  # the same signature
+    texts += [f"sparrowhawk wrote note {i} for rare@corp.example.com" for i in range(2)]  # an address seen twice
+    texts += ["plumtree by once@corp.example.com"] * 5  # copies of a whole text
+    texts += [f"note {i} about nothing else" for i in range(2000)]
+    out = sanitised(spark, tmp_path, texts)
+    assert not any("quillfeather" in t for t in out[:6])
+    assert not any("sparrowhawk" in t for t in out[6:8]) and all("note" in t for t in out[6:8])
+    assert all("plumtree" in t for t in out[8:13]) and out[13:] == texts[13:]
+
+
 def test_sanitise_keeps_every_row(spark, edge_dir):
     docs = spark.read.parquet(f"{edge_dir}/documents.parquet")
     out = sanitise.sanitise(docs)
