@@ -3,20 +3,22 @@
 Patterns find e-mail addresses, IP addresses, card and phone numbers.  Hiding those
 is not enough where other words give them away, so corpus co-occurrence estimates how
 strongly a term reveals an entity: of n distinct texts in all, n_e hold the entity, n_t the
-term, and n_et hold both in one segment of at most ``SEGMENT_WORDS`` words of a line,
+term, and n_et the term within ``CONTEXT_WORDS`` words of the entity, whatever the lines,
 
     disclosure = PMI(e, t) / IC(e) = 1 - log(n_t / n_et) / log(n / n_e)
 
 is the share of the entity's information that the term carries.  A term at or above
-``generalise`` is generalised where it stands by the entity, one at or above ``remove``
-is removed.  All counts are of distinct texts: copies of a whole text are one observation,
+``generalise`` is generalised at all its places in every text that holds the entity, one
+at or above ``remove`` is removed there.  All counts are of distinct texts: copies of a whole text are one observation,
 a line that different texts share counts in each.  Pairs seen in fewer than ``support``
 texts prove nothing; the default of two asks only that one text is not the whole evidence.
 
-Two passes over all texts: the first finds the patterns and, for segments with an
-entity, the terms beside it; the second counts candidate terms over the whole corpus.
-Candidates reach it as a bitmap of fixed size; whatever else passes the bitmap is
-dropped by the exact join that follows.  n_t is a mergeable distinct-count sketch.
+Two passes over all texts: the first finds the patterns and, in texts with an entity, the
+terms beside it; the second counts candidate terms over the whole corpus.  A last pass over
+the texts with an entity finds all places of proven terms.  Candidates and proven terms
+reach a pass as a bitmap of fixed size; whatever else passes the bitmap is dropped by the
+exact join that follows.  n_t is exact: texts that stand once are counted as
+they are read, repeated ones by a distinct count.
 
 Defined results: a null or empty text has no spans; repeated rows get the same spans;
 null ids are kept; an empty table gives an empty result; other columns are passed
@@ -25,8 +27,8 @@ through by ``sanitise``.  Offsets count code points, ends are exclusive.
 
 from __future__ import annotations
 
-import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ from .common import append_columns, cut, fixed_bits, map_batches
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-SEGMENT_WORDS = 32
+CONTEXT_WORDS = 32
 _BITS = 22
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -101,123 +103,189 @@ def _signed(text: str) -> int:
 
 
 def term(word: str) -> int | None:
-    """64-bit id of a word without its punctuation, or None if it is too short to be a term."""
+    """64-bit id of a word without its punctuation, or None if nothing is left of it."""
     plain = word.strip(_EDGE).lower()
-    return _signed(plain) if len(plain) > 2 else None
+    return _signed(plain) if plain else None
 
 
-def segments(text: str):
-    """Lists of (start, end, word) of the segments of a text."""
-    at = 0
-    for line in text.split("\n"):
-        words = [(at + m.start(), at + m.end(), m.group()) for m in _WORD.finditer(line)]
-        for i in range(0, len(words), SEGMENT_WORDS):
-            yield words[i:i + SEGMENT_WORDS]
-        at += len(line) + 1
-
-
-def beside(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int]]:
-    """(entity, term, start, end) of each term that shares a segment with a span."""
-    out, order, i = [], sorted(spans, key=lambda x: x[1]), 0
-    for words in segments(text):
-        lo, hi = words[0][0], words[-1][1]
-        while i < len(order) and order[i][2] <= lo:
+def words_outside(text: str, spans: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[str | None]]:
+    """(start, end) of each word of a text, and the word, or None where it touches a span."""
+    order, i, upto, places, words = sorted(spans), 0, 0, [], []
+    for m in _WORD.finditer(text):
+        s, e = m.span()
+        while i < len(order) and order[i][0] < e:
+            upto = max(upto, order[i][1])
             i += 1
-        inside = []
-        for k in range(i, len(order)):
-            if order[k][1] >= hi:
-                break
-            inside.append(order[k])
-        if not inside:
-            continue
-        found = {entity(kind, text[s:e]) for kind, s, e in inside}
-        for s, e, w in words:
-            if all(e <= a or s >= b for _, a, b in inside) and (t := term(w)) is not None:
-                lead = len(w) - len(w.lstrip(_EDGE))
-                out += [(x, t, s + lead, s + lead + len(w.strip(_EDGE))) for x in found]
-    return out
+        places.append((s, e))
+        words.append(m.group() if upto <= s else None)
+    return places, words
+
+
+def beside(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """(entity, term) of each term within ``CONTEXT_WORDS`` words of a span, each pair once."""
+    if not spans:
+        return []
+    places, words = words_outside(text, [(s, e) for _, s, e in spans])
+    starts, ends, terms, out = [s for s, _ in places], [e for _, e in places], {}, set()
+    for kind, s, e in spans:
+        x, lo, hi = entity(kind, text[s:e]), bisect_right(ends, s), bisect_left(starts, e)
+        for k in range(max(lo - CONTEXT_WORDS, 0), min(hi + CONTEXT_WORDS, len(words))):
+            if words[k] is not None:
+                if k not in terms:
+                    terms[k] = term(words[k])
+                if terms[k] is not None:
+                    out.add((x, terms[k]))
+    return sorted(out)
 
 
 def first_pass(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, hash, spans, entities, beside) of each row; ``row`` is its place in the scan."""
+    """(row, doc_id, hash, spans, entities, beside, text) of each row; ``row`` is its place in the scan.
+
+    The text is kept only where it has spans.
+    """
     schema = ("row long, doc_id long, hash long, spans array<struct<kind: string, start: long, end: long>>, "
-              "entities array<long>, beside array<struct<e: long, t: long, start: long, end: long>>")
+              "entities array<long>, beside array<struct<e: long, t: long>>, text string")
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-    pair = pa.struct([(c, pa.int64()) for c in ("e", "t", "start", "end")])
+    pair = pa.struct([(c, pa.int64()) for c in ("e", "t")])
 
     def run(batches):
         for b in batches:
-            spans, held, near = [], [], []
+            spans, held, near, texts = [], [], [], []
             for text in b.column(3).to_pylist():
                 text = text or ""
                 found = base_spans(text)
                 spans.append([dict(zip(("kind", "start", "end"), x, strict=True)) for x in found])
                 held.append(sorted({entity(kind, text[s:e]) for kind, s, e in found}))
-                near.append([dict(zip(("e", "t", "start", "end"), x, strict=True))
-                             for x in (beside(text, found) if found else ())])
+                near.append([{"e": e, "t": t} for e, t in beside(text, found)])
+                texts.append(text if found else None)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:3], pa.array(spans, pa.list_(span)), pa.array(held, pa.list_(pa.int64())),
-                 pa.array(near, pa.list_(pair))], ["row", "doc_id", "hash", "spans", "entities", "beside"])
+                 pa.array(near, pa.list_(pair)), pa.array(texts, pa.string())],
+                ["row", "doc_id", "hash", "spans", "entities", "beside", "text"])
 
     return map_batches(docs, [F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                               F.xxhash64("text").alias("hash"), F.col("text").cast("string").alias("text")], schema, run)
 
 
-def term_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(t, n_t): distinct texts of the corpus with each candidate term ``t`` (and some others)."""
-    words = fixed_bits(candidates, "t", _BITS)
-    if not words:
-        return candidates.select("t", F.lit(0).cast("long").alias("n_t")).limit(0)
+def _bitmap(df: DataFrame, key: str):
+    """The low bits of ``key`` as a broadcast bitmap of fixed size."""
     bitmap = np.zeros(1 << (_BITS - 6), np.int64)
-    for w, m in words:
+    for w, m in fixed_bits(df, key, _BITS):
         bitmap[w] = m
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    return df.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def _holds(bitmap: np.ndarray, key: int) -> int:
+    at = key & ((1 << _BITS) - 1)
+    return int(bitmap[at >> 6]) >> (at & 63) & 1
+
+
+def term_counts(docs: DataFrame, candidates: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(t, n_t): distinct texts of the corpus with each candidate term ``t`` (and some others).
+
+    ``repeated``: the ``hash`` of each text that stands more than once.
+    """
+    shared, copied = _bitmap(candidates, "t"), _bitmap(repeated, "hash")
+    schema = pa.schema([(c, pa.int64()) for c in ("t", "h", "n")])
 
     def run(batches):
         cache: dict[str, int | None] = {}
+        once: dict[int, int] = {}
+        seen: set[int] = set()
         for b in batches:
             ts, hs = [], []
             for text, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                copy = _holds(copied.value, h)
+                if copy and h in seen:
+                    continue
                 hits = set()
-                for w in (text or "").split():
+                for w in set((text or "").split()):
                     if w not in cache:
                         if len(cache) > 300_000:
                             cache.clear()
                         cache[w] = _candidate(w, shared.value)
                     if cache[w] is not None:
                         hits.add(cache[w])
-                ts += hits
-                hs += [h] * len(hits)
-                if len(ts) > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(ts, pa.int64()), pa.array(hs, pa.int64())], ["t", "h"])
-                    ts, hs = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(ts, pa.int64()), pa.array(hs, pa.int64())], ["t", "h"])
-
-    pairs = map_batches(docs, [F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h")], "t long, h long", run)
-    return pairs.groupBy("t").agg(F.approx_count_distinct("h", 0.03).alias("n_t"))
+                if copy:
+                    if len(seen) > 300_000:
+                        seen.clear()
+                    seen.add(h)
+                    ts += hits
+                    hs += [h] * len(hits)
+                else:
+                    for t in hits:
+                        once[t] = once.get(t, 0) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(ts, pa.int64()), pa.array(hs, pa.int64()), pa.array([1] * len(ts), pa.int64())], schema=schema)
+            if len(once) > 100_000:
+                yield _counts(once, schema)
+                once = {}
+        yield _counts(once, schema)
+
+    rows = map_batches(docs, [F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h")], "t long, h long, n long", run)
+    each = rows.groupBy("t", "h").agg(F.sum("n").alias("n"))
+    return each.groupBy("t").agg(F.sum(F.when(F.col("h").isNull(), F.col("n")).otherwise(1)).alias("n_t"))
+
+
+def _counts(once: dict[int, int], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(once), pa.int64()), pa.nulls(len(once), pa.int64()),
+                                       pa.array(list(once.values()), pa.int64())], schema=schema)
 
 
 def _candidate(word: str, bitmap: np.ndarray) -> int | None:
     t = term(word)
-    if t is None:
-        return None
-    at = t & ((1 << _BITS) - 1)
-    return t if int(bitmap[at >> 6]) >> (at & 63) & 1 else None
+    return t if t is not None and _holds(bitmap, t) else None
+
+
+def term_places(held: DataFrame, terms: DataFrame) -> DataFrame:
+    """(row, t, places): all places of each term ``t`` (and of some others) outside the spans of rows (row, text, spans)."""
+    schema, place = "row long, t long, places array<struct<start: long, end: long>>", ("start", "end")
+    shared = _bitmap(terms, "t")
+    kind = pa.list_(pa.struct([(c, pa.int64()) for c in place]))
+
+    def run(batches):
+        cache: dict[str, int | None] = {}
+        for b in batches:
+            rows, ts, at = [], [], []
+            for row, text, spans in zip(*[b.column(k).to_pylist() for k in range(3)], strict=True):
+                found: dict[int, list] = {}
+                for (s, _), w in zip(*words_outside(text, [(x["start"], x["end"]) for x in spans]), strict=True):
+                    if w is None:
+                        continue
+                    if w not in cache:
+                        if len(cache) > 300_000:
+                            cache.clear()
+                        cache[w] = _candidate(w, shared.value)
+                    if cache[w] is not None:
+                        lead = s + len(w) - len(w.lstrip(_EDGE))
+                        found.setdefault(cache[w], []).append({"start": lead, "end": lead + len(w.strip(_EDGE))})
+                rows += [row] * len(found)
+                ts += found
+                at += found.values()
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(ts, pa.int64()), pa.array(at, kind)],
+                                             ["row", "t", "places"])
+
+    return map_batches(held, ["row", "text", "spans"], schema, run)
 
 
 def disclosing(found: DataFrame, docs: DataFrame, support: int, generalise: float, remove: float) -> DataFrame:
     """(row, start, end, removed): the terms to hide in each row; ``found`` is the stored first pass."""
-    near = found.select("row", "hash", F.explode("beside").alias("b")).select("row", "hash", "b.*")
-    n = found.select("hash").distinct().count()
+    near = found.select("hash", F.explode("beside").alias("b")).select("hash", "b.*")
+    texts = cut(found.groupBy("hash").agg(F.count("*").alias("times")), "texts")
+    n = texts.count()
     seen = (near.select("e", "t", "hash").distinct().groupBy("e", "t").agg(F.count("*").alias("n_et"))
             .filter(F.col("n_et") >= support))
     n_e = found.select("hash", F.explode("entities").alias("e")).distinct().groupBy("e").agg(F.count("*").alias("n_e"))
     seen = cut(seen.join(n_e, "e"), "cooccurrence")
-    counts = term_counts(docs, seen.select("t").distinct())
+    counts = term_counts(docs, seen.select("t").distinct(), texts.filter("times > 1"))
     share = 1 - F.log(F.greatest("n_t", "n_et") / F.col("n_et")) / F.log(F.lit(float(max(n, 2))) / F.col("n_e"))
     strong = (seen.join(counts, "t").filter(F.col("n_e") < n).select("e", "t", share.alias("share"))
               .filter(F.col("share") >= generalise).select("e", "t", (F.col("share") >= remove).alias("removed")))
-    return (near.join(strong, ["e", "t"]).groupBy("row", "start", "end").agg(F.max("removed").alias("removed")))
+    strong = cut(strong, "disclosing")
+    places = term_places(found.filter(F.size("spans") > 0), strong.select("t").distinct())
+    # a term is strong only for entities that most of its texts hold, so this join stays near the pairs that exist
+    held = found.select("row", F.explode("entities").alias("e"))
+    return (places.join(strong, "t").join(held, ["row", "e"]).select("row", "removed", F.explode("places").alias("p"))
+            .groupBy("row", F.col("p.start").alias("start"), F.col("p.end").alias("end")).agg(F.max("removed").alias("removed")))
 
 
 def find(docs: DataFrame, support: int = 2, generalise: float = 0.85, remove: float = 0.95) -> DataFrame:
@@ -226,7 +294,7 @@ def find(docs: DataFrame, support: int = 2, generalise: float = 0.85, remove: fl
     terms = (disclosing(found, docs, support, generalise, remove).groupBy(F.col("row").alias("t_row"))
              .agg(F.array_sort(F.collect_list(F.struct("start", "end", "removed"))).alias("terms")))
     empty = F.array().cast("array<struct<start: long, end: long, removed: boolean>>")
-    return (found.drop("beside", "entities", "hash").join(terms, F.col("row") == F.col("t_row"), "left").drop("t_row")
+    return (found.drop("beside", "entities", "hash", "text").join(terms, F.col("row") == F.col("t_row"), "left").drop("t_row")
             .withColumn("terms", F.coalesce("terms", empty)))
 
 

@@ -91,6 +91,27 @@ def test_a_line_shared_by_different_texts_counts_in_each(spark, tmp_path):
     assert all("plumtree" in t for t in out[8:13]) and out[13:] == texts[13:]
 
 
+def test_proven_terms_are_hidden_in_the_whole_text(spark, tmp_path):
+    """Across lines, beyond fixed blocks of words, far from the entity, and names of one or two characters."""
+    far = " ".join(f"the{k}" for k in range(200))
+    texts = [f"Quillfeather boss@corp.example.com\nof report {i}\n{far}\nQuillfeather phoned (Quillfeather!)" for i in range(4)]
+    texts += [f"head@corp.example.com\nSparrowhawk {i}" for i in range(4)]  # only ever in the next line
+    texts += [" ".join(f"the{k}" for k in range(31)) + f" desk@corp.example.com Plumtree {i}" for i in range(4)]  # words 32 and 33
+    texts += [f"Li wrote for wu@corp.example.com, said 李明 and Q in {i}" for i in range(4)]
+    texts += [f"{far} note {i} in of wrote for and said report" for i in range(2000)]
+    texts += ["Quillfeather and sparrowhawk without an address"]
+    out = sanitised(spark, tmp_path, texts)
+    for t in out[:16]:
+        assert "@" not in t and not set(re.findall(r"\w+", t.lower())) & {"quillfeather", "sparrowhawk", "plumtree", "li", "李明", "q"}
+    assert all("report" in t and far in t for t in out[:4]) and out[16:] == texts[16:]
+
+
+def test_context_of_many_entities_stays_linear():
+    text = " ".join(f"name{i} a{i}@b.example.com" for i in range(3000))
+    pairs = sanitise.beside(text, sanitise.base_spans(text))
+    assert len(pairs) <= 2 * sanitise.CONTEXT_WORDS * 3000 and len({e for e, _ in pairs}) == 3000
+
+
 def test_sanitise_keeps_every_row(spark, edge_dir):
     docs = spark.read.parquet(f"{edge_dir}/documents.parquet")
     out = sanitise.sanitise(docs)
