@@ -6,6 +6,10 @@ A license notice is written once as a template: mandatory words, optional region
 compile into token automata that run over a text's words.  A place is accepted if all
 mandatory wording matches exactly; punctuation, case and white space never count.
 
+Labels say how much was compared: ``<licence>`` is a line that names the licence,
+``<licence>-opening`` the first sentence of its text, whatever follows, ``<licence>-notice``
+the whole notice that files carry, and ``<licence>-text`` the whole mandatory wording.
+
 An automaton starts only where a text has one of its first words, and a template is
 tried only on texts that contain its rarest mandatory word, which loses nothing.
 
@@ -29,12 +33,84 @@ from .common import map_batches
 # Phrases whose places are always reported, with their labels.
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
-# Public license notices as templates, with the word that a text must contain.
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: "
+        "<<beginOptional>>1<<endOptional>> Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. "
+        "<<beginOptional>>2<<endOptional>> Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. ")
+_BSD_AD = ("<<beginOptional>>3<<endOptional>> All advertising materials mentioning features or use of this software must display "
+           "the following acknowledgement: This product includes software developed by <<var;name=who;words=1-24>>. ")
+_BSD_NAME = ("<<beginOptional>>3<<endOptional>><<beginOptional>>4<<endOptional>> Neither the name of "
+             "<<var;name=holder;words=1-24>> may be used to endorse or promote products derived from this software without "
+             "specific prior written permission. ")
+_BSD_END = ("THIS SOFTWARE IS PROVIDED BY <<var;name=holder;words=1-24>> \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+            "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+            "DISCLAIMED. IN NO EVENT SHALL <<var;name=holder;words=1-24>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+            "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS "
+            "OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+            "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+            "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE")
+
+
+def _gnu(name: str, version: str) -> str:
+    """The notice of a GNU license, with or without the paragraph on where to get a copy."""
+    return ("is free software; you can redistribute it and/or modify it under the terms of the GNU "
+            f"{name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) "
+            "any later version. <<var;name=work;words=1-8>> is distributed in the hope that it will be useful, but WITHOUT ANY "
+            "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+            f"{name} for more details<<beginOptional>>. You should have received a copy of the GNU {name} along with "
+            "<<var;name=work;words=1-8>> if not, <<var;name=where;words=2-24>><<endOptional>>")
+
+
+# Public license texts and notices as templates, with the word that a text must contain.
 TEMPLATES = (
+    ("mit-text", "sublicense", "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+     "<<var;name=work;words=1-12>> to deal in the <<var;name=work;words=1-3>> without restriction, including without limitation "
+     "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+     "<<var;name=work;words=1-3>>, and to permit persons to whom the <<var;name=work;words=1-3>> is furnished to do so, subject to "
+     "the following conditions: The above copyright notice and this permission notice "
+     "<<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of "
+     "the <<var;name=work;words=1-3>>. THE <<var;name=work;words=1-3>> IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
+     "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+     "NONINFRINGEMENT. IN NO EVENT SHALL <<var;name=holder;words=1-24>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+     "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+     "<<var;name=work;words=1-3>> OR THE USE OR OTHER DEALINGS IN THE SOFTWARE"),
+    ("bsd-2-text", "redistributions", _BSD + _BSD_END),
+    ("bsd-3-text", "endorse", _BSD + _BSD_NAME + _BSD_END),
+    ("bsd-4-text", "advertising", _BSD + _BSD_AD + _BSD_NAME + _BSD_END),
+    ("isc-text", "tortious", "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any "
+     "purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear "
+     "in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND <<var;name=holder;words=1-24>> "
+     "<<beginOptional>>DISCLAIMS<<endOptional>><<beginOptional>>DISCLAIM<<endOptional>> ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+     "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var;name=holder;words=1-24>> BE LIABLE "
+     "FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+     "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE "
+     "OR PERFORMANCE OF THIS SOFTWARE"),
+    ("unlicense-text", "unencumbered", "This is free and unencumbered software released into the public domain. Anyone is free to "
+     "copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+     "for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author "
+     "or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this "
+     "dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this "
+     "dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under "
+     "copyright law. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+     "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE "
+     "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF "
+     "OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE"),
+    ("apache-2-notice", "apache", "licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
+     "<<var;name=work;words=1-3>> except in compliance with the License. You may obtain a copy of the License at "
+     "<<var;name=where;words=4-12>> Unless required by applicable law or agreed to in writing, software distributed under the "
+     "License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the "
+     "License for the specific language governing permissions and limitations under the License"),
+    ("gpl-3-notice", "gnu", _gnu("General Public License", "3")),
+    ("gpl-2-notice", "gnu", _gnu("General Public License", "2")),
+    ("lgpl-notice", "lesser", _gnu("Lesser General Public License", "<<var;name=version;words=1-2>>")),
+    ("agpl-3-notice", "affero", _gnu("Affero General Public License", "3")),
     ("mit", "mit", "<<beginOptional>>this <<var;name=kind;words=1-3>> is<<endOptional>> "
      "<<beginOptional>>released<<endOptional>><<beginOptional>>licensed<<endOptional>><<beginOptional>>distributed<<endOptional>> "
      "under the <<beginOptional>>terms of the<<endOptional>> MIT license"),
-    ("mit", "hereby", "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+    ("mit-opening", "hereby", "Permission is hereby granted, free of charge, to any person obtaining a copy of "
      "<<var;name=work;words=1-12>> to deal in <<var;name=work;words=1-6>> without restriction"),
     ("apache-2", "apache", "licensed under the Apache License, Version 2<<beginOptional>>.0<<endOptional>> "
      "<<beginOptional>>(the \"License\")<<endOptional>>"),
@@ -48,16 +124,16 @@ TEMPLATES = (
     ("agpl-3", "affero", "under <<beginOptional>>the terms of<<endOptional>> the GNU Affero General Public License"),
     ("mpl-2", "mozilla", "subject to the terms of the Mozilla Public License, <<beginOptional>>v.<<endOptional>>"
      "<<beginOptional>>version<<endOptional>> 2.0"),
-    ("bsd", "redistribution", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    ("bsd-opening", "redistribution", "Redistribution and use in source and binary forms, with or without modification, are permitted "
      "provided that the following conditions are met"),
-    ("isc", "hereby", "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any "
+    ("isc-opening", "hereby", "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any "
      "purpose with or without fee is hereby granted"),
     ("cc-by-nc", "nc", "licensed under <<beginOptional>>a<<endOptional>> CC BY-NC <<beginOptional>>-SA<<endOptional>>"
      "<<beginOptional>>-ND<<endOptional>> <<var;name=version;words=1-2>>"),
     ("cc-by-nc", "noncommercial", "Creative Commons Attribution-NonCommercial"),
     ("cc-by", "commons", "Creative Commons Attribution <<var;name=version;words=1-2>> International License"),
     ("cc0", "cc0", "CC0 1.0 Universal"),
-    ("unlicense", "unencumbered", "This is free and unencumbered software released into the public domain"),
+    ("unlicense-opening", "unencumbered", "This is free and unencumbered software released into the public domain"),
     ("all-rights-reserved", "reserved", "all rights reserved"),
 )
 

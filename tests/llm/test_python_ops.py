@@ -257,6 +257,30 @@ def test_every_template_is_found():
         assert label in {x for x, _, _ in scanner.scan(f"Before. {plain}, after.".encode())[2]}
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to
+use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the
+Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE
+FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_license_texts_match_as_a_whole():
+    def labels(text):
+        return {x for x, _, _ in license_scan.Scanner().scan(text.encode())[2]}
+
+    assert labels(MIT) == {"mit-text", "mit-opening"}
+    evil = MIT.replace("THE SOFTWARE IS PROVIDED", "The Software shall be used for Good, not Evil.\nTHE SOFTWARE IS PROVIDED")
+    assert labels(evil) == labels(MIT.replace("sell copies", "not sell copies")) == labels(MIT[:400]) == {"mit-opening"}
+    parts = dict((x, re.sub("<<var.*?>>", "ACME", re.sub("<<beginOptional>>.*?<<endOptional>>", "", t))) for x, _, t in license_scan.TEMPLATES)
+    for k in "234":
+        assert labels(parts[f"bsd-{k}-text"]) == {f"bsd-{k}-text", "bsd-opening"}
+        assert labels(parts[f"bsd-{k}-text"].replace("ARE DISCLAIMED", "ARE GIVEN")) == {"bsd-opening"}
+
+
 @pytest.mark.parametrize("name", ["op3_pii", "op6_sharding", "op8_langid", "op9_quality_model", "op10_licenses"])
 def test_empty_tables(name, empty_dir, results):
     assert results(name, empty_dir) == []
