@@ -150,7 +150,7 @@ def train(x: np.ndarray, y: np.ndarray, rounds: int = 120, rate: float = 0.1, n_
     n, k = x.shape
     shares = np.linspace(0, 1, BINS + 1)[1:-1]
     edges = [np.unique(np.quantile(x[:, j], shares)) for j in range(k)] if n else [np.zeros(0)] * k
-    coarse = [e[:: max(1, len(e) // (PAIR_BINS - 1))][:PAIR_BINS - 1] for e in edges]
+    coarse = [e[np.linspace(0, len(e) - 1, PAIR_BINS - 1).astype(int)] if len(e) >= PAIR_BINS else e for e in edges]
     mean = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if n else 0.5
     model = Additive(edges, float(np.log(mean / (1 - mean))), np.zeros((k, BINS)), coarse, [], np.zeros((0, PAIR_BINS, PAIR_BINS)))
     if not n:

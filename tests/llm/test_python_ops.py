@@ -214,6 +214,24 @@ def test_additive_model_learns_an_interaction():
     assert ((model.score(x) >= 0.5) == y).mean() > 0.9
 
 
+@pytest.mark.parametrize("values", [9, 12, 200])
+def test_pair_edges_span_the_whole_list(values):
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, values, (6000, 2)).astype(float)
+    model = quality_model.train(x, (x[:, 0] > x[:, 1]).astype(float), rounds=2, n_pairs=1, pair_rounds=2)
+    for c, e in zip(model.coarse, model.edges, strict=True):
+        assert len(c) == quality_model.PAIR_BINS - 1 < len(e) and c[0] == e[0] and c[-1] == e[-1]
+
+
+def test_additive_model_learns_an_interaction_of_upper_values():
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 12, (6000, 2)).astype(float)
+    top = x >= 9
+    y = (top[:, 0] ^ top[:, 1]).astype(float)
+    model = quality_model.train(x, y, rounds=20, n_pairs=1, pair_rounds=40)
+    assert ((model.score(x) >= 0.5) == y).mean() > 0.95
+
+
 @pytest.mark.parametrize("where", ["edge", SMALL])
 def test_license_places(where, edge_dir, results, tables):
     d = folder(where, edge_dir)
