@@ -38,10 +38,11 @@ PART_ROWS = 65_536
 
 
 def sign_code(vector: Column) -> Column:
-    """64-bit code: bit i is 1 where element i of the vector's first 64 is above zero."""
+    """64-bit code: bit i is 1 where element i of the vector is above zero; a vector of more than 64 elements is an error."""
     bits = F.transform(F.slice(vector, 1, 64), lambda x, i: F.when(
         F.coalesce((x > 0) & ~F.isnan(x), F.lit(False)), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+    code = F.aggregate(bits, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+    return F.when(F.size(vector) > BITS, F.raise_error(F.lit(f"a vector has more than {BITS} elements"))).otherwise(code)
 
 
 def balls(bits: int, radius: int) -> list[np.ndarray]:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from conftest_paths import MEDIUM, SMALL
 
-from sensorweave.llm import langid, license_scan, quality_model, sanitise, sharding
+from sensorweave.llm import hamming_search, langid, license_scan, quality_model, sanitise, sharding
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -299,6 +299,16 @@ def test_license_texts_match_as_a_whole():
         assert labels(parts[f"bsd-{k}-text"].replace("ARE DISCLAIMED", "ARE GIVEN")) == {"bsd-opening"}
 
 
+def test_wider_vectors_are_not_cut(spark):
+    def codes(width):
+        rows = spark.createDataFrame([([0.0] * (width - 1) + [1.0],)], "v array<float>")
+        return [r[0] for r in rows.select(hamming_search.sign_code(rows["v"])).collect()]
+
+    assert codes(64) == [-(1 << 63)] and codes(3) == [4]
+    with pytest.raises(Exception, match="more than 64 elements"):
+        codes(65)
+
+
 @pytest.mark.parametrize("name", ["op3_pii", "op6_sharding", "op8_langid", "op9_quality_model", "op10_licenses"])
 def test_empty_tables(name, empty_dir, results):
     assert results(name, empty_dir) == []
