@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hamming_search, langid, license_scan, mixing, packing, quality_model, quality_rules, sanitise, sharding, simhash
+from . import hamming_search, langid, license_scan, manifest, mixing, packing, quality_model, quality_rules, sanitise, sharding, simhash
 from .common import cut, documents
 
 QUERIES = {}
@@ -203,3 +203,54 @@ d AS (SELECT q.id AS query_id, v.id AS vec_id,
       FROM v AS q JOIN v ON q.id % 100 = 0 AND q.id <> v.id)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d) WHERE rank <= 10
 """
+
+
+@query
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents and the proof of each, climbed by a recursive query."""
+    return manifest.verify(documents(spark, sf_dir))
+
+
+ORACLES["op13_manifest"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head, text,
+         coalesce(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS UBIGINT))),
+           lambda a, x: list_reduce(list_prepend(xor(a, x), CAST(range(8) AS UBIGINT[])),
+             lambda b, i: xor(b >> 1, CAST(3988292384 AS UBIGINT) * (b & 1)))), CAST(4294967295 AS UBIGINT)) % 2 = 0, false) AS hit
+  FROM documents),
+l AS (
+  SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(t2) || ':' || t2, '-')) AS given
+  FROM (SELECT *, CASE WHEN hit THEN replace(text, chr(10), '') ELSE text END AS t2 FROM d)),
+s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS grp, count(*) AS n FROM l GROUP BY source),
+p AS (SELECT l.*, s.grp, s.n, row_number() OVER (PARTITION BY s.grp ORDER BY doc_id NULLS FIRST, leaf, given) - 1 AS pos
+      FROM l JOIN s ON l.source IS NOT DISTINCT FROM s.source),
+t AS (
+  SELECT grp AS tree, 0 AS lvl, pos, leaf AS h, n FROM p
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), max(n + 2) // 3 FROM t WHERE n > 1 GROUP BY tree, lvl, pos // 3),
+sub AS (SELECT tree AS grp, h AS subroot FROM t WHERE n = 1),
+u AS (
+  SELECT 0 AS lvl, grp AS pos, subroot AS h, (SELECT count(*) FROM sub) AS n FROM sub
+  UNION ALL
+  SELECT lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), max(n + 2) // 3 FROM u WHERE n > 1 GROUP BY lvl, pos // 3),
+runs AS (
+  SELECT tree, lvl, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM t WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT -1, lvl, pos // 3, list(h ORDER BY pos) FROM u WHERE n > 1 GROUP BY ALL),
+c AS (
+  SELECT rid, grp, n, (SELECT count(*) FROM sub) AS groups, grp AS tree, 0 AS lvl, pos, given AS folded, '' AS sib, n AS size FROM p
+  UNION ALL
+  SELECT c.rid, c.grp, c.n, c.groups, CASE WHEN c.size = 1 THEN -1 ELSE c.tree END, CASE WHEN c.size = 1 THEN 0 ELSE c.lvl + 1 END,
+         CASE WHEN c.size = 1 THEN c.grp ELSE c.pos // 3 END,
+         CASE WHEN c.size = 1 THEN c.folded ELSE sha256(array_to_string(r.hs[:c.pos % 3], '') || c.folded || array_to_string(r.hs[c.pos % 3 + 2:], '')) END,
+         CASE WHEN c.size = 1 THEN c.sib ELSE c.sib || array_to_string(r.hs[:c.pos % 3], '') || array_to_string(r.hs[c.pos % 3 + 2:], '') END,
+         CASE WHEN c.size = 1 THEN c.groups ELSE (c.size + 2) // 3 END
+  FROM c LEFT JOIN runs r ON r.tree = c.tree AND r.lvl = c.lvl AND r.run = c.pos // 3
+  WHERE NOT (c.size = 1 AND c.tree = -1))
+SELECT p.doc_id, p.leaf, sub.subroot, (SELECT h FROM u WHERE n = 1) AS root, sha256(c.sib) AS proof_sha256, c.folded AS folded_root,
+       c.folded = (SELECT h FROM u WHERE n = 1) AS verified
+FROM p JOIN sub USING (grp) JOIN c ON c.rid = p.rid AND c.tree = -1 AND c.size = 1
+"""

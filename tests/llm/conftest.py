@@ -33,9 +33,11 @@ def edge_dir(spark, tmp_path_factory):
     spark.createDataFrame(edge_rows(), DOCS).coalesce(3).write.parquet(f"{d}/documents.parquet")
     labels = [(i, (None, 0, 1)[i % 3], 0, i) for i in range(14)] + [(None, 1, 0, 0), (1, 1, 0, 0), (1, 0, 0, 0)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int, f int").write.parquet(f"{d}/labels.parquet")
-    vectors = [(i, [float((i * j) % 7 - 3) for j in range(64)], 1) for i in range(205)]
-    vectors += [(300, None, 1), (400, [], 1), (500, [float("nan"), None] + [1.0] * 62, 1), (None, [1.0] * 64, 1), (100, [2.0] * 64, 1)]
-    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, code int").coalesce(2).write.parquet(f"{d}/embeddings.parquet")
+    vectors = [(i, [float((i * j) % 7 - 3) for j in range(64)], 1, (i * i) % 5) for i in range(205)]
+    vectors += [(300, None, 1, 1), (400, [], 1, 1), (500, [float("nan"), None] + [1.0] * 62, 1, 2), (None, [1.0] * 64, 1, 1),
+                (100, [2.0] * 64, 1, 3), (600, [0.5] * 64, 1, None), (700, [-0.5] * 32, 1, 3), (800, [float("inf")] * 64, 1, 3),
+                (900, [3.0e4] * 64, 1, 4), (901, [-3.0e4] * 63 + [1.0], 1, 2), (902, [0.0] * 64, 1, 2), (200, vectors[200][1], 1, 0)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, code int, label int").coalesce(2).write.parquet(f"{d}/embeddings.parquet")
     return d
 
 
