@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hamming_search, langid, license_scan, manifest, mixing, packing, quality_model, quality_rules, sanitise, sharding, simhash
+from . import hamming_search, langid, license_scan, manifest, mixing, packing, quality_model, quality_rules, sanitise, sharding, simhash, substring_dedup
 from .common import cut, documents
 
 QUERIES = {}
@@ -254,3 +254,22 @@ SELECT p.doc_id, p.leaf, sub.subroot, (SELECT h FROM u WHERE n = 1) AS root, sha
        c.folded = (SELECT h FROM u WHERE n = 1) AS verified
 FROM p JOIN sub USING (grp) JOIN c ON c.rid = p.rid AND c.tree = -1 AND c.size = 1
 """
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 13-word windows that a document with a smaller id holds too are removed."""
+    return substring_dedup.digest(documents(spark, sf_dir))
+
+
+ORACLES["op12_substring_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT rid, doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d)),
+v AS (SELECT rid, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY s) AS least FROM g) WHERE least < doc_id),
+c AS (SELECT DISTINCT rid, i + k AS p FROM v, (SELECT unnest(range(13)) AS k)),
+k AS (SELECT d.rid, string_agg(x.word, ' ' ORDER BY x.p) AS kept, count(*) AS n
+      FROM (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) AS x JOIN d USING (rid)
+      LEFT JOIN c ON c.rid = x.rid AND c.p = x.p WHERE c.p IS NULL GROUP BY d.rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (rid)
+"""
