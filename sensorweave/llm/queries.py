@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hamming_search, langid, license_scan, manifest, mixing, packing, quality_model, quality_rules, sanitise, sharding, simhash, substring_dedup
+from . import (hamming_search, hard_negatives, langid, license_scan, manifest, mixing, packing, quality_model, quality_rules, sanitise,
+               sharding, simhash, substring_dedup)
 from .common import cut, documents
 
 QUERIES = {}
@@ -273,3 +274,31 @@ k AS (SELECT d.rid, string_agg(x.word, ' ' ORDER BY x.p) AS kept, count(*) AS n
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (rid)
 """
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every vector whose id is divisible by 100 and each of its five positives, the ten hardest negatives in range."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives.mine(hard_negatives.prepared(vectors), 5, 10, 30, 90, 100)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.row AS a_row, a.id AS anchor_id, a.label = v.label AS alike, v.row, v.id,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.c, v.c), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0) AS BIGINT) AS score
+  FROM v AS a JOIN v ON a.id % 100 = 0 AND a.row <> v.row),
+p AS (SELECT * FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY a_row ORDER BY score DESC, id NULLS LAST, row) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a_row, p.row ORDER BY s.score DESC, s.id NULLS LAST, s.row) AS INTEGER) AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.a_row = s.a_row AND NOT s.alike AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
