@@ -9,7 +9,7 @@ document has an anchor too, it is extended to the windows of full length around
 hashed with 128 bits and exchanged with the smallest document id.  A window whose words stand in
 a document with a smaller id is removed.
 
-How it runs.  Texts are stored once in blocks of a few megabytes, bucketed by the task that wrote
+How it runs.  Texts are stored once in blocks of about a megabyte, bucketed by the task that wrote
 them, and never shuffled.  A block sends its distinct hashes, sorted and packed, to ranges of
 the hash (``_deal``); each range says with one bit for each hash whether it is found elsewhere;
 the bits go back to the block, which finds its hashes again from its own text.  A
@@ -43,10 +43,10 @@ from .common import BATCH_ROWS, bounded_batches, cut
 WINDOW = 13
 PERIOD = 7
 #: Bytes and rows of a block of texts.
-BLOCK_BYTES = 4 << 20
-BLOCK_ROWS = 8192
+BLOCK_BYTES = 1 << 20
+BLOCK_ROWS = 4096
 #: Bytes of hashes that one range gets, about.
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 4 << 20
 #: Words of more bytes are hashed one by one, all others together, so many bytes at a time.
 LONG_WORD = 64
 PIECE = 1 << 18
@@ -276,7 +276,7 @@ def stored_blocks(docs: DataFrame) -> DataFrame:
     blocks = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary")).mapInArrow(
         run, "part int, block int, docs array<long>, sizes array<long>, k1 array<long>, k2 array<long>, text binary")
     name = f"blocks_{uuid.uuid4().hex}"
-    (blocks.write.option("path", path).option("parquet.block.size", str(4 * BLOCK_BYTES))
+    (blocks.write.option("path", path).option("parquet.block.size", str(8 * BLOCK_BYTES))
      .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "part").saveAsTable(name))
     stored = spark.table(name)
     stored.schema  # resolved: the files stay when the catalogue forgets them
