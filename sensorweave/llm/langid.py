@@ -3,12 +3,15 @@
 One table of slots serves all languages: a slot holds a bitmask with one bit for
 each language.  An n-gram sets its languages' bits in several slots; the AND over
 its slots returns every language that contains it.  A text is decided by its
-per-language popcounts, corrected for the share of n-grams that would hit a
-language's slice by chance.
+per-language popcounts, in which an n-gram counts the more the fewer languages contain it,
+corrected for the share of n-grams that would hit a language's slice by chance.
 
-The n-gram counts cover the whole text of every learning document and are summed
-before the shuffle.  What is collected is the slot table alone, whose size is the
-parameter ``slots``; ``MAX_LANGUAGES`` bounds its width.
+A language contains every n-gram that its learning documents have ``least`` times (3), however
+rare; only one that another language has ``stray`` times (1000) as often, share by share, is
+taken for a stray of that language.  The n-gram counts cover the whole text of every learning
+document and are summed before the shuffle.  What is collected is the slot table alone:
+it has about two slots for each hash of an n-gram, at most ``2**MAX_BITS``, and
+``MAX_LANGUAGES`` bounds its width.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; ties
 go to the language with more learning n-grams, then by name; rows without a text or
@@ -29,6 +32,8 @@ from .common import append_columns, cut, map_batches
 
 UNKNOWN = "und"
 MAX_LANGUAGES = 512
+#: The slot table has 2**16 to 2**23 slots (8 bytes each for up to 64 languages).
+MIN_BITS, MAX_BITS = 16, 23
 #: Code points handled at once.
 _SLICE = 1 << 18
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -118,7 +123,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 def _counted(seen: dict[str, dict[int, int]]):
     for lang, counts in seen.items():
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(counts)), pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())],
+            [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())],
             ["lang", "gram", "n"])
 
 
@@ -147,30 +152,35 @@ class Filters:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         hits, total = np.zeros((len(self.languages), len(texts))), np.zeros(len(texts))
+        weight = weights(len(self.languages))
         for codes, own in grams(texts):
             slots = slots_of(codes, self.bits)
-            total += np.bincount(own, minlength=len(texts))
+            masks = [table[slots[0]] & table[slots[1]] & table[slots[2]] for table in self.table]
+            counts = weight[sum(np.bitwise_count(m).astype(np.int64) for m in masks)]
             edge = np.searchsorted(own, np.arange(len(texts) + 1))
-            for w, table in enumerate(self.table):
-                mask = table[slots[0]] & table[slots[1]] & table[slots[2]]
-                for k in range(64 * w, min(64 * w + 64, len(self.languages))):
-                    upto = np.concatenate(([0], np.cumsum((mask >> np.uint64(k % 64)) & np.uint64(1))))
-                    hits[k] += upto[edge[1:]] - upto[edge[:-1]]
+
+            def by_text(values, edge=edge):
+                upto = np.concatenate(([0.0], np.cumsum(values)))
+                return upto[edge[1:]] - upto[edge[:-1]]
+
+            total += by_text(counts)
+            for k in range(len(self.languages)):
+                hits[k] += by_text(counts * ((masks[k // 64] >> np.uint64(k % 64)) & np.uint64(1)))
         if not self.languages:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        share = np.clip((hits / np.maximum(total, 1) - self.chance[:, None]) / (1 - self.chance[:, None]), 0, 1)
+        share = np.clip((hits / np.where(total > 0, total, 1) - self.chance[:, None]) / (1 - self.chance[:, None]), 0, 1)
         best = share.argmax(axis=0)  # the first of equals
         langs = [self.languages[k] if n else UNKNOWN for k, n in zip(best.tolist(), total.tolist(), strict=True)]
         return langs, np.where(total > 0, share.max(axis=0), 0.0).tolist()
 
 
-def fit(docs: DataFrame, bits: int = 20, least: float = 2e-5, relative: float = 0.25) -> Filters:
-    """Filters learned from ``docs`` (text, lang): the n-grams that are typical of each language.
+def weights(languages: int) -> np.ndarray:
+    """What an n-gram counts that 0, 1, ... of the languages contain."""
+    return np.log((languages + 1) / np.maximum(np.arange(languages + 1), 1))
 
-    An n-gram belongs to a language if it makes up at least ``least`` of that
-    language's n-grams and at least ``relative`` of its largest share in any
-    language, so strays of other languages do not enter.  2**bits slots.
-    """
+
+def fit(docs: DataFrame, least: int = 3, stray: float = 1000.0, bits: int | None = None) -> Filters:
+    """Filters learned from ``docs`` (text, lang): the n-grams that each language contains; 2**bits slots, by default by their number."""
     known = docs.filter("text is not null and lang is not null").select("lang", "text")
     counts = cut(gram_counts(known), "grams")
     sums = [(r["lang"], r["n"]) for r in
@@ -178,26 +188,29 @@ def fit(docs: DataFrame, bits: int = 20, least: float = 2e-5, relative: float =
     if len(sums) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = [x for x, _ in sorted(sums, key=lambda x: (-x[1], x[0]))]
-    table = np.zeros((max(1, -(-len(languages) // 64)), 1 << bits), np.uint64)
-    if languages:
-        number = F.create_map(*[F.lit(x) for k, lang in enumerate(languages) for x in (lang, k)])
-        size = F.create_map(*[F.lit(x) for lang, n in sums for x in (lang, float(n))])
-        shares = counts.select("gram", number[F.col("lang")].alias("k"), (F.col("n") / size[F.col("lang")]).alias("p"))
-        most = shares.groupBy("gram").agg(F.max("p").alias("most"))
-        typical = (shares.join(most, "gram").filter((F.col("p") >= least) & (F.col("p") >= relative * F.col("most")))
-                   .select("gram", "k"))
-
-        def place(batches):
-            for b in batches:
-                slots = slots_of(b.column(0).to_numpy(), bits)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(slots)), pa.array(np.tile(b.column(1).to_numpy(), len(slots)))], ["slot", "k"])
-
-        masks = (typical.mapInArrow(place, "slot long, k int")
-                 .select("slot", F.floor(F.col("k") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, k % 64)").alias("m"))
-                 .groupBy("w", "slot").agg(F.bit_or("m").alias("m")))
-        found = masks.toPandas()
-        table[found["w"].to_numpy(), found["slot"].to_numpy()] = found["m"].to_numpy().astype(np.int64).view(np.uint64)
+    if not languages:
+        return Filters([], MIN_BITS, np.zeros((1, 1 << MIN_BITS), np.uint64))
+    number = F.create_map(*[F.lit(x) for k, lang in enumerate(languages) for x in (lang, k)])
+    size = F.create_map(*[F.lit(x) for lang, n in sums for x in (lang, float(n))])
+    shares = counts.select("gram", "n", number[F.col("lang")].alias("k"), (F.col("n") / size[F.col("lang")]).alias("p"))
+    most = shares.groupBy("gram").agg(F.max("p").alias("most"))
+    own = cut(shares.join(most, "gram").filter((F.col("n") >= least) & (stray * F.col("p") >= F.col("most"))).select("gram", "k"), "filters")
+    if bits is None:
+        distinct = own.select("gram").distinct().count()
+        bits = min(max((2 * len(_MIX) * distinct).bit_length(), MIN_BITS), MAX_BITS)
+    table = np.zeros((-(-len(languages) // 64), 1 << bits), np.uint64)
+
+    def place(batches):
+        for b in batches:
+            slots = slots_of(b.column(0).to_numpy(), bits)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(slots)), pa.array(np.tile(b.column(1).to_numpy(), len(slots)))], ["slot", "k"])
+
+    masks = (own.mapInArrow(place, "slot long, k int")
+             .select("slot", F.floor(F.col("k") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, k % 64)").alias("m"))
+             .groupBy("w", "slot").agg(F.bit_or("m").alias("m")))
+    found = masks.toPandas()
+    table[found["w"].to_numpy(), found["slot"].to_numpy()] = found["m"].to_numpy().astype(np.int64).view(np.uint64)
     return Filters(languages, bits, table)
 
 

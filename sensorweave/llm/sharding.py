@@ -3,7 +3,8 @@
 The unit of placement is a group of equal texts with the vector (bytes, tokens, rows).
 Units go, largest first, to the shard where the dot product of the vector with the
 residual capacity is highest, among the shards that are about the most open in bytes.  A group of
-copies larger than a fraction of a shard is cut into several units.
+copies larger than a fraction of a shard is cut into several units, its rows dealt by their
+place in the stored table (ids may be missing or repeat).
 
 Units are placed in blocks of bounded size, each with its own share of the residual
 capacity, so that placement runs in parallel.  A block must not hold single units that
@@ -35,8 +36,8 @@ BLOCK_UNITS = 8192
 SLACK = 4
 #: Factor between the sizes of two levels.
 STEP = 16
-#: A group is cut into units of at most this multiple of the mean group's bytes (or of one row).
-CUT_MEANS = 64
+#: A group of copies beyond this share of a shard's bytes is cut into units of at most that share (or of one row).
+CUT_SHARE = 1 / 2
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -126,14 +127,13 @@ def _placer(goal: np.ndarray):
 
 def shard(docs: DataFrame, shards: int = 40) -> DataFrame:
     """(doc_id, size, tokens, text_crc32, shard, slot) of each row; slots of a shard are gapless from 0."""
-    rows = cut(measured(docs), "measured")
+    rows = cut(measured(docs), "measured").withColumn("place", F.monotonically_increasing_id())
     groups = cut(rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")), "groups")
-    sums = groups.agg(F.count("*"), F.sum("bytes")).first()
-    limit = CUT_MEANS * (sums[1] or 0) / max(sums[0], 1)
+    limit = CUT_SHARE * (groups.agg(F.sum("bytes")).first()[0] or 0) / shards
     large = (groups.filter((F.col("bytes") > limit) & (F.col("rows") > 1))
              .select(F.col("key").alias("l_key"), F.least(F.ceil(F.col("bytes") / F.lit(max(limit, 1.0))), "rows").cast("int").alias("pieces")))
     named = (rows.join(large, F.col("key") == F.col("l_key"), "left").drop("l_key")
-             .withColumn("piece", F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("pieces")), F.lit(0)).cast("int")).drop("pieces"))
+             .withColumn("piece", F.coalesce(F.pmod(F.xxhash64("place"), F.col("pieces")), F.lit(0)).cast("int")).drop("pieces", "place"))
     named = cut(named, "units")
     units = named.groupBy("key", "piece").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
     where = assign(cut(units, "unit_sums"), shards).select(F.col("key").alias("w_key"), F.col("piece").alias("w_piece"), "shard")

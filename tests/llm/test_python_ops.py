@@ -312,3 +312,60 @@ def test_wider_vectors_are_not_cut(spark):
 @pytest.mark.parametrize("name", ["op3_pii", "op6_sharding", "op8_langid", "op9_quality_model", "op10_licenses"])
 def test_empty_tables(name, empty_dir, results):
     assert results(name, empty_dir) == []
+
+
+def plain_grams(text):
+    low = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+    return [low[i - 1:i + 2] for i in range(1, len(low) - 1) if low[i] != " "]
+
+
+def test_language_by_brute_force(results, tables):
+    """Prediction and score recomputed from plain sets of n-grams; the filters' chance hits may move a score a little."""
+    rows = tables(SMALL).execute("SELECT doc_id, text, lang FROM documents").fetchall()
+    counts = {}
+    for doc, text, lang in rows:
+        if zlib.crc32(str(doc).encode()) % 3 != 1 and text is not None and lang is not None:
+            own = counts.setdefault(lang, {})
+            for g in plain_grams(text):
+                own[g] = own.get(g, 0) + 1
+    total = {k: sum(c.values()) for k, c in counts.items()}
+    most = {}
+    for k, c in counts.items():
+        for g, n in c.items():
+            most[g] = max(most.get(g, 0), n / total[k])
+    has = {k: {g for g, n in c.items() if n >= 3 and 1000 * n / total[k] >= most[g]} for k, c in counts.items()}
+    names = sorted(total, key=lambda k: (-total[k], k))
+    for r in results("op8_langid", SMALL):
+        text = next(t for d, t, _ in rows if d == r.doc_id)
+        hits, whole = dict.fromkeys(names, 0.0), 0.0
+        for g in plain_grams(text):
+            inside = [k for k in names if g in has[k]]
+            w = np.log((len(names) + 1) / max(len(inside), 1))
+            whole += w
+            for k in inside:
+                hits[k] += w
+        best = max(names, key=lambda k: hits[k])
+        assert r.lang_pred == (best if whole else "und")
+        assert abs(r.score - (hits[best] / whole if whole else 0)) < 0.01
+
+
+def test_filters_hold_rare_ngrams(spark):
+    """An n-gram seen three times is in its language's filter, however large the language is."""
+    rows = [("the quick brown fox jumps over the lazy dog " * 300, "en")] + [("zyx qvw", "en")] * 3 + [("der hund und die katze " * 50, "de")]
+    filters = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert filters.predict(["zyx qvw"])[0] == ["en"] and filters.predict(["zyx qvw"])[1][0] > 0.99
+
+
+@pytest.mark.parametrize("ids", ["missing", "repeated"])
+def test_copies_without_ids_of_their_own_are_spread(spark, ids):
+    rows = [(i, f"own text {i} " * 8) for i in range(4000)] + [(None if ids == "missing" else 5, "copied text of some length " * 40)] * 4000
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 40)
+    size = {r["shard"]: r["sum(size)"] for r in got.groupBy("shard").sum("size").collect()}
+    assert max(size.values()) <= max(1.02 * sum(size.values()) / 40, sum(size.values()) / 40 + 1200)
+
+
+def test_groups_below_the_limit_stay_whole(spark):
+    """Copies that make up less than half a shard share it, however many times the mean group they are."""
+    rows = [(i, f"own text {i} " * 20) for i in range(8000)] + [(9000 + i, "copied text " * 20) for i in range(90)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 40).filter("doc_id >= 9000")
+    assert got.select("shard").distinct().count() == 1
