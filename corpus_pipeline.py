@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from sensorweave.llm import langid, mixing, packing, sanitise, simhash
 from sensorweave.llm.common import cut, documents
-from sensorweave.llm.queries import language_filters, tokenizer_path
+from sensorweave.llm.queries import tokenizer_path
 
-#: A text is rejected if less than this share of its n-grams belongs to any one language.
+#: A text is rejected if no language contains more than this (weighted) share of its n-grams.
 LEAST_SHARE = 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an identified language go; a missing language is filled in."""
-    found = langid.identify(docs, language_filters(docs), "__lang", "__share")
+    found = langid.identify(docs, langid.fit(docs.select("text", "lang")), "__lang", "__share")
     kept = found.filter((F.col("__lang") != langid.UNKNOWN) & (F.col("__share") >= LEAST_SHARE))
     return kept.select(*[F.coalesce("lang", "__lang").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
