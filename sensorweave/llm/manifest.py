@@ -5,11 +5,12 @@ consecutive nodes have a parent, their digest, until one node is left, the group
 subroot.  The subroots, ordered by group, make a tree of their own, whose top is the root.
 
 The built levels are stored as parent-linked rows.  A row holds the nodes under one
-ancestor, ``LEVELS`` levels of them (at most 81 + 27 + 9 + 3 digests), and names the row
+ancestor, ``LEVELS`` levels of them (at most 243 + 81 + 27 + 9 + 3 digests), and names the row
 and the place that its ancestor has one step further up.  A Spark recursive query then
 ascends from each leaf, one row a step: it folds the (possibly changed) leaf with the
-siblings that it meets, and appends those to the leaf's proof.  So a proof takes
-log81(leaves) joins, and nothing that passes through a task grows with a group.
+siblings that it meets, and appends those to the leaf's proof.  The query starts with the lowest
+rows, which are joined by shuffle; all rows above them together take less than half a byte for each
+leaf, so Spark broadcasts them up to its threshold and joins them by shuffle beyond it.
 
 Leaves are numbered by range partitioning, so that a group holding most rows is spread
 over many tasks.
@@ -32,30 +33,38 @@ from .common import cut
 
 FAN = 3
 #: Levels of nodes in one stored row.
-LEVELS = 4
+LEVELS = 5
 SPAN = FAN ** LEVELS
 #: The tree of the groups' subroots.
 TOP = -1
 
+def _run(level: str, place: str) -> tuple[str, str]:
+    """SQL of the siblings before and behind a place of a level."""
+    at = f"{place} % {FAN}"
+    return (f"slice({level}, CAST({place} - {at} + 1 AS INT), CAST({at} AS INT))",
+            f"slice({level}, CAST({place} + 2 AS INT), CAST({FAN - 1} - {at} AS INT))")
+
+
+BEFORE, BEHIND = _run("level", "up.place")
+FOLD = f"""aggregate(n.levels, struct(c.place, c.folded, c.siblings), (up, level) -> struct(
+             up.place DIV {FAN} AS place,
+             sha2(array_join(concat({BEFORE}, array(up.folded), {BEHIND}), ''), 256) AS folded,
+             concat(up.siblings, unhex(array_join(concat({BEFORE}, {BEHIND}), ''))) AS siblings)) AS up,
+         n.parent_tree AS tree, n.parent_hop AS hop, n.parent_block AS block, n.parent_place AS place"""
 ASCENT = f"""
 WITH RECURSIVE climb AS (
-  SELECT doc_id, leaf, grp, given AS folded, CAST('' AS BINARY) AS siblings,
-         grp AS tree, 0 AS hop, pos DIV {SPAN} AS block, pos % {SPAN} AS place
-  FROM {{leaves}}
+  SELECT doc_id, leaf, grp, up, tree, hop, block, place FROM (
+    SELECT c.doc_id, c.leaf, c.grp, {FOLD}
+    FROM (SELECT doc_id, leaf, grp, given AS folded, CAST('' AS BINARY) AS siblings, pos DIV {SPAN} AS block, pos % {SPAN} AS place
+          FROM {{leaves}}) AS c
+    JOIN {{low}} AS n ON c.grp = n.tree AND c.block = n.block)
   UNION ALL
-  SELECT doc_id, leaf, grp, up.folded, up.siblings, parent_tree, parent_hop, parent_block, parent_place
-  FROM (
-    SELECT c.doc_id, c.leaf, c.grp, n.parent_tree, n.parent_hop, n.parent_block, n.parent_place,
-           aggregate(n.levels, struct(c.place AS place, c.folded AS folded, c.siblings AS siblings), (up, level) -> struct(
-             up.place DIV {FAN} AS place,
-             sha2(array_join(concat(slice(level, CAST(up.place - up.place % {FAN} + 1 AS INT), CAST(up.place % {FAN} AS INT)), array(up.folded),
-                                    slice(level, CAST(up.place + 2 AS INT), CAST({FAN - 1} - up.place % {FAN} AS INT))), ''), 256) AS folded,
-             concat(up.siblings, unhex(array_join(concat(
-                                    slice(level, CAST(up.place - up.place % {FAN} + 1 AS INT), CAST(up.place % {FAN} AS INT)),
-                                    slice(level, CAST(up.place + 2 AS INT), CAST({FAN - 1} - up.place % {FAN} AS INT))), ''))) AS siblings)) AS up
-    FROM climb AS c JOIN {{nodes}} AS n ON c.tree = n.tree AND c.hop = n.hop AND c.block = n.block)
+  SELECT doc_id, leaf, grp, up, tree, hop, block, place FROM (
+    SELECT c.doc_id, c.leaf, c.grp, {FOLD}
+    FROM (SELECT doc_id, leaf, grp, up.folded, up.siblings, tree, hop, block, place FROM climb) AS c
+    JOIN {{high}} AS n ON c.tree = n.tree AND c.hop = n.hop AND c.block = n.block)
 )
-SELECT doc_id, leaf, grp, folded AS folded_root, sha2(lower(hex(siblings)), 256) AS proof_sha256
+SELECT doc_id, leaf, grp, up.folded AS folded_root, sha2(lower(hex(up.siblings)), 256) AS proof_sha256
 FROM climb WHERE tree IS NULL
 """
 
@@ -113,8 +122,8 @@ def _grow(nodes: DataFrame, largest: int, above: int | None) -> tuple[list[DataF
     return steps, reduce(DataFrame.unionByName, steps).filter(F.col("n") <= SPAN).select("tree", "top")
 
 
-def build(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, str | None]:
-    """From rows (source, doc_id, leaf, given): numbered leaves, stored nodes, (grp, source, subroot) and the root.
+def build(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, str | None]:
+    """From rows (source, doc_id, leaf, given): numbered leaves, lowest and other node rows, (grp, source, subroot) and the root.
 
     ``given`` is the leaf that a proof starts from; the tree is made of ``leaf`` alone.
     """
@@ -130,20 +139,18 @@ def build(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, str | None]
     inner, tops = _grow(leaves.select(F.col("grp").alias("tree"), "pos", F.col("leaf").alias("digest"), "n"), most["largest"] or 0, TOP)
     outer, root = _grow(tops.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("pos"), F.col("top").alias("digest"),
                                     F.lit(most["groups"]).alias("n")), most["groups"], None)
-    nodes = reduce(DataFrame.unionByName, [*inner, *outer])
     subroots = tops.withColumnRenamed("tree", "grp").withColumnRenamed("top", "subroot").join(groups, "grp").select(
         "grp", F.when(F.col("named"), F.col("name")).alias("source"), "subroot")
     found = root.first()
-    return leaves, nodes, subroots, found["top"] if found else None
+    return leaves, inner[0], reduce(DataFrame.unionByName, [*inner[1:], *outer]), subroots, found["top"] if found else None
 
 
-def climb(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
+def climb(leaves: DataFrame, low: DataFrame, high: DataFrame) -> DataFrame:
     """(doc_id, leaf, grp, folded_root, proof_sha256): each leaf's ``given`` digest folded with the siblings on its way to the root."""
     spark = leaves.sparkSession
     # the rows of all steps together; Spark's default stops a recursion at a million
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    return spark.sql(ASCENT, leaves=leaves.select("doc_id", "leaf", "given", "grp", "pos"), nodes=nodes.select(
-        "tree", "hop", "block", "levels", "parent_tree", "parent_hop", "parent_block", "parent_place"))
+    return spark.sql(ASCENT, leaves=leaves.select("doc_id", "leaf", "given", "grp", "pos"), low=low, high=high)
 
 
 def tampered(doc_id: Column, text: Column) -> Column:
@@ -158,7 +165,7 @@ def verify(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     rows = docs.select("source", F.col("doc_id").cast("long").alias("doc_id"), leaf(*ids, text).alias("leaf"),
                        leaf(*ids, tampered(F.col("doc_id"), text)).alias("given"))
-    leaves, nodes, subroots, root = build(rows)
-    found = climb(leaves, nodes).join(subroots.select("grp", "subroot"), "grp").withColumn("root", F.lit(root).cast("string"))
+    leaves, low, high, subroots, root = build(rows)
+    found = climb(leaves, low, high).join(subroots.select("grp", "subroot"), "grp").withColumn("root", F.lit(root).cast("string"))
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
                         (F.col("folded_root") == F.col("root")).alias("verified"))

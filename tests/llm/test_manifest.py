@@ -53,7 +53,7 @@ def plain(rows):
 COLUMNS = "doc_id long, source string, lang string, n_chars long, text string"
 
 
-@pytest.mark.parametrize("sizes", [[1], [3], [4], [81], [82], [1, 1, 2], [243, 1, 244, 2], [1] * 90 + [100]])
+@pytest.mark.parametrize("sizes", [[1], [3], [4], [82], [1, 1, 2], [243, 1, 244, 2], [1] * 245 + [100, 730]])
 def test_brute_force(spark, sizes):
     """Trees of one leaf, of whole and of broken runs, and more groups than one stored row holds."""
     rng = random.Random(len(sizes))
