@@ -6,9 +6,9 @@
 * ``rdfs:subClassOf`` closure uses semi-naive doubling (O(log depth) rounds, each
   composing only the pairs found in the previous round).
 
-Iterative operators cut lineage after every round with ``checkpoint()`` into
-the shared ``spark.checkpoint.dir``; executors lost mid-way recompute at most
-one round.
+Iterative operators cut lineage after every round with a table written under the
+shared ``spark.checkpoint.dir``; executors lost mid-way recompute at most one round.
+All operators run on a frame of terms or on the ids of a ``TripleStore``.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import OWL, RDF, RDFS, XSD
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 RDF_TYPE = RDF + "type"
 RDF_FIRST = RDF + "first"
@@ -39,7 +39,7 @@ _LINE = rf"^\s*{_TERM}\s+{_TERM}\s+{_TERM}\s*\.\s*$"
 
 
 _ESCAPES = (("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ('\\"', '"'))  # fixed values: text in a literal, character
-_IRI = r'^[A-Za-z][A-Za-z0-9+.-]*:[^\s<>"{}|^`\\]*$'
+IRI = r'^[A-Za-z][A-Za-z0-9+.-]*:[^\s<>"{}|^`\\]*$'
 
 
 def _escaped(c: Column) -> Column:
@@ -97,28 +97,45 @@ def to_ntriples(triples: DataFrame) -> DataFrame:
 
     o = F.col("o")
     kind = F.col("o_kind") if "o_kind" in triples.columns else F.when(o.rlike(r"^_:\S+$"), F.lit("blank")).when(
-        o.rlike(_IRI), F.lit("iri")).otherwise(F.lit("literal"))
+        o.rlike(IRI), F.lit("iri")).otherwise(F.lit("literal"))
     obj = F.when(kind == "literal", F.concat(F.lit('"'), _escaped(o), F.lit('"'))).otherwise(node(o))
     return triples.select(F.concat_ws(" ", node(F.col("s")), node(F.col("p")), obj, F.lit(".")).alias("value"))
 
 
-def pred(triples: DataFrame, p: str, s: str = "s", o: str = "o") -> DataFrame:
-    """Triples of one predicate as a two-column frame (one basic pattern)."""
+def pred(triples, p: str, s: str = "s", o: str = "o") -> DataFrame:
+    """Triples of one predicate as a two-column frame (one basic pattern).
+
+    ``triples`` is a frame (s, p, o) of terms or a ``TripleStore``, whose nodes are ids;
+    all operators below take either and return nodes as they got them.
+    """
+    if not isinstance(triples, DataFrame):
+        return triples.pred(p, s, o)
     return triples.filter(F.col("p") == p).select(F.col("s").alias(s), F.col("o").alias(o))
 
 
+def _texts(triples, p: str, s: str, o: str) -> DataFrame:
+    """As ``pred``, for a predicate whose objects are literals."""
+    return pred(triples, p, s, o) if isinstance(triples, DataFrame) else triples.text(p, s, o)
+
+
+def _node(triples, term: str) -> Column:
+    return F.lit(term) if isinstance(triples, DataFrame) else triples.node(term)
+
+
 def local_name(c: str | Column) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     return F.substring_index(col, "#", -1)
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts the lineage, and the planner knows its size."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "round")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # --- J9: list expansion ------------------------------------------------------------------
-def list_items(triples: DataFrame, heads: DataFrame) -> DataFrame:
+def list_items(triples, heads: DataFrame) -> DataFrame:
     """``?head rdf:rest*/rdf:first ?item`` for the given heads -> (head, pos, item).
 
     Forward pointer jumping: after k rounds each head has its first 2^k nodes, and a
@@ -127,20 +144,20 @@ def list_items(triples: DataFrame, heads: DataFrame) -> DataFrame:
     list has no end, so it raises an error.
     """
     first = pred(triples, RDF_FIRST, "node", "item")
-    jump = _checkpoint(pred(triples, RDF_REST, "node", "next").filter(F.col("next") != RDF_NIL))
-    nodes, step = jump.count(), 1
-    h = heads.select("head").distinct()
-    reached = _checkpoint(h.select("head", F.col("head").alias("node"), F.lit(0).cast("long").alias("pos")))
+    rest = pred(triples, RDF_REST, "node", "next").filter(F.col("next") != _node(triples, RDF_NIL))
+    jump, nodes, step = rest, rest.count(), 1
+    reached = heads.select("head").distinct().select("head", F.col("head").alias("node"), F.lit(0).cast("long").alias("pos"))
+    reached = _cut(reached)
     while True:
-        new = _checkpoint(reached.join(jump, "node").select("head", F.col("next").alias("node"), (F.col("pos") + step).alias("pos")))
+        new = _cut(reached.join(jump, "node").select("head", F.col("next").alias("node"), (F.col("pos") + step).alias("pos")))
         if new.isEmpty():
             break
         if step > nodes:
             raise ValueError("a list is cyclic")
         reached = reached.unionByName(new)
-        jump = _checkpoint(jump.select("node", F.col("next").alias("_mid")).join(
-            jump.select(F.col("node").alias("_mid"), "next"), "_mid").select("node", "next"))
         step *= 2
+        further = jump.select(F.col("node").alias("_mid"), F.col("next").alias("_next"))
+        jump = _cut(jump.join(further, F.col("next") == F.col("_mid")).select("node", F.col("_next").alias("next")))
     return reached.join(first, "node").select("head", "pos", "item")
 
 
@@ -152,7 +169,7 @@ def transitive_closure(edges: DataFrame, src: str = "c", dst: str = "p") -> Data
     the previous round (delta o C and C o delta), keeps those not yet known (anti-join),
     and stops when a round finds nothing new.  Paths of length up to 2^k are known
     after k rounds, and late rounds touch only the shrinking frontier."""
-    c = _checkpoint(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).distinct())
+    c = _cut(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).distinct())
     delta = c
     def cols(df, x, y):  # fresh attribute names per use: the same plan joins itself
         return df.select(F.col("a").alias(x), F.col("b").alias(y))
@@ -162,17 +179,17 @@ def transitive_closure(edges: DataFrame, src: str = "c", dst: str = "p") -> Data
         right = (cols(c, "la", "lb").join(cols(delta, "xa", "xb"), F.col("lb") == F.col("xa"))
                  .select(F.col("la").alias("a"), F.col("xb").alias("b")))
         known = cols(c, "ka", "kb")
-        fresh = _checkpoint(left.unionByName(right).distinct().join(
+        fresh = _cut(left.unionByName(right).distinct().join(
             known, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")), "left_anti"))
         if fresh.isEmpty():
             break
-        c = _checkpoint(c.unionByName(fresh))
+        c = _cut(c.unionByName(fresh))
         delta = fresh
     return c.select(F.col("a").alias(src), F.col("b").alias(dst))
 
 
 # --- J7 / J8 / A12 / D1: range constraints from restriction patterns ----------------------------
-def restriction_ranges(triples: DataFrame, strict: bool = False) -> DataFrame:
+def restriction_ranges(triples, strict: bool = False) -> DataFrame:
     """The restriction pattern, one row per (class, restriction, property, item):
 
         ?class rdfs:subClassOf ?r . ?r owl:onProperty ?prop ; owl:allValuesFrom ?range .
@@ -188,10 +205,10 @@ def restriction_ranges(triples: DataFrame, strict: bool = False) -> DataFrame:
     if strict:
         bgp = bgp.join(pred(triples, ON_DATATYPE, "range", "dt"), "range")
     # the pattern first, once: only the lists that it leaves are expanded
-    bgp = _checkpoint(bgp)
+    bgp = _cut(bgp)
     items = list_items(triples, bgp.select("head"))
-    mins = pred(triples, MIN_INCL, "item", "min")
-    maxs = pred(triples, MAX_INCL, "item", "max")
+    mins = _texts(triples, MIN_INCL, "item", "min")
+    maxs = _texts(triples, MAX_INCL, "item", "max")
     return (bgp.join(items, "head").join(mins, "item", "left").join(maxs, "item", "left")
             .select("cls", "r", "prop", "item", "min", "max"))
 
@@ -202,7 +219,13 @@ def number(c: str | Column) -> Column:
     return F.translate(col, "−", "-").try_cast("double")
 
 
-def fold_constraints(rows: DataFrame) -> DataFrame:
-    """One row per property local name: the largest stated min and max (nulls skipped)."""
+def fold_constraints(rows: DataFrame, triples=None) -> DataFrame:
+    """One row per property local name: the largest stated min and max (nulls skipped).
+
+    With ``triples`` the properties are its ids: they are folded as such, and only the folded ones decoded.
+    """
+    if triples is not None and not isinstance(triples, DataFrame):
+        rows = triples.decode(rows.groupBy("prop").agg(F.max(number("min")).alias("min"), F.max(number("max")).alias("max")), "prop")
+        return rows.groupBy(local_name("prop").alias("property")).agg(F.max("min").alias("min"), F.max("max").alias("max"))
     return (rows.groupBy(local_name("prop").alias("property"))
             .agg(F.max(number("min")).alias("min"), F.max(number("max")).alias("max")))

@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators import rdf as RD
-from ..operators.ranking import rank_within_group
+from ..operators.ranking import numbered
+from ..operators.triple_store import TripleStore
 from ..session import scratch_path
-from ..sources.tables import read_table
+from ..sources.tables import read_table, tables_state
 from .registry import register
 
 KB = fixed.KB_NAMESPACE
@@ -95,9 +96,9 @@ def table_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
         _t(iri("Customer", "o_custkey"), RD.SUBCLASS, r), _t(r, RD.RDF_TYPE, RD.OWL_RESTRICTION),
         _t(r, RD.ON_PROPERTY, prop), _t(r, RD.ALL_VALUES_FROM, d),
         _t(d, RD.RDF_TYPE, fixed.XSD + "float"), _t(d, RD.WITH_RESTRICTIONS, head)), strict)))
-    # position of each line item in its order; an order holding most line items
-    # is still spread over many tasks (see operators.ranking)
-    num = (rank_within_group(li, ["l_orderkey"], LI_ORDER)
+    # position of each line item in its order; an order too large for one task
+    # is spread over many (see operators.ranking)
+    num = (numbered(li, ["l_orderkey"], LI_ORDER)
            .select("l_orderkey", "l_discount", "l_extendedprice",
                    F.col("rank").alias("n"), F.col("group_size").alias("cnt")))
     node = lambda k, n: F.concat(F.lit(f"_:{k}"), F.col("l_orderkey").cast("string"), F.lit("_"),
@@ -123,14 +124,16 @@ def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kb_triples(spark).unionByName(table_triples(spark, sf_dir))
 
 
-def stored_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The triples table written once, partitioned by predicate, and read back.
+TRIPLE_TABLES = ["region", "nation", "customer", "orders", "lineitem"]
+_STORES: dict[tuple, str] = {}
 
-    Every basic pattern filters one predicate, so each self-join input is a
-    partition-pruned scan instead of a recomputation of the whole derivation."""
-    path = scratch_path(spark, "triples")
-    triples(spark, sf_dir).write.partitionBy("p").parquet(path)
-    return spark.read.parquet(path).select("s", "p", "o")
+
+def triple_store(spark: SparkSession, sf_dir: str) -> TripleStore:
+    """The triples on ids, stored once per application and state of the tables' files."""
+    key = (spark.sparkContext.applicationId, tables_state(spark, sf_dir, TRIPLE_TABLES))
+    if key not in _STORES:
+        _STORES[key] = TripleStore.build(triples(spark, sf_dir)).root
+    return TripleStore(spark, _STORES[key])
 
 
 # --- the same triples in DuckDB ---------------------------------------------------------------
@@ -194,9 +197,9 @@ SELECT DISTINCT iri, split_part(iri, '#', -1) AS local_name FROM (
   SELECT p AS iri FROM triples UNION ALL SELECT o FROM triples WHERE p = '""" + RD.RDF_TYPE + """'
 ) x WHERE iri LIKE 'http%'"""))
 def rdf_local_name(spark, sf_dir):
-    t = stored_triples(spark, sf_dir)
-    iris = t.select(F.col("p").alias("iri")).unionByName(
-        t.filter(F.col("p") == RD.RDF_TYPE).select(F.col("o").alias("iri")))
+    t = triple_store(spark, sf_dir)
+    types = t.decode(t.pred(RD.RDF_TYPE, "s", "iri").select("iri").distinct(), "iri")
+    iris = t.facts.select(F.col("p").alias("iri")).distinct().unionByName(types)
     return (iris.filter(F.col("iri").startswith("http")).distinct()
             .select("iri", RD.local_name("iri").alias("local_name")))
 
@@ -213,9 +216,9 @@ SELECT head, pos, f.o AS item FROM lp JOIN triples f ON f.s = lp.node AND f.p =
   ) SELECT * FROM walk)"""))
 def rdf_list_items(spark, sf_dir):
     """Every restriction list expanded: (head, pos, item)."""
-    t = stored_triples(spark, sf_dir)
+    t = triple_store(spark, sf_dir)
     heads = RD.pred(t, RD.WITH_RESTRICTIONS, "range", "head").select("head")
-    return RD.list_items(t, heads)
+    return t.decode(RD.list_items(t, heads), "head", "item")
 
 
 # --- J11 / F5: subclass pairs whose both ends are classes ---------------------------------------------------
@@ -226,8 +229,9 @@ SUBCLASS_PAIRS_SQL = f"""pairs AS (
     AND t.o IN (SELECT s FROM triples WHERE p = '{RD.RDF_TYPE}' AND o = '{RD.OWL_CLASS}'))"""
 
 
-def subclass_pairs(t: DataFrame) -> DataFrame:
-    cls = RD.pred(t, RD.RDF_TYPE, "c", "o").filter(F.col("o") == RD.OWL_CLASS).select("c").distinct()
+def subclass_pairs(t: TripleStore) -> DataFrame:
+    """(class, superclass) ids, both of them classes."""
+    cls = RD.pred(t, RD.RDF_TYPE, "c", "o").filter(F.col("o") == t.node(RD.OWL_CLASS)).select("c").distinct()
     sub = RD.pred(t, RD.SUBCLASS, "class", "superclass")
     return (sub.join(cls.withColumnRenamed("c", "class"), "class", "left_semi")
             .join(cls.withColumnRenamed("c", "superclass"), "superclass", "left_semi")
@@ -237,7 +241,8 @@ def subclass_pairs(t: DataFrame) -> DataFrame:
 @register("rdf_subclass_pairs", sql=with_triples("SELECT class, superclass FROM pairs", SUBCLASS_PAIRS_SQL))
 def rdf_subclass_pairs(spark, sf_dir):
     """All pairs, ordered (the report previewed the first 100)."""
-    return subclass_pairs(stored_triples(spark, sf_dir)).orderBy("class", "superclass")
+    t = triple_store(spark, sf_dir)
+    return t.decode(subclass_pairs(t), "class", "superclass").orderBy("class", "superclass")
 
 
 @register("rdf_subclass_preview", sql=with_triples(
@@ -256,8 +261,8 @@ closure AS (
     SELECT cl.class, p.superclass FROM cl JOIN pairs p ON cl.superclass = p.class
   ) SELECT * FROM cl)"""))
 def rdf_subclass_closure(spark, sf_dir):
-    pairs = subclass_pairs(stored_triples(spark, sf_dir))
-    return RD.transitive_closure(pairs, "class", "superclass")
+    t = triple_store(spark, sf_dir)
+    return t.decode(RD.transitive_closure(subclass_pairs(t), "class", "superclass"), "class", "superclass")
 
 
 # --- D1 / J7 / J8 / A12: constraints --------------------------------------------------------------------------
@@ -289,10 +294,12 @@ GROUP BY 1""", f"""lp AS (
 @register("constraints", headline=True, sql=_constraints_sql(False))
 def constraints(spark, sf_dir):
     """Range per property from restriction lists (owl:onDatatype not required)."""
-    return RD.fold_constraints(RD.restriction_ranges(stored_triples(spark, sf_dir), strict=False))
+    t = triple_store(spark, sf_dir)
+    return RD.fold_constraints(RD.restriction_ranges(t, strict=False), t)
 
 
 @register("constraints_strict", sql=_constraints_sql(True))
 def constraints_strict(spark, sf_dir):
     """The reference's exact pattern: requires owl:onDatatype (the KB part yields nothing)."""
-    return RD.fold_constraints(RD.restriction_ranges(stored_triples(spark, sf_dir), strict=True))
+    t = triple_store(spark, sf_dir)
+    return RD.fold_constraints(RD.restriction_ranges(t, strict=True), t)

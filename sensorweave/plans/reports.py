@@ -17,6 +17,7 @@ from ..functions.telemetry import air_quality_category, air_quality_level, trunc
 from ..operators import windows as W
 from ..operators.patterns import one_hop
 from ..session import scratch_path
+from ..sources.tables import tables_state
 from ..streaming.graph_store import GraphStore, StoredGraph
 from .proxy import telemetry, with_telemetry
 from .registry import register
@@ -27,12 +28,12 @@ R6 = 6  # digits kept when comparing doubles across engines
 WS_SQL = "date_trunc('minute', ts) - to_minutes(CAST(minute(ts) % 5 AS BIGINT))"
 
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple, str] = {}
 
 
 def _graph(spark: SparkSession, sf_dir: str) -> StoredGraph:
-    """The graph that the ingest job keeps, with its seed; stored once per application and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The graph that the ingest job keeps, with its seed; stored once per application and state of the table's files."""
+    key = (spark.sparkContext.applicationId, tables_state(spark, sf_dir, ["events"]))
     store = GraphStore(spark, _STORED.get(key) or scratch_path(spark, "graph"))
     if key not in _STORED:
         store.seed()

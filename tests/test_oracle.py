@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SMALL
 from helpers import duck_rows, spark_rows
+from sensorweave.plans.proxy import telemetry
 
 ORACLES = E.oracle_sql()
 QUERIES = E.queries()
@@ -23,5 +24,5 @@ def test_matches_oracle(spark, duck, key):
 def test_batch_metrics_rows(spark):
     m = QUERIES["batch_metrics"](spark, SMALL).collect()
     assert len(m) >= 1
-    assert sum(r["records"] for r in m) == spark.read.parquet(f"{SMALL}/events.parquet").count()
+    assert sum(r["records"] for r in m) == telemetry(spark, SMALL).count()
     assert all(r["seconds"] > 0 for r in m)
