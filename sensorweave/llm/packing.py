@@ -17,6 +17,7 @@ are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, map_batches, sums_before
 
-#: Words whose ids a task keeps at most.
-CACHE_WORDS = 200_000
+#: Pieces of each of two generations whose ids a task keeps.
+CACHE_WORDS = 300_000
 
 
 def byte_letters() -> list[str]:
@@ -38,46 +39,71 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
-class WordIds(dict):
-    """Ids, as little-endian uint32 bytes, of the parts of a text between blanks and line ends.
+class Kept(dict):
+    """A dict in two generations of ``CACHE_WORDS`` entries: what is used again outlives the older one."""
 
-    The tokenizer's pieces never cross white space, so the ids of a text are those of
-    its parts.  Parts of ASCII and Latin-1 letters, the same in every normal form, are
-    split here by the tokenizer's pattern and looked up piece by piece; all others go
-    through the whole tokenizer.
+    def __init__(self):
+        super().__init__()
+        self.older = {}
+
+    def put(self, key, value):
+        if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class Pieces(Kept):
+    """Ids of the tokenizer's pieces."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.letters = model, byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = packed([t.id for t in self.model.tokenize("".join([self.letters[b] for b in piece.encode()]))])
+        return self.put(piece, ids) if len(piece) < 100 else ids
+
+
+class TextIds(Kept):
+    """Ids, as little-endian uint32 bytes, of a text.
+
+    The tokenizer's pieces never cross white space.  Texts of ASCII and Latin-1 letters, the
+    same in every normal form, are split here by the tokenizer's pattern, all at once, and
+    looked up piece by piece; of all other texts only the parts between blanks that have other
+    characters go through the whole tokenizer.
     """
 
-    plain = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-    piece = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    plain = re.compile(r"[ -~À-ÖØ-öø-ÿ]*")
+    piece = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ a-z0-9ß-öø-ÿ]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         super().__init__()
         self.whole = Tokenizer.from_file(path)
-        self.model, self.pieces, self.letters = self.whole.model, {}, byte_letters()
+        self.pieces = Pieces(self.whole.model)
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        if part and "<|" not in part and self.plain.fullmatch(part):
-            ids = b"".join([self.pieces.get(p) or self.of_piece(p) for p in self.piece.findall(part.lower())])
-        else:
-            ids = np.array(self.whole.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(part) < 100:
-            self[part] = ids
-        return ids
-
-    def of_piece(self, piece: str) -> bytes:
-        if len(self.pieces) >= CACHE_WORDS:
-            self.pieces.clear()
-        tokens = self.model.tokenize("".join([self.letters[b] for b in piece.encode()]))
-        ids = np.array([t.id for t in tokens], "<u4").tobytes()
-        if len(piece) < 100:
-            self.pieces[piece] = ids
-        return ids
+        ids = self.older.get(part)
+        if ids is None:
+            ids = packed(self.whole.encode(part, add_special_tokens=False).ids)
+        return self.put(part, ids) if len(part) < 100 else ids
+
+    def simple(self, text: str) -> bool:
+        return "<|" not in text and self.plain.fullmatch(text) is not None
 
     def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        text = text.replace("\n", " ")
+        if self.simple(text):
+            return b"".join(map(self.pieces.__getitem__, self.piece.findall(text.lower())))
+        return b"".join([self.of(part) if self.simple(part) else self[part] for part in text.split(" ")])
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0, ids: bool = False) -> DataFrame:
@@ -89,7 +115,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0, ids:
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "k", *["ids"] * ids]
 
     def run(batches):
-        words, seen, part = WordIds(tokenizer), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
+        words, seen, part = TextIds(tokenizer), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):

@@ -12,7 +12,7 @@ from sensorweave.llm import queries as Q
 
 PATH = Q.tokenizer_path()
 WHOLE = Tokenizer.from_file(PATH)
-WORDS = K.WordIds(PATH)
+WORDS = K.TextIds(PATH)
 
 
 def ids(text):
