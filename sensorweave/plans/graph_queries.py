@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..operators import graph as G
 from ..operators import windows as W
+from ..operators.buckets import BucketedTable
 from ..sinks.tables import append_nodes, write_table
 from ..session import scratch_path
+from ..streaming.graph_store import GraphStore, StoredGraph
 from ..sources.tables import read_table
 from . import graph_build as GB
 from .proxy import telemetry, with_telemetry
@@ -166,6 +168,19 @@ def merge_sensor(spark, sf_dir):
     return _round_props(_merged(spark, sf_dir, GB.merge_sensor, "merge_sensor"))
 
 
+@register("merge_sensor_bucketed", sql=graph_sql(f"SELECT {SENSOR_ROUNDED} FROM sensor", SENSOR_SQL))
+def merge_sensor_bucketed(spark, sf_dir):
+    """The merge into a stored table that is bucketed and sorted by the key: the first batch creates it, the
+    whole telemetry is merged into it, and only the batch is exchanged."""
+    table = BucketedTable(spark, ["timestamp"])
+    for batch in _two_batches(spark, sf_dir):
+        table.merge(GB.sensor_rows(batch), GB.ORDER, list(GB.SENSOR_PROPS))
+    out = _round_props(table.read())
+    out.schema  # resolved: the files stay when the catalogue forgets the table
+    table.drop()
+    return out
+
+
 @register("merge_sensor_by_name", sql=with_telemetry(f"""
 SELECT sensor_name AS name, obs_ts AS timestamp,
   {", ".join(f"round({src}, 6) AS {p}" for p, src in GB.SENSOR_PROPS.items())}
@@ -368,3 +383,30 @@ def detach_delete(spark, sf_dir):
     return tagged.agg((c["n_all"] - c["n_kept"]).alias("deleted_nodes"),
                       (c["e_all"] - c["e_kept"]).alias("deleted_edges"),
                       c["n_kept"].alias("remaining_nodes"), c["e_kept"].alias("remaining_edges"))
+
+
+# --- M13 on the kept graph: tombstones ---------------------------------------------------
+@register("store_delete", sql=graph_sql("""
+SELECT 'sensor' AS tbl, '' AS name, timestamp FROM sensor WHERE timestamp NOT IN (SELECT timestamp FROM v)
+UNION ALL SELECT 'has_sensor', joint_name, sensor_timestamp FROM hs WHERE sensor_timestamp NOT IN (SELECT timestamp FROM v)
+UNION ALL SELECT 'log_notification', name, timestamp FROM ln
+UNION ALL SELECT 'deleted', '', timestamp FROM v WHERE timestamp IN (SELECT min(timestamp) FROM v UNION SELECT max(timestamp) FROM v)
+""", SENSOR_SQL, HS_SQL, LN_SQL, "v AS (SELECT timestamp FROM sensor ORDER BY timestamp LIMIT (SELECT count(*) * 2 // 5 FROM sensor))"))
+def store_delete(spark, sf_dir):
+    """The first two fifths of the Sensor nodes (40 000 of 100 000) and their edges are deleted from a stored graph,
+    twice under the same name (the second run changes nothing); what remains is read back, with the first and
+    last key deleted."""
+    store = _graph(spark, sf_dir).store.compact_to(scratch_path(spark, "delete"))
+    n = store.read("sensor").count()
+    for _ in range(2):
+        victims = store.read("sensor").select("timestamp").orderBy("timestamp").limit(n * 2 // 5)
+        store.delete("sensor", victims, "oldest")
+    left = StoredGraph(GraphStore(spark, store.root))
+    ends = store.tombstones("sensor").agg(F.min("timestamp"), F.max("timestamp"))
+    gone = ends.select(F.explode(F.array_distinct(F.array(*ends.columns))).alias("timestamp")).filter("timestamp is not null")
+    ts = F.col("timestamp").cast("timestamp_ntz").alias("timestamp")
+    return (left.sensor.select(F.lit("sensor").alias("tbl"), F.lit("").alias("name"), ts)
+            .unionByName(left.has_sensor.select(F.lit("has_sensor").alias("tbl"), F.col("joint_name").alias("name"),
+                                                F.col("sensor_timestamp").cast("timestamp_ntz").alias("timestamp")))
+            .unionByName(left.log_notification.select(F.lit("log_notification").alias("tbl"), "name", ts))
+            .unionByName(gone.select(F.lit("deleted").alias("tbl"), F.lit("").alias("name"), ts)))

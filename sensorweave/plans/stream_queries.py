@@ -11,10 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import schemas as S
 from ..operators import parse as P
 from ..session import scratch_path
-from ..sinks.topic import publish
+from ..sinks.topic import publish, publish_records
 from ..streaming import jobs as J
 from ..streaming.graph_store import GraphStore
 from .proxy import telemetry, with_telemetry
@@ -296,3 +298,120 @@ def stream_summary_upsert(spark, sf_dir):
                           F.lit(None).cast("bigint").alias("count"), F.round("avg_humidity", R6).alias("avg_humidity"),
                           J.ntz("timestamp"), "src", "edge")
     return a.unionByName(b)
+
+
+# --- S1 / S2: records in the order of their topic positions ------------------------------------------------
+PARTITIONS = 3
+POSITIONS_SQL = with_telemetry("""
+SELECT 'log_notification' AS tbl, log_type AS name, obs_ts AS timestamp FROM d
+UNION ALL SELECT 'has_sensor', joint_name, obs_ts FROM d""", f"""pos AS (
+  SELECT *, event_id % {PARTITIONS} AS part,
+         row_number() OVER (PARTITION BY event_id % {PARTITIONS} ORDER BY app, ts, event_id) - 1 AS off
+  FROM (SELECT *, {segment_sql(2)} AS app FROM telemetry) x)""", """d AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY obs_ts ORDER BY part, off) AS rn FROM pos) y WHERE rn = 1)""")
+
+
+def write_partitioned_topic(spark, sf_dir, path) -> None:
+    """The telemetry in two appends to a topic of three partitions; the second goes on at the offsets of the first."""
+    parts, _ = _segments(telemetry(spark, sf_dir), 2)
+    for part in parts:
+        records = P.encode_v2(part, key_cols=("event_id", "ts")).select(
+            F.col("event_id").cast("string").alias("key"), "value", (F.col("event_id") % PARTITIONS).cast("int").alias("partition"), "ts", "event_id")
+        publish_records(records, path, ["ts", "event_id"])
+
+
+def _survivors(store: GraphStore) -> DataFrame:
+    return _graph_keys(store).filter(F.col("tbl").isin("log_notification", "has_sensor"))
+
+
+@register("stream_topic_positions", sql=POSITIONS_SQL)
+def stream_topic_positions(spark, sf_dir):
+    """Of the records of one instant the one at the lowest (partition, offset) is kept."""
+    root = scratch_path(spark, "positions")
+    write_partitioned_topic(spark, sf_dir, f"{root}/topic")
+    store = GraphStore(spark, f"{root}/graph")
+    store.seed()
+    records = J.message_stream(spark, "parquet", f"{root}/topic", schema=J.TOPIC_SCHEMA)
+    J.run_ingest(spark, records, f"{root}/staging", store, f"{root}/ckpt", keep=J.KAFKA_KEEP, order=list(J.KAFKA_KEEP))
+    return _survivors(store)
+
+
+@register("batch_topic_positions", sql=POSITIONS_SQL)
+def batch_topic_positions(spark, sf_dir):
+    """A bounded read of the topic from its earliest offset, then one from where that ended (nothing is left)."""
+    root = scratch_path(spark, "positions")
+    write_partitioned_topic(spark, sf_dir, f"{root}/topic")
+    store = GraphStore(spark, f"{root}/graph")
+    store.seed()
+    starting: str | dict[int, int] = "earliest"
+    for batch in range(2):
+        records = J.from_offsets(J.message_batch(spark, "parquet", f"{root}/topic", schema=J.TOPIC_SCHEMA), starting)
+        parsed = P.ingest_v2(records, keep=J.KAFKA_KEEP).withColumn("obs_ts", F.col("timestamp"))
+        store.upsert_batch(parsed, batch, order=list(J.KAFKA_KEEP))
+        ended = records.groupBy("partition").agg((F.max("offset") + 1).alias("next")).collect()
+        starting = {r["partition"]: r["next"] for r in ended}
+    return _survivors(store)
+
+
+# --- T6: two live queries of one parsed stream ---------------------------------------------------------------
+@register("stream_two_live_queries", sql=GRAPH_KEYS_SQL + " UNION ALL SELECT 'staging', joint_name, ts FROM telemetry")
+def stream_two_live_queries(spark, sf_dir):
+    """The staging sink and the graph sink, both live at once on one parsed stream, each with its own checkpoint."""
+    root = scratch_path(spark, "live")
+    files = write_topic(spark, sf_dir, f"{root}/topic")
+    store = GraphStore(spark, f"{root}/graph")
+    store.seed()
+    J.await_any(J.run_live(_messages(spark, f"{root}/topic", files), f"{root}/staging", store, f"{root}/ckpt"))
+    staged = spark.read.parquet(f"{root}/staging")
+    return _graph_keys(store).unionByName(staged.select(F.lit("staging").alias("tbl"), F.col("joint_name").alias("name"), J.ntz("timestamp")))
+
+
+# --- T5: copies within and beyond the watermark, over restarts --------------------------------------------------
+def _later_sql() -> str:
+    return "(SELECT (2 * (max(epoch_us(ts)) - min(epoch_us(ts)))) // 3 + 1000000 FROM events)"
+
+
+@register("stream_dedup_watermark", sql=with_telemetry(f"""
+SELECT event_id, ts AS timestamp FROM telemetry
+UNION ALL SELECT event_id, ts + to_microseconds({_later_sql()}) FROM telemetry WHERE {segment_sql(APPENDS)} = 0"""))
+def stream_dedup_watermark(spark, sf_dir):
+    """Re-sent records against state that the watermark bounds, over two restarts of one checkpoint.
+
+    Run 1: the first third, each record twice (one stays).  Run 2: the second third, and all of the first again
+    (copies near the watermark meet their state, older ones are late: none stays).  Run 3: the last third, and the
+    first once more with new event times: their state has expired by then, so they are records of their own.
+    """
+    root = scratch_path(spark, "dedup")
+    tel = telemetry(spark, sf_dir)
+    parts, files = _segments(tel, APPENDS)
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = tel.agg(F.min(us), F.max(us)).first()
+    later = (2 * ((hi or 0) - (lo or 0))) // 3 + 1_000_000
+    moved = parts[0].withColumn("ts", F.timestamp_micros(us + F.lit(later)).cast("timestamp_ntz"))
+    for again, part in zip((parts[0], parts[0], moved), parts, strict=True):
+        publish(P.encode_v2(part.unionByName(again).repartition(files)), f"{root}/topic")
+        # all files of a run are one micro-batch: within a run nothing is late
+        stream = J.message_stream(spark, "parquet", f"{root}/topic")
+        J.start_staging_sink(J.parsed_stream(stream), f"{root}/staging", f"{root}/ckpt", dedup_keys=["event_id"]).awaitTermination()
+    return spark.read.parquet(f"{root}/staging").select("event_id", J.ntz("timestamp"))
+
+
+# --- T3: late rows are kept ------------------------------------------------------------------------------------
+LATE_SQL = with_telemetry("""
+SELECT CAST(CASE app WHEN 0 THEN 1 ELSE 2 END AS BIGINT) AS batch_id, event_id, ts AS timestamp FROM s
+WHERE app = 0 AND (epoch_ms(ts) // 300000 + 1) * 300000 <= (SELECT max(epoch_ms(ts)) FROM s WHERE app = 1) - 300000
+   OR app = 2 AND (epoch_ms(ts) // 300000 + 1) * 300000 <= (SELECT max(epoch_ms(ts)) FROM s WHERE app < 2) - 300000
+""", f"s AS (SELECT *, {segment_sql(APPENDS)} AS app FROM telemetry)")
+
+
+@register("stream_late_table", sql=LATE_SQL)
+def stream_late_table(spark, sf_dir):
+    """The middle third arrives first, then the first third (late, but for the newest windows), then the last: the
+    late rows by batch, from the table that is kept beside the windowed aggregates."""
+    root = scratch_path(spark, "latetable")
+    late = J.LateRows(spark, f"{root}/late")
+    for only in ([1], [0], [2]):
+        write_staging(spark, sf_dir, f"{root}/staging", only=only)
+        staged = J.staging_stream(spark, f"{root}/staging", schema=T.StructType([T.StructField("event_id", T.LongType()), *S.STAGING.fields]))
+        late.start(staged, f"{root}/ckpt").awaitTermination()
+    return late.rows().select(F.col("batch_id").cast("long").alias("batch_id"), "event_id", J.ntz("timestamp"))

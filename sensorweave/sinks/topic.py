@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from ..operators.ranking import numbered
 
 
 def publish(messages: DataFrame, path: str | None = None, fmt: str = "parquet",
@@ -21,3 +25,28 @@ def publish(messages: DataFrame, path: str | None = None, fmt: str = "parquet",
         w.save(path)
     else:
         w.save()
+
+
+def next_offsets(spark: SparkSession, path: str) -> dict[int, int]:
+    """The first free offset of each partition of a file topic; empty before its first record."""
+    try:
+        held = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return {}
+    return {r["partition"]: r["next"] for r in held.groupBy("partition").agg((F.max("offset") + 1).alias("next")).collect()}
+
+
+def publish_records(records: DataFrame, path: str, order: list[str]) -> None:
+    """Append ``records`` (key, value, partition and ``order``) to a file topic with the next offsets of their partitions.
+
+    Offsets follow ``order`` within a partition; a partition that is too large for one task is numbered by range.
+    One writer at a time, as a partition's log has one leader.
+    """
+    begin = next_offsets(records.sparkSession, path)
+    first = F.lit(0).cast("long")
+    for k, at in begin.items():
+        first = F.when(F.col("partition") == k, F.lit(at).cast("long")).otherwise(first)
+    placed = numbered(records, ["partition"], order).withColumn("offset", F.col("rank") - 1 + first)
+    placed.select("key", "value", "partition", "offset").write.mode("append").parquet(path)

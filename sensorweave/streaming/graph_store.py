@@ -8,20 +8,24 @@ at all partitions but its own - so a batch that is re-run after a failure
 rewrites exactly the same rows, replayed events add nothing (first write wins
 across batches), and a new checkpoint over a filled store starts no new history.
 
-The anti-join against the existing table reads only the key columns and only
-the key range of the batch: only the folders of the event dates between the batch's
-min and max timestamp are listed and opened, and inside them the timestamp range
-(Parquet row-group statistics).  ``compact_to`` writes a store with one run and few
-files for each date.
+The anti-join against the existing table reads only the key columns, and only the folders
+of the event dates that the batch has are listed and opened (a record with a wrong clock adds its
+one date, not the days between), inside them the timestamp range (Parquet row-group statistics).
+``compact_to`` writes a store with one run and few files for each date.
+
+Deletes are merged on read.  ``delete`` writes the keys that go, as tombstones, beside the
+table and beside the edge tables that reference the node; every row carries the store's
+epoch, the number of deletes before it, and a tombstone hides the rows of earlier epochs only,
+so a key that is merged again later is there again.  A delete has a name; what is
+written of it stays when it is run again.  Compaction drops hidden rows and tombstones.
 """
 
 from __future__ import annotations
 
 import time
-from datetime import timedelta
 
 from pyspark import InheritableThread
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -43,6 +47,14 @@ TABLES = {
     "environment": (["name"], None),
 }
 
+#: Edge tables that reference a node table: {edge table: {node key: edge column}}.
+DETACH = {
+    "log_notification": {"has_record": {"name": "ln_name", "timestamp": "ln_timestamp"}},
+    "sensor": {"has_sensor": {"timestamp": "sensor_timestamp"}},
+    "environment_sensor": {"has_reading": {"hasTimestamp": "es_timestamp"}},
+}
+STORE_COLS = ("run_id", "batch_id", DATE_COL, "epoch")
+
 
 def _absent(e: AnalysisException) -> bool:
     """Whether the error says that there is no table yet."""
@@ -58,16 +70,68 @@ class GraphStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str) -> DataFrame | None:
-        """The table, or None when nothing has been written to it yet.  Any other
-        failure (unreadable files, schema conflicts) is raised, never swallowed."""
+    def _parquet(self, path: str, *paths: str) -> DataFrame | None:
+        """A table, or None when nothing has been written to it yet.  Any other failure
+        (unreadable files, schema conflicts) is raised, never swallowed."""
         try:
-            return self.spark.read.parquet(self.path(name))
+            return self.spark.read.option("basePath", path).parquet(*(paths or (path,)))
         except AnalysisException as e:
             if _absent(e):
                 return None
             raise
 
+    def read(self, name: str) -> DataFrame | None:
+        """The visible rows of a table, or None when there is none yet."""
+        df = self._parquet(self.path(name))
+        return df if df is None or name not in TABLES else self._visible(name, df)
+
+    # --- deletes: tombstones, merged on read (M13) --------------------------------------
+    def tombstones(self, name: str) -> DataFrame | None:
+        return self._parquet(f"{self.root}/tombstones/{name}")
+
+    def _visible(self, name: str, rows: DataFrame) -> DataFrame:
+        """``rows`` without those that a later delete hides."""
+        dead = self.tombstones(name)
+        if dead is None:
+            return rows
+        keys = [c for c in dead.columns if c not in ("delete_id", "epoch")]
+        dead = dead.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max("epoch").alias("_epoch"))
+        hit = F.col("epoch") < F.col("_epoch")
+        for k in keys:
+            hit = hit & (F.col(k) == F.col(f"_{k}"))
+        return rows.join(dead, hit, "left_anti")
+
+    def epoch(self) -> int:
+        """The number of deletes so far, those under way included."""
+        return max([0, *self._deletes().values()])
+
+    def _deletes(self) -> dict[str, int]:
+        rows = self._parquet(f"{self.root}/deletes")
+        return {} if rows is None else {r["delete_id"]: r["epoch"] for r in rows.collect()}  # one small row for each delete
+
+    def delete(self, name: str, victims: DataFrame, delete_id: str) -> None:
+        """DETACH DELETE of the nodes with the keys in ``victims``, and of their edges.
+
+        Run again under the same name it goes on where it stopped and changes nothing that is done:
+        edges go by the stored victims, whatever ``victims`` holds by then.
+        """
+        done = self._deletes()
+        if delete_id not in done:
+            done[delete_id] = max([0, *done.values()]) + 1
+            (self.spark.createDataFrame([(delete_id, done[delete_id])], "delete_id string, epoch int")
+             .write.mode("append").parquet(f"{self.root}/deletes"))
+        epoch, keys = done[delete_id], TABLES[name][0]
+
+        def put(table: str, rows: DataFrame) -> None:
+            path = f"{self.root}/tombstones/{table}"
+            if self._parquet(path, f"{path}/delete_id={delete_id}") is None:
+                rows.distinct().withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{path}/delete_id={delete_id}")
+
+        put(name, victims.select(*keys))
+        gone = self._parquet(f"{self.root}/tombstones/{name}/delete_id={delete_id}")
+        for edge, columns in DETACH.get(name, {}).items():
+            put(edge, gone.select(*[F.col(k).alias(c) for k, c in columns.items()]))
+
     # --- seed (M1): fixed topology, idempotent ---------------------------------------
     def seed(self, full: bool = False) -> None:
         nodes = GB.seed_nodes(self.spark, full)
@@ -90,25 +154,19 @@ class GraphStore:
             F.col("name").alias("log_name"))
 
     # --- one insert-if-absent merge -------------------------------------------------------
-    def _dated(self, name: str, lo, hi) -> DataFrame | None:
-        """The table's folders of the dates from ``lo`` to ``hi``; other dates are not even listed."""
-        days = ",".join(str(lo.date() + timedelta(days=k)) for k in range((hi.date() - lo.date()).days + 1))
-        try:
-            return (self.spark.read.option("basePath", self.path(name))
-                    .parquet(f"{self.path(name)}/{DATE_COL}={{{days}}}"))
-        except AnalysisException as e:
-            if _absent(e):
-                return None
-            raise
+    def _dated(self, name: str, dates) -> DataFrame | None:
+        """The table's folders of the given dates; other dates are not even listed."""
+        path = self.path(name)
+        return self._parquet(path, f"{path}/{DATE_COL}={{{','.join(sorted(map(str, dates)))}}}")
 
-    def _existing_keys(self, name: str, run_id: str, batch_id: int, lo, hi) -> DataFrame | None:
+    def _existing_keys(self, name: str, run_id: str, batch_id: int, lo, hi, dates=None) -> DataFrame | None:
         keys, ts = TABLES[name]
         dated = ts is not None and lo is not None
-        cur = self._dated(name, lo, hi) if dated else self.read(name)
+        cur = self._dated(name, dates) if dated and dates else self._parquet(self.path(name))
         if cur is None:
             return None
         cur = cur.filter(~((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)))
-        return (cur.filter(F.col(ts).between(lo, hi)) if dated else cur).select(*keys)
+        return self._visible(name, cur.filter(F.col(ts).between(lo, hi)) if dated else cur).select(*keys)
 
     def _unseeded(self, label: str, names: DataFrame) -> DataFrame:
         """Names of ``label`` nodes the seed does not already hold (MERGE matches seeded nodes)."""
@@ -125,12 +183,12 @@ class GraphStore:
             # an oversized date into several tasks (rebalance, not a plain repartition)
             rows = rows.withColumn(DATE_COL, F.to_date(ts)).hint("rebalance", DATE_COL)
             parts = [DATE_COL, *parts]
-        (rows.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .partitionBy(*parts).parquet(self.path(name)))
+        (rows.withColumn("epoch", F.lit(self.epoch())).withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").partitionBy(*parts).parquet(self.path(name)))
 
-    def merge(self, name: str, candidates: DataFrame, batch_id: int, lo=None, hi=None, run_id: str = "batch") -> None:
-        """Write the candidates whose key is new into the partitions of (``run_id``, ``batch_id``)."""
-        existing = self._existing_keys(name, run_id, batch_id, lo, hi)
+    def merge(self, name: str, candidates: DataFrame, batch_id: int, lo=None, hi=None, run_id: str = "batch", dates=None) -> None:
+        """Write the candidates whose key is new into the partitions of (``run_id``, ``batch_id``); ``dates``: those they have."""
+        existing = self._existing_keys(name, run_id, batch_id, lo, hi, dates)
         new = candidates if existing is None else candidates.join(existing, TABLES[name][0], "left_anti")
         self._write(name, new, run_id, batch_id)
 
@@ -140,7 +198,7 @@ class GraphStore:
         for name in TABLES:
             df = self.read(name)
             if df is not None:
-                out._write(name, df.drop("run_id", "batch_id", DATE_COL), "compacted", 0)
+                out._write(name, df.drop(*STORE_COLS), "compacted", 0)
         for name in ("seed_nodes", "seed_edges"):
             df = self.read(name)
             if df is not None:
@@ -157,42 +215,42 @@ class GraphStore:
         null key go to ``rejects`` instead of failing the batch.
         """
         t0 = time.time()
-        staged = staged.persist()
+        # batch size (before dedup), null keys, and the dates and range for pruning: counted while the batch is
+        # deduplicated, in no pass of their own
+        seen = Observation("batch")
+        staged = staged.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col(GB.TS).isNull()).alias("bad"),
+                                F.min(GB.TS).alias("lo"), F.max(GB.TS).alias("hi"), F.collect_set(F.to_date(GB.TS)).alias("dates"))
+        dedup = G.first_per_key(staged, [GB.TS], order).persist()
         try:
-            # one pass: batch size (before dedup), null keys, key range for pruning
-            st = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(GB.TS).isNull()).alias("bad"),
-                            F.min(GB.TS).alias("lo"), F.max(GB.TS).alias("hi")).first()
-            n, lo, hi = st["n"], st["lo"], st["hi"]
+            dedup.count()
+            st = seen.get
+            n, lo, hi, dates = st["n"], st["lo"], st["hi"], st["dates"]
             if st["bad"]:
                 (G.rejects(staged, [GB.TS]).withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id)).write
                  .mode("overwrite").partitionBy("run_id", "batch_id").parquet(self.path("rejects")))
-            dedup = G.first_per_key(staged, [GB.TS], order).persist()
-            try:
-                writes = []
-                # write 1 starts with MATCH (log:Log): without the seeded anchor it writes nothing
-                if self.anchored():
-                    writes += [
-                        ("log_notification", G.first_per_key(GB.log_notification_rows(dedup, order),
-                                                             ["name", "timestamp"], order, ["hasMessage"])),
-                        ("has_record", GB.merge_has_record(dedup))]
-                # write 2: sensor + joint link; write 3: environment reading
+            writes = []
+            # write 1 starts with MATCH (log:Log): without the seeded anchor it writes nothing
+            if self.anchored():
                 writes += [
-                    ("sensor", G.first_per_key(GB.sensor_rows(dedup, order=order), ["timestamp"], order,
-                                               list(GB.SENSOR_PROPS))),
-                    ("has_sensor", GB.merge_joint_has_sensor(dedup)),
-                    ("environment_sensor", G.first_per_key(GB.environment_rows(dedup, order), ["hasTimestamp"],
-                                                           order, list(GB.ENV_PROPS))),
-                    ("has_reading", GB.merge_has_reading(dedup)),
-                    ("joint", self._unseeded("Joint", dedup.select(F.col("joint_name").alias("name"))
-                                             .filter(F.col("name").isNotNull()).distinct())),
-                    ("environment", self._unseeded("Environment", dedup.limit(1).select(
-                        F.lit("Environment").alias("name"))))]
-                # the merges touch different tables: submit them as concurrent jobs
-                self._concurrently([(name, cand, batch_id, lo, hi, run_id) for name, cand in writes])
-            finally:
-                dedup.unpersist()
+                    ("log_notification", G.first_per_key(GB.log_notification_rows(dedup, order),
+                                                         ["name", "timestamp"], order, ["hasMessage"])),
+                    ("has_record", GB.merge_has_record(dedup))]
+            # write 2: sensor + joint link; write 3: environment reading
+            writes += [
+                ("sensor", G.first_per_key(GB.sensor_rows(dedup, order=order), ["timestamp"], order,
+                                           list(GB.SENSOR_PROPS))),
+                ("has_sensor", GB.merge_joint_has_sensor(dedup)),
+                ("environment_sensor", G.first_per_key(GB.environment_rows(dedup, order), ["hasTimestamp"],
+                                                       order, list(GB.ENV_PROPS))),
+                ("has_reading", GB.merge_has_reading(dedup)),
+                ("joint", self._unseeded("Joint", dedup.select(F.col("joint_name").alias("name"))
+                                         .filter(F.col("name").isNotNull()).distinct())),
+                ("environment", self._unseeded("Environment", dedup.limit(1).select(
+                    F.lit("Environment").alias("name"))))]
+            # the merges touch different tables: submit them as concurrent jobs
+            self._concurrently([(name, cand, batch_id, lo, hi, run_id, dates) for name, cand in writes])
         finally:
-            staged.unpersist()
+            dedup.unpersist()
         secs = time.time() - t0
         return {"run_id": run_id, "batch_id": batch_id, "seconds": secs, "records": n,
                 "seconds_per_record": (secs / n) if n > 0 else None}
@@ -261,7 +319,7 @@ class StoredGraph:
             raise ValueError(f"graph table {name} has not been written yet")
         return df.select([F.col(f.name).cast("timestamp_ntz").alias(f.name)
                           if f.dataType.typeName() == "timestamp" else F.col(f.name)
-                          for f in df.schema.fields if f.name not in ("run_id", "batch_id", DATE_COL)])
+                          for f in df.schema.fields if f.name not in STORE_COLS])
 
     log_notification = property(lambda self: self._table("log_notification"))
     has_record = property(lambda self: self._table("has_record"))

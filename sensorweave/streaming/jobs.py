@@ -22,6 +22,12 @@ from ..operators import windows as W
 from ..operators import graph as G
 from .graph_store import GraphStore
 
+#: A topic's records as files: key, value and the record's position, as a broker gives them.
+TOPIC_SCHEMA = T.StructType([
+    T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType()), T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+])
+
 MESSAGE_FILE_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("value", T.BinaryType()),
@@ -53,6 +59,17 @@ def message_batch(spark: SparkSession, fmt: str = "parquet", path: str | None =
     return r.load(path) if path else r.load()
 
 
+def from_offsets(records: DataFrame, starting: str | dict[int, int] = "earliest") -> DataFrame:
+    """Records of a file topic from the given position on: ``earliest``, or the first offset of each partition
+    (partitions that are not named start at the earliest), as ``startingOffsets`` has it for a broker's topic."""
+    if starting == "earliest":
+        return records
+    first = F.lit(0)
+    for k, at in starting.items():
+        first = F.when(F.col("partition") == k, F.lit(at)).otherwise(first)
+    return records.filter(F.col("offset") >= first)
+
+
 def staging_stream(spark: SparkSession, path: str, schema: T.StructType = S.STAGING,
                    max_files: int | None = None) -> DataFrame:
     """S3: streaming Parquet scan of the staging folder with a declared schema."""
@@ -107,6 +124,34 @@ def start_graph_sink(parsed: DataFrame, store: GraphStore, checkpoint: str,
 KAFKA_KEEP = ("partition", "offset")  # a Kafka record's position: the tie-break order
 
 
+def run_live(messages: DataFrame, staging: str, store: GraphStore, checkpoint_root: str, trigger: dict | None = None,
+             keep=("event_id",), order: str | list[str] = "event_id") -> list[StreamingQuery]:
+    """T6, as one job has it: two queries of one parsed stream, both live at once, each with its own checkpoint.
+
+    Returns both started queries; ``await_any`` waits for either to end and stops the other if it failed.
+    """
+    parsed = parsed_stream(messages, keep=keep)
+    return [start_staging_sink(parsed, staging, f"{checkpoint_root}/staging", trigger),
+            start_graph_sink(parsed, store, f"{checkpoint_root}/graph", trigger, order=order)]
+
+
+def await_any(queries: list[StreamingQuery]) -> None:
+    """Wait until all have ended; the first that fails stops the others, and its error is raised."""
+    try:
+        while any(q.isActive for q in queries):
+            for q in queries:
+                if q.exception() is not None:
+                    raise q.exception()
+            queries[0].awaitTermination(1) if queries[0].isActive else time.sleep(0.1)
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+    for q in queries:
+        if q.exception() is not None:
+            raise q.exception()
+
+
 def run_ingest(spark: SparkSession, messages: DataFrame, staging: str, store: GraphStore,
                checkpoint_root: str, trigger: dict | None = None, keep=("event_id",),
                order: str | list[str] = "event_id") -> None:
@@ -117,9 +162,7 @@ def run_ingest(spark: SparkSession, messages: DataFrame, staging: str, store: Gr
     fails.  For Kafka input pass ``keep=KAFKA_KEEP, order=list(KAFKA_KEEP)`` so the first
     record of a key is the lowest offset.
     """
-    # Per-batch row counts in the query's progress, without an extra job
-    parsed = parsed_stream(messages, keep=keep).observe(
-        "ingest", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("timestamp").isNull()).alias("no_timestamp"))
+    parsed = parsed_stream(messages, keep=keep)
     continuous = bool(trigger) and not (trigger.get("availableNow") or trigger.get("once"))
     if continuous:
         spark.streams.resetTerminated()  # forget queries that ended before this run
@@ -156,6 +199,46 @@ def window_humidity_stream(staged: DataFrame, delay: str = "5 minutes", width: s
     return W.window_avg_humidity(staged.withWatermark("timestamp", delay), "timestamp", width)
 
 
+# --- T3: late rows are kept ------------------------------------------------------------------------
+class LateRows:
+    """Rows that come too late for the windowed aggregates, by batch, beside the aggregates themselves.
+
+    A row is late, as it is for the aggregate, if its window has ended at or before the watermark, which is the
+    largest event time of earlier batches less the delay.  Each batch writes its late rows and its largest event
+    time into its own partition, so a batch that is run again finds the same watermark and writes the same rows.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, delay_s: int = 300, width_s: int = 300):
+        self.spark, self.root, self.delay, self.width = spark, root, delay_s, width_s
+
+    def _read(self, name: str) -> DataFrame | None:
+        return GraphStore(self.spark, self.root).read(name)
+
+    def watermark_ms(self, batch_id: int) -> int | None:
+        """The watermark of a batch, in milliseconds; None before any event."""
+        held = self._read("seen")
+        top = None if held is None else held.filter(F.col("batch_id") < batch_id).agg(F.max("top")).first()[0]
+        return None if top is None else top - self.delay * 1000
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        ms = F.unix_millis(F.col("timestamp").cast("timestamp"))
+        mark = self.watermark_ms(batch_id)
+        ends = (F.floor(ms / (self.width * 1000)) + 1) * (self.width * 1000)
+        late = batch.filter(ends <= F.lit(mark)) if mark is not None else batch.limit(0)
+        (late.withColumn("watermark", F.timestamp_millis(F.lit(mark).cast("long"))).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").partitionBy("batch_id").parquet(f"{self.root}/late"))
+        (batch.agg(F.max(ms).alias("top")).filter("top is not null").withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").partitionBy("batch_id").parquet(f"{self.root}/seen"))
+
+    def start(self, staged: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+        w = staged.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
+        return _trigger(w, trigger).start()
+
+    def rows(self) -> DataFrame | None:
+        """(all columns of the stream, watermark, batch_id) of every late row."""
+        return self._read("late")
+
+
 def start_parquet_sink(df: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     w = (df.writeStream.format("parquet").outputMode("append").option("path", out)
          .option("checkpointLocation", checkpoint))
