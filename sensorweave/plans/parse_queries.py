@@ -13,8 +13,8 @@ from ..functions.telemetry import format_iso_z, format_plain
 from ..functions.fixed import LOG_MESSAGES
 from ..operators import parse as P
 from ..session import scratch_path
-from ..sources.files import read_csv_strings
-from ..sinks.tables import write_table
+from ..sources.files import read_csv_in_order, read_csv_strings
+from ..sinks.tables import write_ordered_csv, write_table
 from ..sinks.topic import publish
 from ..streaming.jobs import message_batch
 from .proxy import message_sql, telemetry, with_telemetry
@@ -180,3 +180,14 @@ def log_message_lookup(spark, sf_dir):
     m = F.create_map(*[x for k, v in LOG_MESSAGES.items() for x in (F.lit(k), F.lit(v))])
     tel = telemetry(spark, sf_dir)
     return tel.select("event_id", "log_type", F.try_element_at(m, F.col("log_type")).alias("message"))
+
+
+# --- O5: a time-ordered CSV, read back in file order -----------------------------------------------
+@register("ordered_csv", sql=with_telemetry("""
+SELECT event_id, sensor_name, row_number() OVER (ORDER BY ts, event_id) AS position FROM telemetry"""))
+def ordered_csv(spark, sf_dir):
+    """All readings written as CSV files in time order; each row's position is where the files have it."""
+    path = scratch_path(spark, "ordered")
+    rows = telemetry(spark, sf_dir).select("ts", "event_id", "sensor_name", "joint_angle")
+    write_ordered_csv(rows, path, ["ts", "event_id"])
+    return read_csv_in_order(spark, path).select(F.col("event_id").cast("long").alias("event_id"), "sensor_name", "position")

@@ -12,7 +12,7 @@ from ..operators import rdf as RD
 from ..sources.tables import read_table
 from .graph_build import seed_edges
 from .proxy import telemetry, with_telemetry
-from .rdf_queries import kb_triples
+from .rdf_queries import constraints_sql, kb_triples, triple_store
 from .registry import register
 
 def effective_limits(constraints: DataFrame | None) -> dict[str, tuple[float, float]]:
@@ -104,6 +104,44 @@ def clamp_to_constraints(spark, sf_dir):
     return clamp_columns(telemetry(spark, sf_dir), kb_limits(spark))
 
 
+def clamp_by_rows(df: DataFrame, constraints: DataFrame, keep=("event_id",)) -> DataFrame:
+    """X8 / D2 with the limits that the extraction found: its rows (property, min, max) reach the values as one joined row.
+
+    Where a property is not stated the default holds; force and torque are clamped to +/- their stated max.
+    """
+    gov = {c: p for p, cols in fixed.PROPERTY_COLUMNS.items() for c in cols}
+    stated = constraints.agg(*[F.max(F.when(F.col("property") == p, F.col(c))).alias(f"_{p}_{c}")
+                               for p in fixed.DEFAULT_LIMITS for c in ("min", "max")])
+    out = [F.col(k) for k in keep]
+    for c, p in gov.items():
+        lo, hi = fixed.DEFAULT_LIMITS[p]
+        top = F.coalesce(F.col(f"_{p}_max"), F.lit(hi))
+        low = -top if p in ("hasForce", "hasTorque") else F.coalesce(F.col(f"_{p}_min"), F.lit(lo))
+        out.append(F.round(F.least(F.greatest(_numeric(c), low), top), 6).alias(c))
+    return df.join(F.broadcast(stated)).select(*out)
+
+
+@register("clamp_to_extracted", sql=_clamp_sql())
+def clamp_to_extracted(spark, sf_dir):
+    """Readings clamped to the ranges that the extraction without ``owl:onDatatype`` finds in the stored triples."""
+    t = triple_store(spark, sf_dir)
+    return clamp_by_rows(telemetry(spark, sf_dir), RD.fold_constraints(RD.restriction_ranges(t), t))
+
+
+@register("clamp_prices_to_extracted", sql=f"""
+SELECT o_orderkey, least(greatest(o_totalprice, c.min), c.max) AS price, o_totalprice > c.max AS lowered
+FROM orders JOIN ({constraints_sql(False)}) AS c ON c.property = 'hasPriority_' || replace(o_orderpriority, ' ', '_')""")
+def clamp_prices_to_extracted(spark, sf_dir):
+    """Order prices clamped to the range that the triples state for the order's priority: limits that only the
+    extraction knows, joined by property."""
+    t = triple_store(spark, sf_dir)
+    stated = RD.fold_constraints(RD.restriction_ranges(t), t)
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority", "o_totalprice"])
+    own = orders.withColumn("property", F.concat(F.lit("hasPriority_"), F.translate("o_orderpriority", " ", "_")))
+    return own.join(stated, "property").select("o_orderkey", clamp(F.col("o_totalprice"), F.col("min"), F.col("max")).alias("price"),
+                                               (F.col("o_totalprice") > F.col("max")).alias("lowered"))
+
+
 def _violations_sql() -> str:
     parts = []
     ranges = {prop: (float(lo.replace("−", "-")), float(hi)) for _, prop, lo, hi in fixed.KB_RESTRICTIONS}
@@ -206,7 +244,7 @@ e AS (SELECT type, src, dst, type || '|' || src || '|' || dst AS id FROM edges)"
 @register("edges_union", sql="WITH " + _edges_sql() + "\nSELECT type, src, dst FROM edges")
 def edges_union(spark, sf_dir):
     # each table is one typed edge source, scanned once
-    return path_edges(spark, sf_dir).filter(F.col("type").isin(fixed.PATH_EDGE_TYPES)).select("type", "src", "dst")
+    return path_edges(spark, sf_dir).select("type", "src", "dst")
 
 
 @register("path_1_to_3", headline=True, sql="WITH " + _edges_sql() + """
@@ -226,6 +264,18 @@ def path_1_to_3(spark, sf_dir):
     return PT.paths_up_to(e, 3)
 
 
+@register("path_counts", sql="WITH " + _edges_sql() + """
+SELECT 1 AS hops, src AS start, dst AS "end", count(*) AS n FROM e GROUP BY ALL
+UNION ALL
+SELECT 2, e1.src, e2.dst, count(*) FROM e e1 JOIN e e2 ON e1.dst = e2.src AND e1.id <> e2.id GROUP BY ALL
+UNION ALL
+SELECT 3, e1.src, e3.dst, count(*) FROM e e1 JOIN e e2 ON e1.dst = e2.src AND e1.id <> e2.id
+JOIN e e3 ON e2.dst = e3.src AND e3.id <> e1.id AND e3.id <> e2.id GROUP BY ALL""")
+def path_counts(spark, sf_dir):
+    """The number of paths of 1..3 edges by endpoint pair, from products of edge counts."""
+    return PT.path_counts(path_edges(spark, sf_dir))
+
+
 @register("path_preview", sql="WITH " + _edges_sql() + """
 SELECT * FROM (
   SELECT 1 AS hops, src AS start, dst AS "end", src || '->' || dst AS path, type AS types FROM e

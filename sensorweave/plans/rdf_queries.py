@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators import rdf as RD
+from ..operators import reachability as RC
 from ..operators.ranking import numbered
 from ..operators.triple_store import TripleStore
 from ..session import scratch_path
@@ -253,20 +254,31 @@ def rdf_subclass_preview(spark, sf_dir, limit: int = 100):
 
 
 # --- D5: transitive subclass closure ------------------------------------------------------------------------
-@register("rdf_subclass_closure", sql=with_triples("SELECT class, superclass FROM closure", SUBCLASS_PAIRS_SQL, """
+CLOSURE_SQL = with_triples("SELECT class, superclass FROM closure", SUBCLASS_PAIRS_SQL, """
 closure AS (
   WITH RECURSIVE cl(class, superclass) AS (
     SELECT class, superclass FROM pairs
     UNION
     SELECT cl.class, p.superclass FROM cl JOIN pairs p ON cl.superclass = p.class
-  ) SELECT * FROM cl)"""))
+  ) SELECT * FROM cl)""")
+
+
+@register("rdf_subclass_closure", sql=CLOSURE_SQL)
 def rdf_subclass_closure(spark, sf_dir):
     t = triple_store(spark, sf_dir)
     return t.decode(RD.transitive_closure(subclass_pairs(t), "class", "superclass"), "class", "superclass")
 
 
+@register("rdf_subclass_index", sql=CLOSURE_SQL)
+def rdf_subclass_index(spark, sf_dir):
+    """The same pairs by range tests on interval labels."""
+    t = triple_store(spark, sf_dir)
+    found = RC.below(*RC.label(subclass_pairs(t), "class", "superclass"))
+    return t.decode(found.select(F.col("node").alias("class"), F.col("above").alias("superclass")), "class", "superclass")
+
+
 # --- D1 / J7 / J8 / A12: constraints --------------------------------------------------------------------------
-def _constraints_sql(strict: bool) -> str:
+def constraints_sql(strict: bool) -> str:
     dt = f"JOIN triples dt ON dt.s = avf.o AND dt.p = '{RD.ON_DATATYPE}'" if strict else ""
     return with_triples(f"""
 SELECT split_part(onp.o, '#', -1) AS property,
@@ -291,14 +303,14 @@ GROUP BY 1""", f"""lp AS (
   ) SELECT * FROM walk)""")
 
 
-@register("constraints", headline=True, sql=_constraints_sql(False))
+@register("constraints", headline=True, sql=constraints_sql(False))
 def constraints(spark, sf_dir):
     """Range per property from restriction lists (owl:onDatatype not required)."""
     t = triple_store(spark, sf_dir)
     return RD.fold_constraints(RD.restriction_ranges(t, strict=False), t)
 
 
-@register("constraints_strict", sql=_constraints_sql(True))
+@register("constraints_strict", sql=constraints_sql(True))
 def constraints_strict(spark, sf_dir):
     """The reference's exact pattern: requires owl:onDatatype (the KB part yields nothing)."""
     t = triple_store(spark, sf_dir)

@@ -19,6 +19,7 @@ from ..operators.patterns import one_hop
 from ..session import scratch_path
 from ..sources.tables import tables_state
 from ..streaming.graph_store import GraphStore, StoredGraph
+from . import graph_build as GB
 from .proxy import telemetry, with_telemetry
 from .registry import register
 
@@ -281,6 +282,43 @@ def notifications_per_minute(spark, tg, approx: bool = False, rsd: float = 0.01)
             .orderBy(F.col("minute").asc_nulls_last()))
 
 
+# --- A4 rolled up: mergeable distinct counts ------------------------------------------
+SKETCH_BITS = 12
+
+
+def minute_sketches(links: DataFrame) -> DataFrame:
+    """(minute, sketch, exact): a sketch of fixed size of the distinct notifications of each minute, beside their count."""
+    return (links.groupBy(trunc_ntz("minute", "ln_timestamp").alias("minute"))
+            .agg(F.hll_sketch_agg(F.xxhash64("ln_name", "ln_timestamp"), SKETCH_BITS).alias("sketch"),
+                 F.count_distinct("ln_name", "ln_timestamp").alias("exact")))
+
+
+def rolled_up(minutes: DataFrame, unit: str) -> DataFrame:
+    """(bucket, estimate): the sketches of a unit's minutes merged; no row of the graph is read again."""
+    return minutes.groupBy(trunc_ntz(unit, "minute").alias("bucket")).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
+_ROLLUP = " UNION ALL ".join(f"""
+SELECT '{u}' AS unit, date_trunc('{u}', ln.timestamp) AS bucket, count(DISTINCT (ln.name, ln.timestamp)) AS exact, true AS close
+FROM hr JOIN ln ON hr.ln_name = ln.name AND hr.ln_timestamp = ln.timestamp GROUP BY 2""" for u in ("minute", "hour", "day"))
+
+
+@report("notifications_rollup", sql=graph_sql(_ROLLUP, LN_SQL, HR_SQL))
+def notifications_rollup(spark, tg):
+    """Distinct notifications by minute, hour and day: the exact counts, and whether the merged sketches' estimates
+    are as close as sketches of this size are (1.04 / sqrt(2**bits), four times over)."""
+    links = _ln_edges(spark, tg)
+    path = scratch_path(spark, "sketches")
+    minute_sketches(links).write.parquet(path)
+    minutes, out = spark.read.parquet(path), None
+    for unit in ("minute", "hour", "day"):
+        exact = links.groupBy(trunc_ntz(unit, "ln_timestamp").alias("bucket")).agg(F.count_distinct("ln_name", "ln_timestamp").alias("exact"))
+        near = F.abs(F.col("estimate") - F.col("exact")) <= F.col("exact") * F.lit(4 * 1.04 / 2 ** (SKETCH_BITS / 2)) + 1
+        rows = exact.join(rolled_up(minutes, unit), "bucket").select(F.lit(unit).alias("unit"), "bucket", "exact", near.alias("close"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # --- A5: count per log type -----------------------------------------------------------
 @report("logs_by_type", headline=True, sql=graph_sql("""
 SELECT ln.name AS logType, count(*) AS count
@@ -371,6 +409,28 @@ def report_joint2_position(spark, tg):
     return joint_position(spark, tg, "joint_2")
 
 
+# --- F3 where it matters: readings at the seed instant ----------------------------------
+def _seeded_sql(joint: str) -> str:
+    return with_telemetry(f"""
+SELECT timestamp, round(avg(hasPositionX), 6) AS positionX, round(avg(hasPositionY), 6) AS positionY, round(avg(hasPositionZ), 6) AS positionZ
+FROM (SELECT CASE WHEN obs_ts IN (SELECT obs_ts FROM d WHERE joint_name = '{joint}' ORDER BY obs_ts LIMIT 3) AND joint_name = '{joint}'
+             THEN TIMESTAMP '{fixed.SEED_TIMESTAMP}' ELSE obs_ts END AS timestamp, joint_name,
+             position_x AS hasPositionX, position_y AS hasPositionY, position_z AS hasPositionZ FROM d) x
+WHERE joint_name = '{joint}' AND timestamp <> TIMESTAMP '{fixed.SEED_TIMESTAMP}' GROUP BY 1""", FIRST_SQL)
+
+
+@register("report_joint_position_seeded", sql=_seeded_sql("joint_1"))
+def report_joint_position_seeded(spark, sf_dir):
+    """The joint's report over a graph whose first three readings of the joint stand at the seed instant, as a
+    seed with example readings has them: the filter leaves these out, and they are in the tables that it reads."""
+    seed_ts = F.lit(fixed.SEED_TIMESTAMP).cast("timestamp_ntz")
+    tel = GB.dedup_timestamp(telemetry(spark, sf_dir))
+    first = tel.filter(F.col("joint_name") == "joint_1").select(F.col("obs_ts").alias("_at")).orderBy("_at").limit(3)
+    moved = (tel.join(F.broadcast(first), (F.col("obs_ts") == F.col("_at")) & (F.col("joint_name") == "joint_1"), "left")
+             .withColumn("obs_ts", F.when(F.col("_at").isNotNull(), seed_ts).otherwise(F.col("obs_ts"))).drop("_at"))
+    return joint_position(spark, GB.TelemetryGraph(spark, moved, dedup=False), "joint_1")
+
+
 # --- O3 / O5: first 1000 readings by time (the top-N is the report's feature) -------------
 @report("humidity_series", sql=graph_sql("""
 SELECT es.hasTimestamp AS timestamp, es.hasHumidity AS Humidity

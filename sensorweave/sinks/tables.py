@@ -19,3 +19,10 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+def write_ordered_csv(df: DataFrame, path: str, order: list[str]) -> None:
+    """CSV files in a total order: ranges of ``order`` in files whose names ascend with the ranges, sorted inside."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.option("header", True)
+     .option("quote", '"').option("escape", '"').mode("overwrite").csv(path))
