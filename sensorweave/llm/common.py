@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -68,16 +69,21 @@ def append_columns(df: DataFrame, inputs: dict, fields: str,
     return work.mapInArrow(run, out)
 
 
-def fixed_bits(df: DataFrame, key: str, bits: int = 22) -> list[tuple[int, int]]:
-    """A bitmap of the low bits of the hash ``key``: at most ``2**bits / 64`` (word, mask) rows, whatever the input.
+def bitmap(df: DataFrame, key: str, most_bits: int = 26) -> tuple[int, np.ndarray]:
+    """(bits, words): a bitmap of the low ``bits`` bits of the hash ``key`` of the distinct rows of ``df``.
 
-    The result is bounded by the parameter alone; members are never missed, other
-    keys pass with a probability that rises with the number of members.
+    It has 16 bits or more for each member, from 2**16 to ``2**most_bits`` in all (8 MB), whatever
+    the input.  Members are never missed; other keys pass with a probability of 1/16 at most, which
+    rises only beyond ``2**most_bits / 16`` (4 million) members.
     """
+    bits = min(max((16 * df.count()).bit_length(), 16), most_bits)
     pos = F.col(key).bitwiseAND(F.lit((1 << bits) - 1))
     rows = df.select(pos.alias("p")).select(F.shiftright("p", 6).alias("w"),
                                             F.expr("shiftleft(1L, cast(p & 63 as int))").alias("m"))
-    return [(r[0], r[1]) for r in rows.groupBy("w").agg(F.bit_or("m").alias("m")).collect()]
+    found = rows.groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
+    words = np.zeros(1 << (bits - 6), np.int64)
+    words[found["w"].to_numpy()] = found["m"].to_numpy()
+    return bits, words
 
 
 def sums_before(rows: DataFrame, group: list[str], index: str, n: str, out: str = "before", block: int = 1024) -> DataFrame:

@@ -16,7 +16,7 @@ texts prove nothing; the default of two asks only that one text is not the whole
 Two passes over all texts: the first finds the patterns and, in texts with an entity, the
 terms beside it; the second counts candidate terms over the whole corpus.  A last pass over
 the texts with an entity finds all places of proven terms.  Candidates and proven terms
-reach a pass as a bitmap of fixed size; whatever else passes the bitmap is dropped by the
+reach a pass as a bitmap sized by their number, up to 8 MB; whatever else passes the bitmap is dropped by the
 exact join that follows.  n_t is exact: texts that stand once are counted as
 they are read, repeated ones by a distinct count.
 
@@ -36,12 +36,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_columns, cut, fixed_bits, map_batches
+from .common import append_columns, bitmap, cut, map_batches
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 CONTEXT_WORDS = 32
-_BITS = 22
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -168,16 +167,14 @@ def first_pass(docs: DataFrame) -> DataFrame:
 
 
 def _bitmap(df: DataFrame, key: str):
-    """The low bits of ``key`` as a broadcast bitmap of fixed size."""
-    bitmap = np.zeros(1 << (_BITS - 6), np.int64)
-    for w, m in fixed_bits(df, key, _BITS):
-        bitmap[w] = m
-    return df.sparkSession.sparkContext.broadcast(bitmap)
+    """The bitmap of the distinct ``key`` of ``df``, broadcast."""
+    return df.sparkSession.sparkContext.broadcast(bitmap(df, key))
 
 
-def _holds(bitmap: np.ndarray, key: int) -> int:
-    at = key & ((1 << _BITS) - 1)
-    return int(bitmap[at >> 6]) >> (at & 63) & 1
+def _holds(held: tuple[int, np.ndarray], key: int) -> int:
+    bits, words = held
+    at = key & ((1 << bits) - 1)
+    return int(words[at >> 6]) >> (at & 63) & 1
 
 
 def term_counts(docs: DataFrame, candidates: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -231,9 +228,9 @@ def _counts(once: dict[int, int], schema: pa.Schema) -> pa.RecordBatch:
                                        pa.array(list(once.values()), pa.int64())], schema=schema)
 
 
-def _candidate(word: str, bitmap: np.ndarray) -> int | None:
+def _candidate(word: str, held: tuple[int, np.ndarray]) -> int | None:
     t = term(word)
-    return t if t is not None and _holds(bitmap, t) else None
+    return t if t is not None and _holds(held, t) else None
 
 
 def term_places(held: DataFrame, terms: DataFrame) -> DataFrame:
