@@ -72,11 +72,11 @@ def append_columns(df: DataFrame, inputs: dict, fields: str,
 def bitmap(df: DataFrame, key: str, most_bits: int = 26) -> tuple[int, np.ndarray]:
     """(bits, words): a bitmap of the low ``bits`` bits of the hash ``key`` of the distinct rows of ``df``.
 
-    It has 16 bits or more for each member, from 2**16 to ``2**most_bits`` in all (8 MB), whatever
-    the input.  Members are never missed; other keys pass with a probability of 1/16 at most, which
-    rises only beyond ``2**most_bits / 16`` (4 million) members.
+    It has 64 bits or more for each member, from 2**22 to ``2**most_bits`` in all (8 MB), whatever
+    the input.  Members are never missed; other keys pass with a probability of 1/64 at most, which
+    rises only beyond ``2**most_bits / 64`` (a million) members.
     """
-    bits = min(max((16 * df.count()).bit_length(), 16), most_bits)
+    bits = min(max((64 * df.count()).bit_length(), 22), most_bits)
     pos = F.col(key).bitwiseAND(F.lit((1 << bits) - 1))
     rows = df.select(pos.alias("p")).select(F.shiftright("p", 6).alias("w"),
                                             F.expr("shiftleft(1L, cast(p & 63 as int))").alias("m"))

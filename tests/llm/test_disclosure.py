@@ -89,6 +89,6 @@ def test_terms_by_brute_force(spark, tmp_path, seed, support):
 def test_bitmap_grows_with_its_members(spark):
     small, large = (spark.range(n).selectExpr("xxhash64(id) as h") for n in (10, 100_000))
     (a, _), (b, words) = common.bitmap(small, "h"), common.bitmap(large, "h")
-    assert a == 16 and b == 21 and len(words) == 1 << 15
+    assert a == 22 and b == 23 and len(words) == 1 << 17
     assert all(sanitise._holds((b, words), r["h"]) for r in large.limit(1000).collect())
     assert common.bitmap(large, "h", 18)[0] == 18
