@@ -16,7 +16,20 @@ from sensorweave.plans import catalog  # noqa: E402
 
 # keys beside those that the inventory names
 MORE = [("O4", "Ordered LIMIT 1, 25, 100", ["anomaly_env_error_first", "path_preview", "rdf_subclass_preview"]),
-        ("M2", "Seed relationships", ["graph_seed_edges"]), ("K3", "Events without a time", ["stream_rejects"])]
+        ("M2", "Seed relationships", ["graph_seed_edges"]), ("K3", "Events without a time", ["stream_rejects"]),
+        ("S1", "Records in the order of their topic positions", ["stream_topic_positions"]),
+        ("S2", "Bounded read from the earliest offset", ["batch_topic_positions"]),
+        ("K4", "Merge into a bucketed target that stays where it is", ["merge_sensor_bucketed"]),
+        ("M13", "Delete on the kept graph (tombstones)", ["store_delete"]),
+        ("T3", "Late rows kept in a table", ["stream_late_table"]),
+        ("T5", "Copies within and beyond the watermark, over restarts", ["stream_dedup_watermark"]),
+        ("T6", "Two live queries of one parsed stream", ["stream_two_live_queries"]),
+        ("A4", "Merged distinct-count sketches by minute, hour and day", ["notifications_rollup"]),
+        ("O5", "Time-ordered CSV, read back in file order", ["ordered_csv"]),
+        ("J10", "Path counts by endpoint pair, without the paths", ["path_counts"]),
+        ("D5", "Membership by range tests on interval labels", ["rdf_subclass_index"]),
+        ("D2", "Clamping by extracted rows", ["clamp_to_extracted", "clamp_prices_to_extracted"]),
+        ("F3", "Readings at the seed instant left out", ["report_joint_position_seeded"])]
 
 
 def row(ident: str, op: str, key: str) -> str:

@@ -64,6 +64,7 @@ def parse_v2(df: DataFrame, json_col: str = "json", keep=("event_id",)) -> DataF
 
 
 # --- P9: flatten -------------------------------------------------------------------------
+# fixed values: nested member, flattened column
 FLATTEN = [
     ("position.x", "position_x"), ("position.y", "position_y"), ("position.z", "position_z"),
     ("force_torque.force.x", "force_x"), ("force_torque.force.y", "force_y"),

@@ -48,7 +48,7 @@ def _props_text(m):
         e["key"], F.lit("="), e["value"]))), ",")
 
 
-# Oracles of the seed, written by hand from the seed statements.
+# Oracles of the seed, written by hand from the seed statements (fixed values: label, name, properties).
 _SEED_NODES_SQL = """
   ('Thing', 'Thing', ''), ('RobotArm', 'RobotArm', 'hasRobotName=RoboArm1'), ('Environment', 'Environment', ''),
   ('Location', 'Location', 'inBuilding=BuildingA,inWorkstation=Workstation5'), ('PowerSupply', 'PowerSupply', 'hasVoltage=220.0'),

@@ -10,6 +10,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
 
 
+# --- fixed values: the members of the messages and of the staging rows, as they stand on the wire ---
 # v2 telemetry message: ten members, all text; nested members hold JSON text.
 MESSAGE_V2 = _struct(
     timestamp=_S, sensor_name=_S, joint_name=_S, position=_S, force_torque=_S,
@@ -61,5 +62,3 @@ STAGING = T.StructType([
     T.StructField("log_type", _S), T.StructField("log_message", _S),
 ])
 STAGING_COLUMNS = [f.name for f in STAGING.fields]
-
-# Triples: subject, predicate, object (object kept as text, literal or IRI).
