@@ -263,14 +263,16 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(documents(spark, sf_dir))
 
 
-ORACLES["op12_substring_dedup"] = r"""
+ORACLES["op12_substring_dedup"] = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-g AS (SELECT rid, doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d)),
-v AS (SELECT rid, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY s) AS least FROM g) WHERE least < doc_id),
+x AS (SELECT rid, doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+g AS (SELECT rid, doc_id, p AS i, lead(word, 12) OVER o AS last,
+             concat_ws(' ', word, {", ".join(f"lead(word, {k}) OVER o" for k in range(1, 13))}) AS s
+      FROM x WINDOW o AS (PARTITION BY rid ORDER BY p)),
+v AS (SELECT rid, i FROM (SELECT rid, doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM g WHERE last IS NOT NULL) WHERE least < doc_id),
 c AS (SELECT DISTINCT rid, i + k AS p FROM v, (SELECT unnest(range(13)) AS k)),
-k AS (SELECT d.rid, string_agg(x.word, ' ' ORDER BY x.p) AS kept, count(*) AS n
-      FROM (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) AS x JOIN d USING (rid)
-      LEFT JOIN c ON c.rid = x.rid AND c.p = x.p WHERE c.p IS NULL GROUP BY d.rid)
+k AS (SELECT x.rid, string_agg(x.word, ' ' ORDER BY x.p) AS kept, count(*) AS n
+      FROM x LEFT JOIN c ON c.rid = x.rid AND c.p = x.p WHERE c.p IS NULL GROUP BY x.rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (rid)
 """
