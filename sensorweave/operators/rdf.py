@@ -3,6 +3,8 @@
 * basic graph patterns are self-joins of the triples frame (one per pattern);
 * ``rdf:rest*/rdf:first`` list expansion uses forward pointer jumping: O(log L) join
   rounds for a list of length L;
+* maxima over list members are folded along the links by the same jumps, so no list is
+  expanded and a tail that many lists share is folded once;
 * ``rdfs:subClassOf`` closure uses semi-naive doubling (O(log depth) rounds, each
   composing only the pairs found in the previous round).
 
@@ -13,6 +15,8 @@ All operators run on a frame of terms or on the ids of a ``TripleStore``.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,6 +165,58 @@ def list_items(triples, heads: DataFrame) -> DataFrame:
     return reached.join(first, "node").select("head", "pos", "item")
 
 
+# --- A12: maxima over lists, without their expansion -----------------------------------------
+def list_nodes(triples, values: DataFrame) -> DataFrame:
+    """(node, next, full, others of ``values``) of each list node; ``values`` has (item, others).
+
+    ``next`` is null at the end of a list; ``full`` says whether the node has a member.
+    """
+    names = [c for c in values.columns if c != "item"]
+    nothing = [F.lit(None).cast(values.schema[c].dataType).alias(c) for c in names]
+    rest = pred(triples, RDF_REST, "node", "next")
+    after = F.when(F.col("next") != _node(triples, RDF_NIL), F.col("next"))
+    none = F.lit(None).cast(rest.schema["next"].dataType)
+    own = pred(triples, RDF_FIRST, "node", "item").join(values, "item", "left")
+    rows = (own.select("node", none.alias("next"), F.lit(True).alias("full"), *names)
+            .unionByName(rest.select("node", after.alias("next"), F.lit(False).alias("full"), *nothing))
+            # a node that is only led to ends its list
+            .unionByName(rest.select(after.alias("node"), none.alias("next"), F.lit(False).alias("full"), *nothing)
+                         .filter("node is not null")))
+    each = rows.groupBy("node").agg(F.min("next").alias("next"), F.max("next").alias("_last"), F.max("full").alias("full"),
+                                    *[F.max(c).alias(c) for c in names])
+    one_way = F.when(F.col("next") == F.col("_last"), F.col("next")).when(
+        F.col("next").isNotNull(), F.raise_error(F.lit("a list node has two successors")).cast(rest.schema["next"].dataType))
+    return each.select("node", one_way.alias("next"), "full", *names)
+
+
+def list_maxima(nodes: DataFrame, heads: DataFrame) -> DataFrame:
+    """Rows of ``heads`` (head, any others) with the largest values over the members of the head's list, nulls skipped.
+
+    ``nodes`` is a stored ``list_nodes``.  After k rounds a node holds the maxima of its first 2^k
+    nodes and leads to the one behind them; one join a round, and only nodes whose list goes on take
+    part in it.  A head whose list has no members has no row; a cyclic list has no end and a node with
+    two successors no one list, so both raise an error.
+    """
+    names = [c for c in nodes.columns if c not in ("node", "next", "full")]
+    done, going, step, count = nodes.filter("next is null"), nodes.filter("next is not null"), 1, nodes.count()
+    while True:
+        left = going.count()
+        if not left:
+            break
+        if step > count:  # what still goes on leads into a cycle
+            if heads.join(going, F.col("head") == F.col("node"), "left_semi").isEmpty():
+                break
+            raise ValueError("a list is cyclic")
+        ahead = done.unionByName(going)
+        ahead = ahead.select(*[F.col(c).alias(f"_{c}") for c in ahead.columns])
+        jumped = _cut(going.join(ahead, F.col("next") == F.col("_node")).select(
+            "node", F.col("_next").alias("next"), (F.col("full") | F.col("_full")).alias("full"),
+            *[F.greatest(c, f"_{c}").alias(c) for c in names]))
+        done = done.unionByName(jumped.filter("next is null"))
+        going, step = jumped.filter("next is not null"), 2 * step
+    return heads.join(done.filter("full").select(F.col("node").alias("head"), *names), "head")
+
+
 # --- D5: transitive closure of a relation ---------------------------------------------------
 def transitive_closure(edges: DataFrame, src: str = "c", dst: str = "p") -> DataFrame:
     """All (a, b) with a path a -> ... -> b.
@@ -189,6 +245,15 @@ def transitive_closure(edges: DataFrame, src: str = "c", dst: str = "p") -> Data
 
 
 # --- J7 / J8 / A12 / D1: range constraints from restriction patterns ----------------------------
+def _restrictions(triples, strict: bool) -> DataFrame:
+    sub = pred(triples, SUBCLASS, "cls", "r")
+    onp = pred(triples, ON_PROPERTY, "r", "prop")
+    avf = pred(triples, ALL_VALUES_FROM, "r", "range")
+    wr = pred(triples, WITH_RESTRICTIONS, "range", "head")
+    bgp = onp.join(avf, "r").join(sub, "r").join(wr, "range")
+    return bgp.join(pred(triples, ON_DATATYPE, "range", "dt"), "range") if strict else bgp
+
+
 def restriction_ranges(triples, strict: bool = False) -> DataFrame:
     """The restriction pattern, one row per (class, restriction, property, item):
 
@@ -197,15 +262,8 @@ def restriction_ranges(triples, strict: bool = False) -> DataFrame:
         ?list rdf:rest*/rdf:first ?item .
         OPTIONAL { ?item xsd:minInclusive ?min }  OPTIONAL { ?item xsd:maxInclusive ?max }
     """
-    sub = pred(triples, SUBCLASS, "cls", "r")
-    onp = pred(triples, ON_PROPERTY, "r", "prop")
-    avf = pred(triples, ALL_VALUES_FROM, "r", "range")
-    wr = pred(triples, WITH_RESTRICTIONS, "range", "head")
-    bgp = onp.join(avf, "r").join(sub, "r").join(wr, "range")
-    if strict:
-        bgp = bgp.join(pred(triples, ON_DATATYPE, "range", "dt"), "range")
     # the pattern first, once: only the lists that it leaves are expanded
-    bgp = _cut(bgp)
+    bgp = _cut(_restrictions(triples, strict))
     items = list_items(triples, bgp.select("head"))
     mins = _texts(triples, MIN_INCL, "item", "min")
     maxs = _texts(triples, MAX_INCL, "item", "max")
@@ -219,13 +277,22 @@ def number(c: str | Column) -> Column:
     return F.translate(col, "−", "-").try_cast("double")
 
 
-def fold_constraints(rows: DataFrame, triples=None) -> DataFrame:
-    """One row per property local name: the largest stated min and max (nulls skipped).
-
-    With ``triples`` the properties are its ids: they are folded as such, and only the folded ones decoded.
-    """
-    if triples is not None and not isinstance(triples, DataFrame):
-        rows = triples.decode(rows.groupBy("prop").agg(F.max(number("min")).alias("min"), F.max(number("max")).alias("max")), "prop")
-        return rows.groupBy(local_name("prop").alias("property")).agg(F.max("min").alias("min"), F.max("max").alias("max"))
+def fold_constraints(rows: DataFrame) -> DataFrame:
+    """One row per property local name: the largest stated min and max (nulls skipped)."""
     return (rows.groupBy(local_name("prop").alias("property"))
             .agg(F.max(number("min")).alias("min"), F.max(number("max")).alias("max")))
+
+
+def property_ranges(triples, strict: bool = False) -> DataFrame:
+    """As ``fold_constraints(restriction_ranges(...))``, with no list expanded: limits are folded along the
+    lists, then by property node, and only the few properties left are decoded."""
+    nothing = F.lit(None).cast("double")
+    limits = (_texts(triples, MIN_INCL, "item", "v").select("item", number("v").alias("min"), nothing.alias("max"))
+              .unionByName(_texts(triples, MAX_INCL, "item", "v").select("item", nothing.alias("min"), number("v").alias("max"))))
+    pattern = _restrictions(triples, strict).select("prop", "head").distinct()
+    with ThreadPoolExecutor(2) as pool:  # neither needs the other
+        lists, nodes = pool.map(_cut, (pattern, list_nodes(triples, limits)))
+    folded = list_maxima(nodes, lists).groupBy("prop").agg(F.max("min").alias("min"), F.max("max").alias("max"))
+    if not isinstance(triples, DataFrame):
+        folded = triples.decode(_cut(folded), "prop")
+    return folded.groupBy(local_name("prop").alias("property")).agg(F.max("min").alias("min"), F.max("max").alias("max"))

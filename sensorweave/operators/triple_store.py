@@ -27,8 +27,13 @@ def hash_id(term: Column, attempt: int = 0) -> Column:
 def _spare_ids(hashed: DataFrame, hash_fn) -> DataFrame:
     """(term, id) of every term but the first of those that share a hash; ids that no other term has."""
     spark = hashed.sparkSession
-    twice = hashed.groupBy("id").agg(F.count("*").alias("n"), F.min("term").alias("first")).filter("n > 1")
-    left = [r["term"] for r in hashed.join(twice, "id").filter("term <> first").select("term").collect()]
+    # the ids alone are counted; terms are looked at only where an id stands twice, which is next to never
+    twice = [r["id"] for r in hashed.groupBy("id").count().filter("count > 1").select("id").collect()]
+    if not twice:
+        return spark.createDataFrame([], "term string, id long")
+    shared = hashed.join(F.broadcast(spark.createDataFrame([(i,) for i in twice], "id long")), "id")
+    first = shared.groupBy("id").agg(F.min("term").alias("first"))
+    left = [r["term"] for r in shared.join(first, "id").filter("term <> first").select("term").collect()]
     given: dict[int, str] = {}
     attempt = 0
     while left:  # as few as two equal 64-bit hashes are: about n * n / 2**65 of n terms
@@ -98,8 +103,11 @@ class TripleStore:
         return self.facts.filter((F.col("p") == p) & F.col("text").isNotNull()).select(F.col("s").alias(s), F.col("text").alias(o))
 
     def decode(self, df: DataFrame, *columns: str) -> DataFrame:
-        """``df`` with the ids in ``columns`` replaced by their terms."""
+        """``df`` with the ids in ``columns`` replaced by their terms; every id is in the dictionary.
+
+        The inner join lets the planner broadcast a small ``df``, so that the dictionary stays where it is.
+        """
         for c in columns:
             terms = self.terms.select(F.col("id").alias(c), F.col("term").alias("_term"))
-            df = df.join(terms, c, "left").withColumn(c, F.col("_term")).drop("_term").select(*df.columns)
+            df = df.join(terms, c).withColumn(c, F.col("_term")).drop("_term").select(*df.columns)
         return df

@@ -125,7 +125,7 @@ def clamp_by_rows(df: DataFrame, constraints: DataFrame, keep=("event_id",)) ->
 def clamp_to_extracted(spark, sf_dir):
     """Readings clamped to the ranges that the extraction without ``owl:onDatatype`` finds in the stored triples."""
     t = triple_store(spark, sf_dir)
-    return clamp_by_rows(telemetry(spark, sf_dir), RD.fold_constraints(RD.restriction_ranges(t), t))
+    return clamp_by_rows(telemetry(spark, sf_dir), RD.property_ranges(t))
 
 
 @register("clamp_prices_to_extracted", sql=f"""
@@ -135,7 +135,7 @@ def clamp_prices_to_extracted(spark, sf_dir):
     """Order prices clamped to the range that the triples state for the order's priority: limits that only the
     extraction knows, joined by property."""
     t = triple_store(spark, sf_dir)
-    stated = RD.fold_constraints(RD.restriction_ranges(t), t)
+    stated = RD.property_ranges(t)
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority", "o_totalprice"])
     own = orders.withColumn("property", F.concat(F.lit("hasPriority_"), F.translate("o_orderpriority", " ", "_")))
     return own.join(stated, "property").select("o_orderkey", clamp(F.col("o_totalprice"), F.col("min"), F.col("max")).alias("price"),

@@ -126,15 +126,15 @@ def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TRIPLE_TABLES = ["region", "nation", "customer", "orders", "lineitem"]
-_STORES: dict[tuple, str] = {}
+_STORES: dict[tuple, TripleStore] = {}
 
 
 def triple_store(spark: SparkSession, sf_dir: str) -> TripleStore:
     """The triples on ids, stored once per application and state of the tables' files."""
-    key = (spark.sparkContext.applicationId, tables_state(spark, sf_dir, TRIPLE_TABLES))
+    key = (spark, spark.sparkContext.applicationId, tables_state(spark, sf_dir, TRIPLE_TABLES))
     if key not in _STORES:
-        _STORES[key] = TripleStore.build(triples(spark, sf_dir)).root
-    return TripleStore(spark, _STORES[key])
+        _STORES[key] = TripleStore.build(triples(spark, sf_dir))
+    return _STORES[key]
 
 
 # --- the same triples in DuckDB ---------------------------------------------------------------
@@ -307,11 +307,11 @@ GROUP BY 1""", f"""lp AS (
 def constraints(spark, sf_dir):
     """Range per property from restriction lists (owl:onDatatype not required)."""
     t = triple_store(spark, sf_dir)
-    return RD.fold_constraints(RD.restriction_ranges(t, strict=False), t)
+    return RD.property_ranges(t)
 
 
 @register("constraints_strict", sql=constraints_sql(True))
 def constraints_strict(spark, sf_dir):
     """The reference's exact pattern: requires owl:onDatatype (the KB part yields nothing)."""
     t = triple_store(spark, sf_dir)
-    return RD.fold_constraints(RD.restriction_ranges(t, strict=True), t)
+    return RD.property_ranges(t, strict=True)

@@ -144,3 +144,46 @@ def test_rank_within_group_with_a_hot_group(spark):
     ref = df.select("i", F.row_number().over(w).alias("rn"), F.count("*").over(Window.partitionBy("g")).alias("n"))
     bad = got.join(ref, "i").filter((F.col("rank") != F.col("rn")) | (F.col("group_size") != F.col("n")))
     assert got.count() == 5000 and bad.count() == 0
+
+
+def test_list_maxima_are_those_of_the_expanded_lists(spark):
+    """Lists of many lengths with shared tails, inner heads, a tail that is led to but not stated, members without a value."""
+    rnd = random.Random(11)
+    rest, heads = [("e0", "e1"), ("e1", "unstated")], ["nowhere", "e0", "unstated"]
+    for li, length in enumerate([1, 2, 3, 4, 5, 17, 64, 129]):
+        nodes = [f"n{li}_{i}" for i in range(length)]
+        rest += list(zip(nodes, [*nodes[1:], RD.RDF_NIL], strict=True))
+        rest.append((f"x{li}", nodes[length // 2]))
+        heads += [nodes[0], nodes[length // 2], f"x{li}"]
+    triples = _triples(spark, rest)
+    values = [("i" + n, rnd.choice([None, -1.0, 2.5, float(rnd.randrange(1000))])) for n, _ in rest if rnd.random() < 0.8]
+    values += [(i, v + 1) for i, v in values[::7] if v is not None]
+    best = {}
+    for i, v in values:
+        if v is not None:
+            best[i] = max(v, best.get(i, v))
+    head_rows = spark.createDataFrame([(h, k) for k, h in enumerate(heads)], "head string, k int")
+    want = {}
+    for r in RD.list_items(triples, head_rows.select("head")).collect():
+        want.setdefault(r["head"], []).append(best.get(r["item"]))
+    want = {h: max((v for v in vs if v is not None), default=None) for h, vs in want.items()}
+    nodes = RD._cut(RD.list_nodes(triples, spark.createDataFrame(values, "item string, v double")))
+    got = RD.list_maxima(nodes, head_rows).collect()
+    assert {r["head"]: r["v"] for r in got} == want and "unstated" not in want
+    assert len(got) == sum(h in want for h in heads)
+    assert all(heads[r["k"]] == r["head"] for r in got)
+
+
+def test_maxima_of_cyclic_lists(spark):
+    """A head that leads into a cycle raises; a cycle that no head leads into does not."""
+    triples = _triples(spark, [("a", "b"), ("b", "c"), ("c", "a"), ("z", "b"), ("p", "q"), ("q", RD.RDF_NIL)])
+    nodes = RD._cut(RD.list_nodes(triples, spark.createDataFrame([("ip", 3.0)], "item string, v double")))
+    with pytest.raises(ValueError):
+        RD.list_maxima(nodes, spark.createDataFrame([("z",)], "head string"))
+    assert [tuple(r) for r in RD.list_maxima(nodes, spark.createDataFrame([("p",)], "head string")).collect()] == [("p", 3.0)]
+
+
+def test_two_successors_are_no_list(spark):
+    triples = _triples(spark, [("a", "b"), ("a", "c"), ("b", RD.RDF_NIL), ("c", RD.RDF_NIL)])
+    with pytest.raises(Exception, match="two successors"):
+        RD.list_nodes(triples, spark.createDataFrame([("ia", 1.0)], "item string, v double")).collect()
