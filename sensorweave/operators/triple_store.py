@@ -12,7 +12,8 @@ folds compare longs, and ``decode`` brings terms back at the end, for the ids th
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,15 +21,32 @@ from ..session import scratch_path
 from .rdf import IRI
 
 
+IDS_A_TASK = 1_000_000
+
+
 def hash_id(term: Column, attempt: int = 0) -> Column:
     return F.xxhash64(term) if not attempt else F.xxhash64(term, F.lit(attempt))
 
 
+@contextmanager
+def _open_writers(spark: SparkSession, most: int = 64):
+    """Tasks keep a file open for each of up to ``most`` partitions, and sort their rows by partition only beyond that."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _spare_ids(hashed: DataFrame, hash_fn) -> DataFrame:
     """(term, id) of every term but the first of those that share a hash; ids that no other term has."""
     spark = hashed.sparkSession
-    # the ids alone are counted; terms are looked at only where an id stands twice, which is next to never
-    twice = [r["id"] for r in hashed.groupBy("id").count().filter("count > 1").select("id").collect()]
+    # the ids alone are counted; terms are looked at only where an id stands twice, which is next to never.  Nearly all
+    # ids differ, so they are dealt uncounted, to as many tasks as keep a task's count in its memory
+    dealt = hashed.select("id").repartition(hashed.count() // IDS_A_TASK + 1, "id")
+    twice = [r["id"] for r in dealt.groupBy("id").count().filter("count > 1").select("id").collect()]
     if not twice:
         return spark.createDataFrame([], "term string, id long")
     shared = hashed.join(F.broadcast(spark.createDataFrame([(i,) for i in twice], "id long")), "id")
@@ -64,26 +82,26 @@ class TripleStore:
         spark = triples.sparkSession
         root = root or scratch_path(spark, "triple-store")
         o = F.col("o")
-        literal = F.col("o_kind") == "literal" if "o_kind" in triples.columns else ~(o.rlike(r"^_:\S+$") | o.rlike(IRI))
-        rows = triples.select("s", "p", F.when(~literal, o).alias("o"), F.when(literal, o).alias("text")).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            nodes = rows.select(F.explode(F.array("s", "o")).alias("term")).filter("term is not null").distinct()
-            nodes.select(hash_fn(F.col("term")).alias("id"), "term").write.parquet(f"{root}/hashed")
-            spare = _spare_ids(spark.read.parquet(f"{root}/hashed"), hash_fn)
-            spare.write.parquet(f"{root}/spare")
-            renamed = not spare.isEmpty()
-
-            def encoded(df, c):
-                plain = F.when(F.col(c).isNotNull(), hash_fn(F.col(c)))
-                if not renamed:
-                    return df.withColumn(c, plain)
-                own = F.broadcast(spare.select(F.col("term").alias(c), F.col("id").alias(f"_{c}")))
-                return df.join(own, c, "left").withColumn(c, F.coalesce(f"_{c}", plain)).drop(f"_{c}")
-
+        literal = F.col("o_kind") == "literal" if "o_kind" in triples.columns else ~F.when(
+            o.startswith("_:"), o.rlike(r"^_:\S+$")).otherwise(o.rlike(IRI))  # no IRI starts as a blank node does
+        rows = triples.select("s", "p", F.when(~literal, o).alias("o"), F.when(literal, o).alias("text"))
+        # read twice, as rows kept between the passes would fill the memory that the passes need
+        nodes = rows.select(F.explode(F.array("s", "o")).alias("term")).filter("term is not null").distinct()
+        nodes.select(hash_fn(F.col("term")).alias("id"), "term").write.parquet(f"{root}/hashed")
+        spare = _spare_ids(spark.read.parquet(f"{root}/hashed"), hash_fn)
+        spare.write.parquet(f"{root}/spare")
+        renamed = not spare.isEmpty()
+
+        def encoded(df, c):
+            plain = F.when(F.col(c).isNotNull(), hash_fn(F.col(c)))
+            if not renamed:
+                return df.withColumn(c, plain)
+            own = F.broadcast(spare.select(F.col("term").alias(c), F.col("id").alias(f"_{c}")))
+            return df.join(own, c, "left").withColumn(c, F.coalesce(f"_{c}", plain)).drop(f"_{c}")
+
+        with _open_writers(spark):
             (encoded(encoded(rows, "s"), "o").select("s", "o", "text", "p")
              .write.partitionBy("p").parquet(f"{root}/facts"))
-        finally:
-            rows.unpersist()
         store = cls(spark, root)
         store.hash_fn = hash_fn
         return store
@@ -105,7 +123,8 @@ class TripleStore:
     def decode(self, df: DataFrame, *columns: str) -> DataFrame:
         """``df`` with the ids in ``columns`` replaced by their terms; every id is in the dictionary.
 
-        The inner join lets the planner broadcast a small ``df``, so that the dictionary stays where it is.
+        The inner join lets the planner broadcast a small ``df``, so that the dictionary stays where it is; what
+        is small only once it is computed (a distinct, an aggregate) is best stored first.
         """
         for c in columns:
             terms = self.terms.select(F.col("id").alias(c), F.col("term").alias("_term"))

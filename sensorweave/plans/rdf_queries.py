@@ -200,7 +200,7 @@ SELECT DISTINCT iri, split_part(iri, '#', -1) AS local_name FROM (
 ) x WHERE iri LIKE 'http%'"""))
 def rdf_local_name(spark, sf_dir):
     t = triple_store(spark, sf_dir)
-    types = t.decode(t.pred(RD.RDF_TYPE, "s", "iri").select("iri").distinct(), "iri")
+    types = t.decode(RD._cut(t.pred(RD.RDF_TYPE, "s", "iri").select("iri").distinct()), "iri")  # few, and stored: the dictionary stays where it is
     iris = t.facts.select(F.col("p").alias("iri")).distinct().unionByName(types)
     return (iris.filter(F.col("iri").startswith("http")).distinct()
             .select("iri", RD.local_name("iri").alias("local_name")))
