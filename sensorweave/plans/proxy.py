@@ -41,14 +41,18 @@ def _sq(c):
     return c * c
 
 
-def telemetry_from_events(ev: DataFrame) -> DataFrame:
-    """Pure column mapping: one projection, no shuffle; fuses into the scan stage."""
+def narrow_records(ev: DataFrame) -> DataFrame:
+    """One row per record, as narrow as its event: what is cheaper to move than the telemetry that ``mapped`` makes of it."""
     # the second record is a narrow flat-map in the scan stage
     copies = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    ev = ev.select("event_id", "ts", "props", "user_id", "event_type", "value", F.explode(copies).alias("_copy")).select(
+    return ev.select("event_id", "ts", "props", "user_id", "event_type", "value", F.explode(copies).alias("_copy")).select(
         (F.col("event_id") * 2 + F.col("_copy")).alias("event_id"), F.col("event_id").alias("_id"), "ts", "props",
         (F.col("user_id") + F.col("_copy")).alias("user_id"), (F.col("value") + 10 * F.col("_copy")).alias("value"),
         F.when(F.col("_copy") == 1, F.lit("view")).otherwise(F.col("event_type")).alias("event_type"))
+
+
+def mapped(ev: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Telemetry (and the columns in ``keep``) of ``narrow_records``: one projection, no shuffle."""
     is_err = F.col("event_type") == "error"
     log_type = (F.when(is_err, F.lit("error"))
                 .when(F.col("event_type") == "signup", F.lit("warn"))
@@ -61,14 +65,14 @@ def telemetry_from_events(ev: DataFrame) -> DataFrame:
     air = (F.when(is_err, F.lit("Unhealthy")).when(mod10 < 7, F.lit("Good"))
            .when(mod10 < 9, F.lit("Moderate")).otherwise(F.lit("Unhealthy")))
     base = ev.select(
-        "event_id", "ts", "value", "props", "user_id",
+        *keep, "event_id", "ts", "value", "props", "user_id",
         log_type.alias("log_type"), is_err.alias("_err"),
         px.alias("position_x"), py.alias("position_y"), pz.alias("position_z"),
         k.alias("k"), joint.alias("joint_name"), air.alias("environment_air_quality"),
     )
     ten = F.lit(10.0)
     return base.select(
-        "event_id", "ts",
+        *keep, "event_id", "ts",
         F.col("ts").alias("obs_ts"),
         F.concat(F.col("joint_name"), F.lit("_sensor")).alias("sensor_name"),
         "joint_name",
@@ -93,10 +97,19 @@ def telemetry_from_events(ev: DataFrame) -> DataFrame:
     )
 
 
+def telemetry_from_events(ev: DataFrame) -> DataFrame:
+    """Pure column mapping: no shuffle; fuses into the scan stage."""
+    return mapped(narrow_records(ev))
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the telemetry view, not yet mapped."""
+    return narrow_records(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"]))
+
+
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The telemetry view."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
-    return telemetry_from_events(ev)
+    return mapped(records(spark, sf_dir))
 
 
 def message_sql(c: str) -> str:

@@ -19,7 +19,7 @@ from ..session import scratch_path
 from ..sinks.topic import publish, publish_records
 from ..streaming import jobs as J
 from ..streaming.graph_store import GraphStore
-from .proxy import telemetry, with_telemetry
+from .proxy import mapped, records, telemetry, with_telemetry
 from .registry import register
 from .reports import WS_SQL
 
@@ -45,9 +45,10 @@ def _segments(df: DataFrame, n: int, ts: str = "ts") -> tuple[list[DataFrame], i
 
 def write_topic(spark, sf_dir, path, encoder=P.encode_v2, tel: DataFrame | None = None, only: slice = slice(None)) -> int:
     """Publish the telemetry in time-ordered appends; returns the files of each append."""
-    parts, files = _segments(telemetry(spark, sf_dir) if tel is None else tel, APPENDS)
+    parts, files = _segments(records(spark, sf_dir) if tel is None else tel, APPENDS)
     for part in parts[only]:
-        publish(encoder(part.repartition(files)), path)  # dealt before the encoding, which is the costly part
+        part = part.repartition(files)  # dealt as narrow rows, before the mapping and the encoding, which are the costly parts
+        publish(encoder(mapped(part) if tel is None else part), path)
     return files
 
 
@@ -57,9 +58,9 @@ def _messages(spark, path, files: int):
 
 def write_staging(spark, sf_dir, path, appends: int = APPENDS, only=None) -> int:
     """Staging rows (the ingest job's output) written as time-ordered appends."""
-    parts, files = _segments(telemetry(spark, sf_dir), appends)
+    parts, files = _segments(records(spark, sf_dir), appends)
     for k in (only if only is not None else range(appends)):
-        P.ingest_v2(P.encode_v2(parts[k].repartition(files))).write.mode("append").parquet(path)
+        P.ingest_v2(P.encode_v2(mapped(parts[k].repartition(files)))).write.mode("append").parquet(path)
     return files
 
 
@@ -313,11 +314,14 @@ UNION ALL SELECT 'has_sensor', joint_name, obs_ts FROM d""", f"""pos AS (
 
 def write_partitioned_topic(spark, sf_dir, path) -> None:
     """The telemetry in two appends to a topic of three partitions; the second goes on at the offsets of the first."""
-    parts, _ = _segments(telemetry(spark, sf_dir), 2)
+    def encoded(placed: DataFrame) -> DataFrame:
+        at = ("key", "partition", "offset")
+        return P.encode_v2(mapped(placed, keep=at), key_cols=at)
+
+    parts, _ = _segments(records(spark, sf_dir), 2)
     for part in parts:
-        records = P.encode_v2(part, key_cols=("event_id", "ts")).select(
-            F.col("event_id").cast("string").alias("key"), "value", (F.col("event_id") % PARTITIONS).cast("int").alias("partition"), "ts", "event_id")
-        publish_records(records, path, ["ts", "event_id"])
+        rows = part.withColumn("key", F.col("event_id").cast("string")).withColumn("partition", (F.col("event_id") % PARTITIONS).cast("int"))
+        publish_records(rows, path, ["ts", "event_id"], encode=encoded)
 
 
 def _survivors(store: GraphStore) -> DataFrame:
@@ -382,14 +386,14 @@ def stream_dedup_watermark(spark, sf_dir):
     first once more with new event times: their state has expired by then, so they are records of their own.
     """
     root = scratch_path(spark, "dedup")
-    tel = telemetry(spark, sf_dir)
-    parts, files = _segments(tel, APPENDS)
+    rows = records(spark, sf_dir)
+    parts, files = _segments(rows, APPENDS)
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    lo, hi = tel.agg(F.min(us), F.max(us)).first()
+    lo, hi = rows.agg(F.min(us), F.max(us)).first()
     later = (2 * ((hi or 0) - (lo or 0))) // 3 + 1_000_000
     moved = parts[0].withColumn("ts", F.timestamp_micros(us + F.lit(later)).cast("timestamp_ntz"))
     for again, part in zip((parts[0], parts[0], moved), parts, strict=True):
-        publish(P.encode_v2(part.unionByName(again).repartition(files)), f"{root}/topic")
+        publish(P.encode_v2(mapped(part.unionByName(again).repartition(files))), f"{root}/topic")
         # all files of a run are one micro-batch: within a run nothing is late
         stream = J.message_stream(spark, "parquet", f"{root}/topic")
         J.start_staging_sink(J.parsed_stream(stream), f"{root}/staging", f"{root}/ckpt", dedup_keys=["event_id"]).awaitTermination()

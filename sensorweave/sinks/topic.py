@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -38,9 +40,12 @@ def next_offsets(spark: SparkSession, path: str) -> dict[int, int]:
     return {r["partition"]: r["next"] for r in held.groupBy("partition").agg((F.max("offset") + 1).alias("next")).collect()}
 
 
-def publish_records(records: DataFrame, path: str, order: list[str]) -> None:
+def publish_records(records: DataFrame, path: str, order: list[str], encode: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Append ``records`` (key, value, partition and ``order``) to a file topic with the next offsets of their partitions.
 
+    ``encode`` makes ``value`` once the records have their ``offset``, so that numbering moves, samples and stores the
+    rows without it.
+
     Offsets follow ``order`` within a partition; a partition that is too large for one task is numbered by range.
     One writer at a time, as a partition's log has one leader.
     """
@@ -49,4 +54,6 @@ def publish_records(records: DataFrame, path: str, order: list[str]) -> None:
     for k, at in begin.items():
         first = F.when(F.col("partition") == k, F.lit(at).cast("long")).otherwise(first)
     placed = numbered(records, ["partition"], order).withColumn("offset", F.col("rank") - 1 + first)
+    if encode is not None:
+        placed = encode(placed)
     placed.select("key", "value", "partition", "offset").write.mode("append").parquet(path)
