@@ -169,7 +169,7 @@ def list_items(triples, heads: DataFrame) -> DataFrame:
 def list_nodes(triples, values: DataFrame) -> DataFrame:
     """(node, next, full, others of ``values``) of each list node; ``values`` has (item, others).
 
-    ``next`` is null at the end of a list; ``full`` says whether the node has a member.
+    A node that is only led to has no row: it ends its list.  ``next`` is null at the end of a list; ``full`` says whether the node has a member.
     """
     names = [c for c in values.columns if c != "item"]
     nothing = [F.lit(None).cast(values.schema[c].dataType).alias(c) for c in names]
@@ -178,10 +178,7 @@ def list_nodes(triples, values: DataFrame) -> DataFrame:
     none = F.lit(None).cast(rest.schema["next"].dataType)
     own = pred(triples, RDF_FIRST, "node", "item").join(values, "item", "left")
     rows = (own.select("node", none.alias("next"), F.lit(True).alias("full"), *names)
-            .unionByName(rest.select("node", after.alias("next"), F.lit(False).alias("full"), *nothing))
-            # a node that is only led to ends its list
-            .unionByName(rest.select(after.alias("node"), none.alias("next"), F.lit(False).alias("full"), *nothing)
-                         .filter("node is not null")))
+            .unionByName(rest.select("node", after.alias("next"), F.lit(False).alias("full"), *nothing)))
     each = rows.groupBy("node").agg(F.min("next").alias("next"), F.max("next").alias("_last"), F.max("full").alias("full"),
                                     *[F.max(c).alias(c) for c in names])
     one_way = F.when(F.col("next") == F.col("_last"), F.col("next")).when(
@@ -209,8 +206,8 @@ def list_maxima(nodes: DataFrame, heads: DataFrame) -> DataFrame:
             raise ValueError("a list is cyclic")
         ahead = done.unionByName(going)
         ahead = ahead.select(*[F.col(c).alias(f"_{c}") for c in ahead.columns])
-        jumped = _cut(going.join(ahead, F.col("next") == F.col("_node")).select(
-            "node", F.col("_next").alias("next"), (F.col("full") | F.col("_full")).alias("full"),
+        jumped = _cut(going.join(ahead, F.col("next") == F.col("_node"), "left").select(
+            "node", F.col("_next").alias("next"), (F.col("full") | F.coalesce("_full", F.lit(False))).alias("full"),
             *[F.greatest(c, f"_{c}").alias(c) for c in names]))
         done = done.unionByName(jumped.filter("next is null"))
         going, step = jumped.filter("next is not null"), 2 * step
