@@ -16,6 +16,7 @@ All operators run on a frame of terms or on the ids of a ``TripleStore``.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,43 +127,97 @@ def _node(triples, term: str) -> Column:
     return F.lit(term) if isinstance(triples, DataFrame) else triples.node(term)
 
 
+def is_node(o: Column) -> Column:
+    """Whether a text reads as a blank node or as an IRI.
+
+    Nearly all blank nodes hold no blank and all IRIs hold a colon, which is seen without a pattern.
+    """
+    plain = F.octet_length(o) > 2
+    for blank in " \t\n\x0b\f\r":
+        plain = plain & ~o.contains(blank)
+    return F.when(o.startswith("_:"), plain | o.rlike(r"^_:\S+$")).otherwise(o.contains(":") & o.rlike(IRI))
+
+
 def local_name(c: str | Column) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     return F.substring_index(col, "#", -1)
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts the lineage, and the planner knows its size."""
+@contextmanager
+def open_writers(spark: SparkSession, most: int = 64):
+    """Tasks keep a file open for each of up to ``most`` partitions, and sort their rows by partition only beyond that."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _cut(df: DataFrame, *parts: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts the lineage, and the planner knows its size.
+
+    Rows that differ in the last columns ``parts`` lie in files of their own.
+    """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "round")
-    df.write.parquet(path)
+    if parts:
+        with open_writers(spark):
+            df.write.partitionBy(*parts).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROWS_A_TASK = 1_000_000
+FEW_ROWS = 100_000
+
+
+def hash_join(rows: DataFrame, table: DataFrame, key: str, most: int) -> DataFrame:
+    """``rows`` joined with ``table`` of about ``most`` rows, whose keys are nearly all different.
+
+    Neither side is sorted: a task holds its share of ``table``, so the table is dealt to as many tasks as keep that small,
+    and few rows go to every task.
+    """
+    if most <= FEW_ROWS:
+        return rows.join(F.broadcast(table), key)
+    n = most // ROWS_A_TASK + 1
+    if n > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        rows, table = rows.repartition(n, key), table.repartition(n, key)
+    return rows.join(table.hint("shuffle_hash"), key)
+
+
 # --- J9: list expansion ------------------------------------------------------------------
 def list_items(triples, heads: DataFrame) -> DataFrame:
     """``?head rdf:rest*/rdf:first ?item`` for the given heads -> (head, pos, item).
 
     Forward pointer jumping: after k rounds each head has its first 2^k nodes, and a
     table leads from a node to its 2^k-th successor.  Heads may lie inside other
-    lists and lists may share tails.  Every round writes only its new rows.  A cyclic
-    list has no end, so it raises an error.
+    lists and lists may share tails.  A round is one join: what is reached and the table
+    itself (its rows have no position) are led on together.  It writes only its new rows,
+    and there is none once the table is empty.  A cyclic list has no end, so it raises an error.
     """
     first = pred(triples, RDF_FIRST, "node", "item")
     rest = pred(triples, RDF_REST, "node", "next").filter(F.col("next") != _node(triples, RDF_NIL))
-    jump, nodes, step = rest, rest.count(), 1
+    jump, step = rest, 1
+    nodes = left = rest.count()
+    no_pos = F.lit(None).cast("long").alias("pos")
     reached = heads.select("head").distinct().select("head", F.col("head").alias("node"), F.lit(0).cast("long").alias("pos"))
     reached = _cut(reached)
-    while True:
-        new = _cut(reached.join(jump, "node").select("head", F.col("next").alias("node"), (F.col("pos") + step).alias("pos")))
+    while left:
+        going = reached.unionByName(jump.select(F.col("node").alias("head"), F.col("next").alias("node"), no_pos))
+        led = _cut(hash_join(going, jump, "node", left).select(
+            "head", F.col("next").alias("node"), (F.col("pos") + step).alias("pos"), F.col("pos").isNull().alias("link")), "link")
+        new = led.filter("not link").select("head", "node", "pos")
         if new.isEmpty():
             break
         if step > nodes:
             raise ValueError("a list is cyclic")
         reached = reached.unionByName(new)
         step *= 2
-        further = jump.select(F.col("node").alias("_mid"), F.col("next").alias("_next"))
-        jump = _cut(jump.join(further, F.col("next") == F.col("_mid")).select("node", F.col("_next").alias("next")))
-    return reached.join(first, "node").select("head", "pos", "item")
+        jump = led.filter("link").select(F.col("head").alias("node"), F.col("node").alias("next"))
+        left = jump.count()
+    return hash_join(reached, first, "node", first.count()).select("head", "pos", "item")
 
 
 # --- A12: maxima over lists, without their expansion -----------------------------------------

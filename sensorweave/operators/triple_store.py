@@ -12,41 +12,31 @@ folds compare longs, and ``decode`` brings terms back at the end, for the ids th
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .rdf import IRI
-
-
-IDS_A_TASK = 1_000_000
+from .rdf import ROWS_A_TASK, hash_join, is_node, open_writers
 
 
 def hash_id(term: Column, attempt: int = 0) -> Column:
     return F.xxhash64(term) if not attempt else F.xxhash64(term, F.lit(attempt))
 
 
-@contextmanager
-def _open_writers(spark: SparkSession, most: int = 64):
-    """Tasks keep a file open for each of up to ``most`` partitions, and sort their rows by partition only beyond that."""
-    name = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(most))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _spare_ids(hashed: DataFrame, hash_fn) -> DataFrame:
     """(term, id) of every term but the first of those that share a hash; ids that no other term has."""
     spark = hashed.sparkSession
+
+    def standing_twice(batches):  # a task has all rows of an id
+        ids = np.sort(np.concatenate([np.zeros(0, np.int64), *[b.column(0).to_numpy(zero_copy_only=False) for b in batches]]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(ids[1:][ids[1:] == ids[:-1]]), pa.int64())], ["id"])
+
     # the ids alone are counted; terms are looked at only where an id stands twice, which is next to never.  Nearly all
-    # ids differ, so they are dealt uncounted, to as many tasks as keep a task's count in its memory
-    dealt = hashed.select("id").repartition(hashed.count() // IDS_A_TASK + 1, "id")
-    twice = [r["id"] for r in dealt.groupBy("id").count().filter("count > 1").select("id").collect()]
+    # ids differ, so they are dealt uncounted, to as many tasks as keep a task's ids in its memory
+    dealt = hashed.select("id").repartition(hashed.count() // ROWS_A_TASK + 1, "id")
+    twice = [r["id"] for r in dealt.mapInArrow(standing_twice, "id long").collect()]
     if not twice:
         return spark.createDataFrame([], "term string, id long")
     shared = hashed.join(F.broadcast(spark.createDataFrame([(i,) for i in twice], "id long")), "id")
@@ -82,8 +72,7 @@ class TripleStore:
         spark = triples.sparkSession
         root = root or scratch_path(spark, "triple-store")
         o = F.col("o")
-        literal = F.col("o_kind") == "literal" if "o_kind" in triples.columns else ~F.when(
-            o.startswith("_:"), o.rlike(r"^_:\S+$")).otherwise(o.rlike(IRI))  # no IRI starts as a blank node does
+        literal = F.col("o_kind") == "literal" if "o_kind" in triples.columns else ~is_node(o)
         rows = triples.select("s", "p", F.when(~literal, o).alias("o"), F.when(literal, o).alias("text"))
         # read twice, as rows kept between the passes would fill the memory that the passes need
         nodes = rows.select(F.explode(F.array("s", "o")).alias("term")).filter("term is not null").distinct()
@@ -99,7 +88,7 @@ class TripleStore:
             own = F.broadcast(spare.select(F.col("term").alias(c), F.col("id").alias(f"_{c}")))
             return df.join(own, c, "left").withColumn(c, F.coalesce(f"_{c}", plain)).drop(f"_{c}")
 
-        with _open_writers(spark):
+        with open_writers(spark):
             (encoded(encoded(rows, "s"), "o").select("s", "o", "text", "p")
              .write.partitionBy("p").parquet(f"{root}/facts"))
         store = cls(spark, root)
@@ -120,13 +109,15 @@ class TripleStore:
         """Facts of one predicate whose object is a literal: subject id and text."""
         return self.facts.filter((F.col("p") == p) & F.col("text").isNotNull()).select(F.col("s").alias(s), F.col("text").alias(o))
 
-    def decode(self, df: DataFrame, *columns: str) -> DataFrame:
+    def decode(self, df: DataFrame, *columns: str, large: bool = False) -> DataFrame:
         """``df`` with the ids in ``columns`` replaced by their terms; every id is in the dictionary.
 
         The inner join lets the planner broadcast a small ``df``, so that the dictionary stays where it is; what
-        is small only once it is computed (a distinct, an aggregate) is best stored first.
+        is small only once it is computed (a distinct, an aggregate) is best stored first.  A ``large`` one, of
+        about as many rows as the dictionary, is joined without sorting either.
         """
+        most = self.terms.count() if large else 0
         for c in columns:
             terms = self.terms.select(F.col("id").alias(c), F.col("term").alias("_term"))
-            df = df.join(terms, c).withColumn(c, F.col("_term")).drop("_term").select(*df.columns)
+            df = (hash_join(df, terms, c, most) if large else df.join(terms, c)).withColumn(c, F.col("_term")).drop("_term").select(*df.columns)
         return df

@@ -98,6 +98,59 @@ def test_a_cyclic_list_raises(spark):
         RD.list_items(_triples(spark, [("a", "b"), ("b", "c"), ("c", "a")]), spark.createDataFrame([("a",)], "head string"))
 
 
+def test_lists_that_part_and_meet_give_each_way(spark):
+    """Nodes with two successors, links stated twice: an item for each way that leads to it."""
+    rnd = random.Random(5)
+    rest = [(f"n{i}", f"n{min(30, i + rnd.randint(1, 3))}") for i in range(30) for _ in range(rnd.choice([1, 1, 1, 2]))] + [("n30", RD.RDF_NIL)]
+    heads, want = ["n0", "n0", "n7", "n30", "nowhere"], []
+    for h in set(heads):
+        at = [h] if h != "nowhere" else []
+        for pos in range(len(rest)):
+            want += [(h, pos, "i" + n) for n in at]
+            at = [b for n in at for a, b in rest if a == n and b != RD.RDF_NIL]
+    got = RD.list_items(_triples(spark, rest), spark.createDataFrame([(h,) for h in heads], "head string")).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_lists_of_one_member(spark):
+    got = RD.list_items(_triples(spark, [("a", RD.RDF_NIL), ("b", RD.RDF_NIL)]), spark.createDataFrame([("a",)], "head string"))
+    assert [tuple(r) for r in got.collect()] == [("a", 0, "ia")]
+
+
+def test_a_round_is_one_write(spark, monkeypatch):
+    """Heads, then one write for each doubling; a list of eight needs three and no round that finds nothing."""
+    written, cut = [], RD._cut
+    monkeypatch.setattr(RD, "_cut", lambda df, *parts: written.append(1) or cut(df, *parts))
+    nodes = [f"n{i}" for i in range(8)]
+    triples = _triples(spark, list(zip(nodes, [*nodes[1:], RD.RDF_NIL], strict=True)))
+    assert RD.list_items(triples, spark.createDataFrame([("n0",)], "head string")).count() == 8
+    assert len(written) == 4
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_large_tables_are_joined_by_hash(spark, monkeypatch):
+    """Without sorting, dealt to more tasks where a task would hold too many rows; few rows go to every task."""
+    rows = spark.range(300).selectExpr("id % 100 as k", "id as x")
+    table = spark.range(100).selectExpr("id as k", "id * 2 as y")
+    want = sorted((i % 100, i, i % 100 * 2) for i in range(300))
+    for few, a_task, shown in ((1000, 1000, "BroadcastHashJoin"), (10, 1000, "ShuffledHashJoin"), (10, 5, "REPARTITION_BY_NUM")):
+        monkeypatch.setattr(RD, "FEW_ROWS", few)
+        monkeypatch.setattr(RD, "ROWS_A_TASK", a_task)
+        got = RD.hash_join(rows, table, "k", 100)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert shown in plan and "SortMergeJoin" not in plan
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_nodes_are_told_from_literals_as_by_pattern(spark):
+    texts = ["_:", "_:a", "_:a b", "_:a\n", "_:\n", "_: ", "_:\x0b", "_:a\tb", "_:a\r\n", "_:é", "_:\u2028", "_:\u00a0", "http://a#b", "http://a b", "a:",
+             ":a", "1:2", "a:<", "", "7", "x", "a:\n", "note: text", "_:a\u0085", None]
+    df = spark.createDataFrame([(t,) for t in texts], "o string")
+    o = F.col("o")
+    plain = F.when(o.startswith("_:"), o.rlike(r"^_:\S+$")).otherwise(o.rlike(RD.IRI))
+    assert df.filter(~RD.is_node(o).eqNullSafe(plain)).collect() == []
+
+
 def test_transitive_closure_matches_brute_force(spark):
     rnd = random.Random(3)
     edges = {(a, b) for a in range(60) for b in range(a + 1, min(a + 8, 60)) if rnd.random() < 0.3}

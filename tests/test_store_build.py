@@ -1,5 +1,6 @@
 """What building and reading the stored triples costs: no rows are kept beside the passes, small results leave the dictionary in place."""
 
+from conftest import SMALL
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,18 @@ def test_local_names_leave_the_dictionary_in_place(spark, monkeypatch):
     assert "/round-" in sides or "round-" in str(got.inputFiles())
 
 
+def test_line_items_are_numbered_once(spark):
+    """The triples of all kinds come from one scan of the line items, and from stored rows where they are read again."""
+    plans = [Q.triples(spark, SMALL, *again)._jdf.queryExecution().executedPlan().toString() for again in ((), (True,))]
+    assert [p.count("lineitem.parquet") for p in plans] == [1, 0]
+
+
+def test_large_results_are_decoded_alike(spark):
+    store = TripleStore.build(spark.createDataFrame(_list_triples(), "s string, p string, o string"))
+    ids = store.pred(RD.RDF_FIRST).unionByName(store.pred(RD.RDF_FIRST))
+    assert sorted(map(tuple, store.decode(ids, "s", "o", large=True).collect())) == sorted(map(tuple, store.decode(ids, "s", "o").collect()))
+
+
 def test_ntriples_text_is_written_compressed(spark, tmp_path, monkeypatch):
     rows = [(f"http://a.b/s{i}", "http://a.b/p", f"say \"{i}\"\n") for i in range(50)]
     monkeypatch.setattr(Q, "triples", lambda *_: spark.createDataFrame(rows, "s string, p string, o string"))
