@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+COUNTED = 65_536
+
+
 def rank_within_group(df: DataFrame, group: list[str], order: list[str],
                       partitions: int | None = None) -> DataFrame:
     """Adds ``rank`` (1-based, by ``order``) and ``group_size`` to every row.
@@ -46,9 +49,16 @@ def rank_within_group(df: DataFrame, group: list[str], order: list[str],
 
 
 def numbered(df: DataFrame, group: list[str], order: list[str], most: int = 100_000) -> DataFrame:
-    """As ``rank_within_group``; where the largest group is measured to have at most ``most`` rows, by one shuffle on the group."""
-    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    if largest > most:
+    """As ``rank_within_group``; where no group is measured to have more than ``most`` rows, by one shuffle on the group."""
+    def largest(*keys):
+        largest, rows = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+        return largest or 0, rows or 0
+
+    # no group is larger than all groups of its hash together, and these counts move next to nothing; groups
+    # are counted one by one only where there are so many rows that many small groups may share a hash
+    together, all_rows = largest(F.pmod(F.xxhash64(*group), F.lit(COUNTED)))
+    if together > most and (all_rows <= most * (COUNTED // 16) or largest(*group)[0] > most):
         return rank_within_group(df, group, order)
-    rows = Window.partitionBy(*group)
-    return df.select(*df.columns, F.row_number().over(rows.orderBy(*order)).cast("long").alias("rank"), F.count("*").over(rows).alias("group_size"))
+    rows = Window.partitionBy(*group).orderBy(*order)
+    whole = rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # in the same pass as the ranks
+    return df.select(*df.columns, F.row_number().over(rows).cast("long").alias("rank"), F.count("*").over(whole).alias("group_size"))

@@ -106,7 +106,8 @@ def table_triples(spark: SparkSession, sf_dir: str, again: bool = False) -> Data
     num = RD._cut(num) if again else num
     node = lambda k, n: F.concat(F.lit(f"_:{k}"), F.col("l_orderkey").cast("string"), F.lit("_"),
                                  n.cast("string"))
-    lst, item = node("l", F.col("n")), node("i", F.col("n"))
+    num = num.select("*", node("l", F.col("n")).alias("lst"), node("i", F.col("n")).alias("item"))  # a text for all its triples
+    lst, item = F.col("lst"), F.col("item")
     nxt = F.when(F.col("n") == F.col("cnt"), F.lit(RD.RDF_NIL)).otherwise(node("l", F.col("n") + 1))
     facet = F.when(F.col("n") % 2 == 1, _t(item, RD.MIN_INCL, F.col("l_discount").cast("string"))) \
         .otherwise(_t(item, RD.MAX_INCL, F.col("l_extendedprice").cast("string")))

@@ -65,3 +65,5 @@ def test_numbering_by_both_ways(spark):
     df = spark.createDataFrame([(rng.choice([1, 1, 2, 3]), i, rng.random()) for i in range(300)], "g int, i int, x double")
     a, b = numbered(df, ["g"], ["x"]), numbered(df, ["g"], ["x"], most=10)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    # ranks and group sizes come from one pass over the sorted rows
+    assert str(a._jdf.queryExecution().optimizedPlan().toString()).count("Window [") == 1
