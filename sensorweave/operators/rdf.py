@@ -10,19 +10,21 @@
 
 Iterative operators cut lineage after every round with a table written under the
 shared ``spark.checkpoint.dir``; executors lost mid-way recompute at most one round.
+A round's shuffle files go when it is written, and ``settled`` drops the rounds behind a result.
 All operators run on a frame of terms or on the ids of a ``TripleStore``.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from collections.abc import Callable
+from contextlib import contextmanager, nullcontext
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import OWL, RDF, RDFS, XSD
-from ..session import scratch_path
+from ..session import drop_scratch, scratch_path
 
 RDF_TYPE = RDF + "type"
 RDF_FIRST = RDF + "first"
@@ -143,15 +145,44 @@ def local_name(c: str | Column) -> Column:
 
 
 @contextmanager
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def open_writers(spark: SparkSession, most: int = 64):
     """Tasks keep a file open for each of up to ``most`` partitions, and sort their rows by partition only beyond that."""
-    name = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(most))
+    return _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(most))
+
+
+def shuffles_dropped(spark: SparkSession):
+    """The shuffle files of a job go when it ends, not when the driver happens to collect its garbage.
+
+    For frames made and run within, once.
+    """
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def passing(spark: SparkSession):
+    """Tables that ``_cut`` writes within are dropped at the end."""
+    token = _WRITTEN.set(paths := [])
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        _WRITTEN.reset(token)
+        for path in paths:
+            drop_scratch(spark, path)
 
 
 def _cut(df: DataFrame, *parts: str) -> DataFrame:
@@ -160,14 +191,25 @@ def _cut(df: DataFrame, *parts: str) -> DataFrame:
     Rows that differ in the last columns ``parts`` lie in files of their own.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "round")
-    if parts:
-        with open_writers(spark):
-            df.write.partitionBy(*parts).parquet(path)
-    else:
-        df.write.parquet(path)
+    if (paths := _WRITTEN.get()) is not None:
+        paths.append(path)
+    with shuffles_dropped(spark), open_writers(spark) if parts else nullcontext():
+        (df.write.partitionBy(*parts) if parts else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """The rows of ``make()``, stored; tables that ``_cut`` wrote on the way to them are dropped."""
+    outer = _WRITTEN.get()
+    with passing(spark):
+        rows = make()
+        token = _WRITTEN.set(outer)
+        try:
+            return _cut(rows)
+        finally:
+            _WRITTEN.reset(token)
+
+
 ROWS_A_TASK = 1_000_000
 FEW_ROWS = 100_000
 
@@ -230,12 +272,9 @@ def list_nodes(triples, values: DataFrame) -> DataFrame:
     rest = pred(triples, RDF_REST, "node", "next")
     after = F.when(F.col("next") != _node(triples, RDF_NIL), F.col("next"))
     none = F.lit(None).cast(rest.schema["next"].dataType)
-    own = pred(triples, RDF_FIRST, "node", "item").join(values, "item", "left")
+    own = _cut(pred(triples, RDF_FIRST, "node", "item").join(values, "item", "left").select("node", *names))
     rows = (own.select("node", none.alias("next"), F.lit(True).alias("full"), *names)
-            .unionByName(rest.select("node", after.alias("next"), F.lit(False).alias("full"), *nothing))
-            # a node that is only led to ends its list
-            .unionByName(rest.select(after.alias("node"), none.alias("next"), F.lit(False).alias("full"), *nothing)
-                         .filter("node is not null")))
+            .unionByName(rest.select("node", after.alias("next"), F.lit(False).alias("full"), *nothing)))
     each = rows.groupBy("node").agg(F.min("next").alias("next"), F.max("next").alias("_last"), F.max("full").alias("full"),
                                     *[F.max(c).alias(c) for c in names])
     one_way = F.when(F.col("next") == F.col("_last"), F.col("next")).when(
@@ -248,7 +287,7 @@ def list_maxima(nodes: DataFrame, heads: DataFrame) -> DataFrame:
 
     ``nodes`` is a stored ``list_nodes``.  After k rounds a node holds the maxima of its first 2^k
     nodes and leads to the one behind them; one join a round, and only nodes whose list goes on take
-    part in it.  A head whose list has no members has no row; a cyclic list has no end and a node with
+    part in it.  A node that is only led to has no row and ends its list.  A head whose list has no members has no row; a cyclic list has no end and a node with
     two successors no one list, so both raise an error.
     """
     names = [c for c in nodes.columns if c not in ("node", "next", "full")]
@@ -263,8 +302,10 @@ def list_maxima(nodes: DataFrame, heads: DataFrame) -> DataFrame:
             raise ValueError("a list is cyclic")
         ahead = done.unionByName(going)
         ahead = ahead.select(*[F.col(c).alias(f"_{c}") for c in ahead.columns])
-        jumped = _cut(going.join(ahead, F.col("next") == F.col("_node")).select(
-            "node", F.col("_next").alias("next"), (F.col("full") | F.col("_full")).alias("full"),
+        if left <= FEW_ROWS:  # what they lead to is found where it lies
+            ahead = F.broadcast(ahead.join(F.broadcast(going.select(F.col("next").alias("_node")).distinct()), "_node", "left_semi"))
+        jumped = _cut(going.join(ahead, F.col("next") == F.col("_node"), "left").select(
+            "node", F.col("_next").alias("next"), (F.col("full") | F.coalesce("_full", F.lit(False))).alias("full"),
             *[F.greatest(c, f"_{c}").alias(c) for c in names]))
         done = done.unionByName(jumped.filter("next is null"))
         going, step = jumped.filter("next is not null"), 2 * step
@@ -343,10 +384,14 @@ def property_ranges(triples, strict: bool = False) -> DataFrame:
     nothing = F.lit(None).cast("double")
     limits = (_texts(triples, MIN_INCL, "item", "v").select("item", number("v").alias("min"), nothing.alias("max"))
               .unionByName(_texts(triples, MAX_INCL, "item", "v").select("item", nothing.alias("min"), number("v").alias("max"))))
-    pattern = _restrictions(triples, strict).select("prop", "head").distinct()
-    with ThreadPoolExecutor(2) as pool:  # neither needs the other
-        lists, nodes = pool.map(_cut, (pattern, list_nodes(triples, limits)))
-    folded = list_maxima(nodes, lists).groupBy("prop").agg(F.max("min").alias("min"), F.max("max").alias("max"))
+    spark = limits.sparkSession
+
+    def by_node():
+        lists = _cut(_restrictions(triples, strict).select("prop", "head").distinct())
+        nodes = settled(spark, lambda: list_nodes(triples, limits))
+        return list_maxima(nodes, lists).groupBy("prop").agg(F.max("min").alias("min"), F.max("max").alias("max"))
+
+    folded = settled(spark, by_node)
     if not isinstance(triples, DataFrame):
-        folded = triples.decode(_cut(folded), "prop")
+        folded = triples.decode(folded, "prop")
     return folded.groupBy(local_name("prop").alias("property")).agg(F.max("min").alias("min"), F.max("max").alias("max"))

@@ -1,9 +1,10 @@
 """Triples on ids: a term dictionary and one narrow table of longs for each predicate.
 
 A node (IRI or blank node) is a 64-bit id, the hash of its term, so no join is needed to
-encode.  The dictionary (id, term) is built by a distinct over all node terms; building it
-shows the terms whose hashes collide, and each of these but the first gets another id, which the
-facts then take from a join with those few terms.  So ids are exact, whatever the size.
+encode.  The dictionary (id, term) is a distinct over all node terms, stored without the ids, which
+are hashed again as it is read.  Building it shows the terms whose hashes collide, and each of these
+but the first gets another id, which the facts then take from a join with those few terms.  So ids
+are exact, whatever the size.
 
 Facts are stored partitioned by predicate: (s, o) where the object is a node, (s, text) where
 it is a literal.  A pattern reads one partition and two columns; joins, list walks and
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .rdf import ROWS_A_TASK, hash_join, is_node, open_writers
+from .rdf import ROWS_A_TASK, hash_join, is_node, open_writers, shuffles_dropped
 
 
 def hash_id(term: Column, attempt: int = 0) -> Column:
@@ -35,8 +36,9 @@ def _spare_ids(hashed: DataFrame, hash_fn) -> DataFrame:
 
     # the ids alone are counted; terms are looked at only where an id stands twice, which is next to never.  Nearly all
     # ids differ, so they are dealt uncounted, to as many tasks as keep a task's ids in its memory
-    dealt = hashed.select("id").repartition(hashed.count() // ROWS_A_TASK + 1, "id")
-    twice = [r["id"] for r in dealt.mapInArrow(standing_twice, "id long").collect()]
+    with shuffles_dropped(spark):
+        dealt = hashed.select("id").repartition(hashed.count() // ROWS_A_TASK + 1, "id")
+        twice = [r["id"] for r in dealt.mapInArrow(standing_twice, "id long").collect()]
     if not twice:
         return spark.createDataFrame([], "term string, id long")
     shared = hashed.join(F.broadcast(spark.createDataFrame([(i,) for i in twice], "id long")), "id")
@@ -55,16 +57,22 @@ def _spare_ids(hashed: DataFrame, hash_fn) -> DataFrame:
 
 
 class TripleStore:
-    """The stored tables under ``root``: ``facts`` (s, o, text, p), ``hashed`` (id, term) and ``spare`` (term, id)."""
+    """The stored tables under ``root``: ``facts`` (s, o, text, p), ``terms`` (term), whose ids are their hashes, but
+    for those in ``spare`` (term, id)."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, hash_fn=hash_id):
+        self.spark, self.root, self.hash_fn = spark, root, hash_fn
         self.facts = spark.read.parquet(f"{root}/facts")
-        hashed, spare = spark.read.parquet(f"{root}/hashed"), spark.read.parquet(f"{root}/spare")
+        hashed, spare = self._hashed(spark, root, hash_fn), spark.read.parquet(f"{root}/spare")
         self.spare = {r["term"]: r["id"] for r in spare.collect()}
         self.terms = hashed if not self.spare else hashed.join(spare.select("term"), "term", "left_anti").select("id", "term").unionByName(
             spare.select("id", "term"))
 
+    @staticmethod
+    def _hashed(spark: SparkSession, root: str, hash_fn) -> DataFrame:
+        """(id, term): a hash does not compress, and is soon made again."""
+        return spark.read.parquet(f"{root}/terms").select(hash_fn(F.col("term")).alias("id"), "term")
+
     @classmethod
     def build(cls, triples: DataFrame, root: str | None = None, hash_fn=hash_id) -> TripleStore:
         """Encode (s, p, o) with an optional ``o_kind``; an object is a literal where that says so, else where
@@ -76,8 +84,9 @@ class TripleStore:
         rows = triples.select("s", "p", F.when(~literal, o).alias("o"), F.when(literal, o).alias("text"))
         # read twice, as rows kept between the passes would fill the memory that the passes need
         nodes = rows.select(F.explode(F.array("s", "o")).alias("term")).filter("term is not null").distinct()
-        nodes.select(hash_fn(F.col("term")).alias("id"), "term").write.parquet(f"{root}/hashed")
-        spare = _spare_ids(spark.read.parquet(f"{root}/hashed"), hash_fn)
+        with shuffles_dropped(spark):
+            nodes.write.parquet(f"{root}/terms")
+        spare = _spare_ids(cls._hashed(spark, root, hash_fn), hash_fn)
         spare.write.parquet(f"{root}/spare")
         renamed = not spare.isEmpty()
 
@@ -91,11 +100,7 @@ class TripleStore:
         with open_writers(spark):
             (encoded(encoded(rows, "s"), "o").select("s", "o", "text", "p")
              .write.partitionBy("p").parquet(f"{root}/facts"))
-        store = cls(spark, root)
-        store.hash_fn = hash_fn
-        return store
-
-    hash_fn = staticmethod(hash_id)
+        return cls(spark, root, hash_fn)
 
     def node(self, term: str) -> Column:
         """The id of a term."""
