@@ -85,7 +85,7 @@ class TripleStore:
         # read twice, as rows kept between the passes would fill the memory that the passes need
         nodes = rows.select(F.explode(F.array("s", "o")).alias("term")).filter("term is not null").distinct()
         with shuffles_dropped(spark):
-            nodes.write.parquet(f"{root}/terms")
+            nodes.write.option("compression", "zstd").parquet(f"{root}/terms")
         spare = _spare_ids(cls._hashed(spark, root, hash_fn), hash_fn)
         spare.write.parquet(f"{root}/spare")
         renamed = not spare.isEmpty()
